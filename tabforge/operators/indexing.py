@@ -12,9 +12,10 @@ size (no key can hold more than one split's rows).
   ``tabforge.sources`` attach ``__file``/``__blk``/``__mid`` at the scan,
   before any filter, so ``__mid - min(__mid)`` is the row's position in its
   split.
-* Key order (``order_by`` given): ``repartitionByRange`` + sort inside each
-  range partition; the position is the rank inside the range partition.
-  A hot file or hot key is spread over many range partitions, never one task.
+* Key order (``order_by`` given): rows go to range buckets whose bounds are
+  sampled once and applied as literals (deterministic on every re-execution),
+  are numbered inside their bucket with a window, and get the bucket's offset.
+  A hot file or hot key is spread over many buckets, never one task.
 """
 
 from __future__ import annotations
@@ -79,21 +80,59 @@ def _index_by_position(df, mode, start, file_col, index_col, broadcast_rows):
     return out.withColumn(index_col, idx).drop("__off", "__mid0", *POS_COLS)
 
 
+SAMPLE_PER_BUCKET = 64
+
+
+def _bucket_expr(key: Column, bounds: list) -> Column:
+    """Binary search over sorted bound structs: bucket id = number of bounds <= key."""
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < _struct_lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+    return build(0, len(bounds))
+
+
+def _struct_lit(row) -> Column:
+    return F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(row)])
+
+
 def _index_by_key(df, mode, start, file_col, order_by, index_col, num_partitions, broadcast_rows):
-    keys = [F.col(file_col)] + [F.col(c) if isinstance(c, str) else c for c in order_by]
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id()))
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    """Numbering by key with deterministic range buckets.
+
+    Bucket bounds come from one sample collected to the driver (bounded by
+    ``SAMPLE_PER_BUCKET`` rows per bucket) and are applied as literals, so
+    every re-execution of the plan (several branches, lost executors) assigns
+    the same bucket to a row. Inside a bucket rows are numbered with a window;
+    a bucket holds about 1/n of the rows whatever the key skew, because the
+    bucket key includes the order columns and a row hash as final tie-breaker.
+    """
+    spark = df.sparkSession
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    parts = [F.col(file_col)] + order_cols + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    names = [f"k{i}" for i in range(len(parts))]
+    keyed = df.withColumn("__key", F.struct(*[p.alias(n) for p, n in zip(parts, names)]))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = keyed.count()
+    bounds = []
+    if n > 1 and total > 0:
+        frac = min(1.0, SAMPLE_PER_BUCKET * n / total)
+        sample = sorted(tuple(r["__key"]) for r in keyed.select("__key").sample(fraction=frac, seed=17).collect()
+                        if all(v is not None for v in r["__key"]))
+        if sample:
+            step = len(sample) / n
+            bounds = sorted({sample[min(int(step * (i + 1)), len(sample) - 1)] for i in range(n - 1)})
+    bucket = _bucket_expr(F.col("__key"), bounds) if bounds else F.lit(0)
+    b = keyed.withColumn("__b", bucket)
+    pos = F.row_number().over(Window.partitionBy("__b").orderBy("__key")) - 1
+    b = b.repartition(n, "__b").withColumn("__p", pos)
+    counts = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     counts = counts.withColumn(
-        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).drop("__n")
-    pos = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    out = F.broadcast(counts)  # one row per range partition: bounded by n
-    g = ranged.join(out, "__pid").withColumn("__g", F.col("__off") + pos)
+    g = b.join(F.broadcast(counts), "__b").withColumn("__g", F.col("__off") + F.col("__p"))  # counts: n rows
     if mode == "local":
         first = g.groupBy(file_col).agg(F.min("__g").alias("__g0"))
         g = _join_small(g, first, [file_col], broadcast_rows).withColumn("__g", F.col("__g") - F.col("__g0")).drop("__g0")
     return g.withColumn(index_col, (F.lit(start) + F.col("__g")).cast("bigint")).drop(
-        "__pid", "__mid", "__off", "__g", *[c for c in POS_COLS if c in g.columns])
+        "__key", "__b", "__p", "__off", "__g", *[c for c in POS_COLS if c in g.columns])

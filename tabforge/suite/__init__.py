@@ -5,4 +5,4 @@ Each suite module registers callables ``(spark, sf_dir) -> DataFrame`` with
 """
 
 from .registry import ORACLE, QUERIES  # noqa: F401
-from . import q_harmonize, q_naming  # noqa: F401,E402
+from . import q_harmonize, q_logs, q_naming, q_series  # noqa: F401,E402
