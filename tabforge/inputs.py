@@ -71,6 +71,24 @@ def catalog_select(orders: str = "orders") -> str:
     )
 
 
+def set_extension(spark: SparkSession, folder: str, ext: str) -> None:
+    """Give the part files Spark's text writer produced (``.txt``) the extension ``ext``.
+
+    Fixture helper: a metadata-only rename of the few part files through the
+    Hadoop FileSystem API (works on any cluster file system).
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    it = fs.listFiles(root, True)
+    while it.hasNext():
+        p = it.next().getPath()
+        name = p.getName()
+        if name.startswith("part-") and name.endswith(".txt"):
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), name[:-4] + ext))
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -78,7 +78,7 @@ def _group_frames(spark: SparkSession, root: str, cfg: HarmonizeConfig):
         for header, files in S.header_groups(spark, root, "csv", cfg.recursive):
             raw = S.dedupe_names(S.parse_header(header, sep))
             df = S.read_csv_group(spark, files, raw, root_uri, cfg.read_options)
-            df = df.withColumn("__failed", S.long_row_flag(len(raw), sep, raw[0])).drop(S.CORRUPT)
+            df = df.withColumn("__failed", S.long_row_flag(len(raw), sep, raw)).drop(S.CORRUPT)
             frames.append(("csv", files, _normalise(df, raw, cfg)))
     if "json" in types:
         for files, df, raw in jsonsrc.json_groups(spark, root, root_uri, cfg.recursive, cfg.json_object_root,

@@ -149,17 +149,19 @@ def read_csv_group(spark: SparkSession, files: Sequence[str], columns: Sequence[
     return df.select(*sel)
 
 
-def long_row_flag(n_fields: int, sep: str = ",", first_col: str | None = None):
+def long_row_flag(n_fields: int, sep: str = ",", columns: Sequence[str] | None = None):
     """Q28: a corrupt line is *long* (file fails) when it has more fields than the header.
 
-    ``first_col`` keeps a data column referenced: Spark refuses scans whose only
-    data column is the corrupt-record column.
+    ``columns`` keeps every data column referenced: with CSV column pruning
+    Spark only checks the token count (and fills the corrupt-record column)
+    when all columns are parsed, and it refuses scans whose only data column
+    is the corrupt-record column.
     """
     probe = ", ".join(f"c{i} STRING" for i in range(n_fields + 1))
     parsed = F.from_csv(F.col(CORRUPT), probe, {"sep": sep, "mode": "PERMISSIVE"})
     flag = F.col(CORRUPT).isNotNull() & parsed.getField(f"c{n_fields}").isNotNull()
-    if first_col is not None:
-        flag = flag & (F.coalesce(F.char_length(F.col(f"`{first_col}`")), F.lit(0)) >= 0)
+    if columns:
+        flag = flag & (F.xxhash64(*[F.col(f"`{c}`") for c in columns]).bitwiseOR(F.lit(1)) != 0)
     return flag
 
 
