@@ -9,7 +9,8 @@ from ..operators import harmonize as H
 from ..plans.harmonize_folder import HarmonizeConfig, harmonize_folder
 from .registry import query
 
-SHARD = F.split_part(F.col("source_file"), F.lit("/"), F.lit(1))
+def shard_of():
+    return F.split_part(F.col("source_file"), F.lit("/"), F.lit(1))
 OUT = ["customer_id", "first_name", "last_name", "nation_key", "account_balance", "segment", "notes"]
 
 
@@ -28,7 +29,7 @@ def harmonize_customers(spark, sf_dir):
     """Flagship: three header styles -> one typed, numbered table (H9 + I3)."""
     df = harmonized(spark, sf_dir).data
     return df.select(*OUT[:4], F.round("account_balance", 2).alias("account_balance"), *OUT[5:],
-                     SHARD.alias("shard"), "row_index")
+                     shard_of().alias("shard"), "row_index")
 
 
 @query("index_local", f"""
@@ -40,4 +41,4 @@ def index_local(spark, sf_dir):
     root = inputs.customer_shards(spark, sf_dir, files_per_shard=1)
     cfg = HarmonizeConfig(schema_map=inputs.SHARD_SCHEMA_MAP, index_mode="local", types=["csv"])
     df = harmonize_folder(spark, root, cfg).data
-    return df.select("customer_id", SHARD.alias("shard"), "row_index")
+    return df.select("customer_id", shard_of().alias("shard"), "row_index")

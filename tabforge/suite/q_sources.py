@@ -13,7 +13,8 @@ from ..sources.sinks import write_table
 from ..streaming.ingest import ingest_stream
 from .registry import query
 
-SHARD = F.split_part(F.col("source_file"), F.lit("/"), F.lit(1))
+def shard_of():
+    return F.split_part(F.col("source_file"), F.lit("/"), F.lit(1))
 
 
 @query("catalog_scan", "SELECT shard, CAST(2 AS BIGINT) AS files, '.csv' AS extension FROM "
@@ -99,7 +100,7 @@ def bad_files_skipped(spark, sf_dir):
     root = _with_bad_file(spark, sf_dir)
     cfg = HarmonizeConfig(schema_map=inputs.SHARD_SCHEMA_MAP, index_mode="none", types=["csv"])
     df = harmonize_folder(spark, root, cfg).data
-    return df.groupBy(SHARD.alias("shard")).agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+    return df.groupBy(shard_of().alias("shard")).agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                                                 F.sum("customer_id").cast("bigint").alias("key_sum"))
 
 
@@ -113,7 +114,7 @@ def file_status(spark, sf_dir):
     root = _with_bad_file(spark, sf_dir)
     cfg = HarmonizeConfig(schema_map=inputs.SHARD_SCHEMA_MAP, index_mode="none", types=["csv"])
     st = harmonize_folder(spark, root, cfg).file_status
-    return st.groupBy(SHARD.alias("shard"), "status").agg(F.sum("rows").cast("bigint").alias("rows"),
+    return st.groupBy(shard_of().alias("shard"), "status").agg(F.sum("rows").cast("bigint").alias("rows"),
                                                           F.count(F.lit(1)).cast("bigint").alias("files"))
 
 
