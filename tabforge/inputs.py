@@ -148,8 +148,15 @@ SHARD_SCHEMA_MAP = {
 }
 
 
-def customer_shards(spark: SparkSession, sf_dir: str, files_per_shard: int = 2) -> str:
-    """Write the shards (CSV, header per file) below the shared staging folder; return the root."""
+def customer_shards(spark: SparkSession, sf_dir: str, files_per_shard: int = 2, fresh: bool = False) -> str:
+    """Write the shards (CSV, header per file) below the shared staging folder; return the root.
+
+    Written once per session and layout; queries that add files copy nothing
+    and write into their own folders.
+    """
+    key = ("shards", id(spark), sf_dir, files_per_shard)
+    if key in _WRITTEN and not fresh:
+        return _WRITTEN[key]
     root = staging_path(spark, "customer-shards")
     cust = _read(spark, sf_dir, "customer")
     for name, cond, cols in SHARD_STYLES:
@@ -157,6 +164,8 @@ def customer_shards(spark: SparkSession, sf_dir: str, files_per_shard: int = 2)
         key = cols[0][0]
         (part.repartitionByRange(files_per_shard, F.col(f"`{key}`")).sortWithinPartitions(F.col(f"`{key}`"))
              .write.mode("overwrite").option("header", "true").csv(f"{root}/{name}"))
+    if not fresh:
+        _WRITTEN[key] = root
     return root
 
 

@@ -208,6 +208,59 @@ def profile_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[s
     return out
 
 
+def _profile_aggs(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[Column]]:
+    string_cols, aggs = [], []
+    for c in columns:
+        if not isinstance(df.schema[c].dataType, T.StringType):
+            continue
+        string_cols.append(c)
+        v = F.trim(F.col(f"`{c}`"))
+        nn = v.isNotNull() & (v != "")
+        aggs += [
+            F.count_if(nn), F.count_if(nn & F.lower(v).isin("true", "false")),
+            F.count_if(nn & v.try_cast("bigint").isNotNull()), F.count_if(nn & v.try_cast("double").isNotNull()),
+        ]
+    return string_cols, aggs
+
+
+def _label(n: int, b: int, i: int, d: int) -> str:
+    if n == 0:
+        return "object"
+    if b == n:
+        return "bool"
+    if i == n:
+        return "int64"
+    if d == n:
+        return "float64"
+    return "object"
+
+
+def profile_many(dfs: Sequence[DataFrame], columns: Sequence[Sequence[str]]) -> list[dict[str, str]]:
+    """:func:`profile_types` for several frames in ONE job (one single-row aggregate per frame, unioned)."""
+    parts, metas = [], []
+    for gi, (df, cols) in enumerate(zip(dfs, columns)):
+        string_cols, aggs = _profile_aggs(df, cols)
+        metas.append((df, cols, string_cols))
+        arr = F.array(*[a.cast("bigint") for a in aggs]) if aggs else F.array().cast("array<bigint>")
+        parts.append(df.agg(arr.alias("counts")).select(F.lit(gi).alias("g"), "counts"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    got = {r["g"]: r["counts"] for r in out.collect()}
+    result = []
+    for gi, (df, cols, string_cols) in enumerate(metas):
+        counts = got[gi]
+        prof = {}
+        for c in cols:
+            if c in string_cols:
+                k = 4 * string_cols.index(c)
+                prof[c] = _label(*counts[k:k + 4])
+            else:
+                prof[c] = label_of(df.schema[c].dataType)
+        result.append(prof)
+    return result
+
+
 def _cast(c: Column, src: T.DataType, dst: T.DataType) -> Column:
     if src == dst:
         return c

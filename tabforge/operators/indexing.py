@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir  # noqa: F401  (kept for callers that cut lineage)
+from ..session import shared_dir
 
 POS_COLS = ("__file", "__blk", "__mid")
 BROADCAST_ROWS = 200_000
@@ -112,6 +112,10 @@ def _index_by_key(df, mode, start, file_col, order_by, index_col, num_partitions
     parts = [F.col(file_col)] + order_cols + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     names = [f"k{i}" for i in range(len(parts))]
     keyed = df.withColumn("__key", F.struct(*[p.alias(n) for p, n in zip(parts, names)]))
+    # Count, sample and number read the same rows: cut the lineage once (reliable
+    # checkpoint in the shared checkpoint folder) instead of recomputing the input.
+    shared_dir(spark)
+    keyed = keyed.checkpoint(eager=True)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = keyed.count()
     bounds = []

@@ -103,9 +103,9 @@ def harmonize_folder(spark: SparkSession, root: str, config: HarmonizeConfig | N
     for _, files, df in frames:
         status = df.groupBy("source_file").agg(F.max("__failed").alias("failed"), F.count(F.lit(1)).alias("rows"))
         statuses.append(status)
-        if cfg.columns is None:
-            good = df.filter(~F.col("__failed"))
-            merged = H.merge_schemas([merged, H.profile_types(good, _data_cols(df))])
+    if cfg.columns is None:  # one profiling job for all header groups
+        goods = [df.filter(~F.col("__failed")) for _, _, df in frames]
+        merged = H.merge_schemas(H.profile_many(goods, [_data_cols(df) for _, _, df in frames]))
     if cfg.columns is not None:
         merged = schema_from_columns(cfg.columns, cfg.column_types)
     declared = H.schema_map_types(cfg.schema_map)

@@ -78,8 +78,8 @@ def json_object_root(spark, sf_dir):
 
 
 def _with_bad_file(spark, sf_dir):
-    """Shards plus one CSV whose third data line has more fields than the header."""
-    root = inputs.customer_shards(spark, sf_dir)
+    """Fresh shards plus one CSV whose last data line has more fields than the header."""
+    root = inputs.customer_shards(spark, sf_dir, fresh=True)
     cust = spark.read.parquet(f"{sf_dir}/customer.parquet").filter(F.col("c_nationkey") == 0)
     lines = cust.select(F.col("c_custkey").alias("k"), F.concat_ws(",", F.col("c_custkey").cast("string"),
                         F.concat(F.col("c_mktsegment"), F.lit(" "), F.col("c_name")), F.col("c_nationkey").cast("string"),
