@@ -229,3 +229,25 @@ def check_fields(before: T.StructType, after: T.StructType) -> dict[str, list[st
 
 def fields_list(names: Sequence[str]) -> list[str]:
     return list(names)
+
+
+# --- fixed values: document classes by department (checked in this order) ---
+DOC_CLASSES = {
+    ("legal", "law"): [("contract", "Legal-Contract"), ("agreement", "Legal-Agreement"), ("compliance", "Legal-Compliance")],
+    ("finance", "fin"): [("audit", "Finance-Audit"), ("budget", "Finance-Budget"), ("financial", "Finance-Statement")],
+    ("hr", "human resources"): [("policy", "HR-Policy"), ("handbook", "HR-Handbook"), ("training", "HR-Training")],
+}
+
+
+def classify_document(dept: str | Column, doc_type: str | Column, name: str | Column) -> Column:
+    """Department-specific keyword classes in doc type or lower-cased name; default General-Document."""
+    d = F.lower(F.coalesce(col_of(dept), F.lit("")))
+    t = F.lower(F.coalesce(col_of(doc_type), F.lit("")))
+    low = F.lower(col_of(name))
+    out = F.lit("General-Document")
+    for depts, rules in reversed(list(DOC_CLASSES.items())):
+        inner = F.lit("General-Document")
+        for key, label in reversed(rules):
+            inner = F.when(t.contains(key) | low.contains(key), F.lit(label)).otherwise(inner)
+        out = F.when(d.isin(*depts), inner).otherwise(out)
+    return out

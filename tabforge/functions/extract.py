@@ -253,3 +253,35 @@ def x_project(clients: Sequence[str] | str = (), col: str | Column = STEM, versi
     fields += [status.alias("status"), date.alias("date"),
                F.when(rest == "", F.lit("unknown")).otherwise(rest).alias("project")]
     return F.struct(*fields)
+
+
+# --- fixed values: corporate name patterns (first match wins, on the lower-cased stem) ---
+CORPORATE_PATTERNS = [
+    (r"([^_]+)_([^_]+)_([^_]+)_([^_]+)_(\d{8})", ["client", "dept", "doc_type", "status", "date"]),
+    (r"([^_]+)_([^_]+)_([^_]+)_v([\d.]+)_([^_]+)", ["client", "dept", "doc_type", "version", "status"]),
+    (r"([^_]+)_([^_]+)_([^_]+)_(\d{6,8})", ["client", "doc_type", "description", "date"]),
+]
+CORPORATE_FIELDS = ["client", "dept", "doc_type", "status", "date", "version", "description"]
+
+
+def x_corporate(col: str | Column = STEM) -> Column:
+    """X11: three patterns on the lower-cased stem, else split on ``[_-]``.
+
+    Fields a pattern does not name are NULL; the fallback fills client,
+    doc_type ('document') and description (rest joined by '_', or 'general').
+    """
+    c = F.lower(col_of(col))
+    parts = F.split(c, "[_-]", -1)
+    n = F.size(parts)
+    fallback = {
+        "client": F.coalesce(F.get(parts, 0), F.lit("unknown")),
+        "doc_type": F.when(n > 1, F.get(parts, 1)).otherwise(F.lit("document")),
+        "description": F.when(n > 2, F.array_join(F.slice(parts, 3, 1 << 30), "_")).otherwise(F.lit("general")),
+    }
+    out = {f: fallback.get(f, F.lit(None).cast("string")) for f in CORPORATE_FIELDS}
+    for rx, names in reversed(CORPORATE_PATTERNS):
+        hit = c.rlike(rx)
+        for f in CORPORATE_FIELDS:
+            val = F.regexp_extract(c, rx, names.index(f) + 1) if f in names else F.lit(None).cast("string")
+            out[f] = F.when(hit, val).otherwise(out[f])
+    return F.struct(*[out[f].alias(f) for f in CORPORATE_FIELDS])

@@ -5,4 +5,4 @@ Each suite module registers callables ``(spark, sf_dir) -> DataFrame`` with
 """
 
 from .registry import ORACLE, QUERIES  # noqa: F401
-from . import q_harmonize, q_logs, q_naming, q_plan, q_series, q_sources  # noqa: F401,E402
+from . import q_business, q_harmonize, q_logs, q_naming, q_plan, q_series, q_sources  # noqa: F401,E402
