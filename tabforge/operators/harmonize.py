@@ -311,11 +311,13 @@ def union_tables(dfs: Sequence[DataFrame], schema: T.StructType | None = None) -
 
 
 def union_sheets(sheets: Mapping[str, DataFrame], schema_map: Mapping | None = None, to_lower: bool = True,
-                 spaces_to_underscores: bool = True, sheet_col: str = "sheet_name") -> DataFrame:
+                 spaces_to_underscores: bool = True, sheet_col: str = "sheet_name", split_names: bool = True) -> DataFrame:
     """H8 (dict form): normalise each sheet, tag it with its name, union."""
     parts = []
     for name, d in sheets.items():
-        d = split_name(apply_schema_map(d, schema_map, to_lower, spaces_to_underscores))
+        d = apply_schema_map(d, schema_map, to_lower, spaces_to_underscores)
+        if split_names:
+            d = split_name(d)
         parts.append(d.withColumn(sheet_col, F.lit(name)))
     return union_tables(parts)
 
