@@ -150,3 +150,45 @@ def limit_length(c: str | Column, n: int) -> Column:
 
 def fields_of(names: Sequence[str]) -> list[str]:
     return list(names)
+
+
+# --- fixed values: one-step business renamer maps ----------------------------
+A_DEPT_NAMES = {"HR": "Human-Resources", "IT": "Information-Technology", "FIN": "Finance", "LEGAL": "Legal",
+                "OPS": "Operations", "SALES": "Sales", "MKT": "Marketing"}
+A_TYPE_NAMES = {"POLICY": "Policy", "PROCEDURE": "Procedure", "REPORT": "Report", "MEETING": "Meeting-Notes",
+                "CONTRACT": "Contract", "INVOICE": "Invoice", "PROPOSAL": "Proposal"}
+
+
+def a_business(col: str | Column = STEM, department_mapping: bool = True, include_year: bool = False) -> Column:
+    """A4: split by '_' -> dept/type/date, map codes (else title case), ISO date for 8-digit dates."""
+    from .convert import map_values
+    from .extract import x_business_doc
+    f = x_business_doc(col)
+    dept = map_values(f.getField("dept"), A_DEPT_NAMES) if department_mapping else f.getField("dept")
+    typ = map_values(f.getField("type"), A_TYPE_NAMES)
+    raw = f.getField("date")
+    iso = F.date_format(F.try_to_timestamp(raw, F.lit("yyyyMMdd")), "yyyy-MM-dd")
+    date = F.when((raw != "unknown") & (F.char_length(raw) == 8), F.coalesce(iso, raw)).otherwise(raw)
+    known = date != "unknown"
+    out = F.when(known, F.concat_ws("_", dept, typ, date)).otherwise(F.concat_ws("_", dept, typ))
+    if include_year:
+        out = F.when(known, F.concat_ws("_", F.substring(date, 1, 4), dept, typ, date)).otherwise(out)
+    return out
+
+
+def a_invoices(col: str | Column = STEM, company_prefix: bool = True, number_padding: int = 6) -> Column:
+    """A5: invoice cascade, cleaned company, padded number, optional date."""
+    from .convert import clean_company
+    from .extract import x_invoice
+    f = x_invoice(col)
+    company, number, date = f.getField("company"), f.getField("number"), f.getField("date")
+    comp = F.when(company != "unknown", clean_company(company)).otherwise(F.lit("Unknown-Company"))
+    as_int = F.trim(number).try_cast("bigint")
+    num = (F.when((number != "unknown") & as_int.isNotNull(), F.format_string(f"%0{int(number_padding)}d", as_int))
+           .when(number != "unknown", number).otherwise(F.lit("0" * int(number_padding))))
+    dated = date != "unknown"
+    if company_prefix:
+        return F.when(dated, F.concat_ws("_", comp, F.lit("Invoice"), num, date)).otherwise(
+            F.concat_ws("_", comp, F.lit("Invoice"), num))
+    return F.when(dated, F.concat_ws("_", F.lit("Invoice"), num, comp, date)).otherwise(
+        F.concat_ws("_", F.lit("Invoice"), num, comp))

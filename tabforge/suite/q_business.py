@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import inputs
 from ..functions import convert as C
 from ..functions import extract as X
+from ..functions import naming as N
 from ..plans import rename as R
 from ..plans.spec import from_dict
 from ..session import staging_path
@@ -176,3 +177,26 @@ def plan_sink(spark, sf_dir):
                            .when(F.col("old_name") == F.col("new_name"), F.lit("keep")).otherwise(F.lit("rename")))
     path = write_plan(plan, staging_path(spark, "plan"))
     return spark.read.parquet(path).groupBy("action").agg(F.count(F.lit(1)).cast("bigint").alias("files"))
+
+
+@query("rename_business", f"""WITH {CAT}, s AS (SELECT file_id, base_name,
+  CASE WHEN len(string_split(base_name, '_')) >= 2 THEN split_part(base_name, '_', 1) ELSE 'misc' END AS dept,
+  CASE WHEN len(string_split(base_name, '_')) >= 2 THEN split_part(base_name, '_', 2) ELSE base_name END AS type,
+  CASE WHEN len(string_split(base_name, '_')) >= 3 THEN split_part(base_name, '_', 3) ELSE 'unknown' END AS date FROM catalog),
+t AS (SELECT file_id, {_map_sql('dept', N.A_DEPT_NAMES)} AS d, {_map_sql('type', N.A_TYPE_NAMES)} AS ty,
+  CASE WHEN date <> 'unknown' AND length(date) = 8 THEN coalesce(strftime(try_strptime(date, '%Y%m%d'), '%Y-%m-%d'), date) ELSE date END AS dt FROM s)
+SELECT file_id, CASE WHEN dt <> 'unknown' THEN d || '_' || ty || '_' || dt ELSE d || '_' || ty END AS new_base FROM t""")
+def rename_business(spark, sf_dir):
+    """A4: business documents in one step."""
+    return cat(spark, sf_dir).select("file_id", N.a_business().alias("new_base"))
+
+
+@query("rename_invoices", f"""WITH {CAT}, s AS (SELECT file_id, base_name, {_inv_sql(2, 'unknown')} AS company,
+  {_inv_sql(1, 'unknown')} AS number, {_inv_sql(0, 'unknown', date=True)} AS date FROM catalog),
+t AS (SELECT file_id, date, CASE WHEN company <> 'unknown' THEN {_title_sql("regexp_replace(trim(regexp_replace(regexp_replace(company, '(?i)\\b(inc|ltd|llc|corp|co)\\b', '', 'g'), '[^\\w\\s-]', '', 'g')), '\\s+', '-', 'g')")} ELSE 'Unknown-Company' END AS comp,
+  CASE WHEN number <> 'unknown' AND TRY_CAST(trim(number) AS BIGINT) IS NOT NULL THEN lpad(CAST(CAST(trim(number) AS BIGINT) AS VARCHAR), 8, '0')
+       WHEN number <> 'unknown' THEN number ELSE '00000000' END AS num FROM s)
+SELECT file_id, CASE WHEN date <> 'unknown' THEN 'Invoice_' || num || '_' || comp || '_' || date ELSE 'Invoice_' || num || '_' || comp END AS new_base FROM t""")
+def rename_invoices(spark, sf_dir):
+    """A5: invoices in one step (number first, 8-digit padding)."""
+    return cat(spark, sf_dir).select("file_id", N.a_invoices(company_prefix=False, number_padding=8).alias("new_base"))
