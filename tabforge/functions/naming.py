@@ -192,3 +192,44 @@ def a_invoices(col: str | Column = STEM, company_prefix: bool = True, number_pad
             F.concat_ws("_", comp, F.lit("Invoice"), num))
     return F.when(dated, F.concat_ws("_", F.lit("Invoice"), num, comp, date)).otherwise(
         F.concat_ws("_", F.lit("Invoice"), num, comp))
+
+
+# --- fixed values: media categories by extension -----------------------------
+IMAGE_EXTS = [".jpg", ".jpeg", ".png", ".gif", ".bmp", ".tiff", ".webp"]
+VIDEO_EXTS = [".mp4", ".avi", ".mov", ".mkv", ".wmv", ".flv", ".webm"]
+AUDIO_EXTS = [".mp3", ".wav", ".flac", ".aac", ".ogg", ".m4a"]
+
+
+def a_media(col: str | Column = STEM, ext: str | Column = "extension", categorize_by_type: bool = True,
+            include_resolution: bool = False, max_length: int = 50) -> Column:
+    """Date (8 digits), time (6 digits), media type by extension, cleaned residual name, length cap."""
+    from .text import title_case
+    c, e = col_of(col), F.lower(col_of(ext))
+    kind = (F.when(e.isin(*IMAGE_EXTS), F.lit("Image")).when(e.isin(*VIDEO_EXTS), F.lit("Video"))
+            .when(e.isin(*AUDIO_EXTS), F.lit("Audio")).otherwise(F.lit("Unknown")))
+    date = F.nullif(F.regexp_extract(c, r"(\d{8})", 1), F.lit(""))
+    time = F.nullif(F.regexp_extract(c, r"(\d{6})", 1), F.lit(""))
+    rest = F.regexp_replace(F.regexp_replace(c, r"[\d_\-.]+", ""), r"(?U)[^\w\s]", "")
+    rest = F.regexp_replace(rest, r"(?U)^\s+|\s+$", "")
+    parts = [date, time] + ([kind] if categorize_by_type else []) + ([F.lit("HD")] if include_resolution else [])
+    parts.append(F.when(F.char_length(rest) > 3, title_case(rest)))
+    name = F.concat_ws("_", *parts)  # NULL parts are skipped
+    name = F.when(name == "", c).otherwise(name)
+    return limit_length(name, max_length)
+
+
+def t_creative(fields: str | Column = "fields", fields_type: T.DataType | None = None, stem: str | Column = STEM) -> Column:
+    """Artist (specials removed, spaces -> '_'), medium (or type, lower), digits-x dimensions, date."""
+    s = col_of(fields)
+    names = _field_names(fields_type)
+    get = lambda n, default: s.getField(n) if n in names else F.lit(default)
+    artist = F.replace(F.regexp_replace(get("artist", "Unknown"), r"(?U)[^\w\s-]", ""), F.lit(" "), F.lit("_"))
+    medium = get("medium", None) if "medium" in names else get("type", "artwork")
+    medium = F.lower(F.replace(medium, F.lit(" "), F.lit("_")))
+    dims = get("dimensions", "")
+    clean = F.regexp_replace(F.lower(dims), r"[^\dx]", "")
+    dims = F.when(clean != "", clean).otherwise(dims)
+    date = get("date", "")
+    out = F.concat_ws("_", artist, medium, F.when(F.coalesce(dims, F.lit("")) != "", dims),
+                      F.when(F.coalesce(date, F.lit("")) != "", date))
+    return F.when(s.isNull(), col_of(stem)).otherwise(out)

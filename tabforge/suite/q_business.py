@@ -200,3 +200,28 @@ SELECT file_id, CASE WHEN date <> 'unknown' THEN 'Invoice_' || num || '_' || com
 def rename_invoices(spark, sf_dir):
     """A5: invoices in one step (number first, 8-digit padding)."""
     return cat(spark, sf_dir).select("file_id", N.a_invoices(company_prefix=False, number_padding=8).alias("new_base"))
+
+
+@query("rename_media", f"""WITH {CAT}, s AS (SELECT file_id, base_name,
+  CASE WHEN lower(extension) IN ('.jpg', '.jpeg', '.png', '.gif', '.bmp', '.tiff', '.webp') THEN 'Image'
+       WHEN lower(extension) IN ('.mp4', '.avi', '.mov', '.mkv', '.wmv', '.flv', '.webm') THEN 'Video'
+       WHEN lower(extension) IN ('.mp3', '.wav', '.flac', '.aac', '.ogg', '.m4a') THEN 'Audio' ELSE 'Unknown' END AS kind,
+  nullif(regexp_extract(base_name, '(\\d{{8}})', 1), '') AS d, nullif(regexp_extract(base_name, '(\\d{{6}})', 1), '') AS t,
+  trim(regexp_replace(regexp_replace(base_name, '[\\d_\\-.]+', '', 'g'), '[^\\w\\s]', '', 'g')) AS rest FROM catalog),
+n AS (SELECT file_id, base_name, concat_ws('_', d, t, kind, CASE WHEN length(rest) > 3 THEN {_title_sql('rest')} END) AS nm FROM s)
+SELECT file_id, CASE WHEN length(nm) > 40 THEN substr(nm, 1, 37) || '...' ELSE nm END AS new_base FROM n""")
+def rename_media(spark, sf_dir):
+    """Media files in one step (40-character cap)."""
+    return cat(spark, sf_dir).select("file_id", N.a_media(max_length=40).alias("new_base"))
+
+
+@query("name_creative", f"""WITH {CAT}, s AS (SELECT file_id, split_part(base_name, ' ', 1) AS artist,
+  split_part(base_name, ' ', 2) AS type, split_part(base_name, ' ', 3) AS dimensions, split_part(base_name, ' ', 4) AS date FROM catalog),
+c AS (SELECT *, regexp_replace(lower(dimensions), '[^\\dx]', '', 'g') AS cd FROM s)
+SELECT file_id, concat_ws('_', replace(regexp_replace(artist, '[^\\w\\s-]', '', 'g'), ' ', '_'), lower(replace(type, ' ', '_')),
+  CASE WHEN (CASE WHEN cd <> '' THEN cd ELSE dimensions END) <> '' THEN (CASE WHEN cd <> '' THEN cd ELSE dimensions END) END,
+  CASE WHEN date <> '' THEN date END) AS name FROM c""")
+def name_creative(spark, sf_dir):
+    """T6 over a space split of each name (artist, type, dimensions, date)."""
+    c = cat(spark, sf_dir).select("file_id", "base_name", X.x_split(" ", "artist", "type", "dimensions", "date").alias("fields"))
+    return c.select("file_id", N.t_creative(fields_type=c.schema["fields"].dataType).alias("name"))
