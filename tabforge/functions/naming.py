@@ -233,3 +233,57 @@ def t_creative(fields: str | Column = "fields", fields_type: T.DataType | None =
     out = F.concat_ws("_", artist, medium, F.when(F.coalesce(dims, F.lit("")) != "", dims),
                       F.when(F.coalesce(date, F.lit("")) != "", date))
     return F.when(s.isNull(), col_of(stem)).otherwise(out)
+
+
+PROJECT_STATUSES = ["draft", "review", "final", "archive"]
+
+
+def t_project(fields: str | Column = "fields", fields_type: T.DataType | None = None, stem: str | Column = STEM,
+              project_prefix: str = "", include_version: bool = True) -> Column:
+    """T5: [prefix] project(' '->'-') [v-version] [Status] [first 8 digits of the date when >= 6 digits]."""
+    from .text import title_case
+    s = col_of(fields)
+    names = _field_names(fields_type)
+    get = lambda n, default: s.getField(n) if n in names else F.lit(default)
+    parts = [F.lit(project_prefix)] if project_prefix else []
+    parts.append(F.replace(get("project", "Project"), F.lit(" "), F.lit("-")))
+    if include_version:
+        v = get("version", "")
+        parts.append(F.when(F.coalesce(v, F.lit("")) == "", F.lit(None))
+                     .when(F.startswith(v, F.lit("v")), v).otherwise(F.concat(F.lit("v"), v)))
+    st = F.lower(get("status", ""))
+    parts.append(F.when(st.isin(*PROJECT_STATUSES), title_case(st)))
+    digits = F.regexp_replace(F.coalesce(get("date", ""), F.lit("")), r"[^\d]", "")
+    parts.append(F.when(F.char_length(digits) >= 6, F.substring(digits, 1, 8)))
+    return F.when(s.isNull(), col_of(stem)).otherwise(F.concat_ws("_", *parts))
+
+
+def c_document(fields: str | Column = "fields", stem: str | Column = STEM, department_folders: bool = True,
+               date_folders: bool = False, max_len: int = 50) -> Column:
+    """formatted_name (type, date; dept unless foldered; length cap) and suggested_folder."""
+    s = col_of(fields)
+    dept, typ, date = s.getField("dept"), s.getField("type"), s.getField("date")
+    known = lambda v: v.isNotNull() & (v != "") & (v != "unknown")
+    comps = []
+    if not department_folders:
+        comps.append(F.when(known(dept), F.upper(dept)))
+    comps.append(F.when(known(typ), F.replace(typ, F.lit(" "), F.lit("-"))))
+    comps.append(F.when(known(date), F.replace(date, F.lit("-"), F.lit(""))))
+    joined = F.concat_ws("_", *comps)
+    name = F.when(joined == "", F.substring(col_of(stem), 1, max_len)).otherwise(limit_length(joined, max_len))
+    folders = []
+    if department_folders:
+        folders.append(F.when(known(dept), F.upper(dept)))
+    if date_folders:
+        dash = date.contains("-")
+        parts = F.split(date, "-", -1)
+        folders.append(F.when(known(date) & dash, F.get(parts, 0))
+                       .when(known(date) & (F.char_length(date) >= 6), F.substring(date, 1, 4)))
+        folders.append(F.when(known(date) & dash, F.get(parts, 1))
+                       .when(known(date) & (F.char_length(date) >= 6), F.substring(date, 5, 2)))
+    folders.append(F.when(known(typ), F.replace(typ, F.lit(" "), F.lit("-"))))
+    folder = F.concat_ws("/", *folders)
+    folder = F.when(folder == "", F.lit("Documents")).otherwise(folder)
+    return F.when(s.isNull(), F.struct(F.substring(col_of(stem), 1, max_len).alias("formatted_name"),
+                                       F.lit(None).cast("string").alias("suggested_folder"))) \
+        .otherwise(F.struct(name.alias("formatted_name"), folder.alias("suggested_folder")))

@@ -225,3 +225,36 @@ def name_creative(spark, sf_dir):
     """T6 over a space split of each name (artist, type, dimensions, date)."""
     c = cat(spark, sf_dir).select("file_id", "base_name", X.x_split(" ", "artist", "type", "dimensions", "date").alias("fields"))
     return c.select("file_id", N.t_creative(fields_type=c.schema["fields"].dataType).alias("name"))
+
+
+@query("name_project", _project_sql().replace(
+    "SELECT file_id, client, version, status, date, CASE WHEN rest = '' THEN 'unknown' ELSE rest END AS project FROM r",
+    ", p AS (SELECT file_id, version, status, date, CASE WHEN rest = '' THEN 'unknown' ELSE rest END AS project FROM r) "
+    "SELECT file_id, concat_ws('_', 'PRJ', replace(project, ' ', '-'), CASE WHEN version = '' THEN NULL WHEN starts_with(version, 'v') "
+    "THEN version ELSE 'v' || version END, CASE WHEN lower(status) IN ('draft', 'review', 'final', 'archive') THEN "
+    "upper(substr(lower(status), 1, 1)) || substr(lower(status), 2) END, CASE WHEN length(regexp_replace(date, '[^0-9]', '', 'g')) >= 6 "
+    "THEN substr(regexp_replace(date, '[^0-9]', '', 'g'), 1, 8) END) AS name FROM p"))
+def name_project(spark, sf_dir):
+    """T5 over X9 fields, with a project prefix."""
+    c = cat(spark, sf_dir).select("file_id", "base_name", X.x_project(inputs.CLIENTS).alias("fields"))
+    return c.select("file_id", N.t_project(fields_type=c.schema["fields"].dataType, project_prefix="PRJ").alias("name"))
+
+
+@query("document_record", f"""WITH {CAT}, s AS (SELECT file_id, base_name,
+  CASE WHEN len(string_split(base_name, '_')) >= 2 THEN split_part(base_name, '_', 1) ELSE 'misc' END AS dept,
+  CASE WHEN len(string_split(base_name, '_')) >= 2 THEN split_part(base_name, '_', 2) ELSE base_name END AS type,
+  CASE WHEN len(string_split(base_name, '_')) >= 3 THEN split_part(base_name, '_', 3) ELSE 'unknown' END AS date FROM catalog),
+n AS (SELECT file_id, base_name, dept, type, date, concat_ws('_', CASE WHEN type NOT IN ('', 'unknown') THEN replace(type, ' ', '-') END,
+  CASE WHEN date NOT IN ('', 'unknown') THEN replace(date, '-', '') END) AS j FROM s)
+SELECT file_id, CASE WHEN j = '' THEN substr(base_name, 1, 30) WHEN length(j) > 30 THEN substr(j, 1, 27) || '...' ELSE j END AS formatted_name,
+  coalesce(nullif(concat_ws('/', CASE WHEN dept NOT IN ('', 'unknown') THEN upper(dept) END,
+    CASE WHEN date NOT IN ('', 'unknown') AND contains(date, '-') THEN split_part(date, '-', 1)
+         WHEN date NOT IN ('', 'unknown') AND length(date) >= 6 THEN substr(date, 1, 4) END,
+    CASE WHEN date NOT IN ('', 'unknown') AND contains(date, '-') THEN split_part(date, '-', 2)
+         WHEN date NOT IN ('', 'unknown') AND length(date) >= 6 THEN substr(date, 5, 2) END,
+    CASE WHEN type NOT IN ('', 'unknown') THEN replace(type, ' ', '-') END), ''), 'Documents') AS suggested_folder FROM n""")
+def document_record(spark, sf_dir):
+    """C12 over X6 fields: name with a 30-character cap, department and date folders."""
+    c = cat(spark, sf_dir).select("file_id", "base_name", X.x_business_doc().alias("fields"))
+    r = c.select("file_id", N.c_document(date_folders=True, max_len=30).alias("r"))
+    return r.select("file_id", "r.formatted_name", "r.suggested_folder")
