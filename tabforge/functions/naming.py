@@ -287,3 +287,38 @@ def c_document(fields: str | Column = "fields", stem: str | Column = STEM, depar
     return F.when(s.isNull(), F.struct(F.substring(col_of(stem), 1, max_len).alias("formatted_name"),
                                        F.lit(None).cast("string").alias("suggested_folder"))) \
         .otherwise(F.struct(name.alias("formatted_name"), folder.alias("suggested_folder")))
+
+
+def a_photos(col: str | Column = STEM, modified: str | Column = "modified", organize_by_month: bool = True,
+             include_device: bool = False, content_hash: str | Column | None = None) -> Column:
+    """[yyyy-MM] yyyyMMdd (name date, else modification time) [hhmmss] [device] type [hash8].
+
+    ``content_hash``: a column holding the file's md5 (see :func:`content_md5`);
+    its first 8 characters are appended.
+    """
+    from .extract import DEVICE_NAMES, DEVICE_PREFIX
+    c = col_of(col)
+    d8 = F.regexp_extract(c, r"(\d{8})", 1)
+    parsed = F.try_to_timestamp(d8, F.lit("yyyyMMdd"))
+    day = F.when(d8 != "", parsed).otherwise(col_of(modified))
+    bad = (d8 != "") & parsed.isNull()
+    parts = []
+    if organize_by_month:
+        parts.append(F.when(~bad, F.date_format(day, "yyyy-MM")))
+    parts.append(F.when(bad, d8).otherwise(F.coalesce(F.date_format(day, "yyyyMMdd"), F.lit("unknown-date"))))
+    parts.append(F.nullif(F.regexp_extract(c, r"(\d{6})", 1), F.lit("")))
+    if include_device:
+        parts.append(F.when(c.rlike(DEVICE_PREFIX), F.regexp_extract(c, DEVICE_PREFIX, 1))
+                     .when(c.rlike(DEVICE_NAMES), F.regexp_extract(c, DEVICE_NAMES, 1)).otherwise(F.lit("Camera")))
+    up = F.upper(c)
+    parts.append(F.when(up.contains("VID"), F.lit("Video"))
+                 .when(up.contains("SCR") | c.contains("Screenshot"), F.lit("Screenshot")).otherwise(F.lit("Photo")))
+    if content_hash is not None:
+        parts.append(F.substring(col_of(content_hash), 1, 8))
+    return F.concat_ws("_", *parts)
+
+
+def content_md5(spark, root: str, recursive: bool = True):
+    """(path, md5) of every file under ``root``: the hash is computed on the executors."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root)
+            .select("path", F.md5("content").alias("md5")))

@@ -258,3 +258,19 @@ def document_record(spark, sf_dir):
     c = cat(spark, sf_dir).select("file_id", "base_name", X.x_business_doc().alias("fields"))
     r = c.select("file_id", N.c_document(date_folders=True, max_len=30).alias("r"))
     return r.select("file_id", "r.formatted_name", "r.suggested_folder")
+
+
+@query("rename_photos", f"""WITH {CAT}, s AS (SELECT file_id, base_name, modified, regexp_extract(base_name, '(\\d{{8}})', 1) AS d8,
+  regexp_extract(base_name, '(\\d{{6}})', 1) AS t6 FROM catalog),
+p AS (SELECT *, CASE WHEN d8 <> '' THEN try_strptime(d8, '%Y%m%d') ELSE modified END AS dday,
+  d8 <> '' AND try_strptime(d8, '%Y%m%d') IS NULL AS bad FROM s)
+SELECT file_id, concat_ws('_', CASE WHEN NOT bad THEN strftime(dday, '%Y-%m') END,
+  CASE WHEN bad THEN d8 ELSE coalesce(strftime(dday, '%Y%m%d'), 'unknown-date') END, nullif(t6, ''),
+  CASE WHEN regexp_matches(base_name, '(?i)^(IMG|DSC|DCIM|P\\d+)_') THEN regexp_extract(base_name, '(?i)^(IMG|DSC|DCIM|P\\d+)_', 1)
+       WHEN regexp_matches(base_name, '(?i)(iPhone|Samsung|Pixel|Canon|Nikon|Sony)')
+       THEN regexp_extract(base_name, '(?i)(iPhone|Samsung|Pixel|Canon|Nikon|Sony)', 1) ELSE 'Camera' END,
+  CASE WHEN contains(upper(base_name), 'VID') THEN 'Video' WHEN contains(upper(base_name), 'SCR') OR contains(base_name, 'Screenshot')
+       THEN 'Screenshot' ELSE 'Photo' END) AS new_base FROM p""")
+def rename_photos(spark, sf_dir):
+    """Photos in one step (month folder, date, time, device, type)."""
+    return cat(spark, sf_dir).select("file_id", N.a_photos(include_device=True).alias("new_base"))

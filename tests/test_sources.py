@@ -95,3 +95,15 @@ def test_operation_log_parse(spark):
     assert r.level == "ERROR" and r.line == 7 and r.extra == {"user_id": "12"}
     assert r.exception.type == "E" and r.exception.traceback == ["a", "b"]
     assert df.select(F.year("timestamp")).first()[0] == 2024
+
+
+def test_photo_content_hash(spark, tmpdir_path):
+    from tabforge.functions.naming import a_photos, content_md5
+    for n in ("IMG_20240315_101010.jpg", "IMG_20240316_101010.jpg"):
+        _write(os.path.join(tmpdir_path, n), "same bytes")
+    cat = file_catalog(spark, tmpdir_path)
+    cat = cat.join(content_md5(spark, tmpdir_path), "path")
+    names = sorted(r[0] for r in cat.select(a_photos(content_hash="md5")).collect())
+    import hashlib
+    h = hashlib.md5(b"same bytes").hexdigest()[:8]
+    assert names == [f"2024-03_20240315_202403_Photo_{h}", f"2024-03_20240316_202403_Photo_{h}"]
