@@ -322,3 +322,52 @@ def content_md5(spark, root: str, recursive: bool = True):
     """(path, md5) of every file under ``root``: the hash is computed on the executors."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root)
             .select("path", F.md5("content").alias("md5")))
+
+
+# --- fixed values: business-name standardisation (lower-case keys) -----------
+T_DEPT_NAMES = {"hr": "HR", "human resources": "HR", "it": "IT", "tech": "IT", "technology": "IT", "fin": "Finance",
+                "finance": "Finance", "accounting": "Finance", "sales": "Sales", "marketing": "Marketing",
+                "mkt": "Marketing", "ops": "Operations", "operations": "Operations"}
+T_TYPE_NAMES = {"rpt": "Report", "report": "Report", "doc": "Document", "document": "Document",
+                "pres": "Presentation", "presentation": "Presentation", "memo": "Memo", "memorandum": "Memo"}
+
+
+def t_business(today: str, fields: str | Column = "fields", fields_type: T.DataType | None = None,
+               stem: str | Column = STEM) -> Column:
+    """T4: Dept_Type_date with standardised codes; a missing date takes ``today`` (explicit, Q25)."""
+    from .convert import map_values
+    s = col_of(fields)
+    names = _field_names(fields_type)
+    get = lambda n, default: F.coalesce(s.getField(n), F.lit("None")) if n in names else F.lit(default)
+    dept = map_values(F.lower(get("dept", "Unknown")), T_DEPT_NAMES, upper_key=False)
+    typ = map_values(F.lower(get("type", "Document")), T_TYPE_NAMES, upper_key=False)
+    raw = get("date", "")
+    iso = F.date_format(F.try_to_timestamp(raw, F.lit("yyyyMMdd")), "yyyy-MM-dd")
+    date = (F.when(raw == "", F.lit(today))
+            .when((F.char_length(raw) == 8) & raw.rlike(r"^\d{8}$"), F.coalesce(iso, raw)).otherwise(raw))
+    out = F.concat_ws("_", F.when(dept != "Unknown", dept), typ, date)
+    return F.when(s.isNull(), col_of(stem)).otherwise(out)
+
+
+def c_project(fields: str | Column = "fields", stem: str | Column = STEM, use_client_prefix: bool = True,
+              include_status: bool = False, version_format: str = "v") -> Column:
+    """C11: formatted_name (client, project, version, status, date) and suggested_folder with status subfolder."""
+    from .text import title_case
+    s = col_of(fields)
+    client, project, version = s.getField("client"), s.getField("project"), s.getField("version")
+    status, date = s.getField("status"), s.getField("date")
+    known = lambda v: v.isNotNull() & (v != "") & (v != "unknown")
+    parts = []
+    if use_client_prefix:
+        parts.append(F.when(known(client), F.replace(client, F.lit(" "), F.lit("-"))))
+    parts.append(F.when(known(project), F.replace(project, F.lit(" "), F.lit("-"))).otherwise(F.lit("Project")))
+    parts.append(F.when(known(version), F.concat(F.lit(version_format), version)))
+    if include_status:
+        parts.append(F.when(known(status), title_case(status)))
+    parts.append(F.when(known(date), F.replace(F.replace(date, F.lit("-"), F.lit("")), F.lit("_"), F.lit(""))))
+    folder = F.concat_ws("/", F.when(known(client), client), F.when(known(project), project))
+    folder = F.when(folder == "", F.lit("Projects")).otherwise(folder)
+    sub = (F.when(status == "archive", F.lit("/Archive")).when(status == "final", F.lit("/Final"))
+           .when(status == "draft", F.lit("/Work-in-Progress")).otherwise(F.lit("")))
+    folder = F.concat(folder, F.when(known(status), sub).otherwise(F.lit("")))
+    return F.struct(F.concat_ws("_", *parts).alias("formatted_name"), folder.alias("suggested_folder"))

@@ -274,3 +274,38 @@ SELECT file_id, concat_ws('_', CASE WHEN NOT bad THEN strftime(dday, '%Y-%m') EN
 def rename_photos(spark, sf_dir):
     """Photos in one step (month folder, date, time, device, type)."""
     return cat(spark, sf_dir).select("file_id", N.a_photos(include_device=True).alias("new_base"))
+
+
+def _lmap_sql(v, mapping):
+    arms = " ".join(f"WHEN {v} = '{k}' THEN '{val}'" for k, val in mapping.items())
+    return f"CASE {arms} ELSE {_title_sql(v)} END"
+
+
+@query("name_business", f"""WITH {CAT}, s AS (SELECT file_id, lower(split_part(base_name, '_', 1)) AS d,
+  lower(split_part(base_name, '_', 2)) AS t, split_part(base_name, '_', 4) AS date FROM catalog),
+n AS (SELECT file_id, {_lmap_sql('d', N.T_DEPT_NAMES)} AS dept, {_lmap_sql('t', N.T_TYPE_NAMES)} AS typ,
+  CASE WHEN date = '' THEN '2000-01-01' WHEN regexp_matches(date, '^[0-9]{{8}}$')
+       THEN coalesce(strftime(try_strptime(date, '%Y%m%d'), '%Y-%m-%d'), date) ELSE date END AS dt FROM s)
+SELECT file_id, concat_ws('_', CASE WHEN dept <> 'Unknown' THEN dept END, typ, dt) AS name FROM n""")
+def name_business(spark, sf_dir):
+    """T4 over split fields dept/type/-/date; missing dates take the given day."""
+    c = cat(spark, sf_dir).select("file_id", "base_name", X.x_split("_", "dept", "type", "status", "date").alias("fields"))
+    return c.select("file_id", N.t_business("2000-01-01", fields_type=c.schema["fields"].dataType).alias("name"))
+
+
+@query("project_record", _project_sql().replace(
+    "SELECT file_id, client, version, status, date, CASE WHEN rest = '' THEN 'unknown' ELSE rest END AS project FROM r",
+    ", p AS (SELECT file_id, client, version, status, date, CASE WHEN rest = '' THEN 'unknown' ELSE rest END AS project FROM r) "
+    "SELECT file_id, concat_ws('_', CASE WHEN client NOT IN ('', 'unknown') THEN replace(client, ' ', '-') END, "
+    "CASE WHEN project NOT IN ('', 'unknown') THEN replace(project, ' ', '-') ELSE 'Project' END, "
+    "CASE WHEN version NOT IN ('', 'unknown') THEN 'v' || version END, "
+    "CASE WHEN date NOT IN ('', 'unknown') THEN replace(replace(date, '-', ''), '_', '') END) AS formatted_name, "
+    "coalesce(nullif(concat_ws('/', CASE WHEN client NOT IN ('', 'unknown') THEN client END, "
+    "CASE WHEN project NOT IN ('', 'unknown') THEN project END), ''), 'Projects') || CASE WHEN status NOT IN ('', 'unknown') THEN "
+    "CASE status WHEN 'archive' THEN '/Archive' WHEN 'final' THEN '/Final' WHEN 'draft' THEN '/Work-in-Progress' ELSE '' END "
+    "ELSE '' END AS suggested_folder FROM p"))
+def project_record(spark, sf_dir):
+    """C11 over X9 fields: formatted name and suggested folder with status subfolder."""
+    c = cat(spark, sf_dir).select("file_id", X.x_project(inputs.CLIENTS).alias("fields"))
+    r = c.select("file_id", N.c_project().alias("r"))
+    return r.select("file_id", "r.formatted_name", "r.suggested_folder")
