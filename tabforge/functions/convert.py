@@ -251,3 +251,28 @@ def classify_document(dept: str | Column, doc_type: str | Column, name: str | Co
             inner = F.when(t.contains(key) | low.contains(key), F.lit(label)).otherwise(inner)
         out = F.when(d.isin(*depts), inner).otherwise(out)
     return out
+
+
+def c_photo(fields: str | Column, stem: str | Column = "base_name", include_device: bool = False,
+            group_by_month: bool = True) -> Column:
+    """C10 over X8 fields: formatted_name (date, time, [device], non-default type) and suggested_folder."""
+    s = col_of(fields)
+    date, time, device, kind, year = (s.getField(n) for n in ("date", "time", "device", "type", "year"))
+    known = lambda v: v.isNotNull() & (v != "") & (v != "unknown")
+    dashed = F.split(date, "-", -1)
+    ym = F.when(date.contains("-"), F.array_join(F.slice(dashed, 1, 2), "-")) \
+        .otherwise(F.concat(F.substring(date, 1, 4), F.lit("-"), F.substring(date, 5, 2)))
+    parts = [F.when(known(date), F.replace(date, F.lit("-"), F.lit(""))),
+             F.when(known(time), F.replace(time, F.lit("-"), F.lit("")))]
+    if include_device:
+        parts.append(F.when(known(device), device))
+    parts.append(F.when(kind.isNotNull() & (kind != "") & (kind != "Photo"), kind))
+    name = F.concat_ws("_", *parts)
+    name = F.when(name == "", col_of(stem)).otherwise(name)
+    if group_by_month:
+        folder = F.when(known(date), F.concat(F.lit("Photos/"), ym))
+    else:
+        folder = F.lit(None).cast("string")
+    folder = F.coalesce(folder, F.when(year.isNotNull() & (year != ""), F.concat(F.lit("Photos/"), year)),
+                        F.lit("Photos/Unsorted"))
+    return F.struct(name.alias("formatted_name"), folder.alias("suggested_folder"))

@@ -309,3 +309,24 @@ def project_record(spark, sf_dir):
     c = cat(spark, sf_dir).select("file_id", X.x_project(inputs.CLIENTS).alias("fields"))
     r = c.select("file_id", N.c_project().alias("r"))
     return r.select("file_id", "r.formatted_name", "r.suggested_folder")
+
+
+def _photo_record_sql():
+    from .registry import ORACLE
+    base = ORACLE["extract_photo"]
+    return (f"WITH x AS ({base}) SELECT x.file_id, coalesce(nullif(concat_ws('_', "
+            "CASE WHEN date NOT IN ('', 'unknown') THEN replace(date, '-', '') END, "
+            "CASE WHEN time NOT IN ('', 'unknown') THEN replace(time, '-', '') END, "
+            "CASE WHEN device NOT IN ('', 'unknown') THEN device END, "
+            "CASE WHEN type <> '' AND type <> 'Photo' THEN type END), ''), c.base_name) AS formatted_name, "
+            "CASE WHEN date NOT IN ('', 'unknown') THEN 'Photos/' || split_part(date, '-', 1) || '-' || split_part(date, '-', 2) "
+            "WHEN year IS NOT NULL AND year <> '' THEN 'Photos/' || year ELSE 'Photos/Unsorted' END AS suggested_folder "
+            f"FROM x JOIN (SELECT file_id, base_name FROM ({inputs.catalog_cte().split(' AS (', 1)[1][:-1]}) cc) c USING (file_id)")
+
+
+@query("photo_record", _photo_record_sql())
+def photo_record(spark, sf_dir):
+    """C10 over X8 fields, with device, grouped by month."""
+    c = cat(spark, sf_dir).select("file_id", "base_name", X.x_photo().alias("fields"))
+    r = c.select("file_id", C.c_photo("fields", include_device=True).alias("r"))
+    return r.select("file_id", "r.formatted_name", "r.suggested_folder")
