@@ -371,3 +371,35 @@ def c_project(fields: str | Column = "fields", stem: str | Column = STEM, use_cl
            .when(status == "draft", F.lit("/Work-in-Progress")).otherwise(F.lit("")))
     folder = F.concat(folder, F.when(known(status), sub).otherwise(F.lit("")))
     return F.struct(F.concat_ws("_", *parts).alias("formatted_name"), folder.alias("suggested_folder"))
+
+
+def a_projects(clients: Sequence[str] | str = (), col: str | Column = STEM, version_format: str = "v",
+               include_status: bool = True) -> Column:
+    """Client (spaces -> '-'), residual project, version, status, separator-free date, in one step."""
+    from .extract import PROJECT_DATE, PROJECT_STATUS, PROJECT_VERSION, classify_keywords
+    from .text import title_case
+    c = col_of(col)
+    if isinstance(clients, str):
+        clients = [x.strip() for x in clients.split(",") if x.strip()]
+    client = F.lit("unknown")
+    for name in reversed(list(clients)):
+        client = F.when(F.lower(c).contains(name.lower()), F.lit(name.replace(" ", "-"))).otherwise(client)
+    ver = F.lit("unknown")
+    for rx in reversed(PROJECT_VERSION):
+        two = re.compile(rx).groups == 2
+        v = F.concat(F.regexp_extract(c, rx, 1), F.lit("."), F.regexp_extract(c, rx, 2)) if two else F.regexp_extract(c, rx, 1)
+        ver = F.when(c.rlike(rx), v).otherwise(ver)
+    status = classify_keywords(PROJECT_STATUS, "unknown", c)
+    date = F.lit("unknown")
+    for rx in reversed(PROJECT_DATE):
+        date = F.when(c.rlike(rx), F.regexp_replace(F.regexp_extract(c, rx, 1), "[-_]", "")).otherwise(date)
+    rest = c
+    for item in (client, ver, status, date):
+        rest = F.when(item != "unknown", F.replace(rest, item, F.lit(""))).otherwise(rest)
+    rest = F.regexp_replace(F.regexp_replace(rest, r"[_\-.]+", "_"), r"^[_\-.]+|[_\-.]+$", "")
+    parts = [F.when(client != "unknown", client), F.when(rest == "", F.lit("Project")).otherwise(rest),
+             F.when(ver != "unknown", F.concat(F.lit(version_format), ver))]
+    if include_status:
+        parts.append(F.when(status != "unknown", title_case(status)))
+    parts.append(F.when(date != "unknown", date))
+    return F.concat_ws("_", *parts)

@@ -330,3 +330,34 @@ def photo_record(spark, sf_dir):
     c = cat(spark, sf_dir).select("file_id", "base_name", X.x_photo().alias("fields"))
     r = c.select("file_id", C.c_photo("fields", include_device=True).alias("r"))
     return r.select("file_id", "r.formatted_name", "r.suggested_folder")
+
+
+def _a7_sql():
+    import re as _re
+    ver_arms = []
+    for rx in X.PROJECT_VERSION:
+        two = _re.compile(rx).groups == 2
+        v = (f"regexp_extract(base_name, '{rx}', 1) || '.' || regexp_extract(base_name, '{rx}', 2)" if two
+             else f"regexp_extract(base_name, '{rx}', 1)")
+        ver_arms.append(f"WHEN regexp_matches(base_name, '{rx}') THEN {v}")
+    st_arms = " ".join("WHEN " + " OR ".join(f"contains(lower(base_name), '{k}')" for k in kws) + f" THEN '{lbl}'"
+                       for lbl, kws in X.PROJECT_STATUS.items())
+    dt_arms = " ".join(f"WHEN regexp_matches(base_name, '{rx}') THEN regexp_replace(regexp_extract(base_name, '{rx}', 1), '[-_]', '', 'g')"
+                       for rx in X.PROJECT_DATE)
+    cl_arms = " ".join(f"WHEN contains(lower(base_name), lower('{c}')) THEN '{c.replace(' ', '-')}'" for c in inputs.CLIENTS)
+    rest = "base_name"
+    for f in ("client", "version", "status", "date"):
+        rest = f"CASE WHEN {f} <> 'unknown' THEN replace({rest}, {f}, '') ELSE {rest} END"
+    return (f"WITH {CAT}, s AS (SELECT file_id, base_name, CASE {cl_arms} ELSE 'unknown' END AS client, "
+            f"CASE {' '.join(ver_arms)} ELSE 'unknown' END AS version, CASE {st_arms} ELSE 'unknown' END AS status, "
+            f"CASE {dt_arms} ELSE 'unknown' END AS date FROM catalog), "
+            f"r AS (SELECT *, regexp_replace(regexp_replace({rest}, '[_\\-.]+', '_', 'g'), '^[_\\-.]+|[_\\-.]+$', '', 'g') AS rest FROM s) "
+            "SELECT file_id, concat_ws('_', CASE WHEN client <> 'unknown' THEN client END, CASE WHEN rest = '' THEN 'Project' ELSE rest END, "
+            "CASE WHEN version <> 'unknown' THEN 'v' || version END, CASE WHEN status <> 'unknown' THEN "
+            "upper(substr(status, 1, 1)) || lower(substr(status, 2)) END, CASE WHEN date <> 'unknown' THEN date END) AS new_base FROM r")
+
+
+@query("rename_projects", _a7_sql())
+def rename_projects(spark, sf_dir):
+    """Project files in one step."""
+    return cat(spark, sf_dir).select("file_id", N.a_projects(inputs.CLIENTS).alias("new_base"))
