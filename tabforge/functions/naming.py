@@ -403,3 +403,55 @@ def a_projects(clients: Sequence[str] | str = (), col: str | Column = STEM, vers
         parts.append(F.when(status != "unknown", title_case(status)))
     parts.append(F.when(date != "unknown", date))
     return F.concat_ws("_", *parts)
+
+
+# --- fixed values: hierarchical-path vocabularies ----------------------------
+H_DEPT_NAMES = {"hr": "HR", "human resources": "HR", "it": "IT", "fin": "Finance", "financial": "Finance",
+                "legal": "Legal", "marketing": "Marketing", "ops": "Operations", "operations": "Operations"}
+H_SUFFIXES = [("CORPORATION", "CORP"), ("INCORPORATED", "INC"), ("LIMITED", "LTD"), ("COMPANY", "CO")]
+H_ACRONYMS = ["API", "UI", "UX", "IT", "HR", "QA"]
+
+
+def clean_component(c: Column) -> Column:
+    """'_'/'-' -> spaces, split on whitespace, acronyms upper, other words capitalised, joined by '-'."""
+    from .text import capitalize
+    words = F.filter(F.split(F.regexp_replace(c, "[_-]", " "), r"\s+"), lambda w: w != "")
+    fixed = F.transform(words, lambda w: F.when(F.upper(w).isin(*H_ACRONYMS), F.upper(w)).otherwise(capitalize(w)))
+    return F.array_join(fixed, "-")
+
+
+def t_hierarchical(fields: str | Column = "fields", quarter: str | Column = "quarter", ext: str | Column = "extension",
+                   fallback_quarter: str = "2024-Q1") -> Column:
+    """``Department/CLIENT/quarter/DocType-vNN.n-Description.ext`` from corporate fields.
+
+    NULL fields count as absent; a missing or short quarter takes ``fallback_quarter`` (Q25).
+    """
+    from .convert import map_values
+    from .text import title_case
+    s = col_of(fields)
+    dept_raw = F.coalesce(s.getField("dept"), s.getField("doc_type"), F.lit("General"))
+    dept = map_values(F.trim(F.lower(dept_raw)), H_DEPT_NAMES,
+                      default=F.replace(title_case(dept_raw), F.lit(" "), F.lit("-")), upper_key=False)
+    client = F.replace(F.replace(F.upper(F.coalesce(s.getField("client"), F.lit("Unknown"))), F.lit("_"), F.lit("-")),
+                       F.lit(" "), F.lit("-"))
+    fixed = client
+    for old, new in reversed(H_SUFFIXES):
+        fixed = F.when(F.endswith(client, F.lit("-" + old)),
+                       F.concat(F.substring(client, F.lit(1), F.char_length(client) - len(old)), F.lit(new))
+                       ).otherwise(fixed)
+    q = col_of(quarter)
+    q = F.when(q.isNull() | (F.char_length(q) < 6), F.lit(fallback_quarter)).otherwise(q)
+    doc_type = F.coalesce(s.getField("doc_type"), F.lit("Document"))
+    v = s.getField("version")
+    v = F.when(F.startswith(v, F.lit("v")), v).otherwise(F.concat(F.lit("v"), v))
+    rx = r"^v(\d+)\.(\d+)"
+    v = F.when(v.rlike(rx), F.concat(F.lit("v"), F.format_string("%02d", F.regexp_extract(v, rx, 1).cast("int")),
+                                     F.lit("."), F.regexp_extract(v, rx, 2))).otherwise(v)
+    status = s.getField("status")
+    sv = (F.when(s.getField("version").isNotNull() & (s.getField("version") != ""), v)
+          .when(status.isNotNull() & (status != ""), clean_component(status)))
+    desc = s.getField("description")
+    use_desc = desc.isNotNull() & (desc != "") & ~F.lower(doc_type).contains(F.lower(desc))
+    name = F.concat(F.concat_ws("-", clean_component(doc_type), F.when(sv != "", sv),
+                                F.when(use_desc, clean_component(desc))), col_of(ext))
+    return F.concat_ws("/", dept, fixed, q, name)

@@ -361,3 +361,39 @@ def _a7_sql():
 def rename_projects(spark, sf_dir):
     """Project files in one step."""
     return cat(spark, sf_dir).select("file_id", N.a_projects(inputs.CLIENTS).alias("new_base"))
+
+
+def _clean_sql(v):
+    return (f"array_to_string(list_transform(list_filter(regexp_split_to_array(regexp_replace({v}, '[_-]', ' ', 'g'), '\\s+'), "
+            f"lambda w: w <> ''), lambda w: CASE WHEN upper(w) IN ('API', 'UI', 'UX', 'IT', 'HR', 'QA') THEN upper(w) "
+            f"ELSE upper(substr(w, 1, 1)) || lower(substr(w, 2)) END), '-')")
+
+
+def _hier_sql():
+    corp = _corp_sql()
+    dmap = " ".join(f"WHEN trim(lower(dr)) = '{k}' THEN '{v}'" for k, v in N.H_DEPT_NAMES.items())
+    suff = " ".join(f"WHEN ends_with(cu, '-{o}') THEN substr(cu, 1, length(cu) - {len(o)}) || '{n}'" for o, n in N.H_SUFFIXES)
+    q8 = ("CASE WHEN length(date) = 8 AND TRY_CAST(substr(date, 1, 4) AS INTEGER) IS NOT NULL AND TRY_CAST(substr(date, 5, 2) AS INTEGER) IS NOT NULL "
+          "THEN CAST(TRY_CAST(substr(date, 1, 4) AS INTEGER) AS VARCHAR) || '-Q' || CAST(CAST(floor((TRY_CAST(substr(date, 5, 2) AS INTEGER) - 1) / 3) AS INTEGER) + 1 AS VARCHAR) "
+          "WHEN length(date) = 6 AND TRY_CAST(substr(date, 1, 2) AS INTEGER) IS NOT NULL AND TRY_CAST(substr(date, 5, 2) AS INTEGER) IS NOT NULL "
+          "THEN CAST(2000 + TRY_CAST(substr(date, 5, 2) AS INTEGER) AS VARCHAR) || '-Q' || CAST(CAST(floor((TRY_CAST(substr(date, 1, 2) AS INTEGER) - 1) / 3) AS INTEGER) + 1 AS VARCHAR) "
+          "ELSE '2000-Q1' END")
+    return (f"WITH x AS ({corp}), e AS (SELECT x.*, c.extension FROM x JOIN (SELECT file_id, extension FROM "
+            f"({inputs.catalog_cte().split(' AS (', 1)[1][:-1]}) cc) c USING (file_id)), "
+            f"y AS (SELECT *, coalesce(dept, doc_type, 'General') AS dr, upper(replace(replace(coalesce(client, 'Unknown'), '_', '-'), ' ', '-')) AS cu, "
+            f"coalesce(doc_type, 'Document') AS dt, CASE WHEN starts_with(version, 'v') THEN version ELSE 'v' || version END AS vv, {q8} AS q FROM e), "
+            f"z AS (SELECT *, CASE {dmap} ELSE replace({_title_sql('dr')}, ' ', '-') END AS dep, CASE {suff} ELSE cu END AS cl, "
+            "CASE WHEN version IS NOT NULL AND version <> '' THEN CASE WHEN regexp_matches(vv, '^v(\\d+)\\.(\\d+)') THEN 'v' || "
+            "lpad(CAST(CAST(regexp_extract(vv, '^v(\\d+)\\.(\\d+)', 1) AS INTEGER) AS VARCHAR), 2, '0') || '.' || regexp_extract(vv, '^v(\\d+)\\.(\\d+)', 2) "
+            f"ELSE vv END WHEN status IS NOT NULL AND status <> '' THEN {_clean_sql('status')} END AS sv FROM y) "
+            f"SELECT file_id, dep || '/' || cl || '/' || CASE WHEN q IS NULL OR length(q) < 6 THEN '2024-Q1' ELSE q END || '/' || "
+            f"concat_ws('-', {_clean_sql('dt')}, CASE WHEN sv <> '' THEN sv END, CASE WHEN description IS NOT NULL AND description <> '' "
+            f"AND NOT contains(lower(dt), lower(description)) THEN {_clean_sql('description')} END) || extension AS path FROM z")
+
+
+@query("name_hierarchical", _hier_sql())
+def name_hierarchical(spark, sf_dir):
+    """T8 over corporate fields (X11) with quarters from C14 (fallback given)."""
+    c = cat(spark, sf_dir).select("file_id", "extension", X.x_corporate().alias("fields"))
+    c = c.withColumn("quarter", C.quarter_of(F.col("fields.date"), "2000-Q1"))
+    return c.select("file_id", N.t_hierarchical().alias("path"))
