@@ -88,7 +88,8 @@ def f_date_modified(op: str = ">", date: str | None = None, col: str | Column =
     except ValueError:
         return F.lit(True)
     c = col_of(col)
-    t = F.lit(day)
+    # local midnight of the day, without a time-zone shift (NTZ literal)
+    t = F.to_timestamp_ntz(F.lit(day.strftime("%Y-%m-%d %H:%M:%S")))
     if op == ">":
         return c > t
     if op == "<":
