@@ -5,22 +5,109 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import minhash, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def _query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def _query(sql: str | None = None):
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLE[fn.__name__] = sql
+        return fn
+    return add
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@_query
+@_query()
 def op1_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
+
+
+#: CRC-32 over the bytes of a text in SQL: the table of the polynomial EDB88320, then one step for each byte.
+_CRC_CTE = """
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)::BIGINT[]),
+    lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i))),
+hexed AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, strlen(text) + 1 AS size, text,
+  xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, strlen(text) + 1), lambda k: ((strpos('0123456789ABCDEF', h[2 * k - 1]) - 1) * 16
+      + strpos('0123456789ABCDEF', h[2 * k]) - 1)::BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS text_crc32
+  FROM hexed, crc_table)"""
+
+
+@_query(f"""WITH {_CRC_CTE},
+placed AS (SELECT *, sum(size) OVER w - size AS before, row_number() OVER w - 1 AS row
+  FROM sized WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING)),
+cut AS (SELECT *, ((2 * before + size) * 16 // (2 * (SELECT sum(size) FROM sized)))::INT AS shard FROM placed)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
+  (row - min(row) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INT AS grown_shard FROM cut""")
+def op2_sharding(spark, sf_dir):
+    out = sharding.shard_assignments(spark, _table(spark, sf_dir, "documents"), 16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: Target weights of the query: sources fall into four domains by their number.
+MIX_DOMAIN = "concat('domain', cast(coalesce(try_cast(regexp_extract(source, '[0-9]+', 0) AS INT), 0) % 4 AS STRING))"
+MIX_WEIGHTS = {
+    "domain": "CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END",
+    "lang": "CASE lang WHEN 'en' THEN 6 WHEN 'fr' THEN 2 WHEN 'de' THEN 2 ELSE 1 END",
+    "source": "CASE source WHEN 'src0' THEN 2 ELSE 1 END",
+}
+MIX_SEED = 20240607
+
+
+def mix_documents(spark, docs, percent, epochs):
+    return mixing.mix(spark, docs, F.expr(MIX_DOMAIN), {k: F.expr(v) for k, v in MIX_WEIGHTS.items()}, percent, epochs, MIX_SEED)
+
+
+def _share_sql(source: str, parent: str, budget: str) -> str:
+    """One level of the budget tree: children of ``source`` share ``budget`` by weight, filled up at their capacity."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    return f"""SELECT *, CASE WHEN filled THEN cap ELSE least(cap, (b - taken) * w // open) END::BIGINT AS own FROM (
+      SELECT *, coalesce(sum(CASE WHEN filled THEN cap END) OVER ({by}), 0)::HUGEINT AS taken,
+        coalesce(sum(CASE WHEN NOT filled THEN w END) OVER ({by}), 0)::HUGEINT AS open FROM (
+        SELECT *, (caps * w + cap * (ws - upto) <= b * w) AS filled FROM (
+          SELECT *, {budget}::HUGEINT AS b,
+            sum(cap) OVER ({by} ORDER BY cap / w, k ROWS UNBOUNDED PRECEDING)::HUGEINT AS caps,
+            sum(w) OVER ({by} ORDER BY cap / w, k ROWS UNBOUNDED PRECEDING)::HUGEINT AS upto,
+            sum(w) OVER ({by})::HUGEINT AS ws FROM {source})))"""
+
+
+def mix_sql(percent: int, epochs: int, docs: str = "documents") -> str:
+    duck = MIX_DOMAIN.replace("STRING", "VARCHAR")
+    return f"""WITH base AS (SELECT doc_id, {duck} AS domain, lang, source,
+  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM {docs}),
+leaves AS (SELECT domain, lang, source, sum(tokens) AS tokens, sum(tokens) * {epochs} AS cap FROM base GROUP BY ALL),
+total AS (SELECT least(sum(tokens) * {percent} // 100, sum(cap))::HUGEINT AS b FROM leaves),
+n1 AS (SELECT domain, domain AS k, sum(cap)::HUGEINT AS cap, {MIX_WEIGHTS["domain"]} AS w FROM leaves GROUP BY domain),
+s1 AS ({_share_sql("n1", "", "(SELECT b FROM total)")}),
+n2 AS (SELECT l.domain, lang, lang AS k, sum(l.cap)::HUGEINT AS cap, {MIX_WEIGHTS["lang"]} AS w, any_value(s1.own) AS given
+  FROM leaves l JOIN s1 USING (domain) GROUP BY l.domain, lang),
+s2 AS ({_share_sql("n2", "domain", "given")}),
+n3 AS (SELECT l.domain, l.lang, source, source AS k, l.cap::HUGEINT AS cap, {MIX_WEIGHTS["source"]} AS w, s2.own AS given
+  FROM leaves l JOIN s2 USING (domain, lang)),
+s3 AS ({_share_sql("n3", "domain, lang", "given")}),
+queue AS (SELECT base.*, epoch, md5('{MIX_SEED}:' || epoch || ':' || doc_id) AS key FROM base, range({epochs}) e(epoch)),
+placed AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY epoch, key, tokens
+  ROWS UNBOUNDED PRECEDING) - tokens AS before FROM queue)
+SELECT p.doc_id, p.domain, p.lang, p.source, p.epoch::INT AS epoch, p.tokens::BIGINT AS tokens
+FROM placed p JOIN s3 USING (domain, lang, source) WHERE p.before < s3.own"""
+
+
+@_query(mix_sql(60, 3))
+def op8_mixing(spark, sf_dir):
+    out = mix_documents(spark, _table(spark, sf_dir, "documents"), 60, 3)
+    return out.select("doc_id", F.col("_domain").alias("domain"), F.col("_lang").alias("lang"),
+                      F.col("_source").alias("source"), F.col("_epoch").alias("epoch"), F.col("_tokens").alias("tokens"))
