@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, sharding
+from . import minhash, mixing, repetition, sharding, tokens, warc
+from .stage import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +112,50 @@ def op8_mixing(spark, sf_dir):
     out = mix_documents(spark, _table(spark, sf_dir, "documents"), 60, 3)
     return out.select("doc_id", F.col("_domain").alias("domain"), F.col("_lang").alias("lang"),
                       F.col("_source").alias("source"), F.col("_epoch").alias("epoch"), F.col("_tokens").alias("tokens"))
+
+
+def _windows_sql(size: int) -> str:
+    """Words of each document that a window of ``size`` words covers which stands twice or more in it."""
+    return f"""SELECT DISTINCT doc_id, pos + o AS pos FROM (
+      SELECT doc_id, unnest(p) AS pos FROM (
+        SELECT doc_id, g, list(pos) AS p FROM (
+          SELECT doc_id, i AS pos, array_to_string(w[i:i + {size - 1}], ' ') AS g FROM (
+            SELECT doc_id, w, unnest(range(1, len(w) - {size - 2})) AS i FROM words))
+        GROUP BY doc_id, g HAVING count(*) > 1)), range({size}) r(o)"""
+
+
+@_query(f"""WITH words AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+three AS (SELECT doc_id, count(*) AS n FROM ({_windows_sql(3)}) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n FROM ({_windows_sql(repetition.MIN_REPEAT)}) GROUP BY doc_id),
+over AS (SELECT DISTINCT doc_id FROM ({_windows_sql(repetition.MAX_LONGEST + 1)})),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+counts AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(lines.n, 0)::BIGINT AS n_dup_lines,
+  coalesce(three.n, 0)::BIGINT AS n_repeat_words, coalesce(held.n, 0)::BIGINT AS covered_words, over.doc_id IS NOT NULL AS long_one
+  FROM words LEFT JOIN three USING (doc_id) LEFT JOIN held USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN over USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, base_failed,
+  NOT base_failed AND 100 * covered_words <= {repetition.MAX_COVERED_PERCENT} * n_words AND NOT long_one AS kept FROM judged""")
+def op3_repetition(spark, sf_dir):
+    out = repetition.repetition_rules(spark, _table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "base_failed", "kept")
+
+
+@_query("""WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first < page_id THEN first END AS refers_to, true AS verified FROM f""")
+def op9_warc(spark, sf_dir):
+    path = Stage(spark, "archives").path("warc")
+    warc.write_archives(spark, _table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path)
+
+
+@_query()
+def op10_token_ids(spark, sf_dir):
+    import public_tokenizers
+    path = Stage(spark, "token-files").path("tokens")
+    tokens.write_tokens(spark, _table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return tokens.token_digests(spark, path)
