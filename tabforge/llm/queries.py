@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, repetition, sharding, tokens, warc
+from . import minhash, mixing, recompress, repetition, sharding, tokens, warc
 from .stage import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,9 @@ def op10_token_ids(spark, sf_dir):
     path = Stage(spark, "token-files").path("tokens")
     tokens.write_tokens(spark, _table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return tokens.token_digests(spark, path)
+
+
+@_query()
+def op6_recompression(spark, sf_dir):
+    out = recompress.remove_repeats(spark, _table(spark, sf_dir, "documents"), digest=True)
+    return out.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))

@@ -29,6 +29,9 @@ SPACE = _bytes_mask([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 #: All ASCII but letters and digits: words are then runs of letters, digits and non-ASCII bytes.
 NOT_ALNUM = _bytes_mask(b for b in range(128) if not chr(b).isalnum())
 
+LETTER = _bytes_mask(b for b in range(128) if chr(b).isalpha())
+SIGN = _bytes_mask(b for b in range(0x21, 0x7F) if not chr(b).isalpha() and b != 0x27)
+
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _CODES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 _LOWER_CODES = _CODES.copy()
@@ -77,7 +80,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
 class Words:
     """Words of the texts of one batch. ``first[d]:first[d + 1]`` are the words of text ``d``."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False, separators: np.ndarray = SPACE):
+    def __init__(self, texts: pa.Array, lower: bool = False, separators: np.ndarray = SPACE, split: bool = False):
+        """split: also cut words where an ASCII letter meets an ASCII digit or sign other than an apostrophe, unless the
+        word holds ``<|``; ``marked`` has the indices of the words that do."""
         texts = texts.cast(pa.large_string()).fill_null("")
         offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
         lo = int(offsets[0]) if len(offsets) else 0
@@ -93,8 +98,21 @@ class Words:
         full = np.flatnonzero(self.text_at[1:] > self.text_at[:-1])
         begin[self.text_at[full]] = ~gap[self.text_at[full]]
         end[self.text_at[full + 1] - 1] = ~gap[self.text_at[full + 1] - 1]
+        self.marked = np.zeros(0, dtype=np.int64)
+        held = np.flatnonzero((self.data[:-1] == 0x3C) & (self.data[1:] == 0x7C)) if split else ()
+        if split:
+            letter, sign = LETTER[self.data], SIGN[self.data]
+            cut = (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
+            if len(held):
+                starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
+                for i in np.unique(np.searchsorted(starts, held, "right") - 1):
+                    cut[starts[i]:ends[i] - 1] = False
+            begin[1:] |= cut
+            end[:-1] |= cut
         self.starts = np.flatnonzero(begin)
         self.ends = np.flatnonzero(end) + 1
+        if len(held):
+            self.marked = np.unique(np.searchsorted(self.starts, held, "right") - 1)
         self.first = np.searchsorted(self.starts, self.text_at)
         self.counts = np.diff(self.first)
         self.doc = np.repeat(np.arange(self.n_texts), self.counts)
