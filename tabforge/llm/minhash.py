@@ -12,8 +12,10 @@ under 1e-9 at most; documents with at most ``k`` shingles keep their whole set,
    frequency). Passages that many documents hold thus stay out of the lists of documents that have enough else.
 4. Round 1 pairs every member of a list with its smallest and its largest document only. Union-sketch estimation
    filters these pairs, exact Jaccard on the full sets verifies them, and components follow.
-5. Round 2 pairs members of a list that are still in different components, and only those. Lists within one
-   component - the large groups of copies - make no pairs, and no link between components is lost.
+5. Round 2 takes the documents of lists that still hold several components and does the same with their whole sets
+   (the exact way for what a sketch leaves open): lists of rare values, and a pair only where the components differ,
+   the sizes allow the similarity and enough values stand behind the common one in both orders (position filter).
+   Lists within one component - the large groups of copies - make no pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -112,30 +114,32 @@ def _verifier(size: int, percent: int):
     return run
 
 
-class _Links:
-    def __init__(self, spark, stage, docs, cand, k, size, percent):
-        self.spark, self.stage, self.docs, self.cand, self.k, self.size, self.percent = spark, stage, docs, cand, k, size, percent
-        self.least = least_shared(k, percent)
-
-    def verified(self, name: str, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs (a < b) whose full sets reach the similarity."""
-        st, k = self.stage, self.k
-        left = self.cand.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-        right = self.cand.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
-        both = (pairs.join(left, "a").join(right, "b")
-                .withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k))
-                .withColumn("x", F.size(F.array_intersect("u", F.array_intersect("sa", "sb")))))
-        whole = (F.col("na") <= k) & (F.col("nb") <= k) & (F.size(F.array_union("sa", "sb")) <= k)
-        keep = F.when(whole, 100 * F.col("x") >= self.percent * F.size("u")).otherwise(F.col("x") >= self.least)
-        likely = st.put(f"{name}-likely", both.where(keep).select("a", "b"))
-        ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = st.put(f"{name}-texts", self.docs.join(ids, "doc_id", "left_semi"))
-        full = (likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-                .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-                .select("a", "b", "ta", "tb"))
-        out = st.put(name, full.mapInArrow(_verifier(self.size, self.percent), "a long, b long").distinct())
-        st.drop(f"{name}-texts")
-        return out
+def _set_lister(size: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("values", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in ts.pieces(batches, "text"):
+            values, counts = shingle_sets(b.column(1), size)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), ts.list_array(values, counts, pa.int64())], schema=schema)
+    return run
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs whose full sets reach the similarity; ``texts`` (doc_id, text) has both sides."""
+    full = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
+            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+    return full.mapInArrow(_verifier(size, percent), "a long, b long").distinct()
+
+
+def _likely(pairs: DataFrame, cand: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs whose union sketch doesn't rule the similarity out; exact where it holds the whole union."""
+    side = lambda i: cand.select(F.col("doc_id").alias(i), F.col("n_shingles").alias(f"n{i}"), F.col("sketch").alias(f"s{i}"))
+    both = (pairs.join(side("a"), "a").join(side("b"), "b")
+            .withColumn("all", F.array_union("sa", "sb")).withColumn("u", F.slice(F.array_sort("all"), 1, k))
+            .withColumn("x", F.size(F.array_intersect("u", F.array_intersect("sa", "sb")))))
+    whole = (F.col("na") <= k) & (F.col("nb") <= k) & (F.size("all") <= k)
+    keep = F.when(whole, 100 * F.col("x") >= percent * F.size("u")).otherwise(F.col("x") >= least_shared(k, percent))
+    return both.where(keep).select("a", "b")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = K, size: int = SHINGLE,
@@ -181,7 +185,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = K, size: int
             .where("take > 0"))
     lists = st.put("lists", rare.select("doc_id", "n_shingles", F.explode(F.slice("s", 1, F.col("take"))).alias("e"))
                    .select(F.col("e.v").alias("v"), "doc_id", F.col("n_shingles").alias("n")))
-    links = _Links(spark, st, docs.where("doc_id IS NOT NULL"), cand, k, size, percent)
+    known = docs.where("doc_id IS NOT NULL")
     near = "{0} * 100 >= {1} * %d AND {1} * 100 >= {0} * %d" % (percent, percent)
 
     # round 1: each member with the smallest and the largest document of its list
@@ -192,26 +196,41 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = K, size: int
              .where("me.doc_id <> hub.doc_id").where(near.format("me.n", "hub.n"))
              .select(F.least("me.doc_id", "hub.doc_id").alias("a"), F.greatest("me.doc_id", "hub.doc_id").alias("b")).distinct())
     stars = st.put("stars", stars)
-    edges = links.verified("edges1", stars)
+    likely = st.put("likely", _likely(stars, cand, k, percent))
+    ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = st.put("texts1", known.join(ids, "doc_id", "left_semi"))
+    edges = st.put("edges1", _verified(likely, texts, size, percent))
     comp = st.put("comp1", connected_components(st, edges, "cc1"))
+    st.drop("texts1", "ends", "likely")
 
-    # round 2: members of one list in different components
+    # round 2: whole sets of the documents in lists that hold several components
     placed = st.put("placed", lists.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                    .select("v", "doc_id", "n", F.coalesce("component", "doc_id").alias("comp")))
+                    .select("v", "doc_id", F.coalesce("component", "doc_id").alias("comp")))
     mixed = (placed.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("v"))
-    members = st.put("members", placed.join(mixed, "v"))
-    sides = st.put("sides", members.groupBy("v", "comp").agg(F.min("n").alias("n0"), F.max("n").alias("n1")))
-    other = sides.select("v", F.col("comp").alias("comp2"), F.col("n0").alias("m0"), F.col("n1").alias("m1"))
-    meet = (sides.join(other, "v").where("comp < comp2")
+    open_ = st.put("open", placed.join(mixed, "v").select("doc_id", "comp").distinct())
+    texts = st.put("texts2", known.join(open_, "doc_id", "left_semi"))
+    full = st.put("sets", texts.mapInArrow(_set_lister(size), "doc_id long, n long, values array<long>"))
+    entry = full.select("doc_id", "n", F.explode("values").alias("v"))
+    freq = entry.groupBy("v").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    rare = (entry.join(freq, "v").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("s"))
+            .withColumn("take", (F.size("s") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")).where("take > 0"))
+    members = (rare.select("doc_id", "n", (F.col("n") - F.size("s")).alias("alone"), F.posexplode(F.slice("s", 1, F.col("take"))).alias("i", "e"))
+               .select(F.col("e.v").alias("v"), "doc_id", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("behind")))  # itself included
+    members = st.put("members", members.join(open_, "doc_id"))
+    sides = st.put("sides", members.groupBy("v", "comp").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("behind").alias("r")))
+    other = sides.select("v", F.col("comp").alias("comp2"), F.col("n0").alias("m0"), F.col("n1").alias("m1"), F.col("r").alias("q"))
+    enough = "least({0}, {1}) * %d >= ({2} + {3}) * %d" % (100 + percent, percent)
+    meet = (sides.join(other, "v").where("comp < comp2").where(enough.format("r", "q", "n0", "m0"))
             .where(f"n1 * 100 >= m0 * {percent} AND m1 * 100 >= n0 * {percent}").select("v", "comp", "comp2"))
     meet = st.put("meet", meet)
-    rest = (meet.join(members.select("v", "comp", F.col("doc_id").alias("p"), F.col("n").alias("np")), ["v", "comp"])
-            .join(members.select("v", F.col("comp").alias("comp2"), F.col("doc_id").alias("q"), F.col("n").alias("nq")), ["v", "comp2"])
-            .where(near.format("np", "nq")).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    more = links.verified("edges2", st.put("rest", rest))
+    one = members.select("v", "comp", F.col("doc_id").alias("p"), F.col("n").alias("np"), F.col("behind").alias("rp"))
+    two = members.select("v", F.col("comp").alias("comp2"), F.col("doc_id").alias("q"), F.col("n").alias("nq"), F.col("behind").alias("rq"))
+    rest = (meet.join(one, ["v", "comp"]).join(two, ["v", "comp2"])
+            .where(near.format("np", "nq")).where(enough.format("rp", "rq", "np", "nq"))
+            .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
+    more = st.put("edges2", _verified(st.put("rest", rest), texts, size, percent))
     final = st.put("comp2", connected_components(st, edges.union(more), "cc2"))
-    st.drop("lists", "candidates", "placed", "members", "sides", "meet", "rest", "stars", "edges1-likely", "edges2-likely")
+    st.drop("lists", "candidates", "placed", "open", "texts2", "sets", "members", "sides", "meet", "rest", "stars")
 
     classes = st.put("classes", groups.join(final.withColumnRenamed("node", "rep"), "rep", "left")
                      .select("n_shingles", "d1", "d2", F.coalesce("component", "rep").alias("component")))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,8 @@ from .prefix import running_sums
 from .stage import Stage, text_or_empty
 
 #: Words kept ready by each Python worker; beyond it the memory is emptied and filled anew.
-WORD_CACHE = 300_000
+WORD_CACHE = 600_000
+MARKED = 0x5851F42D4C957F2D
 _READY: dict = {}
 
 ENCODINGS = {
@@ -30,13 +32,37 @@ ENCODINGS = {
 }
 
 
+def _byte_letters() -> dict[int, str]:
+    """The characters that byte-level models write for bytes: printable Latin-1 as it is, others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _plain(word: str) -> str | None:
+    """What the model sees of a word that is one run of letters; None if the whole tokenizer is needed."""
+    if word.isascii():
+        return word.lower() if word.isalpha() else None
+    low = "".join(c.lower() for c in word)
+    if low.isalpha() and is_normalized("NFC", word) and is_normalized("NFC", low):
+        return low.encode().decode("latin-1").translate(_LETTERS)
+    return None
+
+
 def encode_texts(texts: pa.Array, tokenizer, cache: dict[int, bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, counts) of whole texts, ``end_id`` appended to each.
 
-    The tokenizer drops white space and never joins what stands on both sides of it, so the ids of a text are those
-    of its words one after another; each distinct word is encoded once and looked up by its hash afterwards.
+    The tokenizer lower-cases, drops white space and never joins what stands on both sides of it, nor a letter with
+    a digit or a sign other than an apostrophe. So the ids of a text are those of its words, cut at these places, one
+    after another; each distinct piece is encoded once and looked up by its hash afterwards. Words with ``<|`` may
+    hold a special token: they stay whole and keep their case.
     """
-    w = ts.Words(texts)
+    w = ts.Words(texts, lower=True, split=True)
+    if len(w.marked):
+        w.hash[w.marked] = ts.span_hashes(w.data, w.starts[w.marked], w.ends[w.marked]) ^ ts.U64(MARKED)
     distinct, first, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
     keys = distinct.tolist()
     new = [i for i, k in enumerate(keys) if k not in cache]
@@ -47,7 +73,14 @@ def encode_texts(texts: pa.Array, tokenizer, cache: dict[int, bytes], end_id: in
         raw = w.data.tobytes() if len(new) > 50 else w.data
         at = first[list(new)]
         words = [bytes(raw[s:e]).decode("utf-8") for s, e in zip(w.starts[at].tolist(), w.ends[at].tolist())]
-        for i, e in zip(new, tokenizer.encode_batch(words, add_special_tokens=False)):
+        model, hard = tokenizer.model, []
+        for i, word in zip(new, words):
+            name = _plain(word)
+            if name is None:
+                hard.append((i, word))
+            else:
+                cache[keys[i]] = np.array([x.id for x in model.tokenize(name)], dtype=np.int32).tobytes()
+        for (i, _), e in zip(hard, tokenizer.encode_batch([x for _, x in hard], add_special_tokens=False)):
             cache[keys[i]] = np.array(e.ids, dtype=np.int32).tobytes()
     parts = [cache[k] for k in keys]
     flat = np.frombuffer(b"".join(parts), dtype=np.int32)
