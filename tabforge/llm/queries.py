@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, recompress, repetition, sharding, tokens, warc
+from . import minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
 from .stage import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,9 @@ def op10_token_ids(spark, sf_dir):
 def op6_recompression(spark, sf_dir):
     out = recompress.remove_repeats(spark, _table(spark, sf_dir, "documents"), digest=True)
     return out.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+@_query()
+def op4_toxicity(spark, sf_dir):
+    out = toxicity.score_documents(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
