@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
+from . import decontam, minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
 from .stage import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,8 @@ def op6_recompression(spark, sf_dir):
 def op4_toxicity(spark, sf_dir):
     out = toxicity.score_documents(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@_query()
+def op5_decontamination(spark, sf_dir):
+    return decontam.contaminated(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
