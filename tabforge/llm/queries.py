@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
+from . import decontam, licenses, minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
 from .stage import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,8 @@ def op4_toxicity(spark, sf_dir):
 @_query()
 def op5_decontamination(spark, sf_dir):
     return decontam.contaminated(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query()
+def op7_licenses(spark, sf_dir):
+    return licenses.license_notices(spark, _table(spark, sf_dir, "documents"))

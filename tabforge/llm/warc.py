@@ -141,13 +141,22 @@ def write_archives(spark: SparkSession, pages: DataFrame, path: str, segment: in
     records.select("record").write.mode("overwrite").option("lineSep", END).option("compression", compression).text(path)
 
 
-RECORD_DDL = ("origin string, segment int, total long, type string, page_id long, refers_id string, digest string, block binary")
+RECORD_DDL = ("origin string, segment int, total long, type string, page_id long, refers_id string, digest string, "
+              "found string, payload_bytes long, block binary")
 _RECORD = pa.schema([("origin", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("type", pa.string()),
-                     ("page_id", pa.int64()), ("refers_id", pa.string()), ("digest", pa.string()), ("block", pa.binary())])
+                     ("page_id", pa.int64()), ("refers_id", pa.string()), ("digest", pa.string()),
+                     ("found", pa.string()), ("payload_bytes", pa.int64()), ("block", pa.binary())])
+
+
+def payload_of(message: bytes) -> bytes:
+    """The body of an HTTP message, chunked framing decoded."""
+    head, _, body = message.partition(b"\r\n\r\n")
+    return unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
 
 
 def parse_archive(data: bytes) -> Iterator[tuple]:
-    """Rows of ``RECORD_DDL``, one for each record, found by their Content-Length."""
+    """Rows of ``RECORD_DDL``, one for each record, found by their Content-Length. A message in one record is decoded
+    here: it has ``found`` (its payload's digest) and ``payload_bytes``, and no block."""
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
     i = 0
@@ -160,10 +169,16 @@ def parse_archive(data: bytes) -> Iterator[tuple]:
         size = int(f["content-length"])
         rid = f["warc-record-id"]
         page = f.get("x-page-id")
+        block, found, payload_bytes = data[j + 4:j + 4 + size], None, None
+        if "warc-segment-number" not in f:
+            if f["warc-type"] == "response":
+                payload = payload_of(block)
+                found, payload_bytes = hashlib.sha256(payload).hexdigest(), len(payload)
+            block = None
         yield (f.get("warc-segment-origin-id", rid), int(f.get("warc-segment-number", 1)),
                int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None, f["warc-type"],
                int(page) if page else None, f.get("warc-refers-to"), f.get("warc-payload-digest", "").partition(":")[2] or None,
-               data[j + 4:j + 4 + size])
+               found, payload_bytes, block)
         i = j + 4 + size + len(END)
 
 
@@ -173,7 +188,7 @@ def _parser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, size = [], 0
             for r in parse_archive(content.as_py()):
                 rows.append(r)
-                size += len(r[-1])
+                size += len(r[-1] or b"") + 300
                 if size > 8 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _RECORD.types)], schema=_RECORD)
                     rows, size = [], 0
@@ -195,19 +210,20 @@ def _assembler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for origin, page, kind, refers, digest, total, segments in zip(*b.columns):
             parts = segments.as_py()
-            message, whole = reassemble([p["segment"] for p in parts], [p["block"] for p in parts], total.as_py())
             copies = max((p["n"] for p in parts if p["segment"] == 1), default=1)
-            whole = whole and all(p["same"] and p["n"] == copies for p in parts)
+            whole = all(p["same"] and p["n"] == copies for p in parts)
+            bytes_, found = parts[0]["payload_bytes"], parts[0]["found"]
+            if parts[0]["block"] is not None or len(parts) > 1:
+                message, complete = reassemble([p["segment"] for p in parts], [p["block"] or b"" for p in parts], total.as_py())
+                whole = whole and complete
+                if whole:
+                    payload = payload_of(message)
+                    bytes_, found = len(payload), hashlib.sha256(payload).hexdigest()
             if kind.as_py() == "revisit":
                 rows.append((origin.as_py(), page.as_py(), "revisit", refers.as_py(), digest.as_py(), None, whole, copies))
-                continue
-            head, _, body = message.partition(b"\r\n\r\n")
-            payload = None
-            if whole:
-                payload = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
-            found = hashlib.sha256(payload).hexdigest() if payload is not None else None
-            rows.append((origin.as_py(), page.as_py(), kind.as_py(), None, found, None if payload is None else len(payload),
-                         found is not None and found == digest.as_py(), copies))
+            else:
+                rows.append((origin.as_py(), page.as_py(), kind.as_py(), None, found, bytes_,
+                             whole and found is not None and found == digest.as_py(), copies))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
@@ -224,14 +240,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     content = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     records = content.mapInArrow(_parser, RECORD_DDL)
     head = F.when(F.col("segment") == 1, F.col("type"))
-    print_ = F.xxhash64("block")
+    print_ = F.xxhash64("block", "found")
     segments = (records.groupBy("origin", "segment").agg(
         F.max("page_id").alias("page_id"), F.max(head).alias("type"), F.max("refers_id").alias("refers_id"), F.max("digest").alias("digest"),
-        F.max("total").alias("total"), F.count(F.lit(1)).alias("n"), (F.min(print_) == F.max(print_)).alias("same"), F.min("block").alias("block")))
+        F.max("total").alias("total"), F.count(F.lit(1)).alias("n"), (F.min(print_) == F.max(print_)).alias("same"), F.max("found").alias("found"),
+        F.max("payload_bytes").alias("payload_bytes"), F.min("block").alias("block")))
     joined = (segments.groupBy("origin").agg(
         F.max("page_id").alias("page_id"), F.max("type").alias("type"), F.max("refers_id").alias("refers_id"),
         F.max("digest").alias("digest"), F.max("total").alias("total"),
-        F.sort_array(F.collect_list(F.struct("segment", "n", "same", "block"))).alias("segments"))
+        F.sort_array(F.collect_list(F.struct("segment", "n", "same", "found", "payload_bytes", "block"))).alias("segments"))
         .select("origin", "page_id", "type", "refers_id", "digest", "total", "segments"))
     ddl = "record_id string, page_id long, type string, refers_id string, digest string, payload_bytes long, verified boolean, copies long"
     found = st.put("messages", joined.mapInArrow(_assembler, ddl))
