@@ -320,3 +320,24 @@ def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, mod
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     out = rows.mapInArrow(_scorer((m.keys, m.weights, m.bias, m.trans, m.calibration)), SCORE_DDL)
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "spans")
+
+
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` (text and any other columns) without the rows that score at the threshold or above.
+
+    The whole rows pass through the scorer, so texts are not shuffled and rows without or with equal doc_ids are
+    judged one by one.
+    """
+    parts = (model.keys, model.weights, model.bias, model.trans, model.calibration)
+    at = docs.columns.index("text")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(*parts)
+        for b in ts.pieces(batches, names[at]):
+            w = scan(b.column(at))
+            score = _aggregate(w, *tag(m, w)) @ m.calibration
+            yield b.filter(pa.array(score < np.log(THRESHOLD / (1 - THRESHOLD))))
+
+    plain = docs.toDF(*names)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
