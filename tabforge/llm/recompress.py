@@ -207,7 +207,7 @@ def _window_dealer(buckets: int, window: int, rounds: int):
 
 
 def _remover(window: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.large_string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
     def run(chunk: pa.Table, repeated: pa.Table) -> pa.Table:
         if not chunk.num_rows:
@@ -235,7 +235,7 @@ def _remover(window: int):
         raw = out.tobytes()
         texts = [raw[s:max(s, e - 1)].decode() for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
         return pa.Table.from_arrays([ids.cast(pa.int64()), pa.array(w.counts, pa.int64()), pa.array(removed, pa.int64()),
-                                     pa.array(texts, pa.large_string())], schema=schema)
+                                     pa.array(texts, pa.string())], schema=schema)
     return run
 
 
