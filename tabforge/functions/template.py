@@ -5,8 +5,8 @@ Template syntax: literal text and ``{{...}}`` sections. A section is
 ``prefix;field``, ``prefix;field;suffix``). Leading tokens: ``#colour`` and
 ``@emphasis`` (accepted, stripped: a table cell has no terminal), ``?fn``
 (conditional: the whole section disappears when ``fn`` is false, Q22) and
-``$fn`` (literal transform of the field). Inline tokens ``{#..}``, ``{@..}``,
-``{?fn}``, ``{$fn}`` may start any part.
+``$fn`` (its text goes before the first part, Q24). Inline tokens ``{#..}``, ``{@..}``,
+``{?fn}``, ``{$fn}`` may start any part; an inline ``{$fn}`` replaces the part's text.
 
 Semantics per section: NULL field -> the section vanishes (M2; with
 ``skip_empty`` also for ''); ``!`` mandatory -> ``raise_error`` (or an error
@@ -36,7 +36,7 @@ class TemplateError(ValueError):
 
 @dataclass
 class Part:
-    text: str
+    text: str = ""
     tokens: list[tuple[str, str]] = field(default_factory=list)  # (kind, name)
 
 
@@ -45,106 +45,75 @@ class Section:
     literal: str | None = None          # plain text section
     mandatory: bool = False
     tokens: list[tuple[str, str]] = field(default_factory=list)
-    prefix: Part | None = None
-    field: str = ""
-    field_part: Part | None = None
-    suffix: Part | None = None
-
-
-def _find_close(t: str, i: int, escape: str) -> int:
-    while i < len(t) - 1:
-        if t[i] == escape:
-            i += 2
-            continue
-        if t.startswith("}}", i):
-            return i
-        i += 1
-    return -1
-
-
-def _unescape(s: str, escape: str) -> str:
-    out, i = [], 0
-    while i < len(s):
-        if s[i] == escape and i + 1 < len(s):
-            out.append(s[i + 1])
-            i += 2
+    prefix: Part = field(default_factory=Part)
+    field_part: Part = field(default_factory=Part)
+    suffix: Part = field(default_factory=Part)
+
+    @property
+    def field(self) -> str:
+        return self.field_part.text.strip()
+
+
+def _lexer(delimiter: str, escape: str) -> re.Pattern:
+    """Lexemes of a template. An inline token is one lexeme, so its brace never closes a section."""
+    return re.compile("|".join((
+        rf"(?P<quoted>{re.escape(escape)}(?P<char>.))", r"(?P<inline>\{[#@?$][^{}]*\})", r"(?P<open>\{\{)", r"(?P<close>\}\})",
+        rf"(?P<cut>{re.escape(delimiter)})", r"(?P<text>.)")), re.DOTALL)
+
+
+#: How many parts a section has -> which of prefix, field and suffix they are.
+_ROLES = {0: (), 1: ("field_part",), 2: ("prefix", "field_part"), 3: ("prefix", "field_part", "suffix")}
+
+
+def _section(lexemes: list[re.Match], where: int) -> Section:
+    """One section from the lexemes between its braces."""
+    sec, parts, raw = Section(), [Part()], [""]
+    for i, lex in enumerate(lexemes):
+        kind = lex.lastgroup if lex.lastgroup != "char" else "quoted"
+        if i == 0 and kind == "text" and lex.group() == "!":
+            sec.mandatory = True
+        elif kind == "cut":
+            parts.append(Part())
+            raw.append("")
+        elif kind == "inline":
+            if parts[-1].text:
+                raise TemplateError(f"section at {where}: put inline tokens before the text of a part")
+            parts[-1].tokens.append((lex.group()[1], lex.group()[2:-1]))
+            raw[-1] += "\0"  # an inline token is no header
         else:
-            out.append(s[i])
-            i += 1
-    return "".join(out)
-
-
-def _split(s: str, delim: str, escape: str) -> list[str]:
-    parts, cur, i = [], [], 0
-    while i < len(s):
-        if s[i] == escape and i + 1 < len(s):
-            cur.append(s[i:i + 2])
-            i += 2
-        elif s.startswith(delim, i):
-            parts.append("".join(cur))
-            cur = []
-            i += len(delim)
-        else:
-            cur.append(s[i])
-            i += 1
-    parts.append("".join(cur))
-    return parts
-
-
-def _token_list(s: str) -> list[tuple[str, str]]:
-    # '#red@bold' / '?fn' -> [('#','red'), ('@','bold')]
-    return [(m.group(1), m.group(2)) for m in re.finditer(r"([#@?$])([^#@?$]*)", s)]
-
-
-def _part(text: str, escape: str) -> Part:
-    tokens = []
-    while True:
-        m = re.match(r"^\{([#@?$])([^}]*)\}", text)
-        if not m:
-            break
-        tokens.append((m.group(1), m.group(2)))
-        text = text[m.end():]
-    if re.search(r"\{[#@?$][^}]*\}", text):
-        raise TemplateError("all formatting tokens must precede literal text in a part")
-    return Part(_unescape(text, escape), tokens)
+            parts[-1].text += lex.group("char") if kind == "quoted" else lex.group()
+            raw[-1] += "\0" if kind == "quoted" else lex.group()
+    if raw[0][:1] in TOKEN_CHARS and raw[0]:
+        header = parts.pop(0).text
+        sec.tokens = [(t[0], t[1:]) for t in re.findall(r"[#@?$][^#@?$]*", header)]
+    if len(parts) not in _ROLES:
+        raise TemplateError(f"section at {where}: a section has at most prefix, field and suffix")
+    for role, part in zip(_ROLES[len(parts)], parts):
+        setattr(sec, role, part)
+    return sec
 
 
 def parse(template: str, delimiter: str = ";", escape: str = "\\") -> list[Section]:
-    """M1/M9: template -> sections (driver side, once)."""
-    out, i = [], 0
-    while i < len(template):
-        start = template.find("{{", i)
-        while start > 0 and template[start - 1] == escape:
-            start = template.find("{{", start + 1)
-        if start == -1:
-            text = _unescape(template[i:], escape)
-            if text:
-                out.append(Section(literal=text))
-            break
-        if start > i:
-            text = _unescape(template[i:start], escape)
-            if text:
-                out.append(Section(literal=text))
-        end = _find_close(template, start + 2, escape)
-        if end == -1:
-            raise TemplateError(f"Unclosed section starting at position {start}")
-        body = template[start + 2:end]
-        sec = Section()
-        if body.startswith("!"):
-            sec.mandatory, body = True, body[1:]
-        parts = _split(body, delimiter, escape)
-        if parts and parts[0][:1] in TOKEN_CHARS and parts[0][:1] != "":
-            sec.tokens = _token_list(parts.pop(0))
-        if len(parts) > 3:
-            raise TemplateError(f"Too many parts in section: {{{{{body}}}}}")
-        prefix, fld, suffix = {0: ("", "", ""), 1: ("", parts[0] if parts else "", ""),
-                               2: (*parts, "") if len(parts) == 2 else None,
-                               3: tuple(parts) if len(parts) == 3 else None}[len(parts)]
-        sec.prefix, sec.field_part, sec.suffix = _part(prefix, escape), _part(fld, escape), _part(suffix, escape)
-        sec.field = sec.field_part.text.strip()
-        out.append(sec)
-        i = end + 2
-    return out
+    """M1/M9: template -> sections (driver side, once), in one scan over its lexemes."""
+    out: list[Section] = []
+    inside: list[re.Match] | None = None
+    literal, began = "", 0
+    for lex in _lexer(delimiter, escape).finditer(template):
+        if inside is None:
+            if lex["open"]:
+                if literal:
+                    out.append(Section(literal=literal))
+                inside, literal, began = [], "", lex.start()
+            else:
+                literal += lex["char"] if lex["quoted"] else lex.group()
+        elif lex["close"]:
+            out.append(_section(inside, began))
+            inside = None
+        else:
+            inside.append(lex)
+    if inside is not None:
+        raise TemplateError(f"section at {began} has no end")
+    return out + ([Section(literal=literal)] if literal else [])
 
 
 def describe(template: str, delimiter: str = ";", escape: str = "\\") -> dict:
@@ -222,9 +191,10 @@ def compile_template(template: str, functions: Mapping[str, Callable] | Sequence
         value = value.cast("string")
         present = value.isNotNull() & ((value != "") if skip_empty else F.lit(True))
         shown = value
-        for kind, name in s.tokens + s.field_part.tokens:
+        for kind, name in s.field_part.tokens:
             if kind == "$":
                 shown = _call(fn_of(name), value, resolve).cast("string")
+        lead = [_call(fn_of(name), value, resolve).cast("string") for kind, name in s.tokens if kind == "$"]
         cond = F.lit(True)
         for kind, name in s.tokens + s.prefix.tokens + s.field_part.tokens + s.suffix.tokens:
             if kind == "?":
@@ -237,7 +207,7 @@ def compile_template(template: str, functions: Mapping[str, Callable] | Sequence
                     out = _call(fn_of(name), value, resolve).cast("string")
             return out
 
-        body = F.concat(text(s.prefix), F.coalesce(shown, F.lit("")), text(s.suffix))
+        body = F.concat(*[F.coalesce(c, F.lit("")) for c in lead], text(s.prefix), F.coalesce(shown, F.lit("")), text(s.suffix))
         section = F.when(present & cond, body).otherwise(F.lit(""))
         if s.mandatory:
             label = s.field or f"positional {pos}"

@@ -125,13 +125,15 @@ def level_tag(level):
     return F.concat(F.lit("["), F.substring(level, 1, 1), F.lit("]"))
 
 
+_ERRORS = "CASE WHEN error_count = 1 THEN '1 error' ELSE CAST(error_count AS VARCHAR) || ' errors' END"
+
+
 @query("render_transform", f"WITH {LOG_CTE} SELECT event_id, "
-       "CASE WHEN level IS NULL THEN '' ELSE '[' || substr(level, 1, 1) || ']' END || ' ' || "
-       "CASE WHEN error_count IS NULL THEN '' ELSE 'had ' || CASE WHEN error_count = 1 THEN '1 error' "
-       "ELSE CAST(error_count AS VARCHAR) || ' errors' END END AS text FROM log")
+       "CASE WHEN level IS NULL THEN '' ELSE '[' || substr(level, 1, 1) || ']' || level END || ' ' || "
+       f"CASE WHEN error_count IS NULL THEN '' ELSE 'had ' || {_ERRORS} || ' = ' || CAST(error_count AS VARCHAR) || {_ERRORS} END AS text FROM log")
 def render_transform(spark, sf_dir):
-    """M5: ``$fn`` replaces the field text (section token and inline ``{$fn}``)."""
-    tpl = "{{$level_tag;level}} {{had ;{$format_errors}error_count;}}"
+    """M5: a header ``$fn`` goes before the first part, an inline ``{$fn}`` replaces a part's text (here also a suffix)."""
+    tpl = "{{$level_tag;level}} {{had ;{$format_errors}error_count;}}{{ = ;error_count;{$format_errors}}}"
     fns = {"level_tag": level_tag, "format_errors": L.format_errors}
     return render(log(spark, sf_dir), tpl, functions=fns).select("event_id", "text")
 

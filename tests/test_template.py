@@ -54,3 +54,26 @@ def test_positional_and_errors(spark):
 def test_describe():
     d = describe("{{!user}} {{?f;x;level;}}")
     assert d["mandatory_fields"] == ["user"] and d["optional_fields"] == ["level"] and d["functions"] == ["f"]
+
+
+def test_section_ends_after_an_inline_token(spark):
+    def mark(v):
+        return F.lit("*")
+    schema = "a STRING"
+    assert render(spark, "{{p;{$mark}a}}.", ("x",), schema, functions=[mark]) == "p*."
+    assert render(spark, "{{p;a;{$mark}}}.", ("x",), schema, functions=[mark]) == "px*."
+
+
+def test_header_transform_goes_before_the_first_part(spark):
+    def icon(v):
+        return F.concat(F.lit("<"), F.upper(v), F.lit(">"))
+    assert render(spark, "{{$icon;status}}", ("up",), "status STRING", functions=[icon]) == "<UP>up"
+    assert render(spark, "{{$icon;is ;status;!}}", ("up",), "status STRING", functions=[icon]) == "<UP>is up!"
+    assert render(spark, "{{$icon;is ;status;!}}", (None,), "status STRING", functions=[icon]) == ""
+
+
+def test_escapes_inside_sections(spark):
+    assert render(spark, r"{{a\;b;x;\}\}}}", ("1",), "x STRING") == "a;b1}}"
+    assert render(spark, "a;b}} {c", ("1",), "x STRING") == "a;b}} {c"
+    with pytest.raises(TemplateError):
+        parse("{{a {#red}b;x}}")
