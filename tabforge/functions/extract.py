@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col_of, java_quote
+from .text import col_of, java_quote, title_case
 
 STEM = "base_name"
 
@@ -33,11 +33,66 @@ def _java_regex(pattern: str) -> tuple[str, dict[str, int], int]:
     return java, dict(rx.groupindex), rx.groups
 
 
+def _optional_groups(pattern: str) -> set[int]:
+    """Numbers of the groups that a match can leave out: those below an alternation or a repetition from zero."""
+    found: set[int] = set()
+
+    def walk(items, loose: bool):
+        for op, arg in items:
+            name = str(op)
+            if name == "SUBPATTERN":
+                if loose and arg[0]:
+                    found.add(arg[0])
+                walk(arg[3], loose)
+            elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
+                walk(arg[2], loose or arg[0] == 0)
+            elif name == "BRANCH":
+                for option in arg[1]:
+                    walk(option, True)
+            elif name in ("ASSERT", "ASSERT_NOT"):
+                walk(arg[1], loose or name == "ASSERT_NOT")
+            elif name == "ATOMIC_GROUP":
+                walk(arg, loose)
+            elif name == "GROUPREF_EXISTS":
+                for option in arg[1:]:
+                    walk(option or (), True)
+
+    walk(re._parser.parse(pattern), False)
+    return found
+
+
+def _took_part(java: str, group: int) -> str:
+    """A regex that matches where the first match of ``java`` sets ``group``.
+
+    An empty marker group at the group's end can only be referred back to if the group took part; the search for the
+    first match is atomic, so that no other match is tried.
+    """
+    opened, stack, i, in_class, before = 0, [], 0, False, 0
+    while i < len(java):
+        ch = java[i]
+        if ch == "\\":
+            i += 1
+        elif in_class:
+            in_class = ch != "]"
+        elif ch == "[":
+            in_class = True
+        elif ch == "(":
+            captures = java[i + 1:i + 2] != "?"
+            opened += captures
+            stack.append(opened if captures else 0)
+        elif ch == ")" and stack.pop() == group:
+            before = opened
+            break
+        i += 1
+    marker = before + 1
+    marked = re.sub(r"\\([1-9])", lambda m: f"\\{int(m[1]) + (int(m[1]) >= marker)}", java[:i] + "()" + java[i:])
+    return rf"^(?>(?s:.*?)(?:{marked}))\{marker}"
+
+
 def x_regex(pattern: str, col: str | Column = STEM, **fields: str) -> Column:
     """First match anywhere; named groups, or ``fieldN=name`` for numbered ones.
 
-    No match -> NULL struct. An unmatched optional group gives '' (Spark's
-    ``regexp_extract``), not NULL.
+    No match -> NULL struct; a group that takes no part in the match -> NULL.
     """
     java, named, n_groups = _java_regex(pattern)
     c = col_of(col)
@@ -55,7 +110,13 @@ def x_regex(pattern: str, col: str | Column = STEM, **fields: str) -> Column:
         items.sort(key=lambda kv: kv[1])
     if not items:  # a match without mapped groups extracts nothing either
         return F.lit(None).cast("struct<matched:string>")
-    return F.when(c.rlike(java), F.struct(*[F.regexp_extract(c, java, i).alias(n) for n, i in items]))
+    loose = _optional_groups(pattern)
+
+    def value(i: int) -> Column:
+        v = F.regexp_extract(c, java, i)
+        return F.when((v != "") | c.rlike(_took_part(java, i)), v) if i in loose else v
+
+    return F.when(c.rlike(java), F.struct(*[value(i).alias(n) for n, i in items]))
 
 
 def parse_position_specs(*specs: str) -> list[tuple[int, int | None, str]]:
@@ -264,11 +325,15 @@ CORPORATE_PATTERNS = [
 CORPORATE_FIELDS = ["client", "dept", "doc_type", "status", "date", "version", "description"]
 
 
-def x_corporate(col: str | Column = STEM) -> Column:
+CORPORATE_TITLED = ["client", "dept", "doc_type", "status", "description"]
+
+
+def x_corporate(col: str | Column = STEM, standardise: bool = True) -> Column:
     """X11: three patterns on the lower-cased stem, else split on ``[_-]``.
 
     Fields a pattern does not name are NULL; the fallback fills client,
     doc_type ('document') and description (rest joined by '_', or 'general').
+    ``standardise`` writes the text fields with blanks for '_' and in title case.
     """
     c = F.lower(col_of(col))
     parts = F.split(c, "[_-]", -1)
@@ -284,4 +349,7 @@ def x_corporate(col: str | Column = STEM) -> Column:
         for f in CORPORATE_FIELDS:
             val = F.regexp_extract(c, rx, names.index(f) + 1) if f in names else F.lit(None).cast("string")
             out[f] = F.when(hit, val).otherwise(out[f])
+    if standardise:
+        for f in CORPORATE_TITLED:
+            out[f] = title_case(F.replace(out[f], F.lit("_"), F.lit(" ")))
     return F.struct(*[out[f].alias(f) for f in CORPORATE_FIELDS])

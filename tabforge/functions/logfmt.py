@@ -40,17 +40,17 @@ def log_flags(user_id="user_id", request_id=None, file_name=None, file_count=Non
               duration="duration") -> dict[str, Column]:
     """Presence and slow-operation flags (slow = duration > 5 s)."""
     out = {}
-    if user_id:
+    if user_id is not None:
         out["has_user"] = _present(col_of(user_id))
-    if request_id:
+    if request_id is not None:
         out["has_request_id"] = _present(col_of(request_id))
-    if file_name:
+    if file_name is not None:
         out["has_file_name"] = _present(col_of(file_name))
-    if file_count:
+    if file_count is not None:
         out["has_file_count"] = F.coalesce(col_of(file_count) > 0, F.lit(False))
-    if error_count:
+    if error_count is not None:
         out["has_error_count"] = F.coalesce(col_of(error_count) > 0, F.lit(False))
-    if duration:
+    if duration is not None:
         out["has_duration"] = col_of(duration).isNotNull()
         out["is_slow"] = F.coalesce(col_of(duration).cast("double") > 5.0, F.lit(False))
     return out
@@ -64,3 +64,30 @@ def parse_size(c: str | Column) -> Column:
     mult = F.when(unit == "KB", F.lit(SIZE_SUFFIX["KB"])).when(unit == "MB", F.lit(SIZE_SUFFIX["MB"])) \
         .when(unit == "GB", F.lit(SIZE_SUFFIX["GB"])).otherwise(F.lit(1))
     return (num * mult).cast("bigint")
+
+
+# --- fixed values: sections of the default text-log line, in order ----------
+LOG_LINE = ("{{[;level;]}} {{time}} {{name}} {{?user;(User: ;user_id;) }}{{?request;[Req: ;request_id;] }}{{message}}"
+            "{{?timed; in ;{$duration_text}duration}}{{?files; ;file_count; files)}}{{?errors; - ;{$error_text}error_count}}"
+            "{{?memory;;memory_mb;MB]}}{{?slow; ⚠️ SLOW ;duration;}}")
+
+
+def log_line(level="level", time="time", name="name", message="message", user_id=None, request_id=None, duration=None,
+             file_count=None, error_count=None, memory_mb=None, time_format: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """The default line of a text log from the named columns (or Columns); absent ones leave their section out."""
+    from .template import compile_template
+    given = {"level": level, "time": F.date_format(col_of(time), time_format), "name": name, "message": message, "user_id": user_id,
+             "request_id": request_id, "duration": duration, "file_count": file_count, "error_count": error_count, "memory_mb": memory_mb}
+    cols = {k: col_of(v) for k, v in given.items() if v is not None}
+    flags = log_flags(user_id=cols.get("user_id"), request_id=cols.get("request_id"), file_count=cols.get("file_count"),
+                      error_count=cols.get("error_count"), duration=cols.get("duration"))
+    no = F.lit(False)
+    functions = {
+        "user": lambda: flags.get("has_user", no), "request": lambda: flags.get("has_request_id", no),
+        "timed": lambda: flags.get("has_duration", no), "files": lambda: flags.get("has_file_count", no),
+        "errors": lambda: flags.get("has_error_count", no), "slow": lambda: flags.get("is_slow", no),
+        "memory": lambda: F.coalesce(cols["memory_mb"] > 0, no) if "memory_mb" in cols else no,
+        "duration_text": lambda: format_duration(cols["duration"]) if "duration" in cols else F.lit(""),
+        "error_text": lambda: format_errors(cols["error_count"]) if "error_count" in cols else F.lit(""),
+    }
+    return compile_template(LOG_LINE, functions=functions, resolver=cols)

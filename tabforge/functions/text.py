@@ -100,29 +100,5 @@ def strptime_to_spark(fmt: str) -> str:
     return "".join(out)
 
 
-_NAMED = re.compile(r"\(\?P<([A-Za-z_][A-Za-z0-9_]*)>")
-
-
-def py_regex(pattern: str) -> tuple[str, list[str]]:
-    """Python regex -> Java regex; returns (pattern, group names in order).
-
-    ``(?P<name>`` becomes ``(?<name>`` and named back-references ``(?P=name)``
-    become ``\\k<name>``. Group names are listed by position.
-    """
-    names = _NAMED.findall(pattern)
-    java = _NAMED.sub(lambda m: f"(?<{m.group(1)}>", pattern)
-    java = re.sub(r"\(\?P=([A-Za-z_][A-Za-z0-9_]*)\)", r"\\k<\1>", java)
-    return java, names
-
-
-def group_count(pattern: str) -> int:
-    return re.compile(pattern).groups
-
-
-def literal_regex(s: str) -> str:
-    """A literal string as a Java regex."""
-    return re.escape(s) if s else ""
-
-
 def java_quote(s: str) -> str:
     return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"

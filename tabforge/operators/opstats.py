@@ -9,20 +9,27 @@ from pyspark.sql import functions as F
 
 
 def pair_operations(log: DataFrame, op_id: str, ts: str, memory: str | None = None,
-                    order: Sequence[str] | None = None) -> DataFrame:
-    """L1: first and last record of each operation -> duration (s) and memory delta.
+                    order: Sequence[str] | None = None, phase: str | None = None) -> DataFrame:
+    """L1: start and end of each operation -> duration (s) and memory delta; one partial aggregate per operation id.
 
-    A partial aggregate per operation id; start/end picked with ``min_by``/``max_by``.
+    With ``phase`` (a column with 'start' and 'end', others are notes) an operation runs from its first start to its
+    last end: one without a start is left out, one whose end is missing or before its start has ``status`` 'open' and
+    no duration, others are 'completed'. Without ``phase`` the first and last records are start and end.
     """
     o = F.struct(*[F.col(c) for c in (order or [ts])])
-    aggs = [F.min(ts).alias("start_time"), F.max(ts).alias("end_time"), F.count(F.lit(1)).cast("bigint").alias("records")]
+    begins, ends = (F.col(phase) == "start", F.col(phase) == "end") if phase else (F.lit(True), F.lit(True))
+    aggs = [F.min(F.when(begins, F.col(ts))).alias("start_time"), F.max(F.when(ends, F.col(ts))).alias("end_time"),
+            F.count(F.lit(1)).cast("bigint").alias("records")]
     if memory:
-        aggs += [F.min_by(memory, o).alias("start_memory"), F.max_by(memory, o).alias("end_memory")]
-    out = log.groupBy(op_id).agg(*aggs)
-    out = out.withColumn("duration", F.unix_micros(F.col("end_time").cast("timestamp")) / 1e6
-                         - F.unix_micros(F.col("start_time").cast("timestamp")) / 1e6)
+        aggs += [F.min_by(memory, F.when(begins, o)).alias("start_memory"), F.max_by(memory, F.when(ends, o)).alias("end_memory")]
+    out = log.groupBy(op_id).agg(*aggs).where(F.col("start_time").isNotNull())
+    done = F.coalesce(F.col("end_time") >= F.col("start_time"), F.lit(False))
+    out = out.withColumn("duration", F.when(done, F.unix_micros(F.col("end_time").cast("timestamp")) / 1e6
+                                            - F.unix_micros(F.col("start_time").cast("timestamp")) / 1e6))
     if memory:
-        out = out.withColumn("memory_delta_mb", F.col("end_memory") - F.col("start_memory"))
+        out = out.withColumn("memory_delta_mb", F.when(done, F.col("end_memory") - F.col("start_memory")))
+    if phase:
+        out = out.withColumn("status", F.when(done, F.lit("completed")).otherwise(F.lit("open")))
     return out
 
 

@@ -8,6 +8,7 @@ ourselves when that setting is absent (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,11 +37,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Shared folder for staging: ``spark.checkpoint.dir`` (set one only if unset)."""
+    """Shared folder for staging: ``spark.checkpoint.dir``. Only a local session may go without it: executors elsewhere
+    could not read a folder of this machine."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[[^]]*\])?$", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tabforge-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
@@ -51,11 +55,3 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared staging folder."""
     return f"{shared_dir(spark)}/tabforge-stage/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def to_local(path: str) -> str:
-    """Strip a ``file:`` scheme so the path can be compared with scan paths."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path

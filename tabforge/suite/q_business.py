@@ -24,7 +24,7 @@ def cat(spark, sf_dir):
     return inputs.catalog(spark, sf_dir)
 
 
-def _corp_sql():
+def _corp_sql(titled=False):
     arms = {f: [] for f in X.CORPORATE_FIELDS}
     for rx, names in X.CORPORATE_PATTERNS:
         for f in X.CORPORATE_FIELDS:
@@ -32,12 +32,15 @@ def _corp_sql():
             arms[f].append(f"WHEN regexp_matches(low, '{rx}') THEN {v}")
     fb = {"client": "coalesce(parts[1], 'unknown')", "doc_type": "CASE WHEN len(parts) > 1 THEN parts[2] ELSE 'document' END",
           "description": "CASE WHEN len(parts) > 2 THEN array_to_string(parts[3:], '_') ELSE 'general' END"}
-    cols = ", ".join(f"CASE {' '.join(arms[f])} ELSE {fb.get(f, 'NULL')} END AS {f}" for f in X.CORPORATE_FIELDS)
+    plain = {f: f"CASE {' '.join(arms[f])} ELSE {fb.get(f, 'NULL')} END" for f in X.CORPORATE_FIELDS}
+    if titled:
+        plain |= {f: _title_sql(f"replace({plain[f]}, '_', ' ')") for f in ("client", "dept", "doc_type", "status", "description")}
+    cols = ", ".join(f"{e} AS {f}" for f, e in plain.items())
     return (f"WITH {CAT}, s AS (SELECT file_id, lower(base_name) AS low, regexp_split_to_array(lower(base_name), '[_-]') AS parts "
             f"FROM catalog) SELECT file_id, {cols} FROM s")
 
 
-@query("extract_corporate", _corp_sql())
+@query("extract_corporate", _corp_sql(titled=True))
 def extract_corporate(spark, sf_dir):
     return cat(spark, sf_dir).select("file_id", X.x_corporate().alias("f")).select("file_id", "f.*")
 
@@ -394,6 +397,6 @@ def _hier_sql():
 @query("name_hierarchical", _hier_sql())
 def name_hierarchical(spark, sf_dir):
     """T8 over corporate fields (X11) with quarters from C14 (fallback given)."""
-    c = cat(spark, sf_dir).select("file_id", "extension", X.x_corporate().alias("fields"))
+    c = cat(spark, sf_dir).select("file_id", "extension", X.x_corporate(standardise=False).alias("fields"))
     c = c.withColumn("quarter", C.quarter_of(F.col("fields.date"), "2000-Q1"))
     return c.select("file_id", N.t_hierarchical().alias("path"))

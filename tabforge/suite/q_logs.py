@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import logfmt as L
-from ..functions.template import compile_template, render
+from ..functions.template import render
 from ..operators import opstats as O
 from .registry import query
 
@@ -78,6 +78,23 @@ def pair_operations(spark, sf_dir):
                     F.round("memory_delta_mb", 4).alias("memory_delta_mb"))
 
 
+@query("operation_phases", """WITH l AS (SELECT user_id % 500 AS op_id, ts, value,
+  CASE event_id % 4 WHEN 0 THEN 'start' WHEN 1 THEN 'end' ELSE 'note' END AS phase FROM events
+  WHERE NOT (user_id % 7 = 1 AND event_id % 4 = 0) AND NOT (user_id % 7 = 2 AND event_id % 4 = 1)),
+s AS (SELECT op_id, min(ts) AS t0 FROM l WHERE phase = 'start' GROUP BY op_id),
+e AS (SELECT op_id, max(ts) AS t1 FROM l WHERE phase = 'end' GROUP BY op_id)
+SELECT op_id, CASE WHEN t1 >= t0 THEN sround(epoch(t1) - epoch(t0), 3) END AS duration,
+  CASE WHEN t1 >= t0 THEN 'completed' ELSE 'open' END AS status FROM s LEFT JOIN e USING (op_id)""")
+def operation_phases(spark, sf_dir):
+    """L1 by phase: an end without a start yields nothing, a start without an end stays open."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        (F.col("user_id") % 500).alias("op_id"), "ts", "value", "event_id", "user_id",
+        F.expr("CASE event_id % 4 WHEN 0 THEN 'start' WHEN 1 THEN 'end' ELSE 'note' END").alias("phase"))
+    ev = ev.where("NOT (user_id % 7 = 1 AND event_id % 4 = 0) AND NOT (user_id % 7 = 2 AND event_id % 4 = 1)")
+    p = O.pair_operations(ev, "op_id", "ts", phase="phase")
+    return p.select("op_id", F.round("duration", 3).alias("duration"), "status")
+
+
 @query("operation_stats", """SELECT user_id, count(*) AS files_processed, CAST(sum(event_id % 7) AS BIGINT) AS rows_processed,
   sround(sum(value / 3), 4) AS duration, count(*) FILTER (WHERE event_type = 'error') AS errors,
   sround(CASE WHEN sum(value / 3) > 0 THEN count(*) / sum(value / 3) ELSE 0 END, 6) AS files_per_second,
@@ -146,14 +163,21 @@ def render_mandatory_flag(spark, sf_dir):
     return render(log(spark, sf_dir), "{{!user_id}} did {{module}}", on_missing="flag").select("event_id", "text", "text_error")
 
 
-LOG_TEMPLATE = "{{[;level;]}} {{log_time}} {{module}} {{?has_user;(User: ;user_id;) }}{{message}}"
+_REQ = "CASE WHEN event_id % 4 = 0 THEN 'r' || CAST(event_id AS {t}) END"
 
 
-@query("render_log", f"WITH {LOG_CTE} SELECT event_id, '[' || level || '] ' || strftime(log_time, '%Y-%m-%d %H:%M:%S') "
-       "|| ' ' || module || ' ' || CASE WHEN user_id IS NOT NULL THEN '(User: ' || CAST(user_id AS VARCHAR) || ') ' ELSE '' END "
-       "|| message AS line FROM log")
+@query("render_log", f"""WITH {LOG_CTE}, l AS (SELECT *, {_REQ.format(t='VARCHAR')} AS request_id, floor(memory_mb) / 4 AS took,
+  CAST(floor(memory_mb) AS BIGINT) - 50 AS mem FROM log)
+SELECT event_id, '[' || level || '] ' || strftime(log_time, '%Y-%m-%d %H:%M:%S') || ' ' || logger || ' '
+  || CASE WHEN user_id IS NOT NULL THEN '(User: ' || CAST(user_id AS VARCHAR) || ') ' ELSE '' END
+  || CASE WHEN request_id IS NOT NULL THEN '[Req: ' || request_id || '] ' ELSE '' END || message || ' in ' || {_dur_sql('took')}
+  || CASE WHEN file_count > 0 THEN ' ' || CAST(file_count AS VARCHAR) || ' files)' ELSE '' END
+  || CASE WHEN error_count > 0 THEN ' - ' || {_ERRORS} ELSE '' END
+  || CASE WHEN mem > 0 THEN CAST(mem AS VARCHAR) || 'MB]' ELSE '' END
+  || CASE WHEN took > 5.0 THEN ' ⚠️ SLOW ' || CAST(took AS VARCHAR) ELSE '' END AS line FROM l""")
 def render_log(spark, sf_dir):
-    """The default text-log line template."""
-    df = log(spark, sf_dir).withColumn("log_time", F.date_format("log_time", "yyyy-MM-dd HH:mm:ss"))
-    line = compile_template(LOG_TEMPLATE, functions=[has_user], columns=df.columns)
-    return df.select("event_id", line.alias("line"))
+    """The default text-log line with all of its sections."""
+    took = F.floor("memory_mb") / 4
+    line = L.log_line(time="log_time", name="logger", user_id="user_id", request_id=F.expr(_REQ.format(t="STRING")), duration=took,
+                      file_count="file_count", error_count="error_count", memory_mb=F.floor("memory_mb").cast("bigint") - 50)
+    return log(spark, sf_dir).select("event_id", line.alias("line"))

@@ -94,6 +94,19 @@ def extract_regex_numbered(spark, sf_dir):
     return cat(spark, sf_dir).select("file_id", f.getField("number").alias("number"), f.getField("company").alias("company"))
 
 
+RX_OPT = r"^([A-Za-z]+)_(?:(\d+)_)?([A-Za-z]+)"
+
+
+@query("extract_regex_optional", f"WITH {CAT} SELECT file_id, regexp_matches(base_name, '{RX_OPT}') AS matched, "
+       f"CASE WHEN regexp_matches(base_name, '^[A-Za-z]+_\\d+_[A-Za-z]+') THEN regexp_extract(base_name, '{RX_OPT}', 2) END AS number, "
+       f"CASE WHEN regexp_matches(base_name, '{RX_OPT}') THEN regexp_extract(base_name, '{RX_OPT}', 3) END AS word FROM catalog")
+def extract_regex_optional(spark, sf_dir):
+    """A group that takes no part in the match is NULL."""
+    f = X.x_regex(RX_OPT, field2="number", field3="word")
+    return cat(spark, sf_dir).select("file_id", f.alias("f")).select(
+        "file_id", F.col("f").isNotNull().alias("matched"), F.col("f.number").alias("number"), F.col("f.word").alias("word"))
+
+
 @query("extract_position", f"WITH {CAT} SELECT file_id, substr(base_name, 1, 2) AS d2, "
        "CASE WHEN length(base_name) > 4 THEN substr(base_name, 5, 1) ELSE '' END AS c, "
        "CASE WHEN length(base_name) > 30 THEN substr(base_name, 31, 11) ELSE '' END AS far FROM catalog")
