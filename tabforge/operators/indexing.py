@@ -1,21 +1,10 @@
 """Row numbering (I1-I4) without a global single-partition sort.
 
-Both modes are computed the same way: every row gets a *position inside its
-physical split* and every split gets an *offset* from a prefix sum over the
-small per-split count table. The count table has one row per split (file
-block or range partition), so it is tiny next to the data and is broadcast
-only when its measured size is under ``broadcast_rows``; otherwise the join
-is a shuffle join on the split key, whose groups are bounded by the split
-size (no key can hold more than one split's rows).
-
-* File order (default): rows are numbered in file order. Readers in
-  ``tabforge.sources`` attach ``__file``/``__blk``/``__mid`` at the scan,
-  before any filter, so ``__mid - min(__mid)`` is the row's position in its
-  split.
-* Key order (``order_by`` given): rows go to range buckets whose bounds are
-  sampled once and applied as literals (deterministic on every re-execution),
-  are numbered inside their bucket with a window, and get the bucket's offset.
-  A hot file or hot key is spread over many buckets, never one task.
+* File order (default): readers in ``tabforge.sources`` attach ``__file``/``__blk``/``__mid`` at the scan, before any
+  filter, so ``__mid - min(__mid)`` is a row's position in its split. Each split's offset is a running total over the
+  table of splits, itself taken by ranges.
+* Key order (``order_by`` given): :mod:`tabforge.operators.ordering` writes range partitions and adds what stands
+  before each. A hot file or key, NULL included, spreads over many partitions.
 """
 
 from __future__ import annotations
@@ -25,10 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from .ordering import join_on, number, running_total
 
 POS_COLS = ("__file", "__blk", "__mid")
-BROADCAST_ROWS = 200_000
 
 
 def scan_positions(df: DataFrame) -> DataFrame:
@@ -40,16 +28,9 @@ def scan_positions(df: DataFrame) -> DataFrame:
     })
 
 
-def _join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], broadcast_rows: int) -> DataFrame:
-    n = small.count()
-    if n <= broadcast_rows:
-        small = F.broadcast(small)
-    return big.join(small, list(keys), "left")
-
-
 def with_index(df: DataFrame, mode: str | None = "sequential", start: int = 0, file_col: str = "source_file",
                order_by: Sequence[str | Column] | None = None, index_col: str = "row_index",
-               num_partitions: int | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+               num_partitions: int | None = None) -> DataFrame:
     """``none`` (identity), ``local`` (restart per file), ``sequential`` (one numbering).
 
     Files are taken in ``file_col`` order; rows inside a file in file order, or
@@ -64,79 +45,25 @@ def with_index(df: DataFrame, mode: str | None = "sequential", start: int = 0, f
         missing = [c for c in POS_COLS if c not in df.columns]
         if missing:
             raise ValueError("file-order numbering needs scan positions (use tabforge.sources readers) or order_by=")
-        return _index_by_position(df, mode, start, file_col, index_col, broadcast_rows)
-    return _index_by_key(df, mode, start, file_col, list(order_by), index_col, num_partitions, broadcast_rows)
+        return _index_by_position(df, mode, start, file_col, index_col)
+    return _index_by_key(df, mode, start, file_col, list(order_by), index_col, num_partitions)
 
 
-def _index_by_position(df, mode, start, file_col, index_col, broadcast_rows):
+def _index_by_position(df, mode, start, file_col, index_col):
     splits = (df.groupBy(file_col, "__blk")
               .agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__mid0")))
-    before = Window.orderBy(file_col, "__blk").rowsBetween(Window.unboundedPreceding, -1)
     if mode == "local":
         before = Window.partitionBy(file_col).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    out = _join_small(df, splits, [file_col, "__blk"], broadcast_rows)
+        splits = splits.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    else:
+        splits = running_total(splits, [F.col(file_col), F.col("__blk")], "__n", out="__off")
+    out = join_on(df, splits.drop("__n"), [file_col, "__blk"], "left")
     idx = (F.lit(start) + F.col("__off") + (F.col("__mid") - F.col("__mid0"))).cast("bigint")
     return out.withColumn(index_col, idx).drop("__off", "__mid0", *POS_COLS)
 
 
-SAMPLE_PER_BUCKET = 64
-
-
-def _bucket_expr(key: Column, bounds: list) -> Column:
-    """Binary search over sorted bound structs: bucket id = number of bounds <= key."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < _struct_lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(bounds))
-
-
-def _struct_lit(row) -> Column:
-    return F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(row)])
-
-
-def _index_by_key(df, mode, start, file_col, order_by, index_col, num_partitions, broadcast_rows):
-    """Numbering by key with deterministic range buckets.
-
-    Bucket bounds come from one sample collected to the driver (bounded by
-    ``SAMPLE_PER_BUCKET`` rows per bucket) and are applied as literals, so
-    every re-execution of the plan (several branches, lost executors) assigns
-    the same bucket to a row. Inside a bucket rows are numbered with a window;
-    a bucket holds about 1/n of the rows whatever the key skew, because the
-    bucket key includes the order columns and a row hash as final tie-breaker.
-    """
-    spark = df.sparkSession
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    parts = [F.col(file_col)] + order_cols + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
-    names = [f"k{i}" for i in range(len(parts))]
-    keyed = df.withColumn("__key", F.struct(*[p.alias(n) for p, n in zip(parts, names)]))
-    # Count, sample and number read the same rows: cut the lineage once (reliable
-    # checkpoint in the shared checkpoint folder) instead of recomputing the input.
-    shared_dir(spark)
-    keyed = keyed.checkpoint(eager=True)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = keyed.count()
-    bounds = []
-    if n > 1 and total > 0:
-        frac = min(1.0, SAMPLE_PER_BUCKET * n / total)
-        sample = sorted(tuple(r["__key"]) for r in keyed.select("__key").sample(fraction=frac, seed=17).collect()
-                        if all(v is not None for v in r["__key"]))
-        if sample:
-            step = len(sample) / n
-            bounds = sorted({sample[min(int(step * (i + 1)), len(sample) - 1)] for i in range(n - 1)})
-    bucket = _bucket_expr(F.col("__key"), bounds) if bounds else F.lit(0)
-    b = keyed.withColumn("__b", bucket)
-    pos = F.row_number().over(Window.partitionBy("__b").orderBy("__key")) - 1
-    b = b.repartition(n, "__b").withColumn("__p", pos)
-    counts = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.withColumn(
-        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).drop("__n")
-    g = b.join(F.broadcast(counts), "__b").withColumn("__g", F.col("__off") + F.col("__p"))  # counts: n rows
-    if mode == "local":
-        first = g.groupBy(file_col).agg(F.min("__g").alias("__g0"))
-        g = _join_small(g, first, [file_col], broadcast_rows).withColumn("__g", F.col("__g") - F.col("__g0")).drop("__g0")
-    return g.withColumn(index_col, (F.lit(start) + F.col("__g")).cast("bigint")).drop(
-        "__key", "__b", "__p", "__off", "__g", *[c for c in POS_COLS if c in g.columns])
+def _index_by_key(df, mode, start, file_col, order_by, index_col, num_partitions):
+    order = [F.col(file_col)] + [F.col(c) if isinstance(c, str) else c for c in order_by]
+    rows = df.drop(*[c for c in POS_COLS if c in df.columns])
+    out = number(rows, order, by=file_col if mode == "local" else None, out=index_col, parts=num_partitions)
+    return out.withColumn(index_col, (F.col(index_col) + start).cast("bigint"))

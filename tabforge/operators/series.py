@@ -2,9 +2,9 @@
 
 Bounded look-back windows (the 60-point baseline, the 3-vs-3 trend, the
 previous-point delta) are evaluated on *chunks* of each series, not on the
-whole series: rows are numbered per key with the skew-safe range-partitioned
-numbering, cut into chunks of ``chunk_rows`` and every chunk receives the
-``lookback`` rows before it as a halo. A key holding a third of all rows is
+whole series: rows are numbered per key with the range-partitioned numbering,
+cut into chunks of ``chunk_rows`` and every chunk receives the ``lookback``
+rows before it as a halo. A key holding a third of all rows is
 therefore spread over many tasks, and results are exact.
 
 Whole-series statistics (min/max for bars and sparklines, report figures) are
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .indexing import with_index
+from .ordering import join_on, write_and_read
 
 CHUNK_ROWS = 1_000_000
 LOOKBACK = 59
@@ -35,10 +36,11 @@ def chunked(df: DataFrame, key: str, order: Sequence[str], lookback: int = LOOKB
         raise ValueError("chunk_rows must exceed the look-back")
     pos = with_index(df, "local", file_col=key, order_by=list(order), index_col="__pos")
     chunk = F.floor(F.col("__pos") / chunk_rows).cast("bigint")
-    main = pos.withColumn("__chunk", chunk).withColumn("__halo", F.lit(False))
-    halo = (pos.filter(F.col("__pos") % chunk_rows >= chunk_rows - lookback)
-               .withColumn("__chunk", chunk + 1).withColumn("__halo", F.lit(True)))
-    return main.unionByName(halo)
+    own = F.struct(chunk.alias("__chunk"), F.lit(False).alias("__halo"))
+    next_ = F.struct((chunk + 1).alias("__chunk"), F.lit(True).alias("__halo"))
+    near_end = F.col("__pos") % chunk_rows >= chunk_rows - lookback
+    return (pos.withColumn("__c", F.explode(F.when(near_end, F.array(own, next_)).otherwise(F.array(own))))
+            .select(*[F.col(f"`{c}`") for c in pos.columns], "__c.__chunk", "__c.__halo"))
 
 
 def chunk_window(key: str, start: int, end: int = 0):
@@ -113,8 +115,9 @@ def band(value: Column | str, thresholds: Sequence[tuple[float, str]], default:
 
 
 def _with_key_stats(df: DataFrame, key: str, value: str, stats: dict[str, Column]) -> DataFrame:
-    agg = df.groupBy(key).agg(*[c.alias(n) for n, c in stats.items()])
-    return df.join(agg, key, "left")
+    # a written table: the join then has a plain exchange on both sides, and adaptive execution can split a hot key
+    agg = write_and_read(df.groupBy(key).agg(*[c.alias(n) for n, c in stats.items()]), "key-stats")
+    return join_on(df, agg, [key], "left")
 
 
 def text_bar(df: DataFrame, key: str, value: str, width: int = 40) -> DataFrame:
@@ -153,6 +156,20 @@ def sparkline(df: DataFrame, key: str, order: Sequence[str], value: str, n: int
     return c.withColumn("sparkline", F.array_join(hist, "")).filter(~F.col("__halo")).drop("__chunk", "__halo")
 
 
+def sparkline_full(df: DataFrame, key: str, order: Sequence[str], value: str, part_rows: int = 100_000) -> DataFrame:
+    """L13 over whole series: one row for each key and part of ``part_rows`` points, (key, part, sparkline).
+
+    Levels are scaled by the whole series; a series' text is its parts in order. A part bounds what one row holds.
+    """
+    out = _with_key_stats(df, key, value, {"__lo": F.min(value), "__hi": F.max(value)})
+    out = out.select(key, *order, spark_char(F.col(value), F.col("__lo"), F.col("__hi")).alias("__s"))
+    pos = with_index(out, "local", file_col=key, order_by=list(order), index_col="__pos")
+    part = F.floor(F.col("__pos") / part_rows).cast("bigint").alias("part")
+    points = F.sort_array(F.collect_list(F.struct("__pos", "__s")))
+    return (pos.groupBy(key, part).agg(points.alias("__p"))
+            .select(key, "part", F.array_join(F.transform("__p", lambda p: p["__s"]), "").alias("sparkline")))
+
+
 def percent_of(value: Column | str, cap: float = 512.0) -> Column:
     """``x.x%`` of a capacity (half-up on decimal digits)."""
     v = F.col(value) if isinstance(value, str) else value

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import series as S
+from ..operators.indexing import with_index
 from .registry import query
 
 KEY, ORDER, VAL = "user_id", ["ts", "event_id"], "value"
@@ -109,3 +110,38 @@ FROM events GROUP BY user_id""")
 def resource_report(spark, sf_dir):
     r = S.resource_report(events(spark, sf_dir), KEY, ORDER, VAL)
     return r.withColumn("average_value", F.round("average_value", 4)).withColumn("efficiency", F.round("efficiency", 4))
+
+
+def nullable(spark, sf_dir):
+    """Events of which two fifths have no user: NULL is a key like any other."""
+    return events(spark, sf_dir).withColumn("user_id", F.when(F.col("event_id") % 5 >= 2, F.col("user_id")))
+
+
+_NULLABLE = "n AS (SELECT event_id, ts, CASE WHEN event_id % 5 >= 2 THEN user_id END AS user_id, value FROM events)"
+
+
+@query("rolling_bands_nullkey", f"WITH {_NULLABLE}, " + BANDS_SQL.removeprefix("WITH ").replace("FROM events)", "FROM n)", 1)
+       + " SELECT user_id, event_id, sround(baseline, 4) AS baseline, sround(yellow, 4) AS yellow, sround(red, 4) AS red FROM b")
+def rolling_bands_nullkey(spark, sf_dir):
+    rows = nullable(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    b = S.rolling_bands(rows, KEY, ORDER, VAL)
+    return b.select(KEY, "event_id", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("baseline", "yellow", "red")])
+
+
+@query("index_sequential", f"WITH {_NULLABLE} SELECT event_id, user_id, "
+       "row_number() OVER (ORDER BY user_id NULLS FIRST, ts, event_id) + 9 AS row_index, "
+       "row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS user_row FROM n")
+def index_sequential(spark, sf_dir):
+    """I3 and I2 by key, NULL keys included."""
+    rows = nullable(spark, sf_dir).select("event_id", "user_id", "ts")
+    out = with_index(rows, "sequential", start=10, file_col=KEY, order_by=ORDER)
+    out = with_index(out, "local", file_col=KEY, order_by=ORDER, index_col="user_row")
+    return out.select("event_id", KEY, "row_index", "user_row")
+
+
+@query("sparkline_full", f"""WITH {_NULLABLE}, m AS (SELECT user_id, min(value) AS lo, max(value) AS hi FROM n GROUP BY user_id),
+c AS (SELECT e.user_id, (row_number() OVER (PARTITION BY e.user_id ORDER BY ts, event_id) - 1) AS pos, {_spark_sql()} AS spark
+  FROM n e JOIN m ON e.user_id IS NOT DISTINCT FROM m.user_id)
+SELECT user_id, pos // 50 AS part, string_agg(spark, '' ORDER BY pos) AS sparkline FROM c GROUP BY 1, 2""")
+def sparkline_full(spark, sf_dir):
+    return S.sparkline_full(nullable(spark, sf_dir), KEY, ORDER, VAL, part_rows=50)

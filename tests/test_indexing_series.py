@@ -40,3 +40,41 @@ def test_band_and_spark_char(spark):
     got = [r[0] for r in df.select(S.spark_char(F.col("v"), F.col("lo"), F.col("hi"))).collect()]
     assert got == ["▂", "█", "▄"]
     assert S.classify_band is not None
+
+
+def test_partitions_stay_even_with_null_and_hot_keys(spark):
+    from tabforge.operators import ordering as O
+    df = spark.range(0, 60_000, 1, 6).select(
+        F.expr("CASE WHEN id % 10 < 4 THEN NULL WHEN id % 10 < 9 THEN 7 ELSE id END").alias("k"),
+        F.expr("CASE WHEN id % 2 = 0 THEN id % 5 END").alias("o"), "id")
+    rows = O.placed(df, [F.col("k"), F.col("o")], parts=12)
+    sizes = [r["count"] for r in rows.groupBy(O.PART).count().collect()]
+    assert sum(sizes) == 60_000 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    got = O.number(df, [F.col("k"), F.col("o"), F.col("id")], by="k", out="n", parts=12)
+    want = df.withColumn("w", F.row_number().over(Window.partitionBy("k").orderBy("o", "id")) - 1)
+    assert got.join(want, "id").where("n <> w").count() == 0 and got.where("n IS NULL").count() == 0
+
+
+def test_hot_key_join_can_be_split(spark):
+    df = spark.range(0, 40_000, 1, 4).select(F.expr("CASE WHEN id % 2 = 0 THEN 0 ELSE id END").alias("k"), F.col("id").cast("double").alias("v"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                          "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    try:
+        for k, v in zip(old, ("-1", "40", "1k", "1k", "2")):
+            spark.conf.set(k, v)
+        out = S.text_bar(df, "k", "v")
+        assert out.count() == 40_000
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.select("bar")
+        rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_whole_sparkline_in_parts(spark):
+    df = spark.createDataFrame([("a", i, float(i % 8)) for i in range(25)] + [(None, 1, 1.0)], "k string, t int, v double")
+    got = {(r.k, r.part): r.sparkline for r in S.sparkline_full(df, "k", ["t"], "v", part_rows=10).collect()}
+    assert got[("a", 0)] + got[("a", 1)] + got[("a", 2)] == ("".join(S.SPARK_LEVELS) * 4)[:25] and got[(None, 0)] == "▄"
