@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import textscan as ts
 from .components import connected_components
-from .stage import Stage, text_or_empty
+from .stage import Stage, only, text_or_empty
 
 SHINGLE = 5
 SIMILARITY_PERCENT = 75
@@ -162,26 +162,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = K, size: int
     groups = st.put("groups", named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep")))
 
     # first look: documents whose smallest values no other set holds have no partner
-    look = sk.where("doc_id IS NOT NULL").select("doc_id", "n_shingles", "d1", F.explode("look").alias("v"))
+    look = (sk.where("doc_id IS NOT NULL").select("doc_id", "n_shingles", "d1", F.explode("look").alias("v"))
+            .repartition("v"))  # one shuffle for both uses; a list has at most one of a document's values
     shared = look.groupBy("v").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).where("x <> y").select("v")
     seen = (look.join(shared, "v").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"), F.max("n_shingles").alias("n"))
             .where("c >= 2 OR n < 8").select("doc_id"))
     reps = groups.select(F.col("rep").alias("doc_id"))
     # a short set of its own has nothing in common with others unless a value is shared, which the lists test
-    cand = st.put("candidates", sk.where("n_shingles > 0").select("doc_id", "n_shingles", "sketch")
-                  .join(seen.join(reps, "doc_id", "left_semi"), "doc_id", "left_semi"))
+    cand = st.put("candidates", only(sk.where("n_shingles > 0").select("doc_id", "n_shingles", "sketch"),
+                                      st.put("seen", seen.join(reps, "doc_id", "left_semi"))))
 
     least = least_shared(k, percent)
-    m, n = F.size("sketch"), F.col("n_shingles")
+    n = F.col("n_shingles")
     exact = F.ceil(n * percent / 100)
     bound = (F.when(n > k, F.lit(least))
              .when(F.floor(n * 100 / percent) > k, F.least(exact, k - (F.floor(n * 100 / percent) * (100 - percent) / 100).cast("long")))
              .otherwise(exact))
-    entry = cand.select("doc_id", "n_shingles", m.alias("m"), bound.alias("c"), F.explode("sketch").alias("v"))
+    entry = cand.select("doc_id", "n_shingles", F.explode("sketch").alias("v")).repartition("v")
     freq = entry.groupBy("v").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    rare = (entry.join(freq, "v").groupBy("doc_id", "n_shingles", "m", "c")
-            .agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("s"))
-            .withColumn("take", (F.size("s") - F.col("c") + 1).cast("int"))  # unshared values come first in the order
+    rare = (entry.join(freq, "v").groupBy("doc_id", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("s"))
+            .withColumn("take", (F.size("s") - bound + 1).cast("int"))  # unshared values come first in the order
             .where("take > 0"))
     lists = st.put("lists", rare.select("doc_id", "n_shingles", F.explode(F.slice("s", 1, F.col("take"))).alias("e"))
                    .select(F.col("e.v").alias("v"), "doc_id", F.col("n_shingles").alias("n")))
@@ -197,8 +197,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = K, size: int
              .select(F.least("me.doc_id", "hub.doc_id").alias("a"), F.greatest("me.doc_id", "hub.doc_id").alias("b")).distinct())
     stars = st.put("stars", stars)
     likely = st.put("likely", _likely(stars, cand, k, percent))
-    ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = st.put("texts1", known.join(ids, "doc_id", "left_semi"))
+    ids = st.put("ids1", likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    texts = st.put("texts1", only(known, ids))
     edges = st.put("edges1", _verified(likely, texts, size, percent))
     comp = st.put("comp1", connected_components(st, edges, "cc1"))
     st.drop("texts1", "ends", "likely")
@@ -208,9 +208,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = K, size: int
                     .select("v", "doc_id", F.coalesce("component", "doc_id").alias("comp")))
     mixed = (placed.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("v"))
     open_ = st.put("open", placed.join(mixed, "v").select("doc_id", "comp").distinct())
-    texts = st.put("texts2", known.join(open_, "doc_id", "left_semi"))
+    texts = st.put("texts2", only(known, open_.select("doc_id")))
     full = st.put("sets", texts.mapInArrow(_set_lister(size), "doc_id long, n long, values array<long>"))
-    entry = full.select("doc_id", "n", F.explode("values").alias("v"))
+    entry = full.select("doc_id", "n", F.explode("values").alias("v")).repartition("v")
     freq = entry.groupBy("v").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     rare = (entry.join(freq, "v").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("s"))
             .withColumn("take", (F.size("s") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")).where("take > 0"))

@@ -43,3 +43,13 @@ def parts_for(spark: SparkSession, size: int, each: int) -> int:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+#: Keys that may be broadcast, 16 bytes each in a hashed relation; more are joined by a shuffle.
+BROADCAST_KEYS = 1_000_000
+
+
+def only(rows: DataFrame, keys: DataFrame, key: str = "doc_id", how: str = "left_semi") -> DataFrame:
+    """Rows whose ``key`` is in ``keys``, a written table of long keys (or is not, with ``how="left_anti"``). Up to
+    ``BROADCAST_KEYS`` keys go to every executor, so that wide rows stay where they are."""
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, key, how)
