@@ -3,11 +3,12 @@
 The plan is one DataFrame; every step is a Column expression evaluated on the
 executors. Shuffles happen only where the semantics need them:
 
-* collision counts (P5/P6): ``groupBy(new_name)`` partial aggregates joined
-  back; a hot name is split by AQE's skew join instead of landing in one task.
-* append_number (P7): numbering inside (parent, new_name) groups reuses the
-  skew-safe range-partitioned numbering of :mod:`tabforge.operators.indexing`.
-* existing-file check (P8): plan x catalog join on path (unique keys).
+* collision counts (P5/P6): partial aggregates by new name, written and joined
+  back, so that adaptive execution can split a hot name.
+* append_number (P7): the free numbers of a name come from positions in one
+  order of wanted and taken numbers (:mod:`tabforge.operators.ordering`).
+* existing files (P8): plan x catalog joins on path (unique keys); a file that
+  cannot move blocks those that wanted its place, followed by pointer doubling.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import new_name as _new_name
-from ..operators.indexing import with_index
+from ..operators.ordering import number, write_and_read
 
 
 @dataclass
@@ -96,53 +97,108 @@ def collision_count(plan: DataFrame, per_directory: bool = False) -> DataFrame:
 def flag_collisions(plan: DataFrame, keys: Sequence[str] = ("new_name",)) -> DataFrame:
     """``collides`` = another changed row has the same new name."""
     ch = plan_changes(plan)
-    counts = ch.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return ch.join(counts, list(keys), "left").withColumn("collides", F.col("__n") > 1).drop("__n")
+    counts = write_and_read(ch.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"), "collisions")
+    return ch.join(counts, list(keys), "left").withColumn("__n", F.coalesce("__n", F.lit(1))).withColumn("collides", F.col("__n") > 1).drop("__n")
 
 
-def _numbered(col_base: Column, ext: Column, n: Column) -> Column:
-    return F.concat(col_base, F.lit("_"), n.cast("string"), ext)
+POLICIES = ("skip", "error", "append_number")
+
+
+def _stem(name: str = "new_name") -> Column:
+    """The name without the row's extension."""
+    return F.expr(f"substring({name}, 1, char_length({name}) - char_length(extension))")
+
+
+def _free_numbers(wanting: DataFrame, taken: DataFrame) -> DataFrame:
+    """wanting (__grp, parent, new_name, extension, old_path, old_name), taken (path) -> (old_path, __k): in each group,
+    in old-name order, the positive numbers k for which ``stem_k.ext`` is not taken.
+
+    Sorted taken numbers t_1 < t_2 < ...: the r-th free number is r plus the taken ones with t_j - j < r. Both come
+    from one order of the r (after) and the t_j - j (before), so no group meets in one task.
+    """
+    wanted = number(wanting, [F.col("__grp"), F.col("old_name"), F.col("old_path")], by="__grp", out="__r")
+    wanted = wanted.select("__grp", (F.col("__r") + 1).alias("__at"), F.lit(1).alias("__kind"), "old_path")
+    # a name stem_7.ext stands for number 7 of the group stem.ext; 07 is no number that is ever given
+    groups = wanting.select("__grp", "parent", "extension", _stem().alias("__stem")).distinct()
+    parts = taken.select(F.regexp_extract("path", r"^(.*)/([^/]*)$", 1).alias("parent"), F.regexp_extract("path", r"([^/]*)$", 1).alias("__name"))
+    rx = r"(?s)^(.*)_([1-9][0-9]{0,17})(\.[^.]*)?$"
+    parts = parts.select("parent", F.regexp_extract("__name", rx, 1).alias("__stem"), F.regexp_extract("__name", rx, 2).try_cast("bigint").alias("__t"),
+                         F.regexp_extract("__name", rx, 3).alias("extension")).where("__t IS NOT NULL")
+    held = parts.distinct().join(groups, ["parent", "__stem", "extension"]).select("__grp", "__t")
+    held = number(held, [F.col("__grp"), F.col("__t")], by="__grp", out="__j")
+    held = held.select("__grp", (F.col("__t") - F.col("__j") - 1).alias("__at"), F.lit(0).alias("__kind"), F.lit(None).cast("string").alias("old_path"))
+    # strictly smaller: a taken one with t_j - j = r - 1 comes before r, one with t_j - j = r after it
+    both = held.unionByName(wanted).withColumn("__at2", F.col("__at") * 2 + F.when(F.col("__kind") == 0, F.lit(1)).otherwise(F.lit(0)))
+    placed = number(both, [F.col("__grp"), F.col("__at2")], by="__grp", out="__pos").where("__kind = 1")
+    return placed.select("old_path", (F.col("__pos") + 1).alias("__k"))
+
+
+def _blocked_chains(ch: DataFrame, stays: DataFrame) -> DataFrame:
+    """Old paths of the rows that cannot move: their target is a file that stays, or one that cannot move either."""
+    moving = ch.where("action = 'rename'").select("old_path", "new_path")
+    hit = moving.join(stays.select(F.col("__p").alias("new_path")).distinct(), "new_path", "left_semi").select("old_path", F.lit(True).alias("stuck"))
+    waits = moving.join(moving.select(F.col("old_path").alias("new_path")), "new_path", "left_semi").select("old_path", F.col("new_path").alias("next"))
+    state = write_and_read(hit.withColumn("next", F.lit(None).cast("string")).select("old_path", "next", "stuck")
+                           .unionByName(waits.withColumn("stuck", F.lit(False))), "chains")
+    rounds = int(state.where("next IS NOT NULL").count()).bit_length()
+    for _ in range(rounds):  # a chain of n files is followed in log2(n) rounds; rings never end and are free
+        ahead = state.select(F.col("old_path").alias("next"), F.col("next").alias("__next2"), F.col("stuck").alias("__stuck2"))
+        step = state.join(ahead, "next", "left")
+        state = write_and_read(step.select("old_path", F.when(~F.col("__stuck2"), F.col("__next2")).alias("next"),
+                                           (F.col("stuck") | F.coalesce("__stuck2", F.lit(False))).alias("stuck")), "chains")
+        if state.where("next IS NOT NULL").isEmpty():
+            break
+    return state.where("stuck").select("old_path")
 
 
 def resolve_collisions(plan: DataFrame, internal: str = "skip", existing: str = "skip",
                        catalog: DataFrame | None = None) -> DataFrame:
     """Apply collision policies; returns changed rows with ``action`` and final names.
 
-    internal (same parent and new name): ``skip`` (keep old names), ``error``,
-    ``append_number`` (first keeps the name, later ones get ``_1``, ``_2``...
-    in old-name order). existing (new path is a file that stays): ``skip``,
-    ``error``, ``append_number`` (``_1``).
+    internal (same parent and new name): ``skip`` (keep old names), ``error``, ``append_number`` (the first in old-name
+    order keeps the name, later ones get the next free ``_1``, ``_2``, ...). existing (the new path is a file of
+    ``catalog`` that stays where it is): ``skip``, ``error``, ``append_number`` (the next free number). A file stays
+    if it isn't renamed - unchanged, filtered out, or skipped by a policy, which may block others in turn.
+
+    No two rows with action ``rename`` get one path, and none gets the path of a file that stays: numbers avoid all
+    planned and staying names, and a generated name belongs to one group only.
     """
     for p in (internal, existing):
-        if p not in ("skip", "error", "append_number"):
+        if p not in POLICIES:
             raise ValueError(f"unknown collision policy {p!r}")
     ch = plan_changes(plan).withColumn("__grp", F.concat_ws("/", "parent", "new_name"))
-    counts = ch.groupBy("__grp").agg(F.count(F.lit(1)).alias("__n"))
-    ch = ch.join(counts, "__grp", "left")
-    stem = F.expr("substring(new_name, 1, char_length(new_name) - char_length(extension))")
+    many = write_and_read(ch.groupBy("__grp").agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct("old_name", "old_path")).alias("__first"))
+                          .where("__n > 1"), "collisions")
+    ch = ch.join(many, "__grp", "left")
+    extra = F.coalesce(F.col("old_path") != F.col("__first.old_path"), F.lit(False))
     if internal == "append_number":
-        ranked = with_index(ch, "local", start=0, file_col="__grp", order_by=["old_name"], index_col="__r")
-        ch = ranked.withColumn("new_name", F.when((F.col("__n") > 1) & (F.col("__r") > 0),
-                                                  _numbered(stem, F.col("extension"), F.col("__r")))
-                               .otherwise(F.col("new_name"))).drop("__r")
-        action = F.lit("rename")
+        ch = ch.withColumn("action", F.lit("rename")).withColumn("__wants", extra)
     else:
-        action = F.when(F.col("__n") > 1, F.lit(internal)).otherwise(F.lit("rename"))
-    ch = ch.withColumn("action", action).withColumn("new_path", F.concat_ws("/", "parent", "new_name"))
+        ch = (ch.withColumn("action", F.when(F.col("__n").isNotNull(), F.lit(internal)).otherwise(F.lit("rename")))
+              .withColumn("__wants", F.lit(False)))
+    ch = write_and_read(ch.drop("__first", "__n").withColumn("new_path", F.concat_ws("/", "parent", "new_name")), "policies")
+    stays = None
     if catalog is not None:
-        moving = ch.select(F.col("old_path").alias("__p"))
-        stays = catalog.select(F.col("path").alias("__p")).join(moving, "__p", "left_anti")
-        hit = ch.join(stays.withColumnRenamed("__p", "new_path").withColumn("__exists", F.lit(True)), "new_path", "left")
-        exists = F.coalesce(F.col("__exists"), F.lit(False))
+        moving = ch.where("action = 'rename'").select(F.col("old_path").alias("__p"))
+        stays = write_and_read(catalog.select(F.col("path").alias("__p")).join(moving, "__p", "left_anti"), "stays")
         if existing == "append_number":
-            hit = hit.withColumn("new_name", F.when(exists, _numbered(stem, F.col("extension"), F.lit(1)))
-                                 .otherwise(F.col("new_name")))
-            hit = hit.withColumn("new_path", F.concat_ws("/", "parent", "new_name"))
-        else:
-            hit = hit.withColumn("action", F.when(exists & (F.col("action") == "rename"), F.lit(existing))
-                                 .otherwise(F.col("action")))
-        ch = hit.drop("__exists")
-    return ch.drop("__grp", "__n")
+            hit = stays.select(F.col("__p").alias("new_path"), F.lit(True).alias("__exists")).distinct()
+            ch = write_and_read(ch.join(hit, "new_path", "left").withColumn(
+                "__wants", F.col("__wants") | (F.coalesce("__exists", F.lit(False)) & (F.col("action") == "rename"))).drop("__exists"), "policies")
+    if "append_number" in (internal, existing):
+        taken = ch.select(F.col("new_path").alias("path"))
+        if stays is not None:
+            taken = taken.unionByName(stays.select(F.col("__p").alias("path")))
+        wanting = ch.where("__wants").select("__grp", "parent", "new_name", "extension", "old_path", "old_name")
+        ch = ch.join(_free_numbers(wanting, taken), "old_path", "left")
+        ch = ch.withColumn("new_name", F.when(F.col("__k").isNotNull(), F.concat(_stem(), F.lit("_"), F.col("__k").cast("string"), F.col("extension")))
+                           .otherwise(F.col("new_name"))).drop("__k")
+        ch = write_and_read(ch.withColumn("new_path", F.concat_ws("/", "parent", "new_name")), "numbered")
+    if stays is not None and existing != "append_number":
+        blocked = _blocked_chains(ch, stays).withColumn("__stuck", F.lit(True))
+        ch = (ch.join(blocked, "old_path", "left").withColumn("action", F.when(F.col("__stuck"), F.lit(existing)).otherwise(F.col("action")))
+              .drop("__stuck"))
+    return ch.drop("__grp", "__wants")
 
 
 def plan_metrics(plan: DataFrame, resolved: DataFrame | None = None) -> DataFrame:

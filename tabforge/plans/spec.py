@@ -12,12 +12,14 @@ from __future__ import annotations
 import inspect
 from collections.abc import Callable, Mapping
 
+from pyspark.sql import DataFrame
+
 from ..functions import convert as C
 from ..functions import extract as X
 from ..functions import filters as FL
 from ..functions import naming as N
 from ..functions.template import section_template
-from .rename import RenameSpec
+from .rename import POLICIES, RenameSpec, rename_plan, resolve_collisions
 
 KINDS = ("filter", "extractor", "converter", "template", "all_in_one")
 
@@ -47,7 +49,7 @@ BUILTIN: dict[str, dict[str, Callable]] = {
     },
     "template": {
         "template": lambda a, k: (lambda f, t: N.t_template(a[0] if a else k["template"], f, t)),
-        "stringsmith": lambda a, k: (lambda f, t: section_template(a[0] if a else k.get("template", ""), "fields", t)),
+        "section": lambda a, k: (lambda f, t: section_template(a[0] if a else k.get("template", ""), "fields", t)),
         "join": lambda a, k: (lambda f, t: N.t_join(*a, sep=k.get("separator", "_"), fields=f, fields_type=t)),
     },
     "all_in_one": {
@@ -95,6 +97,9 @@ def from_dict(spec: Mapping) -> RenameSpec:
     """D1 (+U3 ordering rules): build a RenameSpec from a spec dict; unknown steps are errors (Q21)."""
     pipe = spec.get("pipeline", spec)
     coll = spec.get("collision_handling", {})
+    for name in ("on_internal_collision", "on_existing_collision"):
+        if coll.get(name, "skip") not in POLICIES:
+            raise ValueError(f"{name}: unknown policy {coll[name]!r}; policies: {', '.join(POLICIES)}")
     filters = []
     for f in pipe.get("filters", []) or []:
         name = f.get("name", "")
@@ -122,3 +127,24 @@ def from_dict(spec: Mapping) -> RenameSpec:
         out.template = resolve("template", tp["name"], tp.get("args", []), tp.get("kwargs"))
     return out
 
+
+class Pipeline:
+    """A declarative spec ready to run over a file catalog.
+
+    >>> Pipeline.from_dict({"pipeline": {...}, "collision_handling": {...}}).run(catalog)
+    """
+
+    def __init__(self, spec: RenameSpec):
+        self.spec = spec
+
+    @classmethod
+    def from_dict(cls, spec: Mapping) -> Pipeline:
+        return cls(from_dict(spec))
+
+    def plan(self, catalog: DataFrame) -> DataFrame:
+        """One row for each file."""
+        return rename_plan(catalog, self.spec)
+
+    def run(self, catalog: DataFrame) -> DataFrame:
+        """Changed rows with final names and actions under the spec's collision policies; the catalog's files exist."""
+        return resolve_collisions(self.plan(catalog), self.spec.on_internal_collision, self.spec.on_existing_collision, catalog)

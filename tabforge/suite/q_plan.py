@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from .. import inputs
 from ..plans import rename as R
-from ..plans.spec import from_dict
+from ..plans.spec import Pipeline, from_dict, register_step
+from ..sources.catalog import with_name_parts
 from .q_naming import _title_sql
 from .registry import query
 
@@ -70,8 +71,84 @@ def plan_flags(spark, sf_dir):
 SELECT old_path, CASE WHEN n > 1 AND k > 0 THEN substr(new_name, 1, length(new_name) - length(extension)) || '_' ||
   CAST(k AS VARCHAR) || extension ELSE new_name END AS new_name, 'rename' AS action FROM r""")
 def plan_resolve_internal(spark, sf_dir):
-    _, p = plan(spark, sf_dir)
-    return R.resolve_collisions(p, internal="append_number").select("old_path", "new_name", "action")
+    """P7 with the policy of the spec."""
+    cat = inputs.catalog(spark, sf_dir)
+    pipe = Pipeline.from_dict(SPEC)
+    return R.resolve_collisions(pipe.plan(cat), internal=pipe.spec.on_internal_collision).select("old_path", "new_name", "action")
+
+
+# A folder for each 40 orders. Ten files: n0 .. n7 move one on, so that each wants the place of the next; n8 wants n9, which
+# stays in every second folder and leaves it in the others. Ten want one name, of which numbers 1, 3 and 07 are there.
+_FOLDER = """SELECT o_orderkey AS id, '/q/' || CAST(CAST(floor(o_orderkey / 40) AS BIGINT) AS STRING) AS parent,
+  CASE WHEN o_orderkey % 40 < 10 THEN 'n' || CAST(o_orderkey % 40 AS STRING)
+       WHEN o_orderkey % 40 < 20 THEN 'x' || CAST(o_orderkey % 40 AS STRING)
+       WHEN o_orderkey % 40 = 20 THEN 'Same_1' WHEN o_orderkey % 40 = 21 THEN 'Same_3' WHEN o_orderkey % 40 = 22 THEN 'Same_07'
+       WHEN o_orderkey % 40 = 23 THEN 'Same' ELSE 'y' || CAST(o_orderkey AS STRING) END AS base
+FROM (SELECT o_orderkey FROM {orders} UNION SELECT o_orderkey + 1 FROM {orders} UNION SELECT o_orderkey + 2 FROM {orders})"""
+
+
+def folders(spark, sf_dir):
+    df = spark.sql(_FOLDER, orders=spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
+    return with_name_parts(df.select(F.concat("parent", F.lit("/"), "base", F.lit(".txt")).alias("path"), F.lit(1).cast("bigint").alias("size")))
+
+
+def _move_on(df):
+    n = F.regexp_extract("base_name", r"^n(\d+)$", 1).try_cast("int")
+    last = F.regexp_extract("parent", r"(\d+)$", 1).cast("bigint") % 2 == 0
+    return (F.when(n < 9, F.concat(F.lit("n"), (n + 1).cast("string"))).when((n == 9) & ~last, F.lit("gone"))
+            .when(F.col("base_name").rlike("^x"), F.lit("Same")).otherwise(F.col("base_name")))
+
+
+_FOLDER_CTE = f"""f AS ({_FOLDER.replace('{orders}', 'orders').replace('AS STRING', 'AS VARCHAR')}),
+t AS (SELECT *, CASE WHEN base LIKE 'n_' AND base <> 'n9' THEN 'n' || CAST(id % 40 + 1 AS VARCHAR)
+  WHEN base = 'n9' AND floor(id / 40) % 2 = 1 THEN 'gone' WHEN base LIKE 'x%' THEN 'Same' ELSE base END AS target FROM f)"""
+
+
+def _checked(resolved, catalog):
+    """Fail the query if two final paths agree or one is that of a file that stays."""
+    moved = resolved.where("action = 'rename'")
+    stays = catalog.join(moved.select(F.col("old_path").alias("path")), "path", "left_anti").select(F.col("path").alias("new_path"))
+    twice = moved.select("new_path").unionByName(stays).groupBy("new_path").agg(F.count(F.lit(1)).alias("__uses"))
+    ok = F.assert_true(F.col("__uses") == 1, F.concat(F.lit("two files on "), F.col("new_path")))
+    return (resolved.join(twice, "new_path", "left").where(F.when(F.col("action") == "rename", ok.isNull()).otherwise(F.lit(True))))
+
+
+@query("plan_resolve_chain", f"""WITH {_FOLDER_CTE}, w AS (SELECT *, lead(id) OVER (PARTITION BY parent ORDER BY id) AS nid,
+  CASE WHEN base LIKE 'n_' AND base <> 'n9' AND lead(base) OVER (PARTITION BY parent ORDER BY id) = target THEN 1 ELSE 0 END AS waits FROM t),
+-- runs of neighbours n<k>, n<k+1>: all are stuck if the run ends in an n9 that stays
+r AS (SELECT *, sum(CASE WHEN base LIKE 'n_' AND prev_waits = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY parent ORDER BY id) AS run
+  FROM (SELECT *, lag(waits) OVER (PARTITION BY parent ORDER BY id) AS prev_waits FROM w)),
+e AS (SELECT *, last_value(base) OVER (PARTITION BY parent, run ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS tail FROM r)
+SELECT parent || '/' || base || '.txt' AS old_path, CASE WHEN base LIKE 'x%' THEN
+    CASE WHEN (SELECT count(*) FROM t u WHERE u.parent = e.parent AND u.base LIKE 'x%') > 1
+           OR EXISTS (SELECT 1 FROM t u WHERE u.parent = e.parent AND u.base = 'Same') THEN 'skip' ELSE 'rename' END
+  WHEN base LIKE 'n_' AND tail = 'n9' AND floor(id / 40) % 2 = 0 THEN 'skip' ELSE 'rename' END AS action
+FROM e WHERE target <> base""")
+def plan_resolve_chain(spark, sf_dir):
+    """P8 ``skip``: a file that stays blocks the whole chain of files that wait for its place."""
+    cat = folders(spark, sf_dir)
+    spec = {"pipeline": {"all_in_one": {"name": "move_on"}}, "collision_handling": {"on_internal_collision": "skip", "on_existing_collision": "skip"}}
+    register_step("all_in_one", "move_on", _move_on)
+    return _checked(Pipeline.from_dict(spec).run(cat), cat).select("old_path", "action")
+
+
+@query("plan_resolve_existing", f"""WITH {_FOLDER_CTE}, held AS (SELECT parent, list(base) AS names FROM t WHERE target = base GROUP BY parent),
+x AS (SELECT t.*, row_number() OVER (PARTITION BY t.parent ORDER BY base) AS rn, coalesce(h.names, []) AS names FROM t LEFT JOIN held h USING (parent)
+  WHERE base LIKE 'x%'),
+free AS (SELECT *, CASE WHEN list_contains(names, 'Same') THEN rn ELSE rn - 1 END AS r,
+  list_filter(range(1, 60), lambda k: NOT list_contains(names, 'Same_' || CAST(k AS VARCHAR))) AS numbers FROM x)
+SELECT parent || '/' || base || '.txt' AS old_path, 'Same' || CASE WHEN r = 0 THEN '' ELSE '_' || CAST(numbers[r] AS VARCHAR) END || '.txt' AS new_name,
+  'rename' AS action FROM free
+UNION ALL SELECT parent || '/' || base || '.txt', CASE WHEN target = 'n9' AND floor(id / 40) % 2 = 0
+    AND EXISTS (SELECT 1 FROM t u WHERE u.parent = t.parent AND u.base = 'n9') THEN 'n9_1.txt' ELSE target || '.txt' END, 'rename'
+FROM t WHERE target <> base AND base NOT LIKE 'x%'""")
+def plan_resolve_existing(spark, sf_dir):
+    """P7 and P8 ``append_number``: the next free numbers, past planned and staying names."""
+    cat = folders(spark, sf_dir)
+    spec = {"pipeline": {"all_in_one": {"name": "move_on"}},
+            "collision_handling": {"on_internal_collision": "append_number", "on_existing_collision": "append_number"}}
+    register_step("all_in_one", "move_on", _move_on)
+    return _checked(Pipeline.from_dict(spec).run(cat), cat).select("old_path", "new_name", "action")
 
 
 @query("plan_resolve_skip", f"""WITH {PLAN_CTE}, r AS (SELECT *, count(*) OVER (PARTITION BY parent, new_name) AS n FROM changes)

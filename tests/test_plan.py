@@ -56,3 +56,50 @@ def test_spec_errors_and_custom_steps(spark):
     cat = catalog(spark, ["HR_x.pdf"])
     spec = from_dict({"pipeline": {"extractor": {"name": "split", "args": ["_", "a", "b"]}, "template": {"name": "dash"}}})
     assert R.rename_plan(cat, spec).first().new_name == "HR-x.pdf"
+
+
+def moves(spark, pairs, **kw):
+    """{old: (new, action)} of a plan with the given old -> new names over those files and the ones in ``also``."""
+    also = kw.pop("also", [])
+    cat = catalog(spark, [a for a, _ in pairs] + also)
+    names = dict(pairs)
+    new = F.col("file_name")
+    for a, b in pairs:
+        new = F.when(F.col("file_name") == a, F.lit(names[a])).otherwise(new)
+    plan = cat.select(F.col("path").alias("old_path"), F.col("file_name").alias("old_name"), "parent", "extension", F.lit(True).alias("kept"),
+                      new.alias("new_name"), F.lit(None).cast("string").alias("error"))
+    got = {r.old_name: (r.new_name, r.action) for r in R.resolve_collisions(plan, catalog=cat, **kw).collect()}
+    final = [b for b, action in got.values() if action == "rename"]
+    stays = [r.file_name for r in cat.collect() if got.get(r.file_name, ("", "skip"))[1] != "rename"]
+    assert len(set(final) | set(stays)) == len(final) + len(stays)
+    return got
+
+
+def test_numbers_avoid_planned_and_existing_names(spark):
+    got = moves(spark, [("a.txt", "X.txt"), ("b.txt", "X.txt"), ("c.txt", "X_1.txt")], internal="append_number")
+    assert got == {"a.txt": ("X.txt", "rename"), "b.txt": ("X_2.txt", "rename"), "c.txt": ("X_1.txt", "rename")}
+    got = moves(spark, [("q.txt", "Q.txt")], also=["Q.txt", "Q_1.txt", "Q_02.txt", "Q_3.txt"], internal="append_number", existing="append_number")
+    assert got == {"q.txt": ("Q_2.txt", "rename")}
+    got = moves(spark, [(f"f{i}.txt", "T.txt") for i in range(6)], also=["T_2.txt", "T_3.txt", "T_5.txt"],
+                internal="append_number", existing="append_number")
+    assert [got[f"f{i}.txt"][0] for i in range(6)] == ["T.txt", "T_1.txt", "T_4.txt", "T_6.txt", "T_7.txt", "T_8.txt"]
+
+
+def test_skipped_rows_stay_and_block(spark):
+    got = moves(spark, [("a.txt", "Z.txt"), ("b.txt", "Z.txt"), ("c.txt", "a.txt")])
+    assert {k: v[1] for k, v in got.items()} == {"a.txt": "skip", "b.txt": "skip", "c.txt": "skip"}
+    chain = [(f"n{i}.txt", f"n{i + 1}.txt") for i in range(9)]
+    assert set(moves(spark, chain, also=["n9.txt"]).values()) == {(b, "skip") for _, b in chain}
+    assert {v[1] for v in moves(spark, chain).values()} == {"rename"}
+    ring = [("a.txt", "b.txt"), ("b.txt", "c.txt"), ("c.txt", "a.txt")]
+    assert {v[1] for v in moves(spark, ring, existing="error").values()} == {"rename"}
+
+
+def test_pipeline_takes_policies_from_the_spec(spark):
+    from tabforge.plans.spec import Pipeline
+    spec = {"pipeline": {"all_in_one": {"name": "uppercase"}}, "collision_handling": {"on_existing_collision": "append_number"}}
+    cat = catalog(spark, ["b.txt", "B.txt"])
+    got = {r.old_name: (r.new_name, r.action) for r in Pipeline.from_dict(spec).run(cat).collect()}
+    assert got == {"b.txt": ("B_1.txt", "rename")}
+    with pytest.raises(ValueError):
+        Pipeline.from_dict({**spec, "collision_handling": {"on_internal_collision": "shrug"}})
