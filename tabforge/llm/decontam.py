@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .stage import Stage, text_or_empty
+from .stage import Stage, only, text_or_empty
 
 WINDOW = 8
 #: Words that are not placeholders which a window of an item must hold to be searched.
@@ -95,7 +95,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, win
 
     # values of the windows with placeholders, for each diagonal
     slotted = hits.where("slots > 0")
-    again = rows.join(slotted.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", words_of(F.col("text")).alias("mine"))
+    again = only(rows, st.put("slotted", slotted.select("doc_id").distinct())).select("doc_id", words_of(F.col("text")).alias("mine"))
     pairs = (slotted.join(grams.select("item_id", "pos", "h", "part", "values", "size"), ["item_id", "pos", "h"]).join(again, "doc_id")
              .withColumn("own", F.expr("slice(mine, at + 1, size)"))
              .where(template_of(F.col("own")) == F.col("part"))  # of repeated rows, the one that the hit is in
