@@ -14,6 +14,10 @@ expressed here.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from xml.sax.saxutils import escape
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +93,27 @@ def set_extension(spark: SparkSession, folder: str, ext: str) -> None:
             fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), name[:-4] + ext))
 
 
+def write_workbook(spark: SparkSession, path: str, sheets: dict[str, list[list]]) -> None:
+    """Write a small workbook (inline strings and numbers) through the Hadoop FileSystem API: a fixture."""
+    def cell(r, c, v):
+        ref = f"{chr(65 + c)}{r + 1}"
+        return f'<c r="{ref}"><v>{v}</v></c>' if isinstance(v, (int, float)) else f'<c r="{ref}" t="inlineStr"><is><t>{escape(v)}</t></is></c>'
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        names = "".join(f'<sheet name="{n}" sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(sheets, 1))
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>{names}</sheets></workbook>')
+        links = "".join(f'<Relationship Id="r{i}" Target="worksheets/s{i}.xml"/>' for i in range(1, len(sheets) + 1))
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{links}</Relationships>')
+        for i, rows in enumerate(sheets.values(), 1):
+            body = "".join(f'<row r="{r + 1}">' + "".join(cell(r, c, v) for c, v in enumerate(row)) + "</row>" for r, row in enumerate(rows))
+            z.writestr(f"xl/worksheets/s{i}.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -161,104 +161,51 @@ def spark_type(label: str) -> T.DataType:
     return SPARK_TYPE.get(label, T.StringType())
 
 
-def to_struct(types: Mapping[str, str], bool_datetime_as_string: bool = True) -> T.StructType:
+def to_struct(types: Mapping[str, str]) -> T.StructType:
     return T.StructType([T.StructField(c, spark_type(t), True) for c, t in types.items()])
 
 
+#: Text that is a decimal number. Casts alone would also take suffixes ('12D') that are no numbers.
+NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$|^(?i)[+-]?(inf|infinity|nan)$"
+
+
+def _label(n: int, b: int, i: int, d: int) -> str:
+    if n == 0:
+        return "object"
+    return "bool" if b == n else "int64" if i == n else "float64" if d == n else "object"
+
+
 def profile_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
     """Infer a dtype label per string column in ONE aggregate pass.
 
     Rule: a column is ``bool`` if every non-null value is true/false, ``int64``
-    if every non-null value parses as a long, ``float64`` if as a double,
-    ``object`` otherwise; an all-null column is ``object``. Non-string
+    if every non-null value is a whole number of 64 bits, ``float64`` if a decimal
+    number, ``object`` otherwise; an all-null column is ``object``. Non-string
     columns keep their own type.
     """
-    columns = list(columns or df.columns)
-    aggs = []
-    string_cols = []
-    for c in columns:
-        if not isinstance(df.schema[c].dataType, T.StringType):
-            continue
-        string_cols.append(c)
-        v = F.trim(F.col(f"`{c}`"))
-        nn = v.isNotNull() & (v != "")
-        aggs += [
-            F.count_if(nn).alias(f"{c}\x00n"),
-            F.count_if(nn & F.lower(v).isin("true", "false")).alias(f"{c}\x00b"),
-            F.count_if(nn & v.try_cast("bigint").isNotNull()).alias(f"{c}\x00i"),
-            F.count_if(nn & v.try_cast("double").isNotNull()).alias(f"{c}\x00d"),
-        ]
-    counts = df.agg(*aggs).first() if aggs else None
-    out = {}
-    for c in columns:
-        if c not in string_cols:
-            out[c] = label_of(df.schema[c].dataType)
-            continue
-        n, b, i, d = (counts[f"{c}\x00{k}"] for k in "nbid")
-        if n == 0:
-            out[c] = "object"
-        elif b == n:
-            out[c] = "bool"
-        elif i == n:
-            out[c] = "int64"
-        elif d == n:
-            out[c] = "float64"
-        else:
-            out[c] = "object"
-    return out
-
-
-def _profile_aggs(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[Column]]:
-    string_cols, aggs = [], []
-    for c in columns:
-        if not isinstance(df.schema[c].dataType, T.StringType):
-            continue
-        string_cols.append(c)
-        v = F.trim(F.col(f"`{c}`"))
-        nn = v.isNotNull() & (v != "")
-        aggs += [
-            F.count_if(nn), F.count_if(nn & F.lower(v).isin("true", "false")),
-            F.count_if(nn & v.try_cast("bigint").isNotNull()), F.count_if(nn & v.try_cast("double").isNotNull()),
-        ]
-    return string_cols, aggs
-
-
-def _label(n: int, b: int, i: int, d: int) -> str:
-    if n == 0:
-        return "object"
-    if b == n:
-        return "bool"
-    if i == n:
-        return "int64"
-    if d == n:
-        return "float64"
-    return "object"
+    return profile_many([df], [list(columns or df.columns)])[0]
 
 
 def profile_many(dfs: Sequence[DataFrame], columns: Sequence[Sequence[str]]) -> list[dict[str, str]]:
     """:func:`profile_types` for several frames in ONE job (one single-row aggregate per frame, unioned)."""
     parts, metas = [], []
     for gi, (df, cols) in enumerate(zip(dfs, columns)):
-        string_cols, aggs = _profile_aggs(df, cols)
-        metas.append((df, cols, string_cols))
+        strings = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+        aggs = []
+        for c in strings:
+            v = F.trim(F.col(f"`{c}`"))
+            nn = v.isNotNull() & (v != "")
+            aggs += [F.count_if(nn), F.count_if(nn & F.lower(v).isin("true", "false")),
+                     F.count_if(nn & v.rlike("^[+-]?[0-9]+$") & v.try_cast("bigint").isNotNull()), F.count_if(nn & v.rlike(NUMBER))]
+        metas.append((df, cols, strings))
         arr = F.array(*[a.cast("bigint") for a in aggs]) if aggs else F.array().cast("array<bigint>")
         parts.append(df.agg(arr.alias("counts")).select(F.lit(gi).alias("g"), "counts"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     got = {r["g"]: r["counts"] for r in out.collect()}
-    result = []
-    for gi, (df, cols, string_cols) in enumerate(metas):
-        counts = got[gi]
-        prof = {}
-        for c in cols:
-            if c in string_cols:
-                k = 4 * string_cols.index(c)
-                prof[c] = _label(*counts[k:k + 4])
-            else:
-                prof[c] = label_of(df.schema[c].dataType)
-        result.append(prof)
-    return result
+    return [{c: _label(*got[gi][4 * strings.index(c):4 * strings.index(c) + 4]) if c in strings else label_of(df.schema[c].dataType)
+             for c in cols} for gi, (df, cols, strings) in enumerate(metas)]
 
 
 def _cast(c: Column, src: T.DataType, dst: T.DataType) -> Column:
@@ -267,6 +214,8 @@ def _cast(c: Column, src: T.DataType, dst: T.DataType) -> Column:
     if isinstance(src, T.StringType):
         c = F.trim(c)
         c = F.when(c == "", F.lit(None)).otherwise(c)
+        if isinstance(dst, (T.DoubleType, T.FloatType, T.LongType)):
+            c = F.when(c.rlike(NUMBER), c)
     return c.try_cast(dst)
 
 

@@ -1,14 +1,15 @@
-"""Folder harmonisation end to end, as one lazy Spark plan.
+"""Folder harmonisation end to end.
 
-scan per header group -> lineage (S8) -> normalise/alias/split (H1-H3)
--> type profile + bad-file status in one aggregate pass per group (H4, S10)
--> merged types (H5) -> align with try_cast (H7) -> union (H8) -> number (I1-I3).
+Every file is parsed once into tables below the shared folder (lines and cells of CSV files, cells of workbooks, rows
+of JSON documents). Headers, failures, types and split counts come from these tables; then, lazily: normalise, alias
+and split (H1-H3), align with try_cast (H7), union (H8), number (I1-I3). Work grows with the rows and once with the
+number of layouts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,9 @@ from pyspark.sql import types as T
 
 from ..operators import harmonize as H
 from ..operators.indexing import POS_COLS, with_index
+from ..operators.ordering import write_and_read
+from ..sources import excel, jsonsrc
 from ..sources import folder as S
-from ..sources import jsonsrc
-
-BROADCAST_FILES = 200_000
 
 
 @dataclass
@@ -38,7 +38,8 @@ class HarmonizeConfig:
     column_types: Mapping[str, str] | None = None
     on_error: str = "skip"                         # S10: skip | fail
     read_options: Mapping | None = None
-    json_object_root: bool = False                 # S6 for .json files
+    json_object_root: bool | None = None           # S6 for .json files; None: as each file's root is
+    sheets: Sequence[str | int] | None = (0,)      # S4: sheets of .xlsx files by place or name; None: all
 
 
 @dataclass
@@ -46,7 +47,7 @@ class HarmonizeResult:
     data: DataFrame
     types: dict[str, str]
     file_status: DataFrame
-    groups: list = field(default_factory=list)
+    layouts: int = 0
 
 
 def schema_from_columns(columns: Sequence[str] | str, types: Mapping[str, str] | None = None) -> dict[str, str]:
@@ -69,79 +70,86 @@ def _normalise(df: DataFrame, raw_cols: Sequence[str], cfg: HarmonizeConfig) ->
     return out
 
 
+def csv_frames(lines: DataFrame, options: Mapping | None) -> tuple[DataFrame, list[tuple[DataFrame, list[str]]]]:
+    """(status rows, [(frame, raw columns)]) of written CSV lines."""
+    headers = write_and_read(S.headers_of(lines, options), "headers")
+    cells = S.csv_cells(lines, headers, options)
+    cells = write_and_read(cells, "cells")
+    # a file of a header alone has no cells, but it was read
+    seen = cells.select("source_file", "failed", F.lit(1).cast("long").alias("rows")).unionByName(
+        headers.select("source_file", F.lit(False).alias("failed"), F.lit(0).cast("long").alias("rows")))
+    return seen, [(S.layout_frame(cells, k, cols).drop("__sheet"), cols) for k, cols in S.layouts_of(headers)]
+
+
 def _group_frames(spark: SparkSession, root: str, cfg: HarmonizeConfig):
+    """(status rows, [normalised frame]) of all files; a status row is (source_file, failed, rows)."""
     root_uri = S.qualify(spark, root)
     types = S.normalize_types(cfg.types)
-    sep = S.filter_options(cfg.read_options, S.CSV_OPTION_ALIASES).get("sep", ",")
-    frames = []
-    if "csv" in types:
-        for header, files in S.header_groups(spark, root, "csv", cfg.recursive):
-            raw = S.dedupe_names(S.parse_header(header, sep))
-            df = S.read_csv_group(spark, files, raw, root_uri, cfg.read_options)
-            df = df.withColumn("__failed", S.long_row_flag(len(raw), sep, raw)).drop(S.CORRUPT)
-            frames.append(("csv", files, _normalise(df, raw, cfg)))
+    seen, frames = [], []
+    if "csv" in types and (text := S.text_scan(spark, root, "csv", cfg.recursive)) is not None:
+        lines = write_and_read(S.csv_lines(text, root_uri, cfg.read_options), "lines")
+        status, found = csv_frames(lines, cfg.read_options)
+        seen.append(status)
+        frames += [_normalise(df, raw, cfg) for df, raw in found]
+    if "xlsx" in types:
+        rows = write_and_read(excel.read_excel_folder(spark, root, cfg.sheets, cfg.recursive), "workbooks")
+        cells, headers = excel.excel_cells(rows, root_uri)
+        if not cells.isEmpty():
+            seen.append(cells.select("source_file", "failed", F.lit(1).cast("long").alias("rows")))
+            for k, cols in S.layouts_of(headers):
+                frames.append(_normalise(S.layout_frame(cells, k, cols).withColumnRenamed("__sheet", "sheet_name"), cols, cfg))
     if "json" in types:
-        for files, df, raw in jsonsrc.json_groups(spark, root, root_uri, cfg.recursive, cfg.json_object_root,
-                                                  cfg.read_options):
-            frames.append(("json", files, _normalise(df, raw, cfg)))
-    return frames
+        status, found = jsonsrc.json_frames(spark, root, root_uri, cfg.recursive, cfg.json_object_root, cfg.read_options)
+        if status is not None:
+            seen.append(status)
+            frames += [_normalise(df, raw, cfg) for df, raw in found]
+    return seen, frames
 
 
 def _data_cols(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in ("source_file", "__failed", "sheet_name") and c not in POS_COLS]
+    return [c for c in df.columns if c not in ("source_file", "sheet_name") and c not in POS_COLS]
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out
 
 
 def harmonize_folder(spark: SparkSession, root: str, config: HarmonizeConfig | None = None) -> HarmonizeResult:
     cfg = config or HarmonizeConfig()
-    frames = _group_frames(spark, root, cfg)
-    if not frames:
+    seen, frames = _group_frames(spark, root, cfg)
+    if not seen:
         raise FileNotFoundError(f"no processable files under {root}")
-    n_files = sum(len(f) for _, f, _ in frames)
-
-    statuses = []
-    merged: dict[str, str] = {}
-    for _, files, df in frames:
-        status = df.groupBy("source_file").agg(F.max("__failed").alias("failed"), F.count(F.lit(1)).alias("rows"))
-        statuses.append(status)
-    if cfg.columns is None:  # one profiling job for all header groups
-        goods = [df.filter(~F.col("__failed")) for _, _, df in frames]
-        merged = H.merge_schemas(H.profile_many(goods, [_data_cols(df) for _, _, df in frames]))
+    status = (_union(seen).groupBy("source_file").agg(F.max("failed").alias("failed"), F.sum("rows").alias("rows"))
+              .select("source_file", F.when(F.col("failed"), F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
+                      F.when(F.col("failed"), F.lit(0)).otherwise(F.col("rows")).cast("bigint").alias("rows")))
+    status = write_and_read(status, "status")
+    failed = status.where("status = 'failed'").select("source_file")
+    bad = failed.limit(1).collect()
+    if bad and cfg.on_error == "fail":
+        raise ValueError(f"malformed file: {bad[0]['source_file']}")
+    if bad:
+        frames = [df.join(failed, "source_file", "left_anti") for df in frames]
+
     if cfg.columns is not None:
         merged = schema_from_columns(cfg.columns, cfg.column_types)
-    declared = H.schema_map_types(cfg.schema_map)
-    for c, t in declared.items():
+    else:  # one profiling job for all layouts
+        merged = H.merge_schemas(H.profile_many(frames, [_data_cols(df) for df in frames])) if frames else {}
+    for c, t in H.schema_map_types(cfg.schema_map).items():
         if c in merged:
             merged[c] = t if t in H.TYPE_ORDER else merged[c]
-    if "sheet_name" in {c for _, _, d in frames for c in d.columns}:
+    if any("sheet_name" in d.columns for d in frames):
         merged.setdefault("sheet_name", "object")
     schema = H.to_struct(merged)
-
-    file_status = statuses[0]
-    for s in statuses[1:]:
-        file_status = file_status.unionByName(s)
-    file_status = file_status.select(
-        "source_file", F.when(F.col("failed"), F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
-        F.when(F.col("failed"), F.lit(0)).otherwise(F.col("rows")).cast("bigint").alias("rows"))
-
-    parts = []
-    keep = ["source_file", "__failed", *POS_COLS]
-    for _, _, df in frames:
-        parts.append(H.align_to_schema(df, schema, keep=keep))
-    data = parts[0]
-    for p in parts[1:]:
-        data = data.unionByName(p)
-    if cfg.on_error == "fail":
-        bad = file_status.filter(F.col("status") == "failed").limit(1).collect()
-        if bad:
-            raise ValueError(f"malformed file: {bad[0]['source_file']}")
+    keep = ["source_file", *POS_COLS]
+    if frames:
+        data = _union([H.align_to_schema(df, schema, keep=keep) for df in frames])
     else:
-        failed = file_status.filter(F.col("status") == "failed").select("source_file")
-        if n_files <= BROADCAST_FILES:
-            failed = F.broadcast(failed)
-        data = data.join(failed, "source_file", "left_anti")
-    data = data.drop("__failed")
+        data = H.align_to_schema(spark.createDataFrame([], "source_file STRING, __file STRING, __blk BIGINT, __mid BIGINT"), schema, keep=keep)
     data = with_index(data, cfg.index_mode, cfg.index_start, "source_file", index_col=cfg.index_col)
-    return HarmonizeResult(data=data, types=merged, file_status=file_status, groups=[f for _, f, _ in frames])
+    return HarmonizeResult(data=data, types=merged, file_status=status, layouts=len(frames))
 
 
 def detect_schema(spark: SparkSession, root: str, config: HarmonizeConfig | None = None) -> DataFrame:

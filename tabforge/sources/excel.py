@@ -1,12 +1,8 @@
 """Excel workbooks (.xlsx) without a spreadsheet library.
 
-Workbooks are listed with ``binaryFile`` and parsed one per row inside
-``mapInPandas`` (stdlib ``zipfile`` + ``xml.etree``): a workbook is the unit
-of work, so parallelism comes from many workbooks. Each data row becomes
-``(path, sheet_name, row_number, record MAP<header, value>)``; the table
-is then widened with plain Spark expressions over the distinct headers.
-Numbers, shared/inline strings and booleans are read as text (dates stay
-serial numbers: cell styles are not interpreted).
+A workbook is the unit of work: it is parsed as a stream of XML events inside ``mapInPandas`` (``zipfile`` and
+``iterparse`` of the standard library) and its rows leave in small batches. Numbers, shared and inline strings and
+booleans are read as text (dates stay serial numbers: cell styles are not interpreted).
 """
 
 from __future__ import annotations
@@ -21,10 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .folder import relative_path
+
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
       "p": "http://schemas.openxmlformats.org/package/2006/relationships"}
-OUT_SCHEMA = "path STRING, sheet_name STRING, row_number BIGINT, record MAP<STRING, STRING>"
+OUT_SCHEMA = "path STRING, sheet_name STRING, sheet_pos BIGINT, row_number BIGINT, header ARRAY<STRING>, cells ARRAY<STRING>, failed BOOLEAN"
+BATCH_ROWS = 5000
 
 
 def _col_index(ref: str) -> int:
@@ -35,66 +34,85 @@ def _col_index(ref: str) -> int:
     return n - 1
 
 
-def parse_workbook(data: bytes, sheets: Sequence[str | int] | None = (0,)) -> Iterator[tuple[str, int, dict]]:
-    """Yield (sheet name, data row number, {header: text}) for the chosen sheets (None = all)."""
-    z = zipfile.ZipFile(io.BytesIO(data))
-    shared = []
+def _tag(name: str) -> str:
+    return f"{{{NS['m']}}}{name}"
+
+
+def _shared_strings(z: zipfile.ZipFile) -> list[str]:
+    out = []
     if "xl/sharedStrings.xml" in z.namelist():
-        for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", NS):
-            shared.append("".join(t.text or "" for t in si.iter(f"{{{NS['m']}}}t")))
+        with z.open("xl/sharedStrings.xml") as f:
+            for _, si in ET.iterparse(f):
+                if si.tag == _tag("si"):
+                    out.append("".join(t.text or "" for t in si.iter(_tag("t"))))
+                    si.clear()
+    return out
+
+
+def _text(cell, shared: list[str]) -> str | None:
+    kind, v = cell.get("t"), cell.find("m:v", NS)
+    if kind == "inlineStr":
+        return "".join(x.text or "" for x in cell.iter(_tag("t")))
+    if v is None or v.text is None:
+        return None
+    return shared[int(v.text)] if kind == "s" else ("True" if v.text == "1" else "False") if kind == "b" else v.text
+
+
+def parse_workbook(data: bytes, sheets: Sequence[str | int] | None = (0,)) -> Iterator[tuple[str, int, int, list, list]]:
+    """Yield (sheet name, sheet position, data row number, header, cells) for the chosen sheets (None = all)."""
+    z = zipfile.ZipFile(io.BytesIO(data))
+    shared = _shared_strings(z)
     wb = ET.fromstring(z.read("xl/workbook.xml"))
     rels = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")).findall("p:Relationship", NS)}
     entries = [(s.get("name"), rels[s.get(f"{{{NS['r']}}}id")]) for s in wb.find("m:sheets", NS).findall("m:sheet", NS)]
-    chosen = entries if sheets is None else [e for i, e in enumerate(entries) if i in sheets or e[0] in sheets]
-    for name, target in chosen:
+    for at, (name, target) in enumerate(entries):
+        if sheets is not None and at not in sheets and name not in sheets:
+            continue
         target = target.lstrip("/")
-        target = target if target.startswith("xl/") else "xl/" + target
-        root = ET.fromstring(z.read(target))
-        header = None
-        n = 0
-        for row in root.iter(f"{{{NS['m']}}}row"):
-            cells = {}
-            for c in row.findall("m:c", NS):
-                t, v = c.get("t"), c.find("m:v", NS)
-                if t == "s":
-                    text = shared[int(v.text)] if v is not None else None
-                elif t == "inlineStr":
-                    text = "".join(x.text or "" for x in c.iter(f"{{{NS['m']}}}t"))
-                elif t == "b":
-                    text = None if v is None else ("True" if v.text == "1" else "False")
-                else:
-                    text = None if v is None else v.text
-                cells[_col_index(c.get("r"))] = text
-            if header is None:
-                header = {i: (h or f"Unnamed: {i}") for i, h in cells.items()}
-                continue
-            yield name, n, {header[i]: val for i, val in cells.items() if i in header}
-            n += 1
+        header, n = None, 0
+        with z.open(target if target.startswith("xl/") else "xl/" + target) as f:
+            for _, row in ET.iterparse(f):
+                if row.tag != _tag("row"):
+                    continue
+                cells = {_col_index(c.get("r")): _text(c, shared) for c in row.findall("m:c", NS)}
+                row.clear()
+                if header is None:
+                    width = max(cells, default=-1) + 1
+                    header = [cells.get(i) or f"Unnamed: {i}" for i in range(width)]
+                elif any(v is not None for v in cells.values()):
+                    yield name, at, n, header, [cells.get(i) for i in range(len(header))]
+                    n += 1
 
 
 def read_excel_folder(spark: SparkSession, root: str, sheets: Sequence[str | int] | None = (0,),
                       recursive: bool = True) -> DataFrame:
-    """Long form of every chosen sheet of every .xlsx under ``root`` (one task per workbook)."""
+    """The rows of every chosen sheet of every .xlsx under ``root``; an unreadable workbook is one row with ``failed``."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
              .option("pathGlobFilter", "*.[xX][lL][sS][xX]").load(root).select("path", "content"))
+    names = ["path", "sheet_name", "sheet_pos", "row_number", "header", "cells", "failed"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
             for path, content in zip(b["path"], b["content"]):
+                out = []
                 try:
-                    for sheet, n, rec in parse_workbook(bytes(content), sheets):
-                        out.append((path, sheet, n, rec))
-                except (zipfile.BadZipFile, KeyError, ET.ParseError):
-                    out.append((path, None, None, None))  # unreadable workbook -> status row
-            yield pd.DataFrame(out, columns=["path", "sheet_name", "row_number", "record"])
+                    for row in parse_workbook(bytes(content), sheets):
+                        out.append((path, *row, False))
+                        if len(out) == BATCH_ROWS:
+                            yield pd.DataFrame(out, columns=names)
+                            out = []
+                except (zipfile.BadZipFile, KeyError, IndexError, ValueError, ET.ParseError):
+                    out.append((path, None, None, None, None, None, True))
+                if out:
+                    yield pd.DataFrame(out, columns=names)
 
     return files.mapInPandas(run, OUT_SCHEMA)
 
 
-def widen(long: DataFrame) -> DataFrame:
-    """Long records -> one column per distinct header (headers collected: small)."""
-    keys = sorted({k for r in long.select(F.explode(F.map_keys("record")).alias("k")).distinct().collect()
-                   for k in [r["k"]] if k is not None})
-    return long.filter(F.col("record").isNotNull()).select(
-        "path", "sheet_name", "row_number", *[F.col("record").getItem(k).alias(k) for k in keys])
+def excel_cells(rows: DataFrame, root_uri: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of :func:`read_excel_folder` -> (cells, headers) in the form of the CSV scan; a sheet is a split."""
+    named = rows.withColumn("source_file", relative_path(F.col("path"), root_uri)).withColumn("layout", F.xxhash64("header"))
+    cells = named.select("source_file", "sheet_name", F.coalesce("sheet_pos", F.lit(0).cast("long")).alias("blk"),
+                         F.coalesce("row_number", F.lit(0).cast("long")).alias("mid"), "layout", "cells", "failed")
+    headers = named.where("header IS NOT NULL").groupBy("source_file", "sheet_name", "layout").agg(F.first("header").alias("header"))
+    return cells, headers

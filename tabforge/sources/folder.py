@@ -1,15 +1,8 @@
-"""Folder scans with mixed headers.
-
-Spark's CSV reader applies one header to every file of a scan, so a folder
-whose files disagree is read as one scan *per distinct header*:
-
-1. ``read.text`` of the folder keeps only the first split of every file and
-   takes each file's first line with ``min_by(value, id)`` (partial aggregate:
-   one row per file leaves each task).
-2. Files are grouped by header; only the distinct headers and their file
-   lists reach the driver (the same paths Spark's own file index holds).
-3. One ``read.csv`` per header with an all-STRING schema and a corrupt-record
-   column; headers become names through plan-time renames.
+"""Folder scans: CSV lines to cells.
+
+Files of one folder disagree about their headers, so lines are scanned once and written with their file and place;
+headers, cells and failures all come from those files. A *layout* is a distinct header; only the distinct layouts
+reach the driver.
 """
 
 from __future__ import annotations
@@ -21,9 +14,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..operators.indexing import scan_positions
 
 # --- fixed values ----------------------------------------------------------
 SUPPORTED_TYPES = ("csv", "xlsx", "json")
@@ -95,74 +85,91 @@ def relative_path(path_col, root_uri: str):
             .otherwise(path_col))
 
 
-def parse_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:
-    """Header line -> column names (driver side, one call per distinct header)."""
-    line = line.lstrip("﻿")
-    row = next(csv.reader(io.StringIO(line), delimiter=sep, quotechar=quote), [])
-    return [c.strip() for c in row]
+def csv_options(options: Mapping | None) -> dict[str, str]:
+    opts = {"sep": ",", "quote": '"', "escape": "\\", "mode": "PERMISSIVE"}
+    return opts | filter_options(options, CSV_OPTION_ALIASES)
 
 
-def header_table(spark: SparkSession, root: str, ext: str = "csv", recursive: bool = True) -> DataFrame:
-    """(path, header) per non-empty file, read from each file's first split only."""
-    lines = (spark.read.format("text")
-             .option("recursiveFileLookup", str(recursive).lower())
-             .option("pathGlobFilter", ext_glob(ext))
-             .load(root)
-             .select("value", F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("blk"))
-             .withColumn("mid", F.monotonically_increasing_id())
-             .filter(F.col("blk") == 0))
-    return lines.groupBy("path").agg(F.min_by("value", "mid").alias("header"))
+def csv_lines(lines: DataFrame, root_uri: str, options: Mapping | None = None) -> DataFrame:
+    """A text scan (batch or stream) -> (source_file, blk, mid, line): lines that hold data, numbered where they stand.
 
-
-def header_groups(spark: SparkSession, root: str, ext: str = "csv", recursive: bool = True) -> list[tuple[str, list[str]]]:
-    """Distinct headers with their (sorted) file lists; small, collected."""
+    Blank lines and lines that begin with the comment character are dropped before they are numbered, so ``mid`` has no
+    gaps inside a split.
+    """
+    opts = csv_options(options)
+    line = F.col("value")
+    if opts.get("encoding", "UTF-8").upper().replace("_", "-") not in ("UTF-8", "UTF8"):
+        line = F.decode(F.col("value").cast("binary"), opts["encoding"])
+    df = lines.select(relative_path(F.col("_metadata.file_path"), root_uri).alias("source_file"),
+                      F.col("_metadata.file_block_start").alias("blk"), F.regexp_replace(line, "^\ufeff", "").alias("line"))
+    keep = F.trim("line") != ""
+    if opts.get("comment"):
+        keep = keep & ~F.startswith("line", F.lit(opts["comment"]))
+    return df.where(keep).withColumn("mid", F.monotonically_increasing_id())
+
+
+def text_scan(spark: SparkSession, root: str, ext: str, recursive: bool = True) -> DataFrame | None:
+    """The lines of all files with an extension; None where there is no such file."""
     try:
-        ht = header_table(spark, root, ext, recursive)
-        rows = ht.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("files")).collect()
-    except Exception as e:  # no matching file at all
+        df = (spark.read.format("text").option("recursiveFileLookup", str(recursive).lower())
+              .option("pathGlobFilter", ext_glob(ext)).load(root))
+        return df.select("value", "_metadata") if df.inputFiles() else None
+    except Exception as e:
         if "PATH_NOT_FOUND" in str(e) or "No such file" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return []
+            return None
         raise
-    return sorted(((r["header"], list(r["files"])) for r in rows), key=lambda x: x[1][0])
 
 
-def read_csv_group(spark: SparkSession, files: Sequence[str], columns: Sequence[str], root_uri: str,
-                   options: Mapping | None = None, positions: bool = True) -> DataFrame:
-    """S3: one scan over files sharing a header; all columns STRING.
+def _array_of(line, width: int, options: Mapping | None):
+    """The first ``width`` fields of a line as an array, NULL where there are fewer."""
+    opts = {k: v for k, v in csv_options(options).items() if k not in ("encoding", "comment", "multiLine", "lineSep")}
+    parsed = F.from_csv(line, ", ".join(f"c{i} STRING" for i in range(width)), opts)
+    return F.array(*[parsed.getField(f"c{i}") for i in range(width)])
 
-    Adds ``source_file`` (S8), the corrupt-record text, and (for numbering)
-    the split-position columns captured on the scan.
-    """
-    n = len(columns)
-    schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(n)]
-                          + [T.StructField(CORRUPT, T.StringType())])
-    opts = {"header": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    opts.update(filter_options(options, CSV_OPTION_ALIASES))
-    df = spark.read.schema(schema).options(**opts).csv(list(files))
-    if positions:
-        df = scan_positions(df)
-    sel = [F.col(f"__c{i}").alias(columns[i]) for i in range(n)]
-    sel += [relative_path(F.col("_metadata.file_path"), root_uri).alias("source_file"), F.col(CORRUPT)]
-    if positions:
-        sel += [F.col(c) for c in ("__file", "__blk", "__mid")]
-    return df.select(*sel)
-
-
-def long_row_flag(n_fields: int, sep: str = ",", columns: Sequence[str] | None = None):
-    """Q28: a corrupt line is *long* (file fails) when it has more fields than the header.
-
-    ``columns`` keeps every data column referenced: with CSV column pruning
-    Spark only checks the token count (and fills the corrupt-record column)
-    when all columns are parsed, and it refuses scans whose only data column
-    is the corrupt-record column.
+
+def parse_header(line: str, options: Mapping | None = None) -> list[str]:
+    """Header line -> column names by the caller's separator, quote and escape (driver side, once for each distinct line)."""
+    opts = csv_options(options)
+    escape = opts["escape"] if opts["escape"] != opts["quote"] else None
+    quote = {"quotechar": opts["quote"]} if opts["quote"] else {"quoting": csv.QUOTE_NONE}
+    row = next(csv.reader(io.StringIO(line), delimiter=opts["sep"][:1], escapechar=escape, **quote), []) if len(opts["sep"]) == 1 else line.split(opts["sep"])
+    return [c.strip() for c in row]
+
+
+def headers_of(lines: DataFrame, options: Mapping | None = None) -> DataFrame:
+    """lines -> (source_file, blk0, mid0, header array, layout) of each file's first line. Only the distinct first lines
+    reach the driver, where they are parsed."""
+    first = lines.groupBy("source_file").agg(F.min_by(F.struct("blk", "mid", "line"), F.struct("blk", "mid")).alias("f"))
+    first = first.select("source_file", F.col("f.blk").alias("blk0"), F.col("f.mid").alias("mid0"), F.col("f.line").alias("line"))
+    known = [(r["line"], parse_header(r["line"], options)) for r in first.select("line").distinct().collect()]
+    names = lines.sparkSession.createDataFrame(known, "line STRING, header ARRAY<STRING>")
+    return first.join(names, "line").select("source_file", "blk0", "mid0", "header", F.xxhash64("header").alias("layout"))
+
+
+def csv_cells(lines: DataFrame, headers: DataFrame, options: Mapping | None = None) -> DataFrame:
+    """(source_file, sheet_name, blk, mid, layout, cells, failed): data lines of written ``lines`` by their file's header.
+
+    ``failed`` marks a line with more fields than its header (Q28); shorter ones are padded with NULL.
     """
-    probe = ", ".join(f"c{i} STRING" for i in range(n_fields + 1))
-    parsed = F.from_csv(F.col(CORRUPT), probe, {"sep": sep, "mode": "PERMISSIVE"})
-    flag = F.col(CORRUPT).isNotNull() & parsed.getField(f"c{n_fields}").isNotNull()
-    if columns:
-        flag = flag & (F.xxhash64(*[F.col(f"`{c}`") for c in columns]).bitwiseOR(F.lit(1)) != 0)
-    return flag
+    width = (headers.agg(F.max(F.size("header"))).first()[0] or 0) + 1
+    n = F.size("header")
+    rows = lines.join(headers, "source_file").where("NOT (blk = blk0 AND mid = mid0)").withColumn("all", _array_of(F.col("line"), width, options))
+    return rows.select("source_file", F.lit(None).cast("string").alias("sheet_name"), "blk", "mid", "layout",
+                       F.slice("all", 1, n).alias("cells"), F.get("all", n).isNotNull().alias("failed"))
+
+
+def layouts_of(headers: DataFrame) -> list[tuple[int, list[str]]]:
+    """Distinct layouts with their column names, in the order of their first files."""
+    rows = headers.groupBy("layout").agg(F.first("header").alias("header"), F.min("source_file").alias("first")).orderBy("first").collect()
+    return [(r["layout"], dedupe_names(r["header"])) for r in rows]
+
+
+def layout_frame(cells: DataFrame, layout: int, columns: Sequence[str]) -> DataFrame:
+    """The rows of one layout with named STRING columns, ``source_file`` and the place columns."""
+    return cells.where(F.col("layout") == layout).select(
+        *[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(columns)], "source_file",
+        F.col("source_file").alias("__file"), F.col("blk").alias("__blk"), F.col("mid").alias("__mid"),
+        F.col("sheet_name").alias("__sheet"))
 
 
 def dedupe_names(names: Sequence[str]) -> list[str]:

@@ -1,16 +1,14 @@
 """JSON folder scans.
 
-Every file is one JSON document (multi-line). Files are read into a single
-VARIANT column, so array-root and object-root files share one scan:
+Every file is one JSON document, read by the multi-line reader, so the elements of an array root are rows of the scan
+and no document has to fit into one value.
 
 * array root (S5): each element is a row.
-* object root (S6): every array-valued key is a "sheet"; its elements are rows
-  tagged with ``sheet_name``; non-array keys are ignored.
-* one-level flatten (S7): object fields of a row are lifted into the row;
-  deeper objects and arrays stay as JSON text.
+* object root (S6): every array-valued key is a "sheet"; its elements are rows tagged with ``sheet_name``; other keys
+  are ignored.
+* one-level flatten (S7): object fields of a row are lifted into the row; deeper objects and arrays stay JSON text.
 
-The element schema comes from one ``schema_of_variant_agg`` aggregate (a
-partial aggregate: one schema string per task leaves the executors).
+The root's kind is decided for each file: what stands before its first ``{`` holds a ``[`` or not.
 """
 
 from __future__ import annotations
@@ -21,133 +19,97 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ordering import write_and_read
 from . import folder as S
 
+BROKEN = "__broken"
 
-def read_json_documents(spark: SparkSession, root: str | Sequence[str], recursive: bool = True,
-                        options: Mapping | None = None) -> DataFrame:
-    """One row per file: (path, v VARIANT); a broken file has v NULL."""
-    opts = {"multiLine": "true", "singleVariantColumn": "v", "mode": "PERMISSIVE"}
-    opts.update({k: v for k, v in S.filter_options(options, S.JSON_OPTION_ALIASES).items() if k != "multiLine"})
-    reader = spark.read.options(**opts)
-    if isinstance(root, str):
-        reader = reader.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", S.ext_glob("json"))
-        df = reader.json(root)
-    else:
-        df = reader.json(list(root))
-    return df.select(F.col("_metadata.file_path").alias("path"), "v")
-
-
-def json_records(docs: DataFrame, object_root: bool | None = None) -> DataFrame:
-    """Explode documents to (path, sheet_name, pos, rec VARIANT).
-
-    ``object_root=None`` decides per file from the document's root kind.
-    """
-    spark = docs.sparkSession
-    root_is_array = "schema_of_variant(v) LIKE 'ARRAY%'"
-    if object_root is True:
-        root_is_array = "false"
-    elif object_root is False:
-        root_is_array = "true"
-    arr = spark.sql(
-        f"SELECT path, CAST(NULL AS STRING) AS sheet_name, 0 AS sheet_pos, e.pos AS pos, e.value AS rec "
-        f"FROM {{docs}}, LATERAL variant_explode(v) e WHERE v IS NOT NULL AND {root_is_array}", docs=docs)
-    obj = spark.sql(
-        f"SELECT path, k.key AS sheet_name, k.pos AS sheet_pos, e.pos AS pos, e.value AS rec "
-        f"FROM {{docs}}, LATERAL variant_explode(v) k, LATERAL variant_explode(k.value) e "
-        f"WHERE v IS NOT NULL AND NOT ({root_is_array}) AND schema_of_variant(k.value) LIKE 'ARRAY%'", docs=docs)
-    return arr.unionByName(obj)
-
-
-def _variant_ddl_to_struct(schema_text: str) -> T.DataType:
-    ddl = schema_text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    return T._parse_datatype_string(ddl)
-
-
-def _scalar(dt: T.DataType) -> T.DataType:
-    if isinstance(dt, (T.DecimalType, T.FloatType)):
-        return T.DoubleType()
-    if isinstance(dt, (T.IntegerType, T.ShortType, T.ByteType)):
-        return T.LongType()
-    if isinstance(dt, (T.StructType, T.ArrayType, T.MapType, T.NullType)):
-        return T.StringType()
-    return dt
-
-
-def flatten_plan(element: T.DataType) -> tuple[T.StructType, list[tuple[str, list[str]]]]:
-    """S7 on a schema: target struct for ``try_variant_get`` plus (output, path) pairs.
-
-    Nested object fields are lifted one level; a later name overwrites an
-    earlier one (last writer wins).
-    """
-    if not isinstance(element, T.StructType):
-        return T.StructType([T.StructField("value", _scalar(element))]), [("value", ["value"])]
-    fields, outputs = [], {}
-    for f in element.fields:
+
+def root_kinds(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """(path, is_array) of every .json file, from the text before its first ``{``."""
+    heads = (spark.read.format("text").option("recursiveFileLookup", str(recursive).lower())
+             .option("pathGlobFilter", S.ext_glob("json")).option("lineSep", "{").load(root)
+             .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("blk"),
+                     F.monotonically_increasing_id().alias("mid")).where("blk = 0"))
+    return heads.groupBy("path").agg(F.contains(F.min_by("value", "mid"), F.lit("[")).alias("is_array"))
+
+
+def _json_text(c, kind: T.DataType):
+    """Scalars as they are, deeper values as JSON text, whole numbers as long, others as double."""
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(c)
+    if isinstance(kind, (T.DecimalType, T.FloatType)):
+        return c.cast("double")
+    return c
+
+
+def flat_columns(fields: Sequence[T.StructField], at) -> dict:
+    """{name: Column} of the fields, object fields lifted one level (a later name replaces an earlier one).
+    ``at(name)`` is the Column of a field."""
+    out: dict = {}
+    for f in fields:
         if isinstance(f.dataType, T.StructType):
-            sub = T.StructType([T.StructField(s.name, _scalar(s.dataType)) for s in f.dataType.fields])
-            fields.append(T.StructField(f.name, sub))
-            for s in f.dataType.fields:
-                outputs.pop(s.name, None)
-                outputs[s.name] = [f.name, s.name]
-        else:
-            fields.append(T.StructField(f.name, _scalar(f.dataType)))
-            outputs.pop(f.name, None)
-            outputs[f.name] = [f.name]
-    return T.StructType(fields), list(outputs.items())
-
-
-def flatten_one_level(df: DataFrame, col: str | None = None) -> DataFrame:
-    """S7 for an ordinary DataFrame: lift struct fields one level (last writer wins)."""
-    out: dict[str, object] = {}
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.StructType) and (col is None or f.name == col):
-            for s in f.dataType.fields:
-                out.pop(s.name, None)
-                out[s.name] = F.col(f"`{f.name}`").getField(s.name).alias(s.name)
+            for sub in f.dataType.fields:
+                out.pop(sub.name, None)
+                out[sub.name] = _json_text(at(f.name).getField(sub.name), sub.dataType)
         else:
             out.pop(f.name, None)
-            out[f.name] = F.col(f"`{f.name}`")
-    return df.select(*out.values())
-
-
-def records_to_table(records: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Typed, flattened table from variant records; returns (df, data columns)."""
-    text = records.agg(F.expr("schema_of_variant_agg(rec)").alias("s")).first()["s"]
-    if text is None:
-        return records.select("path", "sheet_name", "sheet_pos", "pos"), []
-    target, outputs = flatten_plan(_variant_ddl_to_struct(text))
-    rec = F.try_variant_get(F.col("rec"), "$", target.simpleString())
-    df = records.withColumn("__rec", rec)
-    cols = []
-    for name, path in outputs:
-        c = F.col("__rec")
-        for p in path:
-            c = c.getField(p)
-        cols.append(c.alias(name))
-    return df.select(*cols, "path", "sheet_name", "sheet_pos", "pos"), [n for n, _ in outputs]
-
-
-def json_groups(spark: SparkSession, root: str, root_uri: str, recursive: bool = True,
-                object_root: bool | None = None, options: Mapping | None = None):
-    """Yield ``(files, df, raw_columns)`` for the harmonisation plan (one group)."""
-    from .catalog import file_catalog
-    files = [r["path"] for r in file_catalog(spark, root, recursive, ["json"]).select("path").collect()]
-    if not files:
-        return
-    docs = read_json_documents(spark, root, recursive, options)
-    recs = json_records(docs, object_root)
-    table, raw = records_to_table(recs)
-    table = table.withColumn("__failed", F.lit(False))
-    broken = docs.filter(F.col("v").isNull()).select("path", F.lit(True).alias("__failed"))
-    table = table.unionByName(broken, allowMissingColumns=True)
-    # A file's records keep document order: (file, sheet, position) drives numbering.
-    out = table.select(
-        *[F.col(f"`{c}`") for c in raw],
-        F.col("sheet_name"),
-        S.relative_path(F.col("path"), root_uri).alias("source_file"),
-        F.col("__failed"),
-        F.col("path").alias("__file"), F.coalesce(F.col("sheet_pos"), F.lit(0)).cast("bigint").alias("__blk"),
-        F.coalesce(F.col("pos"), F.lit(0)).cast("bigint").alias("__mid"),
-    )
-    yield files, out, raw
+            out[f.name] = _json_text(at(f.name), f.dataType)
+    return out
+
+
+def flatten_one_level(df: DataFrame) -> DataFrame:
+    """S7 for any DataFrame."""
+    cols = flat_columns(df.schema.fields, lambda n: F.col(f"`{n}`"))
+    return df.select(*[c.alias(n) for n, c in cols.items()])
+
+
+def json_frames(spark: SparkSession, root: str, root_uri: str, recursive: bool = True, object_root: bool | None = None,
+                options: Mapping | None = None) -> tuple[DataFrame | None, list[tuple[DataFrame, list[str]]]]:
+    """(status rows, [(frame, data columns)]): the folder's documents parsed once and written, one frame for array roots
+    and one for each sheet. ``object_root`` fixes the kind for all files (None: per file)."""
+    opts = {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, "recursiveFileLookup": str(recursive).lower(),
+            "pathGlobFilter": S.ext_glob("json")}
+    opts |= {k: v for k, v in S.filter_options(options, S.JSON_OPTION_ALIASES).items() if k != "multiLine"}
+    reader = spark.read.options(**opts)
+    try:
+        found = reader.json(root)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None, []
+        raise
+    if not found.inputFiles():
+        return None, []
+    fields = [f for f in found.schema.fields if f.name != BROKEN]
+    # names are replaced by places, so that any key can be written
+    schema = T.StructType([*fields, T.StructField(BROKEN, T.StringType())])
+    docs = reader.schema(schema).json(root)
+    data = [F.col(f"`{f.name}`").alias(f"f{i}") for i, f in enumerate(fields)]
+    rows = docs.select(*data, F.col(BROKEN).isNotNull().alias("failed"), F.col("_metadata.file_path").alias("path"),
+                       F.monotonically_increasing_id().alias("mid"))
+    kinds = root_kinds(spark, root, recursive)
+    kind = F.lit(not object_root) if object_root is not None else F.coalesce("is_array", F.lit(True))
+    rows = (rows.join(kinds, "path", "left").withColumn("is_array", kind)
+            .withColumn("source_file", S.relative_path(F.col("path"), root_uri)).drop("path"))
+    rows = write_and_read(rows, "json-rows")
+    used = rows.agg(*[F.max(F.col("is_array") & F.col(f"f{i}").isNotNull()).alias(f"a{i}") for i in range(len(fields))],
+                    *[F.max(~F.col("is_array") & F.col(f"f{i}").isNotNull()).alias(f"o{i}") for i in range(len(fields))]).first()
+    place = lambda blk, mid: [F.col("source_file"), F.col("source_file").alias("__file"), blk.cast("long").alias("__blk"),
+                              mid.cast("long").alias("__mid")]
+    frames = []
+    mine = [f for i, f in enumerate(fields) if used[f"a{i}"]]
+    if mine:
+        spot = {f.name: f"f{i}" for i, f in enumerate(fields)}
+        cols = flat_columns(mine, lambda n: F.col(spot[n]))
+        frames.append((rows.where("is_array AND NOT failed").select(*[c.alias(n) for n, c in cols.items()], *place(F.lit(0), F.col("mid"))), list(cols)))
+    for i, f in enumerate(fields):
+        if used[f"o{i}"] and isinstance(f.dataType, T.ArrayType):
+            part = rows.where("NOT is_array AND NOT failed").select("source_file", F.posexplode(f"f{i}").alias("pos", "e"))
+            element = f.dataType.elementType
+            cols = (flat_columns(element.fields, lambda n: F.col("e").getField(n)) if isinstance(element, T.StructType)
+                    else {"value": _json_text(F.col("e"), element)})
+            frames.append((part.select(*[c.alias(n) for n, c in cols.items()], F.lit(f.name).alias("sheet_name"),
+                                       *place(F.lit(i), F.col("pos"))), list(cols)))
+    sheets = [F.coalesce(F.size(f"f{i}"), F.lit(0)) for i, f in enumerate(fields) if isinstance(f.dataType, T.ArrayType)]
+    held = F.when(F.col("is_array"), F.lit(1)).otherwise(sum((F.greatest(s, F.lit(0)) for s in sheets), F.lit(0)))
+    return rows.select("source_file", "failed", held.cast("long").alias("rows")), frames

@@ -1,43 +1,52 @@
 """Incremental folder ingest with Structured Streaming.
 
-A folder whose CSV files share one header layout is read as a file stream
-with an all-STRING schema, normalised with the same stateless Column
-expressions as the batch path (H1-H3, H7 with ``try_cast``), and appended to
-a Parquet sink with ``Trigger.AvailableNow``: each run picks up only the files
-that arrived since the last run (the checkpoint lists processed files), which
-is the reference's constant-memory append mode done by the engine.
+The lines of newly arrived CSV files come as a file stream; ``Trigger.AvailableNow`` takes what arrived since the last
+run (the checkpoint lists the files seen). A file is one unit of the stream, so each batch holds whole files and takes
+the batch path: headers by file, one layout for each distinct header, files with a bad line left out whole, lineage
+kept. A batch writes a folder of its own name, so a batch that is run again after a failure replaces what it wrote.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import harmonize as H
-from ..sources.folder import CSV_OPTION_ALIASES, ext_glob, filter_options, qualify, relative_path
-
-
-def ingest_stream(spark: SparkSession, root: str, header: Sequence[str], sink: str, checkpoint: str,
-                  types: Mapping[str, str] | None = None, schema_map: Mapping | None = None,
-                  to_lower: bool = True, spaces_to_underscores: bool = True, split_names: bool = True,
-                  options: Mapping | None = None, wait: bool = True):
-    """Start (and by default finish) one AvailableNow run; returns the StreamingQuery."""
-    raw = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    opts = {"header": "true", "mode": "PERMISSIVE", "recursiveFileLookup": "true", "pathGlobFilter": ext_glob("csv")}
-    opts.update(filter_options(options, CSV_OPTION_ALIASES))
-    stream = spark.readStream.schema(raw).options(**opts).csv(root)
-    stream = stream.withColumn("source_file", relative_path(F.col("_metadata.file_path"), qualify(spark, root)))
-    df = H.apply_schema_map(stream, schema_map, to_lower, spaces_to_underscores)
-    if split_names:
-        df = H.split_name(df)
-    if types:
-        target = {c: types.get(c, "object") for c in df.columns if c != "source_file"}
-        df = H.align_to_schema(df, target, keep=["source_file"])
-    q = (df.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+from ..operators.ordering import write_and_read
+from ..plans.harmonize_folder import HarmonizeConfig, _normalise, csv_frames
+from ..sources.folder import csv_lines, ext_glob, qualify
+
+
+def ingest_stream(spark: SparkSession, root: str, sink: str, checkpoint: str, types: Mapping[str, str],
+                  config: HarmonizeConfig | None = None, wait: bool = True):
+    """Start (and by default finish) one AvailableNow run over the CSV files below ``root``; returns the query.
+
+    ``types`` ({column: dtype label}) is the sink's schema: a column that a layout lacks is NULL, others are dropped.
+    Rows go to ``sink``/data, a row for each file (source_file, status, rows) to ``sink``/files.
+    """
+    cfg = config or HarmonizeConfig()
+    schema, root_uri = H.to_struct(types), qualify(spark, root)
+    stream = (spark.readStream.format("text").option("recursiveFileLookup", str(cfg.recursive).lower())
+              .option("pathGlobFilter", ext_glob("csv")).load(root).select("value", "_metadata"))
+
+    def batch(rows: DataFrame, number: int) -> None:
+        lines = write_and_read(csv_lines(rows, root_uri, cfg.read_options), "ingest-lines")
+        seen, frames = csv_frames(lines, cfg.read_options)
+        status = write_and_read(seen.groupBy("source_file").agg(F.max("failed").alias("bad"), F.sum("rows").alias("rows")), "ingest-status")
+        bad = status.where("bad").select("source_file")
+        out = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))
+        for df, raw in frames:
+            good = _normalise(df, raw, cfg).join(bad, "source_file", "left_anti")
+            out = out.unionByName(H.align_to_schema(good, schema, keep=["source_file"]))
+        out.write.mode("overwrite").parquet(f"{sink}/data/batch={number}")
+        (status.select("source_file", F.when(F.col("bad"), "failed").otherwise("ok").alias("status"),
+                       F.when(F.col("bad"), 0).otherwise(F.col("rows")).cast("bigint").alias("rows"))
+         .write.mode("overwrite").parquet(f"{sink}/files/batch={number}"))
+
+    q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     if wait:
         q.awaitTermination()
     return q

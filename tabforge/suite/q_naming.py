@@ -9,7 +9,10 @@ from ..functions import convert as C
 from ..functions import extract as X
 from ..functions import filters as FL
 from ..functions import naming as N
+from ..functions.template import section_template
 from ..functions.text import title_case
+from ..plans import rename as R
+from ..plans.spec import Pipeline, register_step
 from .registry import query
 
 CAT = inputs.catalog_cte()
@@ -314,6 +317,27 @@ def confidentiality(spark, sf_dir):
 
 # ---------------------------------------------------------------- naming
 
+@query("name_section", f"WITH {CAT}, s AS (SELECT file_id, split_part(base_name, '_', 1) AS a, split_part(base_name, '_', 2) AS b, "
+       "split_part(base_name, '_', 3) AS c FROM catalog) SELECT file_id, CASE WHEN a = '' THEN '' ELSE 'from ' || a || ':' END || b || "
+       "'{c=' || c || '}' AS new_base FROM s")
+def name_section(spark, sf_dir):
+    """A section template over extracted fields."""
+    c = cat(spark, sf_dir).select("file_id", "base_name", X.x_split("_", "a", "b", "c").alias("fields"))
+    c = c.withColumn("fields", F.col("fields").withField("a", F.when(F.col("fields.a") != "", F.col("fields.a"))))
+    out = section_template("{{from ;a;:}}{{b}}{{\\{c=;c;\\}}}", "fields", c.schema["fields"].dataType)
+    return c.select("file_id", out.alias("new_base"))
+
+
+@query("custom_step", f"WITH {CAT} SELECT file_name AS old_name, reverse(base_name) || extension AS new_name FROM catalog "
+       "WHERE size % 2 = 0 AND reverse(base_name) <> base_name")
+def custom_step(spark, sf_dir):
+    """A custom filter and a custom one-step renamer in a spec."""
+    register_step("filter", "even-size", lambda: F.col("size") % 2 == 0)
+    register_step("all_in_one", "backwards", lambda df: F.reverse("base_name"))
+    spec = {"pipeline": {"filters": [{"name": "even-size"}], "all_in_one": {"name": "backwards"}}}
+    return R.plan_changes(Pipeline.from_dict(spec).plan(cat(spark, sf_dir))).select("old_name", "new_name")
+
+
 @query("name_template", f"WITH {CAT}, s AS (SELECT file_id, split_part(base_name, '_', 1) AS dept, "
        "split_part(base_name, '_', 2) AS type, split_part(base_name, '_', 3) AS status, "
        "split_part(base_name, '_', 4) AS date FROM catalog) "

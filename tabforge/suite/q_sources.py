@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from .. import inputs
 from ..operators import harmonize as H
-from ..plans.harmonize_folder import HarmonizeConfig, detect_schema, harmonize_folder
+from ..plans.harmonize_folder import HarmonizeConfig, check_inputs, detect_schema, harmonize_folder
 from ..session import staging_path
 from ..sources.catalog import file_catalog
+from ..sources.jsonsrc import flatten_one_level
 from ..sources.sinks import write_table
 from ..streaming.ingest import ingest_stream
 from .registry import query
@@ -154,14 +155,85 @@ def json_roundtrip(spark, sf_dir):
     return spark.read.schema("r_regionkey BIGINT, r_name STRING").json(path)
 
 
-@query("incremental_ingest", "SELECT c_custkey AS customer_id, c_mktsegment AS first_name, c_name AS last_name, "
-       "CAST(c_nationkey AS BIGINT) AS nation_key, c_acctbal AS account_balance FROM customer WHERE c_nationkey < 8")
+INGEST_TYPES = {"customer_id": "int64", "first_name": "object", "last_name": "object", "nation_key": "int64", "account_balance": "float64",
+                "segment": "object", "notes": "object"}
+
+
+@query("incremental_ingest", f"WITH {inputs.customer_shards_oracle()}, f AS (SELECT * FROM shards UNION ALL "
+       "SELECT 'late', n_nationkey + 5000000, 'Late', n_name, n_nationkey, NULL, NULL, NULL FROM nation) "
+       "SELECT shard, customer_id, first_name, last_name, nation_key, account_balance, segment, notes FROM f")
 def incremental_ingest(spark, sf_dir):
-    """AvailableNow file stream of one header layout into Parquet, read back."""
-    root = inputs.customer_shards(spark, sf_dir)
+    """All shards with their three headers, then a second run that takes up one more folder only."""
+    root = inputs.customer_shards(spark, sf_dir, fresh=True)
     sink, ckpt = staging_path(spark, "ingest-out"), staging_path(spark, "ingest-ckpt")
-    header = [h for h, _ in inputs.SHARD_STYLES[0][2]]
-    ingest_stream(spark, f"{root}/style_a", header, sink, ckpt, schema_map=inputs.SHARD_SCHEMA_MAP,
-                  types={"customer_id": "int64", "nation_key": "int64", "account_balance": "float64"})
-    return spark.read.parquet(sink).select("customer_id", "first_name", "last_name", "nation_key",
-                                           F.round("account_balance", 2).alias("account_balance"))
+    cfg = HarmonizeConfig(schema_map=inputs.SHARD_SCHEMA_MAP)
+    ingest_stream(spark, root, sink, ckpt, INGEST_TYPES, cfg)
+    late = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        F.concat(F.lit("Late "), "n_name").alias("Full Name"), (F.col("n_nationkey") + 5000000).alias("cust_id"), F.col("n_nationkey").alias("NATION"))
+    late.write.option("header", "true").csv(f"{root}/late")
+    ingest_stream(spark, root, sink, ckpt, INGEST_TYPES, cfg)
+    out = spark.read.parquet(f"{sink}/data")
+    return out.select(shard_of().alias("shard"), *list(INGEST_TYPES)[:4], F.round("account_balance", 2).alias("account_balance"), "segment", "notes")
+
+
+MIXED_MAP = {"customer_id": ["Customer ID", "id"], "name": ["Full Name"], "nation_key": ["Nation Key", "nation"]}
+
+
+def _mixed(spark, sf_dir):
+    """A folder of CSV (quoted separators), JSON of both roots, a workbook, truncated JSON and a CSV with a long row."""
+    root = staging_path(spark, "mixed")
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    name = F.concat("c_mktsegment", F.lit(", the "), "c_name")
+    csv_part = cust.where("c_nationkey < 8").select(F.col("c_custkey").alias("Customer ID"), name.alias("Full Name"), F.col("c_nationkey").alias("Nation Key"))
+    csv_part.write.option("header", "true").csv(f"{root}/csv")
+    rec = F.struct(F.col("c_custkey").alias("id"), F.concat_ws(" ", "c_mktsegment", "c_name").alias("name"), F.struct(F.col("c_nationkey").alias("nation")).alias("at"))
+    bucket = F.floor(F.col("c_custkey") / 1000).alias("b")
+    arrays = cust.where("c_nationkey BETWEEN 8 AND 11").groupBy(bucket).agg(F.to_json(F.collect_list(rec)).alias("value"))
+    arrays.write.partitionBy("b").text(f"{root}/array")
+    south = F.col("c_nationkey") % 2 == 0
+    objects = cust.where("c_nationkey BETWEEN 12 AND 15").groupBy(bucket).agg(F.to_json(F.struct(
+        F.collect_list(F.when(south, rec)).alias("south"), F.collect_list(F.when(~south, rec)).alias("north"), F.lit("m").alias("meta"))).alias("value"))
+    objects.write.partitionBy("b").text(f"{root}/object")
+    cut = cust.where("c_nationkey = 16").groupBy(bucket).agg(F.to_json(F.collect_list(rec)).alias("value"))
+    cut.select("b", F.expr("substring(value, 1, length(value) - 9)").alias("value")).write.partitionBy("b").text(f"{root}/cut")
+    long = cust.where("c_nationkey = 17").select(F.concat_ws(",", "c_custkey", "c_name", F.lit("17"), F.lit("x")).alias("value"), F.col("c_custkey").alias("k"))
+    head = spark.createDataFrame([("Customer ID,Full Name,Nation Key", -1)], "value STRING, k BIGINT")
+    head.unionByName(long).repartition(1).sortWithinPartitions("k").select("value").write.text(f"{root}/long")  # one malformed file
+    for folder, ext in (("array", ".json"), ("object", ".json"), ("cut", ".json"), ("long", ".csv")):
+        inputs.set_extension(spark, f"{root}/{folder}", ext)
+    rows = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey") + 7000000, F.concat(F.lit("Nation "), "n_name"), "n_nationkey").collect()
+    inputs.write_workbook(spark, f"{root}/book/nations.xlsx", {"First": [["Customer ID", "Full Name", "Nation Key"], *map(list, rows)], "Other": [["x"], [1]]})
+    return root
+
+
+@query("harmonize_mixed", """SELECT 'csv' AS kind, c_custkey AS customer_id, c_mktsegment || ',' AS first_name, 'the ' || c_name AS last_name,
+  CAST(c_nationkey AS BIGINT) AS nation_key, CAST(NULL AS VARCHAR) AS sheet_name FROM customer WHERE c_nationkey < 8
+UNION ALL SELECT 'array', c_custkey, split_part(c_mktsegment || ' ' || c_name, ' ', 1),
+  substr(c_mktsegment || ' ' || c_name, instr(c_mktsegment || ' ' || c_name, ' ') + 1), c_nationkey, NULL FROM customer WHERE c_nationkey BETWEEN 8 AND 11
+UNION ALL SELECT 'object', c_custkey, split_part(c_mktsegment || ' ' || c_name, ' ', 1),
+  substr(c_mktsegment || ' ' || c_name, instr(c_mktsegment || ' ' || c_name, ' ') + 1), c_nationkey,
+  CASE WHEN c_nationkey % 2 = 0 THEN 'south' ELSE 'north' END FROM customer WHERE c_nationkey BETWEEN 12 AND 15
+UNION ALL SELECT 'book', n_nationkey + 7000000, 'Nation', n_name, n_nationkey, 'First' FROM nation""")
+def harmonize_mixed(spark, sf_dir):
+    """Every format and both failures in one folder, all parsed once."""
+    df = harmonize_folder(spark, _mixed(spark, sf_dir), HarmonizeConfig(schema_map=MIXED_MAP, index_mode="none")).data
+    return df.select(shard_of().alias("kind"), *[F.col(c) for c in ("customer_id", "first_name", "last_name", "nation_key", "sheet_name")])
+
+
+@query("json_flatten", "SELECT p_partkey AS id, p_brand AS brand, p_type AS name, '{\"s\":' || CAST(p_size AS VARCHAR) || '}' AS deep FROM part")
+def json_flatten(spark, sf_dir):
+    """S7 on a table: object fields lifted one level, a later name replaces an earlier one, deeper objects stay JSON text."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+        F.struct(F.col("p_brand").alias("brand"), F.col("p_type").alias("name"), F.struct(F.col("p_size").alias("s")).alias("deep")).alias("details"))
+    return flatten_one_level(part)
+
+
+@query("input_checks", "SELECT CASE WHEN k = 0 THEN 'error' ELSE 'warning' END AS severity, CASE WHEN k = 0 THEN "
+       "'no processable files (xlsx)' ELSE CAST(n AS VARCHAR) || ' empty files will be skipped' END AS message "
+       "FROM (SELECT count(*) FILTER (WHERE o_orderkey % 5 = 0) AS n FROM orders), range(2) t(k)")
+def input_checks(spark, sf_dir):
+    """H11 over a catalog: no file of the wanted type, and some empty ones."""
+    cat = inputs.catalog(spark, sf_dir).withColumn("size", F.when(F.col("file_id") % 5 == 0, 0).otherwise(F.col("size")))
+    return check_inputs(spark, cat.where("lower(extension) <> '.xlsx'").unionByName(
+        cat.where("lower(extension) = '.xlsx'").withColumn("extension", F.lit(".old"))), HarmonizeConfig(types=["xlsx"]))
