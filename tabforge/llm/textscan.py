@@ -29,8 +29,9 @@ SPACE = _bytes_mask([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 #: All ASCII but letters and digits: words are then runs of letters, digits and non-ASCII bytes.
 NOT_ALNUM = _bytes_mask(b for b in range(128) if not chr(b).isalnum())
 
-LETTER = _bytes_mask(b for b in range(128) if chr(b).isalpha())
-SIGN = _bytes_mask(b for b in range(0x21, 0x7F) if not chr(b).isalpha() and b != 0x27)
+#: ASCII letters 1, digits and signs but the apostrophe 2, white space and controls 0, others 5.
+KIND = np.full(256, 5, dtype=np.uint8)
+KIND[:128] = [1 if chr(b).isalpha() else 5 if b == 0x27 else 2 if 0x20 < b < 0x7F else 0 for b in range(128)]
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _CODES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -92,17 +93,20 @@ class Words:
         self.text_at = offsets - lo
         self.n_texts = len(texts)
         gap = separators[self.data]
-        begin, end = ~gap, ~gap
+        ink = ~gap
+        begin, end = ink.copy(), ink.copy()
         begin[1:] &= gap[:-1]
         end[:-1] &= gap[1:]
         full = np.flatnonzero(self.text_at[1:] > self.text_at[:-1])
-        begin[self.text_at[full]] = ~gap[self.text_at[full]]
-        end[self.text_at[full + 1] - 1] = ~gap[self.text_at[full + 1] - 1]
+        begin[self.text_at[full]] = ink[self.text_at[full]]
+        end[self.text_at[full + 1] - 1] = ink[self.text_at[full + 1] - 1]
         self.marked = np.zeros(0, dtype=np.int64)
-        held = np.flatnonzero((self.data[:-1] == 0x3C) & (self.data[1:] == 0x7C)) if split else ()
+        held = ()
         if split:
-            letter, sign = LETTER[self.data], SIGN[self.data]
-            cut = (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
+            kind = KIND[self.data]
+            cut = kind[1:] * kind[:-1] == 2
+            held = np.flatnonzero(self.data[:-1] == 0x3C)
+            held = held[self.data[held + 1] == 0x7C]
             if len(held):
                 starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
                 for i in np.unique(np.searchsorted(starts, held, "right") - 1):

@@ -21,8 +21,9 @@ from . import textscan as ts
 from .prefix import running_sums
 from .stage import Stage, text_or_empty
 
-#: Words kept ready by each Python worker; beyond it the memory is emptied and filled anew.
-WORD_CACHE = 600_000
+#: Slots (16 bytes each) and ids (4 bytes) of the words that each Python worker keeps; beyond it starts anew.
+TABLE_BITS = 20
+MAX_IDS = 8 << 20
 MARKED = 0x5851F42D4C957F2D
 _READY: dict = {}
 
@@ -52,7 +53,7 @@ def _plain(word: str) -> str | None:
     return None
 
 
-def encode_texts(texts: pa.Array, tokenizer, cache: dict[int, bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: pa.Array, tokenizer, cache: "WordIds", end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, counts) of whole texts, ``end_id`` appended to each.
 
     The tokenizer lower-cases, drops white space and never joins what stands on both sides of it, nor a letter with
@@ -63,40 +64,69 @@ def encode_texts(texts: pa.Array, tokenizer, cache: dict[int, bytes], end_id: in
     w = ts.Words(texts, lower=True, split=True)
     if len(w.marked):
         w.hash[w.marked] = ts.span_hashes(w.data, w.starts[w.marked], w.ends[w.marked]) ^ ts.U64(MARKED)
-    distinct, first, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
-    keys = distinct.tolist()
-    new = [i for i, k in enumerate(keys) if k not in cache]
-    if new:
-        if len(cache) + len(new) > WORD_CACHE:
-            cache.clear()
-            new = range(len(keys))
-        raw = w.data.tobytes() if len(new) > 50 else w.data
-        at = first[list(new)]
-        words = [bytes(raw[s:e]).decode("utf-8") for s, e in zip(w.starts[at].tolist(), w.ends[at].tolist())]
-        model, hard = tokenizer.model, []
-        for i, word in zip(new, words):
-            name = _plain(word)
-            if name is None:
-                hard.append((i, word))
-            else:
-                cache[keys[i]] = np.array([x.id for x in model.tokenize(name)], dtype=np.int32).tobytes()
-        for (i, _), e in zip(hard, tokenizer.encode_batch([x for _, x in hard], add_special_tokens=False)):
-            cache[keys[i]] = np.array(e.ids, dtype=np.int32).tobytes()
-    parts = [cache[k] for k in keys]
-    flat = np.frombuffer(b"".join(parts), dtype=np.int32)
-    size = np.array([len(p) // 4 for p in parts], dtype=np.int64)
-    at = np.cumsum(size) - size
+    at, lens = cache.places(w, tokenizer)
     # each text is its words and one more piece, the end id
-    lens = size[inverse] if len(keys) else np.zeros(0, np.int64)
     per_text = np.bincount(w.doc, weights=lens, minlength=w.n_texts).astype(np.int64) + 1
     out = np.full(int(per_text.sum()), end_id, dtype=np.int32)
     if len(lens):
-        put = np.cumsum(lens) - lens + w.doc
-        step = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
-        out[np.repeat(put, lens) + step] = flat[np.repeat(at[inverse], lens) + step]
+        before = np.cumsum(lens) - lens
+        step = np.arange(int(lens.sum()))
+        out[step + np.repeat(w.doc, lens)] = cache.ids[step + np.repeat(at - before, lens)]
     return out, per_text
 
 
+class WordIds:
+    """Ids of words seen so far: a direct-mapped table by hash, a dict for hashes whose slot is taken, one array of ids."""
+
+    def __init__(self, bits: int = TABLE_BITS):
+        self.shift = ts.U64(64 - bits)
+        self.keys = np.zeros(1 << bits, dtype=np.uint64)
+        self.at = np.zeros(1 << bits, dtype=np.int32)
+        self.lens = np.zeros(1 << bits, dtype=np.int32)
+        self.ids, self.used = np.zeros(1 << 16, dtype=np.int32), 0
+        self.more: dict[int, tuple[int, int]] = {}
+
+    def _add(self, ids: list[int]) -> int:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        return self.used - len(ids)
+
+    def places(self, w: ts.Words, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """(first, number) in ``ids`` of each word's ids; words not seen before are encoded."""
+        if self.used > MAX_IDS:
+            self.__init__(64 - int(self.shift))
+        slot = (w.hash >> self.shift).astype(np.int64)
+        at, lens = self.at[slot].astype(np.int64), self.lens[slot].astype(np.int64)
+        miss = np.flatnonzero(self.keys[slot] != w.hash)
+        if len(miss):
+            keys, first, inverse = np.unique(w.hash[miss], return_index=True, return_inverse=True)
+            names = keys.tolist()
+            got = [self.more.get(k) for k in names]
+            new = [i for i, g in enumerate(got) if g is None]
+            places = miss[first[new]]
+            raw = w.data.tobytes() if len(new) > 50 else w.data
+            words = [bytes(raw[s:e]).decode("utf-8") for s, e in zip(w.starts[places].tolist(), w.ends[places].tolist())]
+            slots = slot[places].tolist()
+            for i, s, ids in zip(new, slots, _encode_words(words, tokenizer)):
+                got[i] = (self._add(ids), len(ids))
+                if not self.keys[s]:
+                    self.keys[s], (self.at[s], self.lens[s]) = names[i], got[i]
+                else:
+                    self.more[names[i]] = got[i]
+            pair = np.array(got, dtype=np.int64)[inverse]
+            at[miss], lens[miss] = pair[:, 0], pair[:, 1]
+        return at, lens
+
+
+def _encode_words(words: list[str], tokenizer) -> list[list[int]]:
+    plain = [_plain(x) for x in words]
+    hard = iter(tokenizer.encode_batch([x for x, p in zip(words, plain) if p is None], add_special_tokens=False))
+    model = tokenizer.model
+    return [next(hard).ids if p is None else [t.id for t in model.tokenize(p)] for p in plain]
+
+
 def _encoder(model: str, end_id: int):
     schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
@@ -104,7 +134,7 @@ def _encoder(model: str, end_id: int):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if _READY.get("model") != model:
-            _READY.update(model=model, tokenizer=Tokenizer.from_str(model), cache={})
+            _READY.update(model=model, tokenizer=Tokenizer.from_str(model), cache=WordIds())
         for b in ts.pieces(batches, "text"):
             ids, counts = encode_texts(b.column(2), _READY["tokenizer"], _READY["cache"], end_id)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(counts), ts.list_array(ids, counts, pa.int32())], schema=schema)

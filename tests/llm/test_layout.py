@@ -154,7 +154,7 @@ def test_ids_equal_the_tokenizers(tokenizer_path):
     t = Tokenizer.from_file(tokenizer_path)
     texts = [x for _, x in corpus()] + ["a<|endoftext|>b don't I'm 12３４ \x85q é ΟΔΟΣ <|startoftext|> ☕️", "İ ǅ ẞ <|ENDOFTEXT|> X<|endoftext|>Y!",
                                         "A1b2—!?é! ’S o’clock Don'T <| a"]
-    cache = {}
+    cache = tokens.WordIds(8)
     for _ in range(2):
         ids, counts = tokens.encode_texts(pa.array(texts), t, cache, 1)
         at = 0

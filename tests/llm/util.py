@@ -12,8 +12,13 @@ def words(text):
     return WORD.findall(text or "")
 
 
+def _name(k):
+    return "w" + "".join("bcdfghjklm"[int(c)] for c in str(k))
+
+
 def prose(rng, n, vocabulary=4000):
-    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+    """Invented words of letters."""
+    return " ".join(_name(rng.randrange(vocabulary)) for _ in range(n))
 
 
 def corpus(seed=5):
