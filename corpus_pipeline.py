@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabforge.llm import decontam, minhash, sharding, toxicity
 from tabforge.llm.queries import mix_documents
-from tabforge.llm.stage import Stage
+from tabforge.llm.stage import Stage, only
 
 SHARDS = 16
 #: Words that the mixing stage may take, in percent of those it gets; each document at most once.
@@ -32,9 +32,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class, that of the smallest doc_id; of repeated rows with that doc_id one stays. Rows
     without a doc_id or without words stay."""
-    classes = minhash.near_duplicates(spark, docs)
-    gone = classes.where("NOT kept").select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    stage = Stage(spark, "pipeline-copies")
+    gone = stage.put("gone", minhash.near_duplicates(spark, docs).where("NOT kept").select("doc_id").distinct())
+    rest = only(docs, gone, how="left_anti").select(*docs.columns)
     many = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     if many.isEmpty():
         return rest
@@ -45,7 +45,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
     found = decontam.contaminated(spark, docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return only(docs, Stage(spark, "pipeline-leaks").put("found", found), how="left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
