@@ -35,8 +35,9 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == set()
+def test_every_query_of_the_library_itself_has_an_oracle():
+    from tabforge.suite import ORACLE, QUERIES
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(E.queries())
 
 
 def test_no_python_udfs_in_plans(spark):
