@@ -68,9 +68,9 @@ def catalog_select(orders: str = "orders") -> str:
         f"ELSE {client} || ' ' || {project} || ' v' || {ver} || ' (' || {status} || ') ' || {_d8('o_orderdate')} || '.DOCX' END"
     )
     return (
-        f"SELECT o_orderkey AS file_id, file_name, '/archive/' || lower(dept) || '/' || file_name AS path, "
-        f"'/archive/' || lower(dept) || '/' AS parent_dir, size, created, modified FROM ("
-        f"SELECT o_orderkey, {dept} AS dept, {name} AS file_name, CAST(floor(o_totalprice) AS BIGINT) AS size, "
+        f"SELECT o_orderkey AS file_id, file_name, folder || file_name AS path, folder AS parent_dir, size, created, modified FROM ("
+        # names without a number of their own stand in folders of their own: a path is one file
+        f"SELECT o_orderkey, '/archive/' || lower({dept}) || '/' || CASE WHEN o_orderkey % 4 < 2 THEN '' ELSE CAST(o_orderkey AS STRING) || '/' END AS folder, {name} AS file_name, CAST(floor(o_totalprice) AS BIGINT) AS size, "
         f"o_orderdate - INTERVAL 30 DAY AS created, o_orderdate AS modified FROM {orders}) g"
     )
 
