@@ -25,7 +25,7 @@ from . import textscan as ts
 from .stage import text_or_empty
 
 #: The fit's sample: labelled rows of each class, by the order of a hash, of texts up to a number of bytes.
-MAX_TOXIC, MAX_OTHER, MAX_BYTES = 2000, 6000, 20_000
+MAX_TOXIC, MAX_OTHER, MAX_BYTES = 1500, 3500, 10_000
 PREFIXES = (4, 5, 6, 7)
 MAX_FEATURES = 4000
 MIN_DOCS = 4
@@ -91,20 +91,31 @@ def _one_of_copies(w: ts.Words, rare: int = 30) -> np.ndarray:
     return first | none
 
 
-def _select(h: np.ndarray, doc: np.ndarray, toxic: np.ndarray, n1: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, log odds) of the features that mark toxic documents, ascending by key."""
-    pairs = [_distinct(h[:, j], doc) for j in range(h.shape[1])]
-    key = np.concatenate([p[0] for p in pairs])
-    bad = toxic[np.concatenate([p[1] for p in pairs])]
-    keys, inverse = np.unique(key, return_inverse=True)
-    a = np.bincount(inverse, weights=bad, minlength=len(keys))
-    b = np.bincount(inverse, weights=~bad, minlength=len(keys))
-    odds = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
-    share = n1 / (n1 + n0)
-    g2 = 2 * (a * np.log(np.maximum(a, 1) / ((a + b) * share)) + b * np.log(np.maximum(b, 1) / ((a + b) * (1 - share))))
-    good = np.flatnonzero((a >= MIN_DOCS) & (odds >= MIN_LOG_ODDS) & (g2 >= MIN_G2))
-    good = np.sort(good[np.argsort(-(odds * np.sqrt(a))[good], kind="stable")[:MAX_FEATURES]])
-    return keys[good], odds[good]
+def _select(h: np.ndarray, doc: np.ndarray, toxic: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, log odds) of the features that mark toxic documents among those of ``own``, ascending by key."""
+    n1, n0 = int((toxic & own).sum()), int((~toxic & own).sum())
+    share = n1 / max(n1 + n0, 1)
+    some = own[doc]
+    keys, odds, rank = [], [], []
+    for j in range(h.shape[1]):  # one kind of feature at a time: their hashes never meet
+        key, where = _distinct(h[some, j], doc[some])
+        if not len(key):
+            continue
+        new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        a = np.add.reduceat(toxic[where].astype(float), new)
+        b = np.add.reduceat((~toxic[where]).astype(float), new)
+        log_odds = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
+        g2 = 2 * (a * np.log(np.maximum(a, 1) / ((a + b) * share)) + b * np.log(np.maximum(b, 1) / ((a + b) * (1 - share))))
+        good = np.flatnonzero((a >= MIN_DOCS) & (log_odds >= MIN_LOG_ODDS) & (g2 >= MIN_G2))
+        keys.append(key[new][good])
+        odds.append(log_odds[good])
+        rank.append((log_odds * np.sqrt(a))[good])
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    keys, odds, rank = np.concatenate(keys), np.concatenate(odds), np.concatenate(rank)
+    best = np.argsort(-rank, kind="stable")[:MAX_FEATURES]
+    best = best[np.argsort(keys[best])]
+    return keys[best], odds[best]
 
 
 def _distinct(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -247,9 +258,7 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
         none.calibration[0] = 3.0 if len(toxic) and toxic.all() else -3.0
         return none
     h = feature_hashes(w)
-    own = _one_of_copies(w)
-    some = own[w.doc]
-    keys, odds = _select(h[some], w.doc[some], toxic & own, int((toxic & own).sum()), int((~toxic & own).sum()))
+    keys, odds = _select(h, w.doc, toxic, _one_of_copies(w))
     if not len(keys):
         return none
     probe = Model(keys, np.zeros(len(keys)), 0.0, np.zeros((2, 2)), np.zeros(4))
@@ -274,15 +283,17 @@ def held_out(doc_id: str = "doc_id"):
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample of labelled documents that are not held out: of each class the first ``MAX_TOXIC`` or
-    ``MAX_OTHER`` by a hash of doc_id whose text has at most ``MAX_BYTES`` bytes. Null labels are no labels."""
+    ``MAX_OTHER`` doc_ids by a hash, as far as ``docs`` has them with at most ``MAX_BYTES`` bytes of text. Null labels
+    are no labels. The sample's doc_ids are chosen from the labels alone and broadcast; no text is shuffled."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     marks = marks.where(F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-            .where(F.octet_length("text") <= MAX_BYTES).join(marks, "doc_id")
-            .withColumn("place", F.xxhash64(F.col("doc_id").cast("string"))))
-    parts = [rows.where(c).orderBy("place", "doc_id", "text").limit(n).select("text", F.lit(y).alias("y"))
-             for c, n, y in (("toxic > 0", MAX_TOXIC, 1), ("toxic <= 0", MAX_OTHER, 0))]
-    got = parts[0].union(parts[1]).toArrow()
+    marks = marks.withColumn("place", F.xxhash64(F.col("doc_id").cast("string")))
+    chosen = [marks.where(c).orderBy("place", "doc_id").limit(n).select("doc_id", F.lit(y).alias("y"))
+              for c, n, y in (("toxic > 0", MAX_TOXIC, 1), ("toxic <= 0", MAX_OTHER, 0))]
+    sample = F.broadcast(chosen[0].union(chosen[1]))  # at most MAX_TOXIC + MAX_OTHER rows
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    got = rows.where(F.octet_length("text") <= MAX_BYTES).join(sample, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "y").toArrow()
+    got = got.sort_by("doc_id")
     return fit(got.column("text").combine_chunks() if got.num_rows else pa.array([], pa.string()), got.column("y").to_numpy() == 1)
 
 
