@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import inputs
+from ..operators.ordering import write_and_read
 from ..plans import rename as R
 from ..plans.spec import Pipeline, from_dict, register_step
 from ..sources.catalog import with_name_parts
@@ -89,7 +90,8 @@ FROM (SELECT o_orderkey FROM {orders} UNION SELECT o_orderkey + 1 FROM {orders}
 
 def folders(spark, sf_dir):
     df = spark.sql(_FOLDER, orders=spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
-    return with_name_parts(df.select(F.concat("parent", F.lit("/"), "base", F.lit(".txt")).alias("path"), F.lit(1).cast("bigint").alias("size")))
+    df = with_name_parts(df.select(F.concat("parent", F.lit("/"), "base", F.lit(".txt")).alias("path"), F.lit(1).cast("bigint").alias("size")))
+    return write_and_read(df, "folders")
 
 
 def _move_on(df):
