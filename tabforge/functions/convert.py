@@ -18,7 +18,7 @@ from .text import capitalize, col_of, strptime_to_spark, title_case
 
 def _check_field(fields_type: T.DataType | None, field: str):
     if fields_type is not None and isinstance(fields_type, T.StructType) and field not in fields_type.fieldNames():
-        raise ValueError(f"Field '{field}' not found. Available fields: {fields_type.fieldNames()}")
+        raise ValueError(f"no field {field!r} to convert; the fields are {fields_type.fieldNames()}")
 
 
 def _convert(fields: str | Column, field: str, fn, fields_type: T.DataType | None = None) -> Column:
@@ -68,7 +68,7 @@ def change_case(v: Column, kind: str) -> Column:
         return title_case(v)
     if kind == "capitalize":
         return capitalize(v)
-    raise ValueError(f"Invalid case type '{kind}'. Must be: {', '.join(CASES)}")
+    raise ValueError(f"unknown case {kind!r}; one of {', '.join(CASES)}")
 
 
 def c_case(fields: str | Column, field: str, kind: str = "lower", fields_type=None) -> Column:
@@ -222,13 +222,17 @@ def confidentiality(classification: str | Column, name: str | Column) -> Column:
 
 
 def check_fields(before: T.StructType, after: T.StructType) -> dict[str, list[str]]:
-    """Removed / added field names after a conversion (schema diff at build time)."""
+    """C18 at build time: names a conversion removes or adds."""
     b, a = before.fieldNames(), after.fieldNames()
     return {"removed": [f for f in b if f not in a], "added": [f for f in a if f not in b]}
 
 
-def fields_list(names: Sequence[str]) -> list[str]:
-    return list(names)
+def emptied_fields(before: str | Column, after: str | Column, before_type: T.StructType, after_type: T.StructType) -> Column:
+    """C18 for each row: names of the fields that had text before a conversion and have none after it."""
+    b, a = col_of(before), col_of(after)
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    kept = [f for f in before_type.fieldNames() if f in after_type.fieldNames()]
+    return F.array_compact(F.array(*[F.when((text(b.getField(f)) != "") & (text(a.getField(f)) == ""), F.lit(f)) for f in kept]))
 
 
 # --- fixed values: document classes by department (checked in this order) ---

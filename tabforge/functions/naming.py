@@ -33,7 +33,7 @@ def t_template(fmt: str, fields: str | Column = "fields", fields_type: T.DataTyp
     placeholders stay verbatim.
     """
     if not fmt:
-        raise ValueError("template formatter requires template string")
+        raise ValueError("a template needs a text")
     s = col_of(fields)
     names = _field_names(fields_type)
     pieces = list(string.Formatter().parse(fmt))
@@ -96,7 +96,7 @@ def t_hash_sequence(name: str | Column, pattern: str = "{name}_{seq:03d}") -> Co
 def a_replace(*pairs: str, col: str | Column = STEM) -> Column:
     """A1: literal find/replace pairs applied in order."""
     if len(pairs) % 2:
-        raise ValueError("replace function requires pairs of find/replace arguments")
+        raise ValueError("give what to find and what to put there, in pairs")
     c = col_of(col)
     for i in range(0, len(pairs), 2):
         if pairs[i] == "":
@@ -137,21 +137,12 @@ def new_name(base: str | Column, ext: str | Column = "extension") -> Column:
     return F.when(F.endswith(b, e), b).otherwise(F.concat(b, e))
 
 
-def join_nonempty(sep: str, *cols: Column) -> Column:
-    """``sep``-join skipping NULL and '' (``concat_ws`` only skips NULL)."""
-    return F.array_join(F.filter(F.array(*cols), lambda x: x.isNotNull() & (x != "")), sep)
-
-
 def limit_length(c: str | Column, n: int) -> Column:
     """Cut to ``n`` characters with '...' (C12 rule)."""
     c = col_of(c)
     return F.when(F.char_length(c) > n, F.concat(F.substring(c, 1, n - 3), F.lit("..."))).otherwise(c)
 
 
-def fields_of(names: Sequence[str]) -> list[str]:
-    return list(names)
-
-
 # --- fixed values: one-step business renamer maps ----------------------------
 A_DEPT_NAMES = {"HR": "Human-Resources", "IT": "Information-Technology", "FIN": "Finance", "LEGAL": "Legal",
                 "OPS": "Operations", "SALES": "Sales", "MKT": "Marketing"}

@@ -51,7 +51,21 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_STAGED: list[str] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared staging folder."""
-    return f"{shared_dir(spark)}/tabforge-stage/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder below the shared staging folder, remembered for :func:`clear_staging`."""
+    _STAGED.append(f"{shared_dir(spark)}/tabforge-stage/{name}-{uuid.uuid4().hex[:12]}")
+    return _STAGED[-1]
+
+
+def clear_staging(spark: SparkSession) -> int:
+    """Delete the staging folders that this process made; call it when no result built on them is read any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 

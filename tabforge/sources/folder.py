@@ -35,6 +35,9 @@ WRITE_OPTION_ALIASES = {
     "quotechar": "quote", "quote": "quote", "header": "header", "compression": "compression",
 }
 
+JSON_WRITE_ALIASES = {"encoding": "encoding", "compression": "compression", "dateformat": "dateFormat", "timestampformat": "timestampFormat",
+                      "ignorenullfields": "ignoreNullFields", "linesep": "lineSep"}
+
 
 def normalize_types(types: str | Sequence[str] | None) -> list[str]:
     """None -> all supported; strip dots, lower-case; unsupported -> error."""

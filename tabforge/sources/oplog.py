@@ -12,21 +12,20 @@ from pyspark.sql import functions as F
 
 # --- fixed values: the JSON log record layout --------------------------------
 CORE_FIELDS = ["timestamp", "level", "logger", "message", "module", "function", "line", "exception"]
-CORE_SCHEMA = ("timestamp STRING, level STRING, logger STRING, message STRING, module STRING, function STRING, "
-               "line INT, exception STRUCT<type: STRING, message: STRING, traceback: ARRAY<STRING>>")
+EXCEPTION = "type STRING, message STRING, traceback ARRAY<STRING>"
 
 
 def parse_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Parse a column of JSON log lines into typed columns plus ``extra``."""
-    core = F.from_json(F.col(col), CORE_SCHEMA)
-    everything = F.from_json(F.col(col), "MAP<STRING, STRING>")
-    core_keys = F.array(*[F.lit(k) for k in CORE_FIELDS])
-    extra = F.map_filter(everything, lambda k, v: ~F.array_contains(core_keys, k))
-    return lines.select(
-        F.to_timestamp(core.getField("timestamp")).alias("timestamp"),
-        *[core.getField(k).alias(k) for k in CORE_FIELDS[1:]],
-        extra.alias("extra"),
-    )
+    """Parse a column of JSON log lines into typed columns plus ``extra``: one parse of a line, and one of its
+    exception block where there is one."""
+    rows = lines.select(F.from_json(F.col(col), "MAP<STRING, STRING>").alias("m"))
+    core = lambda k: F.col("m").getItem(k)
+    names = F.array(*[F.lit(k) for k in CORE_FIELDS])
+    return rows.select(
+        F.to_timestamp(core("timestamp")).alias("timestamp"), *[core(k).alias(k) for k in CORE_FIELDS[1:6]],
+        core("line").try_cast("int").alias("line"),
+        F.when(core("exception").isNotNull(), F.from_json(core("exception"), EXCEPTION)).alias("exception"),
+        F.map_filter("m", lambda k, v: ~F.array_contains(names, k)).alias("extra"))
 
 
 def read_operation_log(spark: SparkSession, path: str) -> DataFrame:

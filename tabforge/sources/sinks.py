@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .folder import WRITE_OPTION_ALIASES, filter_options
+from .folder import JSON_WRITE_ALIASES, WRITE_OPTION_ALIASES, filter_options
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -33,7 +33,7 @@ def write_table(df: DataFrame, path: str, fmt: str | None = None, mode: str = "o
         w = w.option("header", "true").options(**filter_options(options, WRITE_OPTION_ALIASES))
         w.csv(path)
     elif fmt == "json":
-        w.json(path)
+        w.options(**filter_options(options, JSON_WRITE_ALIASES)).json(path)
     else:
         w.parquet(path)
     return path

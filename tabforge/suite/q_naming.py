@@ -132,11 +132,6 @@ def extract_business(spark, sf_dir):
     return cat(spark, sf_dir).select("file_id", X.x_business_doc().alias("f")).select("file_id", "f.*")
 
 
-def _inv(i, grp, lit_date=None):
-    p = X.INVOICE_PATTERNS[i]
-    return p, grp
-
-
 INV = [p for p in X.INVOICE_PATTERNS]
 
 
