@@ -23,8 +23,8 @@ from .stage import text_or_empty
 MIN_WORDS = 50
 MAX_REPEAT_WINDOW_PERCENT = 50
 MIN_REPEAT = 6
-MAX_COVERED_PERCENT = 20
-MAX_LONGEST = 40
+MAX_COVERED_PERCENT = 40
+MAX_LONGEST = 50
 
 SYMBOLS = ts._bytes_mask(b"#*$%&|<>")
 NEWLINE = ts._bytes_mask(b"\n")
