@@ -284,7 +284,8 @@ def held_out(doc_id: str = "doc_id"):
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample of labelled documents that are not held out: of each class the first ``MAX_TOXIC`` or
     ``MAX_OTHER`` doc_ids by a hash, as far as ``docs`` has them with at most ``MAX_BYTES`` bytes of text. Null labels
-    are no labels. The sample's doc_ids are chosen from the labels alone and broadcast; no text is shuffled."""
+    are no labels. The sample's doc_ids are chosen from the labels alone and broadcast, its texts go to
+    one task for the fit; no other text is shuffled."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     marks = marks.where(F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.withColumn("place", F.xxhash64(F.col("doc_id").cast("string")))
@@ -292,9 +293,28 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
               for c, n, y in (("toxic > 0", MAX_TOXIC, 1), ("toxic <= 0", MAX_OTHER, 0))]
     sample = F.broadcast(chosen[0].union(chosen[1]))  # at most MAX_TOXIC + MAX_OTHER rows
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    got = rows.where(F.octet_length("text") <= MAX_BYTES).join(sample, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "y").toArrow()
-    got = got.sort_by("doc_id")
-    return fit(got.column("text").combine_chunks() if got.num_rows else pa.array([], pa.string()), got.column("y").to_numpy() == 1)
+    rows = rows.where(F.octet_length("text") <= MAX_BYTES).join(sample, "doc_id").dropDuplicates(["doc_id"])
+    fitted = rows.select("doc_id", "text", "y").repartition(1).mapInArrow(_fitter, MODEL_DDL).first()  # one task, of the bounded sample
+    if fitted is None:  # no partition at all
+        return fit(pa.array([], pa.string()), np.zeros(0, bool))
+    return Model(np.array(fitted["keys"], np.int64).view(np.uint64), np.array(fitted["weights"]), fitted["bias"],
+                 np.array(fitted["trans"]).reshape(2, 2), np.array(fitted["calibration"]))
+
+
+MODEL_DDL = "keys array<long>, weights array<double>, bias double, trans array<double>, calibration array<double>"
+
+
+def _fitter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    got = [b for b in batches if b.num_rows]
+    if got:
+        t = pa.Table.from_batches(got).sort_by("doc_id")
+        m = fit(t.column("text").combine_chunks(), t.column("y").to_numpy() == 1)
+    else:
+        m = fit(pa.array([], pa.string()), np.zeros(0, bool))
+    many = lambda x, kind: pa.array([x.tolist()], pa.list_(kind))
+    yield pa.RecordBatch.from_arrays([many(m.keys.view(np.int64), pa.int64()), many(m.weights, pa.float64()), pa.array([float(m.bias)]),
+                                      many(m.trans.ravel(), pa.float64()), many(m.calibration, pa.float64())],
+                                     names=["keys", "weights", "bias", "trans", "calibration"])
 
 
 SCORE_DDL = "doc_id long, score double, spans array<struct<start:long,end:long>>"
