@@ -214,3 +214,24 @@ def test_every_operator_is_registered():
     names = E.queries()
     assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] and "pipeline" in names
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+
+
+def test_pipeline_stages_on_hostile_rows(spark):
+    rows = corpus(21)
+    docs = frame(spark, rows).withColumn("n_chars", F.length("text"))
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 3 != 0, "en")).withColumn("source", F.when(F.col("doc_id") % 2 == 0, "src7"))
+    docs = docs.withColumns({c: F.lit("y") for c in ("domain", "tokens", "epoch", "leaf", "key", "item_id", "a", "b", "budget", "component_id")})
+    at = Stage(spark, "test-hostile")
+    kept = {}
+    for empty in (False, True):
+        now = docs.limit(0) if empty else docs
+        for name, step in corpus_pipeline.STAGES:
+            now = at.put(f"{name}-{empty}", step(spark, now, SF))
+            assert now.columns[:len(docs.columns)] == docs.columns or name == "sharding"
+            kept[name] = now.count()
+        assert not empty or now.count() == 0
+        if not empty:
+            classes = brute_classes(rows)
+            ids = [r.doc_id for r in at.spark.read.parquet(at.path("near_duplicates-False")).collect()]
+            assert {i for i in ids if i is not None} == {i for i, c in classes.items() if i == c}
+            assert ids.count(None) == sum(i is None for i, _ in rows) and ids.count(10) == 1
