@@ -1,6 +1,6 @@
 """Declarative rename specs and step registration.
 
-A spec dict (the shape of the reference's YAML files: ``pipeline.filters`` /
+A spec dict (``pipeline.filters`` /
 ``extractor`` / ``converters`` / ``template`` or ``all_in_one``, plus
 ``collision_handling``) becomes a :class:`~tabforge.plans.rename.RenameSpec`
 of Column builders. Custom steps are registered as Column functions

@@ -1,4 +1,4 @@
-"""H1-H8 unit cases (expectations taken from the reference's own tests)."""
+"""H1-H8 unit cases."""
 
 from pyspark.sql import functions as F
 
