@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 PIECE = 1 << 20
@@ -152,8 +153,8 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = BATCH_BYTE
     for batch in batches:
         if not batch.num_rows:
             continue
-        col = batch.column(batch.schema.get_field_index(text)).cast(pa.large_string()).fill_null("")
-        at = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset:col.offset + len(col) + 1]
+        size = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_numpy(zero_copy_only=False)
+        at = np.append(0, np.cumsum(size, dtype=np.int64))
         i = 0
         while i < batch.num_rows:
             j = max(i + 1, int(np.searchsorted(at, at[i] + limit, "right")) - 1)

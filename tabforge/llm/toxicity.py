@@ -25,28 +25,28 @@ from . import textscan as ts
 from .stage import text_or_empty
 
 #: The fit's sample: labelled rows of each class, by the order of a hash, of texts up to a number of bytes.
-MAX_TOXIC, MAX_OTHER, MAX_BYTES = 1500, 3500, 10_000
+MAX_TOXIC, MAX_OTHER, MAX_BYTES = 1500, 3500, 8_000
 PREFIXES = (4, 5, 6, 7)
 MAX_FEATURES = 4000
 MIN_DOCS = 4
 MIN_LOG_ODDS = 2.0
-MIN_G2 = 13.0  # log-likelihood ratio against a feature that is as frequent in both classes
+MIN_G2 = 15.0  # log-likelihood ratio against a feature that is as frequent in both classes
 TOXIC_TOKEN_LOG_ODDS = 3.0
 THRESHOLD = 0.7
 SEGMENT = 32
 #: Segments that the field's weights are fitted on, half of them without any feature.
-MAX_SEGMENTS = 8000
+MAX_SEGMENTS = 6000
 
 
-def feature_hashes(w: ts.Words) -> np.ndarray:
-    """(words, 1 + prefixes): a word's features, 0 where it is not longer than the prefix."""
-    out = np.zeros((len(w.hash), 1 + len(PREFIXES)), dtype=np.uint64)
-    out[:, 0] = w.hash
+def feature_hashes(w: ts.Words) -> Iterator[np.ndarray]:
+    """One array of a feature of every word at a time: the word, its beginnings; 0 where it is not longer than one."""
+    yield w.hash
     size = w.ends - w.starts
-    for j, n in enumerate(PREFIXES, 1):
+    for n in PREFIXES:
+        out = np.zeros(len(w.hash), dtype=np.uint64)
         some = np.flatnonzero(size > n)
-        out[some, j] = ts.span_hashes(w.data, w.starts[some], w.starts[some] + n, lower=True) ^ ts.U64(n)
-    return out
+        out[some] = ts.span_hashes(w.data, w.starts[some], w.starts[some] + n, lower=True) ^ ts.U64(n)
+        yield out
 
 
 def scan(texts: pa.Array) -> ts.Words:
@@ -66,15 +66,25 @@ class Model:
         self.table = np.zeros(1 << 16, dtype=bool)
         self.table[(self.keys & ts.U64(0xFFFF)).astype(np.int64)] = True
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Index of each feature among the keys, -1 if it is none of them."""
-        out = np.full(h.shape, -1, dtype=np.int64)
-        if not len(self.keys):
-            return out
-        maybe = np.nonzero(self.table[(h & ts.U64(0xFFFF)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
-        out[maybe] = np.where(self.keys[at] == h[maybe], at, -1)
-        return out
+    def find(self, w: ts.Words) -> tuple[np.ndarray, np.ndarray]:
+        """(words that have a feature of the model, the indices of their features, -1 for none)."""
+        places, kinds, keys = [], [], []
+        for j, h in enumerate(feature_hashes(w)):
+            if not len(self.keys):
+                break
+            maybe = np.flatnonzero(self.table[(h & ts.U64(0xFFFF)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
+            good = self.keys[at] == h[maybe]
+            places.append(maybe[good])
+            keys.append(at[good])
+            kinds.append(np.full(int(good.sum()), j))
+        if not places:
+            return np.zeros(0, np.int64), np.zeros((0, 1 + len(PREFIXES)), np.int64)
+        places, kinds, keys = np.concatenate(places), np.concatenate(kinds), np.concatenate(keys)
+        hit, row = np.unique(places, return_inverse=True)
+        found = np.full((len(hit), 1 + len(PREFIXES)), -1, dtype=np.int64)
+        found[row, kinds] = keys
+        return hit, found
 
 
 def _one_of_copies(w: ts.Words, rare: int = 30) -> np.ndarray:
@@ -91,14 +101,15 @@ def _one_of_copies(w: ts.Words, rare: int = 30) -> np.ndarray:
     return first | none
 
 
-def _select(h: np.ndarray, doc: np.ndarray, toxic: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _select(w: ts.Words, toxic: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(keys, log odds) of the features that mark toxic documents among those of ``own``, ascending by key."""
     n1, n0 = int((toxic & own).sum()), int((~toxic & own).sum())
     share = n1 / max(n1 + n0, 1)
-    some = own[doc]
+    some = own[w.doc]
+    doc = w.doc[some]
     keys, odds, rank = [], [], []
-    for j in range(h.shape[1]):  # one kind of feature at a time: their hashes never meet
-        key, where = _distinct(h[some, j], doc[some])
+    for h in feature_hashes(w):  # one kind of feature at a time: their hashes never meet
+        key, where = _distinct(h[some], doc)
         if not len(key):
             continue
         new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
@@ -128,13 +139,14 @@ def _distinct(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[new], doc[new]
 
 
-def _fit_field(found: np.ndarray, label: np.ndarray, first: np.ndarray, size: np.ndarray, n_keys: int, steps: int = 80):
-    """Weights by gradient ascent on the likelihood of labelled segments: words first[i] .. first[i] + size[i] - 1."""
+def _fit_field(row: np.ndarray, found: np.ndarray, label: np.ndarray, first: np.ndarray, size: np.ndarray, n_keys: int, steps: int = 80):
+    """Weights by gradient ascent on the likelihood of labelled segments: words first[i] .. first[i] + size[i] - 1.
+    ``row`` is a word's row in ``found`` and ``label``, their last row stands for words without a feature."""
     place = first[:, None] + np.arange(SEGMENT)[None, :]
     inside = np.arange(SEGMENT)[None, :] < size[:, None]
     place = np.where(inside, place, 0)
-    feats = np.where(inside[:, :, None], found[place], -1)
-    y = np.where(inside, label[place], 0)
+    at = np.where(inside, row[place], len(found) - 1)
+    feats, y = found[at], label[at]
     w, bias, trans = np.zeros(n_keys + 1), -1.0, np.zeros((2, 2))
     moments = [[np.zeros_like(w), np.zeros_like(w)], [0.0, 0.0], [np.zeros((2, 2)), np.zeros((2, 2))]]
     gold_f = np.bincount(feats[(y == 1)].ravel() + 1, minlength=n_keys + 1).astype(float)
@@ -182,12 +194,11 @@ def _fit_field(found: np.ndarray, label: np.ndarray, first: np.ndarray, size: np
 
 def tag(model: Model, w: ts.Words) -> tuple[np.ndarray, np.ndarray]:
     """(words with a feature, marginal probability that each is toxic): forward-backward over the whole texts."""
-    found = model.find(feature_hashes(w))
-    hit = np.flatnonzero((found >= 0).any(1))
+    hit, found = model.find(w)
     if not len(hit):
         return hit, np.zeros(0)
     weights = np.append(model.weights, 0.0)
-    unary = np.clip(model.bias + weights[found[hit]].sum(1), -30, 30)
+    unary = np.clip(model.bias + weights[found].sum(1), -30, 30)
     emit = np.stack([np.ones(len(hit)), np.exp(unary)], 1)
     t = np.exp(model.trans)
     plain = t * np.array([1.0, np.exp(np.clip(model.bias, -30, 30))])[None, :]
@@ -257,20 +268,21 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     if not len(toxic) or toxic.all() or not toxic.any():
         none.calibration[0] = 3.0 if len(toxic) and toxic.all() else -3.0
         return none
-    h = feature_hashes(w)
-    keys, odds = _select(h, w.doc, toxic, _one_of_copies(w))
+    keys, odds = _select(w, toxic, _one_of_copies(w))
     if not len(keys):
         return none
-    probe = Model(keys, np.zeros(len(keys)), 0.0, np.zeros((2, 2)), np.zeros(4))
-    found = probe.find(h)
+    hit, found = Model(keys, np.zeros(len(keys)), 0.0, np.zeros((2, 2)), np.zeros(4)).find(w)
     strong = np.append(odds >= TOXIC_TOKEN_LOG_ODDS, False)
-    label = (strong[found].any(1) & toxic[w.doc]).astype(int)
+    label = np.append((strong[found].any(1) & toxic[w.doc[hit]]).astype(int), 0)
+    row = np.full(len(w.hash), len(hit), dtype=np.int32)
+    row[hit] = np.arange(len(hit))
     first = np.concatenate([np.arange(a, b, SEGMENT) for a, b in zip(w.first[:-1], w.first[1:])])
     size = np.minimum(SEGMENT, w.first[w.doc[first] + 1] - first)
-    active = np.add.reduceat((found >= 0).any(1).astype(int), first) > 0
+    active = np.bincount(np.searchsorted(first, hit, "right") - 1, minlength=len(first)) > 0
     spread = lambda x: x[::max(1, -(-len(x) * 2 // MAX_SEGMENTS))]
     use = np.sort(np.concatenate([spread(np.flatnonzero(active)), spread(np.flatnonzero(~active))]))
-    weights, bias, trans = _fit_field(found, label, first[use], size[use], len(keys))
+    none_found = np.full((1, found.shape[1]), -1, dtype=np.int64)
+    weights, bias, trans = _fit_field(row, np.concatenate([found, none_found]), label, first[use], size[use], len(keys))
     model = Model(keys, weights, bias, trans, np.zeros(4))
     model.calibration = _logistic(_aggregate(w, *tag(model, w)), toxic.astype(float))
     return model
