@@ -6,6 +6,9 @@ benchmark items, so a question that was copied with other numbers or names still
 the distance of the two positions; on each diagonal every value of the item must stand for one value of the document
 (slot consistency), else its windows don't count.
 
+Beside them, windows of plain lower-cased words are joined by equality. They find what templates cannot: windows that
+are mostly placeholders, items of a few words, and copies in other case.
+
 Only built-in DataFrame functions are used.
 """
 
@@ -17,24 +20,27 @@ from pyspark.sql import functions as F
 from .stage import Stage, only, text_or_empty
 
 WINDOW = 8
-#: Words that are not placeholders which a window of an item must hold to be searched.
+#: Words that are not placeholders which a window of an item must hold to be searched as a template.
 MIN_LITERALS = 5
 #: An item is found if so many of its windows are, or half of them.
 MIN_WINDOWS = 6
+#: Items of fewer tokens are searched as plain words only.
 SHORTEST = 4
 #: Windows of items up to which they are sent to every executor (24 bytes each); beyond, the join shuffles.
 BROADCAST_WINDOWS = 1_000_000
 
 #: A name is a capitalised word, or several, that don't begin a sentence: they follow a lower-case letter, a digit or a
 #: comma, colon or semicolon and a blank. The blank stays with the token and marks it.
-TOKEN = (r"(?<=[\p{Ll}0-9,;:]) \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*|[0-9]+(?:[.,][0-9]+)*|\p{L}+"
+TOKEN = (r"(?<=[\p{Ll}0-9,;:]) \p{Lu}\p{Ll}\p{L}*(?: \p{Lu}\p{Ll}\p{L}*)*|[0-9]+(?:[.,][0-9]+)*|\p{L}+"
          r"|(?<=[0-9])[%€£$°]|[$€£](?=[0-9])")
 NAME, NUMBER, UNIT = "\u0001name", "\u0001number", "\u0001unit"
 # fixed values: units of measure and money
-UNITS = ("% $ € £ ° mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound pounds "
-         "ounce ounces oz ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hour hours day days "
-         "week weeks month months year years cent cents dollar dollars euro euros usd eur gbp percent degree degrees mph kmh hz khz mhz "
-         "w kw kwh v a j kj cal kcal byte bytes kb mb gb tb").split()
+UNITS = ("% $ € £ ° mm cm km inch inches feet ft yards mile miles mg kg gram grams kilogram kilograms lb lbs pounds "
+         "ounce ounces oz ml liter liters litre litres gallon gallons sec seconds min minutes hour hours days "
+         "week weeks month months year years cent cents dollar dollars euro euros usd eur gbp percent degrees mph kmh hz khz mhz "
+         "kw kwh kj cal kcal byte bytes kb mb gb tb").split()
+#: Letters and common words that are units right after a number only.
+UNITS_AFTER_NUMBER = "a g h j l m s v w day degree foot minute pound second yard".split()
 
 
 def words_of(text: Column) -> Column:
@@ -42,63 +48,88 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
+def _is_number(token: Column) -> Column:
+    return (F.substring(token, 1, 1) >= "0") & (F.substring(token, 1, 1) <= "9")
+
+
 def template_of(words: Column) -> Column:
-    first = lambda t: F.substring(t, 1, 1)
-    return F.transform(words, lambda t: F.when(first(t) == " ", NAME).when((first(t) >= "0") & (first(t) <= "9"), NUMBER)
-                       .when(F.lower(t).isin(UNITS), UNIT).otherwise(F.lower(t)))
+    """``words`` is read twice: give a column that stands, not the expression that makes it."""
+    def kind(t, before):
+        unit = F.lower(t).isin(UNITS) | (F.lower(t).isin(UNITS_AFTER_NUMBER) & _is_number(before))
+        return F.when(F.substring(t, 1, 1) == " ", NAME).when(_is_number(t), NUMBER).when(unit, UNIT).otherwise(F.lower(t))
+    return F.zip_with(words, F.slice(F.concat(F.array(F.lit("")), words), F.lit(1), F.size(words)), kind)
 
 
-def _windows(template: Column, size: int) -> Column:
+def _plain(words: Column) -> Column:
+    """For each token its lower-cased words: a name has one or more, other tokens are one."""
+    return F.transform(words, lambda t: F.when(F.substring(t, 1, 1) == " ", F.split(F.lower(F.substring(t, 2, 1 << 30)), " "))
+                       .otherwise(F.array(F.lower(t))))
+
+
+def _windows(tokens: Column, size: int, seed: int) -> Column:
     """Hashes of the windows of ``size`` tokens, in order."""
-    last = F.size(template) - size + 1
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.lit(size), F.slice(template, i, size))))
+    last = F.size(tokens) - size + 1
+    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.lit(seed), F.slice(tokens, i, size))))
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs (doc_id, text), benchmark (item_id, text) -> one row for each document and item found in it:
-    doc_id, item_id, matched (distinct windows of the item that stand in the document), windows (of the item),
-    changed (values of the item that the document replaces by others).
-
-    Null and empty texts have no windows. Items of fewer than ``window`` tokens are one window, items of fewer than
-    ``SHORTEST`` are never found. A null doc_id or item_id cannot be reported and is not searched. Repeated rows of a
-    document or item count as one; equal items are all reported. Empty tables give an empty result; other columns
-    are ignored.
+    doc_id, item_id, matched (distinct windows of the item's words that stand in the document, as plain words or in a
+    template), windows (of the item's words), changed (values of the item that the document replaces by others).
+
+    An item is also found by half of the windows that are searched as templates. Null and empty texts have no windows.
+    Items of fewer than ``window`` tokens are one window; those of fewer than ``SHORTEST`` are found word for word only,
+    so an item of one word is found wherever that word stands. A null doc_id or item_id cannot be reported and is not
+    searched. Repeated rows of a document or item count as one; equal items are all reported. Empty tables give an
+    empty result; other columns are ignored.
     """
     st = Stage(spark, "decontamination")
     # the items' windows
-    items = (benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).distinct()
-             .withColumn("w", words_of(F.col("text"))).withColumn("t", template_of(F.col("w")))
-             .withColumn("size", F.least(F.size("t"), F.lit(window))).where(F.col("size") >= SHORTEST))
-    cut = items.select("item_id", "w", "t", "size", F.posexplode(F.sequence(F.lit(1), F.size("t") - F.col("size") + 1)).alias("pos", "i"))
+    items = st.put("texts", benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).distinct()
+                   .select("item_id", words_of(F.col("text")).alias("w")))
+    items = (items.withColumn("t", template_of(F.col("w"))).withColumn("p", _plain(F.col("w")))
+             .withColumn("size", F.least(F.size("t"), F.lit(window))))
+    cut = items.where(F.col("size") >= SHORTEST).select(
+        "item_id", "w", "t", "p", "size", F.posexplode(F.sequence(F.lit(1), F.size("t") - F.col("size") + 1)).alias("pos", "i"))
     cut = (cut.withColumn("part", F.expr("slice(t, i, size)")).withColumn("values", F.expr("slice(w, i, size)"))
-           .withColumn("slots", F.size(F.filter("part", lambda t: t.isin(NAME, NUMBER, UNIT)))))
+           .withColumn("slots", F.size(F.filter("part", lambda t: t.isin(NAME, NUMBER, UNIT))))
+           # windows of plain words that lie in it
+           .withColumn("low", F.size(F.flatten(F.expr("slice(p, 1, pos)"))))
+           .withColumn("high", F.col("low") + F.greatest(F.size(F.flatten(F.expr("slice(p, i, size)"))) - window, F.lit(0))))
     literal = F.col("size") - F.col("slots") >= F.ceil(F.col("size") * MIN_LITERALS / window)
-    grams = st.put("items", cut.where(literal).select("item_id", "pos", "size", "part", "values", "slots",
-                                                      F.xxhash64("size", "part").alias("h")).dropDuplicates(["item_id", "pos", "h"]))
-    totals = grams.groupBy("item_id").agg(F.countDistinct("pos").alias("windows"))
-    sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())  # SHORTEST .. window at most
-    if not sizes:
+    grams = st.put("items", cut.where(literal).select("item_id", "pos", "size", "part", "values", "slots", "low", "high",
+                                                      F.xxhash64("size", "part").alias("h")).dropDuplicates(["item_id", "pos", "h", "low", "high"]))
+    words = (items.withColumn("p", F.flatten("p")).withColumn("size", F.least(F.size("p"), F.lit(window))).where("size > 0")
+             .select("item_id", "size", "p", F.posexplode(F.sequence(F.lit(1), F.size("p") - F.col("size") + 1)).alias("pos", "i")))
+    plain = st.put("plain", words.select("item_id", "pos", "size", F.expr("xxhash64(-size, slice(p, i, size))").alias("h")).distinct())
+    totals = (plain.groupBy("item_id").agg(F.countDistinct("pos").alias("windows"))
+              .join(grams.groupBy("item_id").agg(F.countDistinct("pos").alias("templates")), "item_id", "left"))
+
+    def sizes(t):  # 1 .. window at most
+        return sorted(r["size"] for r in t.select("size").distinct().collect())
+    if not sizes(plain):
         return totals.select(F.lit(0).cast("long").alias("doc_id"), "item_id", F.lit(0).cast("long").alias("matched"), "windows",
                              F.lit(0).cast("long").alias("changed"))
 
     # the documents' windows
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    made = rows.select("doc_id", template_of(words_of(F.col("text"))).alias("t"))
-    keys = grams.select("h", "item_id", "pos", "slots")
-    if grams.count() <= BROADCAST_WINDOWS:
+    made = rows.select("doc_id", words_of(F.col("text")).alias("w"))
+    made = made.select("doc_id", template_of(F.col("w")).alias("t"), F.flatten(_plain(F.col("w"))).alias("p"))
+    hashes = [_windows(F.col("t"), n, n) for n in sizes(grams)] + [_windows(F.col("p"), n, -n) for n in sizes(plain)]
+    keys = (grams.select("h", "item_id", "pos", "slots", F.lit(True).alias("typed"))
+            .unionByName(plain.select("h", "item_id", "pos", F.lit(0).alias("slots"), F.lit(False).alias("typed"))))
+    if grams.count() + plain.count() <= BROADCAST_WINDOWS:
         keys = F.broadcast(keys)
-    hits = None
-    for size in sizes:
-        part = made.select("doc_id", F.posexplode(_windows(F.col("t"), size)).alias("at", "h")).join(keys, "h")
-        hits = part if hits is None else hits.unionByName(part)
-    hits = st.put("hits", hits.select("doc_id", "item_id", "at", "pos", "slots", "h").distinct())
+    hits = made.select("doc_id", F.explode(F.array(*hashes)).alias("hs")).select("doc_id", F.posexplode("hs").alias("at", "h")).join(keys, "h")
+    hits = st.put("hits", hits.select("doc_id", "item_id", F.when(F.col("typed"), F.col("at")).alias("at"), "pos", "slots", "h", "typed").distinct())
 
     # values of the windows with placeholders, for each diagonal
     slotted = hits.where("slots > 0")
     again = only(rows, st.put("slotted", slotted.select("doc_id").distinct())).select("doc_id", words_of(F.col("text")).alias("mine"))
+    again = again.withColumn("canon", template_of(F.col("mine")))
     pairs = (slotted.join(grams.select("item_id", "pos", "h", "part", "values", "size"), ["item_id", "pos", "h"]).join(again, "doc_id")
              .withColumn("own", F.expr("slice(mine, at + 1, size)"))
-             .where(template_of(F.col("own")) == F.col("part"))  # of repeated rows, the one that the hit is in
+             .where(F.expr("slice(canon, at + 1, size)") == F.col("part"))  # of repeated rows, the one that the hit is in
              .select("doc_id", "item_id", (F.col("at") - F.col("pos")).alias("d"),
                      F.explode(F.arrays_zip("part", "values", "own")).alias("z"))
              .where(F.col("z.part").isin(NAME, NUMBER, UNIT))
@@ -106,9 +137,14 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, win
              .agg(F.min(F.lower("z.own")).alias("x"), F.max(F.lower("z.own")).alias("y")))
     slots = st.put("slots", pairs.groupBy("doc_id", "item_id", "d").agg(F.max((F.col("x") != F.col("y")).cast("int")).alias("torn"),
                                                                      F.sum((F.col("x") != F.col("value")).cast("int")).alias("changed")))
-    checked = (hits.withColumn("d", F.col("at") - F.col("pos")).join(slots, ["doc_id", "item_id", "d"], "left")
-               .where("torn IS NULL OR torn = 0 OR slots = 0"))
-    found = (checked.groupBy("doc_id", "item_id").agg(F.countDistinct("pos").alias("matched"), F.coalesce(F.max("changed"), F.lit(0)).alias("changed"))
-             .join(totals, "item_id"))
-    return (found.where((F.col("matched") >= MIN_WINDOWS) | (2 * F.col("matched") >= F.col("windows")))
+    checked = (hits.where("typed").withColumn("d", F.col("at") - F.col("pos")).join(slots, ["doc_id", "item_id", "d"], "left")
+               .where("torn IS NULL OR torn = 0 OR slots = 0")
+               .join(grams.select("item_id", "pos", "h", "low", "high"), ["item_id", "pos", "h"])
+               .select("doc_id", "item_id", F.explode(F.sequence("low", "high")).alias("word"), F.col("pos").alias("template"), "changed"))
+    exact = hits.where("NOT typed").select("doc_id", "item_id", F.col("pos").alias("word"), F.lit(None).cast("int").alias("template"),
+                                           F.lit(None).cast("long").alias("changed"))
+    found = (checked.unionByName(exact).groupBy("doc_id", "item_id")
+             .agg(F.countDistinct("word").alias("matched"), F.countDistinct("template").alias("canonical"),
+                  F.coalesce(F.max("changed"), F.lit(0)).alias("changed")).join(totals, "item_id"))
+    return (found.where((F.col("matched") >= MIN_WINDOWS) | (2 * F.col("matched") >= F.col("windows")) | (2 * F.col("canonical") >= F.col("templates")))
             .select("doc_id", "item_id", "matched", "windows", F.col("changed").cast("long").alias("changed")))

@@ -152,6 +152,19 @@ def test_decontamination_by_templates(spark):
     assert decontam.contaminated(spark, frame(spark, docs), bench.limit(0)).collect() == []
 
 
+def test_decontamination_of_items_that_are_mostly_placeholders_or_short(spark):
+    items = ["A car travels 60 miles in 2 hours, then 90 miles in 3 hours. Find 150 miles / 5 hours in miles a second.",
+             "Sort the list 5, 3, 9, 1, 7, 2, 8 in ascending order.", "Der Hund von Anna hat 3 Knochen, 4 Decken.", "Define entropy."]
+    rng = random.Random(9)
+    docs = [(i, prose(rng, 40) + ". " + t + " " + prose(rng, 40)) for i, t in enumerate(items)] + [(9, prose(rng, 200))]
+    got = decontam.contaminated(spark, frame(spark, docs), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.matched == r.windows for r in got} == {(i, i): True for i in range(4)}
+    t = [r.t for r in frame(spark, [(1, "In a second, 5 m and 3 s: it's a 10 miles run of 2 a day")], extra=False)
+         .select(decontam.words_of(licenses.F.col("text")).alias("w")).select(decontam.template_of(licenses.F.col("w")).alias("t")).collect()][0]
+    N, U = decontam.NUMBER, decontam.UNIT
+    assert t == ["in", "a", "second", N, U, "and", N, U, "it", "s", "a", N, U, "run", "of", N, U, "day"]
+
+
 def test_decontamination_is_native(spark):
     df = decontam.contaminated(spark, frame(spark, corpus()), spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
