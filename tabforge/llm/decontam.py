@@ -33,6 +33,8 @@ BROADCAST_WINDOWS = 1_000_000
 #: comma, colon or semicolon and a blank. The blank stays with the token and marks it.
 TOKEN = (r"(?<=[\p{Ll}0-9,;:]) \p{Lu}\p{Ll}\p{L}*(?: \p{Lu}\p{Ll}\p{L}*)*|[0-9]+(?:[.,][0-9]+)*|\p{L}+"
          r"|(?<=[0-9])[%€£$°]|[$€£](?=[0-9])")
+#: White space that is not one blank.
+WIDE = r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]"
 NAME, NUMBER, UNIT = "\u0001name", "\u0001number", "\u0001unit"
 # fixed values: units of measure and money
 UNITS = ("% $ € £ ° mm cm km inch inches feet ft yards mile miles mg kg gram grams kilogram kilograms lb lbs pounds "
@@ -44,8 +46,8 @@ UNITS_AFTER_NUMBER = "a g h j l m s v w day degree foot minute pound second yard
 
 
 def words_of(text: Column) -> Column:
-    """Tokens as they stand in the text."""
-    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    """Tokens as they stand in the text, white space taken as one blank."""
+    return F.regexp_extract_all(F.regexp_replace(text, WIDE, " "), F.lit(TOKEN), F.lit(0))
 
 
 def _is_number(token: Column) -> Column:

@@ -165,6 +165,23 @@ def test_decontamination_of_items_that_are_mostly_placeholders_or_short(spark):
     assert t == ["in", "a", "second", N, U, "and", N, U, "it", "s", "a", N, U, "run", "of", N, U, "day"]
 
 
+def test_decontamination_of_copies_in_other_case_or_spacing(spark):
+    item = "The committee that met in Geneva during spring asked whether the treaty signed by Norway could be changed before winter."
+    moved = "The committee that met in New York at 5 asked whether the treaty signed by Anna Brown could be changed before winter."
+    short = "Rivers carry cold water to Norway"
+    rng = random.Random(10)
+    copies = [item, item.lower(), item.upper(), item.replace(" Geneva", "\nGeneva").replace(" Norway", "\r\n\tNorway"), item.replace(" ", "  "),
+              item.replace(" ", "\u00a0")]
+    docs = [(i, prose(rng, 30) + ". " + t + " " + prose(rng, 30)) for i, t in enumerate(copies)]
+    docs += [(10, prose(rng, 30) + " " + short + " " + prose(rng, 30)), (11, prose(rng, 30)),
+             (12, moved.replace("New York at 5", "Rome at 7").replace("Anna Brown", "Mary\nAnn  Miller"))]
+    bench = spark.createDataFrame([(1, item), (2, short), (3, moved)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(spark, frame(spark, docs), bench).collect()}
+    assert {k for k in got if k[1] != 3 or k[0] == 12} >= {(i, 1) for i in range(6)} | {(10, 2), (12, 3)}
+    assert all(got[i, 1].matched == got[i, 1].windows == 13 for i in range(6)) and not [k for k in got if k[0] == 11]
+    assert got[12, 3].changed == 3
+
+
 def test_decontamination_is_native(spark):
     df = decontam.contaminated(spark, frame(spark, corpus()), spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
