@@ -206,3 +206,14 @@ def test_license_notices(spark):
     assert docs[8][1][first.start:].startswith("Released")
     assert licenses.license_notices(spark, frame(spark, [])).collect() == []
     assert len(words("a b")) == 2
+
+
+def test_short_notices_inside_longer_lines(spark):
+    rng = random.Random(3)
+    texts = {"MIT": "This file is part of libfoo. Released under the MIT License. See AUTHORS for the people who wrote it.",
+             "CC-BY-4.0": prose(rng, 8) + " Licensed under CC BY 4.0. " + prose(rng, 8),
+             "All-rights-reserved": "The Daily News, 12 High Street, Springfield. All rights reserved.",
+             "Apache-2.0": prose(rng, 400) + " Licensed under the Apache License, Version 2.0. " + prose(rng, 400),
+             "Copyright": "Copyright (c) 2019 The Board of Trustees of Leland Stanford Junior University. All rights reserved."}
+    got = licenses.license_notices(spark, frame(spark, list(enumerate(texts.values())))).collect()
+    assert {(r.doc_id, r.license, r.notices, r.changed) for r in got} == {(i, n, 1, 0) for i, n in enumerate(texts)}
