@@ -217,3 +217,13 @@ def test_short_notices_inside_longer_lines(spark):
              "Copyright": "Copyright (c) 2019 The Board of Trustees of Leland Stanford Junior University. All rights reserved."}
     got = licenses.license_notices(spark, frame(spark, list(enumerate(texts.values())))).collect()
     assert {(r.doc_id, r.license, r.notices, r.changed) for r in got} == {(i, n, 1, 0) for i, n in enumerate(texts)}
+
+
+def test_every_notice_of_a_block_is_reported(spark):
+    texts = [("Copyright (c) 2019 Acme Corp. All rights reserved. Licensed under the Apache License, Version 2.0.", {"Copyright", "Apache-2.0"}),
+             ("Released under the MIT License. This work is licensed under the GNU Lesser General Public License, version 3.", {"MIT", "LGPL-3.0"}),
+             ("This work is licensed under the GNU General Public License, version 3.", {"GPL-3.0"}),
+             ("Licensed under CC BY-SA 4.0. Licensed under CC BY 4.0. Released under the MIT License. All rights reserved.",
+              {"CC-BY-SA-4.0", "CC-BY-4.0", "MIT", "All-rights-reserved"})]
+    got = licenses.license_notices(spark, frame(spark, [(i, t) for i, (t, _) in enumerate(texts)])).collect()
+    assert {(r.doc_id, r.license) for r in got} == {(i, n) for i, (_, names) in enumerate(texts) for n in names}
