@@ -12,6 +12,7 @@ import re
 import zipfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -58,8 +59,19 @@ def _text(cell, shared: list[str]) -> str | None:
     return shared[int(v.text)] if kind == "s" else ("True" if v.text == "1" else "False") if kind == "b" else v.text
 
 
+def _rows(z: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[dict[int, str | None]]:
+    """The rows of a sheet as cells by their column number."""
+    with z.open(part) as f:
+        for _, row in ET.iterparse(f):
+            if row.tag == _tag("row"):
+                yield {_col_index(c.get("r")): _text(c, shared) for c in row.findall("m:c", NS)}
+                row.clear()
+
+
 def parse_workbook(data: bytes, sheets: Sequence[str | int] | None = (0,)) -> Iterator[tuple[str, int, int, list, list]]:
-    """Yield (sheet name, sheet position, data row number, header, cells) for the chosen sheets (None = all)."""
+    """Yield (sheet name, sheet position, data row number, header, cells) for the chosen sheets (None = all).
+
+    A sheet is as wide as its widest row: columns without a header cell are named ``Unnamed: n``."""
     z = zipfile.ZipFile(io.BytesIO(data))
     shared = _shared_strings(z)
     wb = ET.fromstring(z.read("xl/workbook.xml"))
@@ -69,19 +81,15 @@ def parse_workbook(data: bytes, sheets: Sequence[str | int] | None = (0,)) -> It
         if sheets is not None and at not in sheets and name not in sheets:
             continue
         target = target.lstrip("/")
-        header, n = None, 0
-        with z.open(target if target.startswith("xl/") else "xl/" + target) as f:
-            for _, row in ET.iterparse(f):
-                if row.tag != _tag("row"):
-                    continue
-                cells = {_col_index(c.get("r")): _text(c, shared) for c in row.findall("m:c", NS)}
-                row.clear()
-                if header is None:
-                    width = max(cells, default=-1) + 1
-                    header = [cells.get(i) or f"Unnamed: {i}" for i in range(width)]
-                elif any(v is not None for v in cells.values()):
-                    yield name, at, n, header, [cells.get(i) for i in range(len(header))]
-                    n += 1
+        part = target if target.startswith("xl/") else "xl/" + target
+        first = next(_rows(z, part, shared), {})
+        width = max(max(first, default=-1), max((i for cells in _rows(z, part, shared) for i, v in cells.items() if v), default=-1)) + 1
+        header = [first.get(i) or f"Unnamed: {i}" for i in range(width)]
+        n = 0
+        for cells in islice(_rows(z, part, shared), 1, None):
+            if any(v is not None for v in cells.values()):
+                yield name, at, n, header, [cells.get(i) for i in range(width)]
+                n += 1
 
 
 def read_excel_folder(spark: SparkSession, root: str, sheets: Sequence[str | int] | None = (0,),

@@ -8,6 +8,7 @@ import pytest
 from tabforge.operators import harmonize as H
 from tabforge.plans.harmonize_folder import HarmonizeConfig, harmonize_folder
 from tabforge.sources import folder as S
+from tabforge.sources.excel import parse_workbook
 from tabforge.streaming.ingest import ingest_stream
 
 from test_sources import _write, _xlsx
@@ -39,6 +40,15 @@ def test_every_format_and_failure(spark, tmpdir_path):
     assert rows_of(every, "id", "sheet_name") == [(3, "S1"), (99, "S2")]
 
 
+def test_cells_right_of_the_header_row_are_kept(tmpdir_path):
+    path = os.path.join(tmpdir_path, "wide.xlsx")
+    _xlsx(path, {"S1": [["ID", "Name"], [1, "Al"], [2, "Bo", "extra", 7]]})
+    with open(path, "rb") as f:
+        got = list(parse_workbook(f.read()))
+    assert [r[3:] for r in got] == [(["ID", "Name", "Unnamed: 2", "Unnamed: 3"], ["1", "Al", None, None]),
+                                    (["ID", "Name", "Unnamed: 2", "Unnamed: 3"], ["2", "Bo", "extra", "7"])]
+
+
 def test_codes_are_no_numbers(spark):
     df = spark.createDataFrame([("12D", "1.5", "7"), ("15F", "2e3", "08")], "code STRING, x STRING, n STRING")
     assert H.profile_types(df) == {"code": "object", "x": "float64", "n": "int64"}
