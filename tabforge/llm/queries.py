@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
+from . import decontam, licenses, merkle, minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
 from .stage import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,62 @@ def op5_decontamination(spark, sf_dir):
 @_query()
 def op7_licenses(spark, sf_dir):
     return licenses.license_notices(spark, _table(spark, sf_dir, "documents"))
+
+
+def merkle_report(spark, docs):
+    """Proofs of the rows, and the root that each row's leaf gives after tampering: where 7 divides the CRC-32 of the
+    doc_id in decimal, n_chars is one more (a null stays null)."""
+    fields = [F.col(c) for c in merkle.FIELDS]
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    now = [F.when(touched, F.col("n_chars") + 1).otherwise(F.col("n_chars")) if c == "n_chars" else F.col(c) for c in merkle.FIELDS]
+    out = merkle.merkle_proofs(spark, docs, also={"_now": F.when(touched, merkle.leaf_digest(*now)).otherwise(merkle.leaf_digest(*fields))})
+    return (out.withColumn("folded_root", merkle.fold("_now"))
+            .select("doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("siblings")).cast("binary"), 256).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
+def _leaf_sql(n_chars: str) -> str:
+    coded = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(coded)})"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """All nodes of the trees over ``leaves`` (tree, idx, h); n is the number of nodes of the level."""
+    return f"""{name} AS (
+  SELECT tree, 0 AS level, idx, h, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2 FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 2, n)"""
+
+
+@_query(f"""WITH RECURSIVE crc_table AS (SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)::BIGINT[]),
+    lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i))),
+docs AS (SELECT *, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 7 = 0 AS touched
+  FROM documents, crc_table),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS idx FROM (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf_sql("n_chars")} AS h,
+    CASE WHEN touched THEN {_leaf_sql("(n_chars + 1)")} ELSE {_leaf_sql("n_chars")} END AS now FROM docs)),
+{_tree_sql("nodes", "leaves")},
+groups AS (SELECT tree AS own, h, row_number() OVER (ORDER BY tree) - 1 AS idx, 'top' AS tree FROM nodes WHERE n = 1),
+{_tree_sql("tops", "groups")},
+walk AS (
+  SELECT doc_id, tree, 0 AS level, idx, h AS leaf, now, '' AS proof, false AS top FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.tree, w.level + 1, w.idx // 2, w.leaf, sha256(CASE WHEN w.idx % 2 = 1 THEN s.h || w.now ELSE w.now || coalesce(s.h, '') END),
+    w.proof || coalesce(s.h, ''), w.top
+  FROM walk w JOIN nodes me ON NOT w.top AND me.tree = w.tree AND me.level = w.level AND me.idx = w.idx AND me.n > 1
+    LEFT JOIN nodes s ON s.tree = w.tree AND s.level = w.level AND s.idx = xor(w.idx, 1)
+  UNION ALL
+  SELECT w.doc_id, w.tree, 0, g.idx, w.leaf, w.now, w.proof, true
+  FROM walk w JOIN nodes me ON NOT w.top AND me.tree = w.tree AND me.level = w.level AND me.idx = w.idx AND me.n = 1 JOIN groups g ON g.own = w.tree
+  UNION ALL
+  SELECT w.doc_id, w.tree, w.level + 1, w.idx // 2, w.leaf, sha256(CASE WHEN w.idx % 2 = 1 THEN s.h || w.now ELSE w.now || coalesce(s.h, '') END),
+    w.proof || coalesce(s.h, ''), w.top
+  FROM walk w JOIN tops me ON w.top AND me.level = w.level AND me.idx = w.idx AND me.n > 1
+    LEFT JOIN tops s ON s.level = w.level AND s.idx = xor(w.idx, 1))
+SELECT w.doc_id, w.leaf, g.h AS subroot, r.h AS root, sha256(w.proof) AS proof_sha256, w.now AS folded_root, w.now = r.h AS verified
+FROM walk w JOIN tops r ON w.top AND r.n = 1 AND w.level = r.level JOIN groups g ON g.own = w.tree""")
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle_report(spark, _table(spark, sf_dir, "documents"))
