@@ -221,22 +221,21 @@ leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS
 {_tree_sql("nodes", "leaves")},
 groups AS (SELECT tree AS own, h, row_number() OVER (ORDER BY tree) - 1 AS idx, 'top' AS tree FROM nodes WHERE n = 1),
 {_tree_sql("tops", "groups")},
-walk AS (
-  SELECT doc_id, tree, 0 AS level, idx, h AS leaf, now, '' AS proof, false AS top FROM leaves
-  UNION ALL
-  SELECT w.doc_id, w.tree, w.level + 1, w.idx // 2, w.leaf, sha256(CASE WHEN w.idx % 2 = 1 THEN s.h || w.now ELSE w.now || coalesce(s.h, '') END),
-    w.proof || coalesce(s.h, ''), w.top
-  FROM walk w JOIN nodes me ON NOT w.top AND me.tree = w.tree AND me.level = w.level AND me.idx = w.idx AND me.n > 1
-    LEFT JOIN nodes s ON s.tree = w.tree AND s.level = w.level AND s.idx = xor(w.idx, 1)
+links AS (
+  SELECT me.tree, me.level, me.idx, me.tree AS up_tree, me.level + 1 AS up_level, me.idx // 2 AS up_idx, me.idx % 2 = 1 AS left_one, coalesce(s.h, '') AS sib
+  FROM nodes me LEFT JOIN nodes s ON s.tree = me.tree AND s.level = me.level AND s.idx = xor(me.idx, 1) WHERE me.n > 1
   UNION ALL
-  SELECT w.doc_id, w.tree, 0, g.idx, w.leaf, w.now, w.proof, true
-  FROM walk w JOIN nodes me ON NOT w.top AND me.tree = w.tree AND me.level = w.level AND me.idx = w.idx AND me.n = 1 JOIN groups g ON g.own = w.tree
+  SELECT CASE WHEN me.level = 0 THEN g.own ELSE 'top' END, CASE WHEN me.level = 0 THEN o.level ELSE me.level END, CASE WHEN me.level = 0 THEN 0 ELSE me.idx END,
+    'top', me.level + 1, me.idx // 2, me.idx % 2 = 1, coalesce(s.h, '')
+  FROM tops me LEFT JOIN tops s ON s.level = me.level AND s.idx = xor(me.idx, 1)
+    LEFT JOIN groups g ON me.level = 0 AND g.idx = me.idx LEFT JOIN nodes o ON o.tree = g.own AND o.n = 1 WHERE me.n > 1),
+walk AS (
+  SELECT doc_id, tree AS own, tree, 0 AS level, idx, h AS leaf, now, '' AS proof FROM leaves
   UNION ALL
-  SELECT w.doc_id, w.tree, w.level + 1, w.idx // 2, w.leaf, sha256(CASE WHEN w.idx % 2 = 1 THEN s.h || w.now ELSE w.now || coalesce(s.h, '') END),
-    w.proof || coalesce(s.h, ''), w.top
-  FROM walk w JOIN tops me ON w.top AND me.level = w.level AND me.idx = w.idx AND me.n > 1
-    LEFT JOIN tops s ON s.level = w.level AND s.idx = xor(w.idx, 1))
+  SELECT w.doc_id, w.own, l.up_tree, l.up_level, l.up_idx, w.leaf, sha256(CASE WHEN left_one THEN sib || w.now ELSE w.now || sib END), w.proof || sib
+  FROM walk w JOIN links l USING (tree, level, idx))
 SELECT w.doc_id, w.leaf, g.h AS subroot, r.h AS root, sha256(w.proof) AS proof_sha256, w.now AS folded_root, w.now = r.h AS verified
-FROM walk w JOIN tops r ON w.top AND r.n = 1 AND w.level = r.level JOIN groups g ON g.own = w.tree""")
+FROM walk w JOIN groups g USING (own) CROSS JOIN (SELECT h FROM tops WHERE n = 1) r
+WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.tree = w.tree AND l.level = w.level AND l.idx = w.idx)""")
 def op11_merkle_manifest(spark, sf_dir):
     return merkle_report(spark, _table(spark, sf_dir, "documents"))
