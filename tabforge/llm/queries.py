@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, merkle, minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
+from . import collocations, decontam, licenses, merkle, minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
 from .stage import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,3 +239,28 @@ FROM walk w JOIN groups g USING (own) CROSS JOIN (SELECT h FROM tops WHERE n = 1
 WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.tree = w.tree AND l.level = w.level AND l.idx = w.idx)""")
 def op11_merkle_manifest(spark, sf_dir):
     return merkle_report(spark, _table(spark, sf_dir, "documents"))
+
+
+def _phrases_sql(k: int) -> str:
+    """Phrases of k words with their occurrences per language."""
+    return f"""SELECT lang, p AS w, count(*) AS a FROM (SELECT lang, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: w[i:i + {k - 1}])) AS p
+      FROM pieces WHERE len(w) >= {k}) GROUP BY lang, p"""
+
+
+@_query(f"""WITH cut AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM cut),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+f AS (SELECT * FROM ({_phrases_sql(1)}) UNION ALL SELECT * FROM ({_phrases_sql(2)}) UNION ALL SELECT * FROM ({_phrases_sql(3)})),
+cand AS (SELECT * FROM f WHERE len(w) > 1 AND a >= 10),
+longer AS (SELECT lang, w, max(a) AS best FROM (
+  SELECT lang, w[1:2] AS w, a FROM cand WHERE len(w) = 3 UNION ALL SELECT lang, w[2:3], a FROM cand WHERE len(w) = 3) GROUP BY lang, w),
+cuts AS (SELECT c.lang, c.w, c.a, k, x.a AS l, y.a AS r, (1000000 * c.a::HUGEINT * c.a // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, len(w))) AS k FROM cand) c
+    JOIN f x ON x.lang = c.lang AND x.w = c.w[1:k] JOIN f y ON y.lang = c.lang AND y.w = c.w[k + 1:len(c.w)]),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score
+FROM (SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, score FROM low LEFT JOIN longer USING (lang, w) WHERE best IS NULL OR 100 * best < 50 * a)
+  JOIN totals USING (lang) QUALIFY rank <= 2000""")
+def op12_collocations(spark, sf_dir):
+    return collocations.top_collocations(spark, _table(spark, sf_dir, "documents"))
