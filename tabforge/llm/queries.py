@@ -241,26 +241,27 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle_report(spark, _table(spark, sf_dir, "documents"))
 
 
-def _phrases_sql(k: int) -> str:
-    """Phrases of k words with their occurrences per language."""
-    return f"""SELECT lang, p AS w, count(*) AS a FROM (SELECT lang, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: w[i:i + {k - 1}])) AS p
-      FROM pieces WHERE len(w) >= {k}) GROUP BY lang, p"""
-
-
-@_query(f"""WITH cut AS (SELECT coalesce(lang, 'und') AS lang,
-  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents),
-pieces AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM cut),
-totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
-f AS (SELECT * FROM ({_phrases_sql(1)}) UNION ALL SELECT * FROM ({_phrases_sql(2)}) UNION ALL SELECT * FROM ({_phrases_sql(3)})),
-cand AS (SELECT * FROM f WHERE len(w) > 1 AND a >= 10),
-longer AS (SELECT lang, w, max(a) AS best FROM (
-  SELECT lang, w[1:2] AS w, a FROM cand WHERE len(w) = 3 UNION ALL SELECT lang, w[2:3], a FROM cand WHERE len(w) = 3) GROUP BY lang, w),
-cuts AS (SELECT c.lang, c.w, c.a, k, x.a AS l, y.a AS r, (1000000 * c.a::HUGEINT * c.a // (x.a::HUGEINT * y.a))::BIGINT AS score
-  FROM (SELECT *, unnest(range(1, len(w))) AS k FROM cand) c
-    JOIN f x ON x.lang = c.lang AND x.w = c.w[1:k] JOIN f y ON y.lang = c.lang AND y.w = c.w[k + 1:len(c.w)]),
-low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1)
+@_query("""WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+  regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]') AS p FROM documents),
+pieces AS (SELECT d, lang, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM docs),
+cut AS (SELECT d, lang, i, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+words AS (SELECT d, lang, i, unnest(w) AS w1, generate_subscripts(w, 1) AS pos FROM cut),
+near AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY d, i ORDER BY pos)),
+f1 AS (SELECT lang, w1, count(*) AS a FROM near GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS a FROM near WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS a FROM near WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+longer AS (SELECT lang, w1, w2, max(a) AS best FROM (
+  SELECT lang, w1, w2, a FROM f3 UNION ALL SELECT lang, w2, w3, a FROM f3) GROUP BY ALL),
+cuts AS (SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, 1 AS k, f2.a, x.a AS l, y.a AS r
+    FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+      LEFT JOIN longer g ON g.lang = f2.lang AND g.w1 = f2.w1 AND g.w2 = f2.w2 WHERE best IS NULL OR 100 * best < 50 * f2.a
+  UNION ALL SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 1, f3.a, x.a, y.a
+    FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.w1 = f3.w1 JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+  UNION ALL SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 2, f3.a, x.a, y.a
+    FROM f3 JOIN f2 x ON x.lang = f3.lang AND x.w1 = f3.w1 AND x.w2 = f3.w2 JOIN f1 y ON y.lang = f3.lang AND y.w1 = f3.w3),
+scored AS (SELECT *, (1000000 * a::HUGEINT * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+low AS (SELECT lang, phrase, a, min_by(l, (score, k)) AS l, min_by(r, (score, k)) AS r, min(score) AS score FROM scored GROUP BY lang, phrase, a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score
-FROM (SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, score FROM low LEFT JOIN longer USING (lang, w) WHERE best IS NULL OR 100 * best < 50 * a)
-  JOIN totals USING (lang) QUALIFY rank <= 2000""")
+FROM low JOIN (SELECT lang, sum(a) AS n FROM f1 GROUP BY lang) USING (lang) QUALIFY rank <= 2000""")
 def op12_collocations(spark, sf_dir):
     return collocations.top_collocations(spark, _table(spark, sf_dir, "documents"))
