@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, decontam, licenses, merkle, minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
+from . import collocations, decontam, fingerprints, licenses, merkle, minhash, mixing, recompress, repetition, sharding, tokens, toxicity, warc
 from .stage import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -265,3 +265,8 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM low JOIN (SELECT lang, sum(a) AS n FROM f1 GROUP BY lang) USING (lang) QUALIFY rank <= 2000""")
 def op12_collocations(spark, sf_dir):
     return collocations.top_collocations(spark, _table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op13_fingerprints(spark, sf_dir):
+    return fingerprints.edit_report(spark, _table(spark, sf_dir, "documents"))
