@@ -12,7 +12,7 @@ comes from a merge join:
 
 Relations are bucketed and sorted by document in the shared folder, so the merge joins take both sides as they lie,
 without a shuffle, and a word or phrase that is everywhere is spread over all documents. Counts are combined before
-they are shuffled. A phrase holds at most as many rows of a count as there are tasks.
+they are shuffled.
 """
 
 from __future__ import annotations
@@ -24,38 +24,45 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .prefix import running_sums
 from .stage import Stage, parts_for, text_or_empty
 
 MIN_COUNT = 10
 TOP = 2000
 #: A shorter phrase is dropped if a longer one that holds it has so many percent of its occurrences.
 SWALLOW_PERCENT = 50
-#: Words up to which a table of phrases is sent to every executor (40 bytes a row, words of a bounded mean length).
-BROADCAST_ROWS = 500_000
+#: Rows up to which the table of frequent words (strings), and of frequent phrases (three longs), is sent to every executor.
+BROADCAST_WORDS, BROADCAST_PHRASES = 1_000_000, 1_500_000
 #: Bytes of text a bucket holds.
 BUCKET_BYTES = 12 << 20
 
 # fixed values: what ends a piece
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TOKEN = r"[^ \t.,;:!?\n\x0B\f\r]+|[.,;:!?\n\x0B\f\r]"
 
 
 def tokens_of(text: Column) -> Column:
-    """Lower-cased words in order, with a token ``.`` where a piece ends; some tokens may be empty."""
-    one = F.translate(text, UPPER + SEPARATORS + "\t", LOWER + "." * len(SEPARATORS) + " ")
-    return F.split(F.replace(one, F.lit("."), F.lit(" . ")), " +")
+    """Words as they stand and separators, in order."""
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
 @contextmanager
-def _placed_by_document(spark: SparkSession) -> Iterator[None]:
-    """Plan joins so that rows which lie together by document need not be shuffled by document and position."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    old = spark.conf.get(name, "true")
-    spark.conf.set(name, "false")
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    names = {n.replace("_", "."): v for n, v in values.items()}
+    old = {n: spark.conf.get(n) for n in names}
     try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
         yield
     finally:
-        spark.conf.set(name, old)
+        for n, v in old.items():
+            spark.conf.set(n, v)
+
+
+def _planned(spark: SparkSession):
+    """Joins on document and position use rows as they lie by document; a write deletes the shuffle files it has read."""
+    return _settings(spark, spark_sql_requireAllClusterKeysForCoPartition="false", spark_sql_classic_shuffleDependency_fileCleanup_enabled="true")
 
 
 class Relations:
@@ -76,8 +83,15 @@ class Relations:
             self.stage.drop(n)
 
 
-def _known(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+def _numbered(st: Stage, name: str, counts: DataFrame) -> DataFrame:
+    """``counts`` with numbers without gaps, the most frequent first: small numbers for what is written most often."""
+    ranked, _ = running_sums(st, st.put(f"{name}-counts", counts.withColumn("rare", -F.col("a"))), ["rare"], "a", name=f"{name}-order")
+    return st.put(name, ranked.select(*counts.columns, F.col("row").alias("id")))
+
+
+def _known(table: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    small = table.count() <= most
+    return (F.broadcast(table) if small else table), small
 
 
 def mine(spark: SparkSession, docs: DataFrame, longest: int = 3, min_count: int = MIN_COUNT) -> DataFrame:
@@ -89,34 +103,41 @@ def mine(spark: SparkSession, docs: DataFrame, longest: int = 3, min_count: int
     Null texts are empty, a null language is ``und``. Every row counts, repeated ones too. Empty texts and tables give
     no phrases; other columns are ignored. A text without separators is one piece, however long.
     """
+    with _planned(spark):
+        return _mine(spark, docs, longest, min_count)
+
+
+def _mine(spark: SparkSession, docs: DataFrame, longest: int, min_count: int) -> DataFrame:
     st = Stage(spark, "collocations")
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     rel = Relations(st, parts_for(spark, size, BUCKET_BYTES))
-    word = rows.select("lang", F.explode(tokens_of(F.col("text"))).alias("word")).where("word NOT IN ('', '.')")
-    counts = st.put("words", word.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("a")))
+    raw = rows.select("lang", F.explode(tokens_of(F.col("text"))).alias("raw")).groupBy("lang", "raw").agg(F.count(F.lit(1)).alias("a"))
+    raw = st.put("raw", raw.where(~F.col("raw").isin(*SEPARATORS)).withColumn("word", F.translate("raw", UPPER, LOWER)))
+    counts = st.put("words", raw.groupBy("lang", "word").agg(F.sum("a").alias("a")))
     totals = counts.groupBy("lang").agg(F.sum("a").alias("n"))
-    known = st.put("known", counts.where(F.col("a") >= min_count).withColumn("id", F.monotonically_increasing_id()))
+    known = _numbered(st, "known", counts.where(F.col("a") >= min_count))
 
     # R1, with documents under a number of their own
-    placed = rows.select(F.monotonically_increasing_id().alias("doc"), "lang", "text").repartition(rel.buckets, "doc")
-    tokens = placed.select("doc", "lang", F.posexplode(tokens_of(F.col("text"))).alias("pos", "word")).where("word NOT IN ('', '.')")
-    r = tokens.join(_known(known.select("lang", "word", "id")), ["lang", "word"]).select("doc", "pos", "id")
-    r = rel.put("r1", r if known.count() <= BROADCAST_ROWS else r.repartition(rel.buckets, "doc"))
+    names, small = _known(st.put("names", raw.join(known, ["lang", "word"]).select("lang", "raw", "id")), BROADCAST_WORDS)
+    placed = rows.select(F.monotonically_increasing_id().alias("doc"), "lang", "text").repartition(rel.buckets, "doc").sortWithinPartitions("doc")
+    r = (placed.select("doc", "lang", F.posexplode(tokens_of(F.col("text"))).alias("pos", "raw"))
+         .join(names, ["lang", "raw"]).select("doc", "pos", "id"))
+    r = rel.put("r1", r if small else r.repartition(rel.buckets, "doc"))
     level = known.select("id", "lang", F.array("word").alias("words"), "a", F.array().cast("array<long>").alias("heads"), F.array().cast("array<long>").alias("tails"))
     found = []
     for k in range(2, longest + 1):
-        with _placed_by_document(spark):
-            nxt = r.select("doc", (F.col("pos") - 1).alias("pos"), F.col("id").alias("right"))
-            pairs = r.withColumnRenamed("id", "left").hint("merge").join(nxt, ["doc", "pos"])
-            pairs = rel.put(f"pairs{k}", pairs) if k < longest else pairs
-            often = pairs.groupBy("left", "right").agg(F.count(F.lit(1)).alias("a")).where(F.col("a") >= min_count)
-            often = st.put(f"often{k}", often.withColumn("id", F.monotonically_increasing_id()))
+        nxt = r.select("doc", (F.col("pos") - 1).alias("pos"), F.col("id").alias("right"))
+        pairs = r.withColumnRenamed("id", "left").hint("merge").join(nxt, ["doc", "pos"])
+        pairs = rel.put(f"pairs{k}", pairs) if k < longest else pairs
+        often = pairs.groupBy("left", "right").agg(F.count(F.lit(1)).alias("a")).where(F.col("a") >= min_count)
+        often = _numbered(st, f"often{k}", often)
         if k < longest:
-            kept = pairs.join(_known(often.drop("a")), ["left", "right"]).select("doc", "pos", "id")
-            r2 = rel.put(f"r{k}", kept if often.count() <= BROADCAST_ROWS else kept.repartition(rel.buckets, "doc"))
-            rel.forget(f"r{k - 1}", f"pairs{k}")
-            r = r2
+            keys, small = _known(often.select("left", "right", "id"), BROADCAST_PHRASES)
+            kept = pairs.join(keys, ["left", "right"]).select("doc", "pos", "id")
+            rel.forget(f"r{k - 1}")
+            r = rel.put(f"r{k}", kept if small else kept.repartition(rel.buckets, "doc"))
+            rel.forget(f"pairs{k}")
         first, last = level.alias("x"), level.alias("y")
         grown = (often.alias("p").join(first, F.col("p.left") == F.col("x.id")).join(last, F.col("p.right") == F.col("y.id"))
                  .select("p.id", "x.lang", F.concat("x.words", F.slice("y.words", -1, 1)).alias("words"), "p.a", "p.left", "p.right",

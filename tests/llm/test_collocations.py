@@ -66,7 +66,8 @@ def test_counts_by_hand(spark, longest):
 
 
 def test_limits_and_shuffled_joins(spark, monkeypatch):
-    monkeypatch.setattr(C, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(C, "BROADCAST_WORDS", 0)
+    monkeypatch.setattr(C, "BROADCAST_PHRASES", 0)
     rows = hostile()
     got = C.top_collocations(spark, table(spark, rows), 3, 11, 80, 7)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, 3, 11, 80, 7)
@@ -92,7 +93,7 @@ def test_merge_join_without_shuffle(spark):
     from tabforge.llm.stage import Stage
     rel = C.Relations(Stage(spark, "plan"), 4)
     r = rel.put("r1", spark.range(100).selectExpr("id % 10 AS doc", "id AS pos", "id").repartition(4, "doc"))
-    with C._placed_by_document(spark):
+    with C._planned(spark):
         j = r.withColumnRenamed("id", "left").hint("merge").join(r.select("doc", (F.col("pos") - 1).alias("pos"), F.col("id").alias("right")), ["doc", "pos"])
         plan = j._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
