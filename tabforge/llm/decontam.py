@@ -1,13 +1,17 @@
 """Benchmark decontamination by template canonicalisation (operator 5).
 
 Texts become templates: numbers, names and units are replaced by typed placeholders, other words lower-cased,
-punctuation dropped. Windows of ``WINDOW`` template tokens of all documents are hash-joined with those of the
-benchmark items, so a question that was copied with other numbers or names still matches. A match lies on a diagonal,
-the distance of the two positions; on each diagonal every value of the item must stand for one value of the document
-(slot consistency), else its windows don't count.
+punctuation dropped. Windows of template tokens of all documents are hash-joined with those of the benchmark items, so
+a question that was copied with other numbers or names still matches. A window has ``WINDOW`` tokens, or as many more
+(``SIZES``) as it takes to hold ``MIN_LITERALS`` words that are no placeholders. A match lies on a diagonal, the
+distance of the two positions; on each diagonal every value of the item must stand for one value of the document (slot
+consistency), else its windows don't count.
 
 Beside them, windows of plain lower-cased words are joined by equality. They find what templates cannot: windows that
-are mostly placeholders, items of a few words, and copies in other case.
+are all placeholders, items of a few words, and copies in other case.
+
+Every token is hashed once; hashes of windows come from those of their halves, and only their hashes are exploded. The
+documents' windows meet the set of the items' window hashes first; what is left is joined with the items.
 
 Only built-in DataFrame functions are used.
 """
@@ -20,13 +24,15 @@ from pyspark.sql import functions as F
 from .stage import Stage, only, text_or_empty
 
 WINDOW = 8
+#: Tokens of a window: the first of these with words enough.
+SIZES = (8, 12, 16, 24, 32)
 #: Words that are not placeholders which a window of an item must hold to be searched as a template.
 MIN_LITERALS = 5
 #: An item is found if so many of its windows are, or half of them.
 MIN_WINDOWS = 6
 #: Items of fewer tokens are searched as plain words only.
 SHORTEST = 4
-#: Windows of items up to which they are sent to every executor (24 bytes each); beyond, the join shuffles.
+#: Distinct window hashes of items up to which they are sent to every executor (32 bytes each); beyond, the join shuffles.
 BROADCAST_WINDOWS = 1_000_000
 
 #: A name is a capitalised word, or several, that don't begin a sentence: they follow a lower-case letter, a digit or a
@@ -68,62 +74,98 @@ def _plain(words: Column) -> Column:
                        .otherwise(F.array(F.lower(t))))
 
 
-def _windows(tokens: Column, size: int, seed: int) -> Column:
-    """Hashes of the windows of ``size`` tokens, in order."""
-    last = F.size(tokens) - size + 1
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.lit(seed), F.slice(tokens, i, size))))
+def _halves(n: int) -> tuple[int, int]:
+    """A window of ``n`` tokens is one of the largest power of two below ``n`` and the rest."""
+    left = 1 << (n - 1).bit_length() - 1
+    return left, n - left
+
+
+def _with_hashes(df: DataFrame, tokens: str, name: str, seed: int, sizes: list[int]) -> DataFrame:
+    """Adds arrays ``<name><size>``: the hashes of the windows of each size of the array ``tokens``, in order."""
+    todo, todo_next = set(sizes), set(sizes)
+    while todo_next:
+        todo_next = {h for n in todo_next if n > 1 for h in _halves(n)} - todo
+        todo |= todo_next
+    for n in sorted(todo):
+        if n == 1:
+            h = F.transform(tokens, lambda t: F.xxhash64(F.lit(seed), t))
+        else:
+            left, right = _halves(n)
+            h = F.expr(f"zip_with(slice({name}{left}, 1, greatest(size({tokens}) - {n - 1}, 0)), "
+                       f"slice({name}{right}, {left + 1}, greatest(size({tokens}) - {n - 1}, 0)), (x, y) -> xxhash64(x, y))")
+        df = df.withColumn(f"{name}{n}", h)
+    return df
+
+
+def _sizes(t: DataFrame) -> list[int]:
+    return sorted(r["size"] for r in t.select("size").distinct().collect())  # SIZES and 1 to WINDOW - 1 at most
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs (doc_id, text), benchmark (item_id, text) -> one row for each document and item found in it:
     doc_id, item_id, matched (distinct windows of the item's words that stand in the document, as plain words or in a
-    template), windows (of the item's words), changed (values of the item that the document replaces by others).
+    template), windows (of the item's words), changed (values of the item that the document replaces by others),
+    item_words.
 
-    An item is also found by half of the windows that are searched as templates. Null and empty texts have no windows.
+    An item is found by half of its windows of plain words, by ``MIN_WINDOWS`` of them, or by half of its template
+    windows, counting those that hold too few words to be searched. Null and empty texts have no windows.
     Items of fewer than ``window`` tokens are one window; those of fewer than ``SHORTEST`` are found word for word only,
     so an item of one word is found wherever that word stands. A null doc_id or item_id cannot be reported and is not
     searched. Repeated rows of a document or item count as one; equal items are all reported. Empty tables give an
     empty result; other columns are ignored.
     """
     st = Stage(spark, "decontamination")
+    ladder = sorted({window, *[n for n in SIZES if n > window]})
     # the items' windows
     items = st.put("texts", benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).distinct()
                    .select("item_id", words_of(F.col("text")).alias("w")))
-    items = (items.withColumn("t", template_of(F.col("w"))).withColumn("p", _plain(F.col("w")))
-             .withColumn("size", F.least(F.size("t"), F.lit(window))))
-    cut = items.where(F.col("size") >= SHORTEST).select(
-        "item_id", "w", "t", "p", "size", F.posexplode(F.sequence(F.lit(1), F.size("t") - F.col("size") + 1)).alias("pos", "i"))
+    items = items.select("item_id", "w", template_of(F.col("w")).alias("t"), _plain(F.col("w")).alias("p"))
+    items = st.put("tokens", items.withColumn("q", F.flatten("p")))
+    few = f"size(filter(slice(t, i, n), x -> NOT x IN ('{NAME}', '{NUMBER}', '{UNIT}'))) >= least({MIN_LITERALS}, ceil(least(size(t), {window}) * {MIN_LITERALS} / {window}))"
+    fits = f"get(filter(array({', '.join(map(str, ladder))}), n -> i + n - 1 <= size(t) AND {few}), 0)"
+    cut = (items.where(F.size("t") >= SHORTEST)
+           .select("item_id", "w", "t", "p", F.posexplode(F.expr(f"sequence(1, greatest(size(t) - {window} + 1, 1))")).alias("pos", "i"))
+           .withColumn("size", F.expr(f"if(size(t) < {window}, if({few.replace('slice(t, i, n)', 't')}, size(t), NULL), {fits})")).where("size IS NOT NULL"))
     cut = (cut.withColumn("part", F.expr("slice(t, i, size)")).withColumn("values", F.expr("slice(w, i, size)"))
            .withColumn("slots", F.size(F.filter("part", lambda t: t.isin(NAME, NUMBER, UNIT))))
            # windows of plain words that lie in it
            .withColumn("low", F.size(F.flatten(F.expr("slice(p, 1, pos)"))))
            .withColumn("high", F.col("low") + F.greatest(F.size(F.flatten(F.expr("slice(p, i, size)"))) - window, F.lit(0))))
-    literal = F.col("size") - F.col("slots") >= F.ceil(F.col("size") * MIN_LITERALS / window)
-    grams = st.put("items", cut.where(literal).select("item_id", "pos", "size", "part", "values", "slots", "low", "high",
-                                                      F.xxhash64("size", "part").alias("h")).dropDuplicates(["item_id", "pos", "h", "low", "high"]))
-    words = (items.withColumn("p", F.flatten("p")).withColumn("size", F.least(F.size("p"), F.lit(window))).where("size > 0")
-             .select("item_id", "size", "p", F.posexplode(F.sequence(F.lit(1), F.size("p") - F.col("size") + 1)).alias("pos", "i")))
-    plain = st.put("plain", words.select("item_id", "pos", "size", F.expr("xxhash64(-size, slice(p, i, size))").alias("h")).distinct())
+    typed = st.put("typed", cut.select("item_id", "pos", "size", "part", "values", "slots", "low", "high"))
+    words = (items.withColumn("size", F.least(F.size("q"), F.lit(window))).where("size > 0")
+             .select("item_id", "size", "q", F.posexplode(F.sequence(F.lit(1), F.size("q") - F.col("size") + 1)).alias("pos", "i")))
+    plain = st.put("plain-words", words.select("item_id", "pos", "size", F.expr("slice(q, i, size)").alias("part")))
+
+    def hashed(t, seed):
+        """One window a row: its hash is that of the only window of its size."""
+        n = _sizes(t)
+        if not n:
+            return t.withColumn("h", F.lit(0).cast("long"))
+        made = _with_hashes(t, "part", "h", seed, n)
+        pick = F.coalesce(*[F.when(F.col("size") == k, F.get(f"h{k}", F.lit(0))) for k in n])
+        return made.select(*t.columns, pick.alias("h"))
+    grams = st.put("items", hashed(typed, 0).dropDuplicates(["item_id", "pos", "h", "low", "high"]))
+    plain = st.put("plain", hashed(plain, 1).select("item_id", "pos", "size", "h").distinct())
     totals = (plain.groupBy("item_id").agg(F.countDistinct("pos").alias("windows"))
-              .join(grams.groupBy("item_id").agg(F.countDistinct("pos").alias("templates")), "item_id", "left"))
-
-    def sizes(t):  # 1 .. window at most
-        return sorted(r["size"] for r in t.select("size").distinct().collect())
-    if not sizes(plain):
+              .join(items.groupBy("item_id").agg(F.max(F.greatest(F.size("t") - window + 1, F.lit(1))).alias("templates"), F.max(F.size("q")).alias("item_words")), "item_id"))
+    if not _sizes(plain):
         return totals.select(F.lit(0).cast("long").alias("doc_id"), "item_id", F.lit(0).cast("long").alias("matched"), "windows",
-                             F.lit(0).cast("long").alias("changed"))
+                             F.lit(0).cast("long").alias("changed"), "item_words")
 
     # the documents' windows
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    made = rows.select("doc_id", words_of(F.col("text")).alias("w"))
-    made = made.select("doc_id", template_of(F.col("w")).alias("t"), F.flatten(_plain(F.col("w"))).alias("p"))
-    hashes = [_windows(F.col("t"), n, n) for n in sizes(grams)] + [_windows(F.col("p"), n, -n) for n in sizes(plain)]
+    made = rows.select("doc_id", words_of(F.col("text")).alias("w")).where(F.size("w") > 0)
+    made = made.select("doc_id", template_of(F.col("w")).alias("t"), F.flatten(_plain(F.col("w"))).alias("q"))
+    made = _with_hashes(_with_hashes(made, "t", "t", 0, _sizes(grams)), "q", "q", 1, _sizes(plain))
+    hashes = [F.col(f"t{n}") for n in _sizes(grams)] + [F.col(f"q{n}") for n in _sizes(plain)]
     keys = (grams.select("h", "item_id", "pos", "slots", F.lit(True).alias("typed"))
             .unionByName(plain.select("h", "item_id", "pos", F.lit(0).alias("slots"), F.lit(False).alias("typed"))))
-    if grams.count() + plain.count() <= BROADCAST_WINDOWS:
-        keys = F.broadcast(keys)
-    hits = made.select("doc_id", F.explode(F.array(*hashes)).alias("hs")).select("doc_id", F.posexplode("hs").alias("at", "h")).join(keys, "h")
-    hits = st.put("hits", hits.select("doc_id", "item_id", F.when(F.col("typed"), F.col("at")).alias("at"), "pos", "slots", "h", "typed").distinct())
+    keys = st.put("keys", keys)
+    known = st.put("known", keys.groupBy("h").agg((F.max("slots") > 0).alias("slotted")))
+    known = F.broadcast(known) if known.count() <= BROADCAST_WINDOWS else known
+    seen = (made.select("doc_id", F.explode(F.array(*hashes)).alias("hs")).select("doc_id", F.posexplode("hs").alias("at", "h")).join(known, "h")
+            .select("doc_id", "h", F.when(F.col("slotted"), F.col("at")).alias("at")).distinct())  # places count where there are values
+    hits = st.put("hits", st.put("seen", seen).join(keys, "h").select("doc_id", "item_id", "at", "pos", "slots", "h", "typed"))
 
     # values of the windows with placeholders, for each diagonal
     slotted = hits.where("slots > 0")
@@ -149,4 +191,4 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, win
              .agg(F.countDistinct("word").alias("matched"), F.countDistinct("template").alias("canonical"),
                   F.coalesce(F.max("changed"), F.lit(0)).alias("changed")).join(totals, "item_id"))
     return (found.where((F.col("matched") >= MIN_WINDOWS) | (2 * F.col("matched") >= F.col("windows")) | (2 * F.col("canonical") >= F.col("templates")))
-            .select("doc_id", "item_id", "matched", "windows", F.col("changed").cast("long").alias("changed")))
+            .select("doc_id", "item_id", "matched", "windows", F.col("changed").cast("long").alias("changed"), "item_words"))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tabforge.llm import decontam, licenses, repetition, textscan, toxicity
 
@@ -147,7 +148,7 @@ def test_decontamination_by_templates(spark):
     got = decontam.contaminated(spark, frame(spark, docs), bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (3, 2), (8, 6)}
     by = {r.doc_id: r for r in got}
-    assert by[1].changed == 5 and by[1].matched >= 6 and by[3].changed == 0 and by[3].matched == by[3].windows
+    assert by[1].changed == 6 and by[1].matched >= 6 and by[3].changed == 0 and by[3].matched == by[3].windows
     assert decontam.contaminated(spark, frame(spark, []), bench).collect() == []
     assert decontam.contaminated(spark, frame(spark, docs), bench.limit(0)).collect() == []
 
@@ -182,6 +183,73 @@ def test_decontamination_of_copies_in_other_case_or_spacing(spark):
     assert got[12, 3].changed == 3
 
 
+def found_by_hand(items, docs):
+    """op5 by its definition over tokens (as they stand, template, plain words): dicts of id -> (w, t, p)."""
+    N = {decontam.NAME, decontam.NUMBER, decontam.UNIT}
+    out = {}
+    for item, (w, t, p) in items.items():
+        q = [x for part in p for x in part]
+        size = min(8, len(q))
+        if not q:
+            continue
+        windows = len(q) - size + 1
+        templates = max(len(t) - 7, 1)
+        grams = []
+        for i in range(templates if len(t) >= 4 else 0):
+            for n in (8, 12, 16, 24, 32) if len(t) >= 8 else (len(t),):
+                part = t[i:i + n]
+                if i + n <= len(t) and sum(x not in N for x in part) >= min(5, -(-min(len(t), 8) * 5 // 8)):
+                    low = sum(map(len, p[:i]))
+                    grams.append((i, part, w[i:i + n], low, low + max(sum(map(len, p[i:i + n])) - 8, 0)))
+                    break
+        for doc, (dw, dt, dp) in docs.items():
+            dq = [x for part in dp for x in part]
+            there = {tuple(dq[k:k + size]) for k in range(len(dq) - size + 1)}
+            matched = {j for j in range(windows) if tuple(q[j:j + size]) in there}
+            hits = [(i, at, g) for g in grams for i in [g[0]] for at in range(len(dt) - len(g[1]) + 1) if dt[at:at + len(g[1])] == g[1]]
+            values = {}
+            for i, at, g in hits:
+                for k, kind in enumerate(g[1]):
+                    if kind in N:
+                        values.setdefault(at - i, {}).setdefault((kind, g[2][k].lower()), set()).add(dw[at + k].lower())
+            torn = {d for d, v in values.items() if any(len(x) > 1 for x in v.values())}
+            changed, canonical = 0, set()
+            for i, at, g in hits:
+                if at - i in torn and N & set(g[1]):
+                    continue
+                canonical.add(i)
+                matched |= set(range(g[3], g[4] + 1))
+                changed = max(changed, sum(max(x) != k[1] or min(x) != k[1] for k, x in values.get(at - i, {}).items()))
+            if len(matched) >= 6 or 2 * len(matched) >= windows or 2 * len(canonical) >= templates:
+                out[doc, item] = (len(matched), windows, changed)
+    return {k: v for k, v in out.items() if v[0]}
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = random.Random(12)
+    filler = ["the", "of", "5", "7", "km", "and", "tree", "red", "Anna", "Bob Ray", "runs", "12", "to"]
+    items = {1: ITEM, 2: "Sort the list 5, 3, 9, 1, 7, 2, 8 in ascending order, then give 4 and 6.", 3: "the", 4: "Define the red tree.", 5: prose(rng, 40), 6: ITEM,
+             7: "one 1 2 3 4 5 6 7 two three four five six seven 8 9", 8: "", 9: None}
+    items |= {20 + i: " ".join(rng.choice(filler) for _ in range(rng.randrange(3, 30))) for i in range(12)}
+    docs = {1: prose(rng, 20_000) + " " + items[5] + " " + prose(rng, 300), 2: ITEM.replace("Boston", "Rome").replace("Mary", "Jo"), 3: None, 4: " "}
+    docs |= {10 + i: " ".join(rng.choice(filler) for _ in range(rng.randrange(1, 120))) for i in range(20)}
+    docs |= {40 + i: prose(rng, 9) + ", " + t.replace("7", "70").replace("Anna", "Eva") for i, t in enumerate(t for t in items.values() if t)}
+    def cut(rows):
+        df = spark.createDataFrame([(i, t or "") for i, t in rows.items()], "id long, text string").select("id", decontam.words_of(F.col("text")).alias("w"))
+        return {r.id: (r.w, r.t, r.p) for r in df.select("id", "w", decontam.template_of(F.col("w")).alias("t"), decontam._plain(F.col("w")).alias("p")).collect()}
+    want = found_by_hand(cut(items), cut(docs))
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.matched, r.windows, r.changed) for r in decontam.contaminated(spark, frame(spark, list(docs.items())), bench).collect()}
+    assert got == want and len(want) > 40 and any(v[2] for v in want.values())
+
+
+def test_one_window_of_a_longer_item_is_not_enough(spark):
+    item = "At 9 Ann paid 3 dollars for 2 kg while the old dog slept under one tree by 5 pm"
+    docs = [(1, "while the old dog slept under one tree"), (2, "At 8 Eve paid 4 dollars for 6 kg while the old dog slept under one tree by 7 pm")]
+    got = decontam.contaminated(spark, frame(spark, docs), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id) for r in got] == [(2, 1)]
+
+
 def test_decontamination_is_native(spark):
     df = decontam.contaminated(spark, frame(spark, corpus()), spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
