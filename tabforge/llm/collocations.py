@@ -86,7 +86,8 @@ class Relations:
 def _numbered(st: Stage, name: str, counts: DataFrame) -> DataFrame:
     """``counts`` with numbers without gaps, the most frequent first: small numbers for what is written most often."""
     ranked, _ = running_sums(st, st.put(f"{name}-counts", counts.withColumn("rare", -F.col("a"))), ["rare"], "a", name=f"{name}-order")
-    return st.put(name, ranked.select(*counts.columns, F.col("row").alias("id")))
+    kind = "int" if ranked.count() < 1 << 31 else "long"  # two ints make one key of a hashed relation
+    return st.put(name, ranked.select(*counts.columns, F.col("row").cast(kind).alias("id")))
 
 
 def _known(table: DataFrame, most: int) -> tuple[DataFrame, bool]:

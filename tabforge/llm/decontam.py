@@ -57,15 +57,26 @@ def words_of(text: Column) -> Column:
 
 
 def _is_number(token: Column) -> Column:
-    return (F.substring(token, 1, 1) >= "0") & (F.substring(token, 1, 1) <= "9")
+    return (token >= "0") & (token < ":")
 
 
-def template_of(words: Column) -> Column:
-    """``words`` is read twice: give a column that stands, not the expression that makes it."""
-    def kind(t, before):
-        unit = F.lower(t).isin(UNITS) | (F.lower(t).isin(UNITS_AFTER_NUMBER) & _is_number(before))
-        return F.when(F.substring(t, 1, 1) == " ", NAME).when(_is_number(t), NUMBER).when(unit, UNIT).otherwise(F.lower(t))
-    return F.zip_with(words, F.slice(F.concat(F.array(F.lit("")), words), F.lit(1), F.size(words)), kind)
+def lowered(words: Column) -> Column:
+    return F.transform(words, lambda t: F.lower(F.ltrim(t)))
+
+
+def template_of(words: Column, low: Column | None = None) -> Column:
+    """``words`` and ``low``, its lower-cased tokens, are read by place: give columns that stand, not the expressions that
+    make them."""
+    def kind(t, i):
+        x = F.lower(t) if low is None else F.get(low, i)
+        unit = x.isin(UNITS + UNITS_AFTER_NUMBER) & (x.isin(UNITS) | _is_number(F.get(words, i - 1)))
+        return F.when(t < "!", NAME).when(_is_number(t), NUMBER).when(unit, UNIT).otherwise(x)
+    return F.transform(words, kind)
+
+
+def plain_of(low: Column) -> Column:
+    """The lower-cased words of lower-cased tokens: a name has one or more, other tokens are one; [''] if there is none."""
+    return F.split(F.array_join(low, " "), " ")
 
 
 def _plain(words: Column) -> Column:
@@ -154,8 +165,8 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, win
 
     # the documents' windows
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    made = rows.select("doc_id", words_of(F.col("text")).alias("w")).where(F.size("w") > 0)
-    made = made.select("doc_id", template_of(F.col("w")).alias("t"), F.flatten(_plain(F.col("w"))).alias("q"))
+    made = rows.select("doc_id", words_of(F.col("text")).alias("w")).withColumn("low", lowered(F.col("w")))
+    made = made.select("doc_id", template_of(F.col("w"), F.col("low")).alias("t"), plain_of(F.col("low")).alias("q"))
     made = _with_hashes(_with_hashes(made, "t", "t", 0, _sizes(grams)), "q", "q", 1, _sizes(plain))
     hashes = [F.col(f"t{n}") for n in _sizes(grams)] + [F.col(f"q{n}") for n in _sizes(plain)]
     keys = (grams.select("h", "item_id", "pos", "slots", F.lit(True).alias("typed"))
