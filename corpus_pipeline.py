@@ -29,23 +29,39 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, model)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of its own for every row, a 64-bit hash of doc_id and text, and the key's name. Rows without a
+    doc_id and rows that share one are thus told apart; only equal rows share a key."""
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull())), name
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, that of the smallest doc_id; of repeated rows with that doc_id one stays. Rows
-    without a doc_id or without words stay."""
+    """One document of each class, that of the smallest doc_id (rows without one come last); of rows equal in doc_id and
+    text one stays. Rows without words stay."""
     stage = Stage(spark, "pipeline-copies")
-    gone = stage.put("gone", minhash.near_duplicates(spark, docs).where("NOT kept").select("doc_id").distinct())
-    rest = only(docs, gone, how="left_anti").select(*docs.columns)
-    many = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    keyed, key = _keyed(docs)
+    slim = stage.put("keys", keyed.select(F.col(key).alias("k"), F.col("doc_id").cast("long").alias("id")))
+    found = stage.put("classes", minhash.near_duplicates(spark, keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias("k"), F.col("component_id").alias("c")))
+    member = found.join(found.where("k <> c").select("c").distinct(), "c", "left_semi").join(slim.distinct(), "k")
+    first = member.groupBy("c").agg(F.min(F.struct(F.col("id").isNull(), "id", "k")).alias("f")).select("c", F.col("f.k").alias("stays"))
+    gone = stage.put("gone", member.join(first, "c").where("k <> stays").select(F.col("k").alias(key)).distinct())
+    rest = only(keyed, gone, key, "left_anti")
+    many = stage.put("repeated", slim.groupBy(F.col("k").alias(key)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key))
     if many.isEmpty():
-        return rest
-    once = rest.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return rest.join(many, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+        return rest.select(*docs.columns)
+    once = only(rest, many, key).dropDuplicates([key])
+    return only(rest, many, key, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
-    found = decontam.contaminated(spark, docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return only(docs, Stage(spark, "pipeline-leaks").put("found", found), how="left_anti").select(*docs.columns)
+    """Documents in which no benchmark item of a window's words or more is found; shorter items stand in clean texts too."""
+    keyed, key = _keyed(docs)
+    found = decontam.contaminated(spark, keyed.select(F.col(key).alias("doc_id"), "text"), _table(spark, sf_dir, "benchmark"))
+    found = found.where(F.col("item_words") >= decontam.WINDOW).select(F.col("doc_id").alias(key)).distinct()
+    return only(keyed, Stage(spark, "pipeline-leaks").put("found", found), key, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

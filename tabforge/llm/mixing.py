@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .prefix import running_sums
 from .stage import Stage, text_or_empty
@@ -74,8 +75,9 @@ def mix(spark: SparkSession, docs: DataFrame, domain: Column, weights: dict[str,
     and doc_id; documents are taken while fewer words than the budget stand before them.
 
     Null domain, lang and source are the name ''. Documents without words weigh nothing: they come along when the
-    budget of their leaf is not yet reached. A null doc_id counts as -1. Rows that agree in doc_id and words stand
-    together: all are taken if one is. Empty tables give an empty result.
+    budget of their leaf is not yet reached. Rows that tie in doc_id are ordered by their words and a hash of the whole
+    row; a null doc_id stands under that hash. Of equal rows as many are taken as the budget allows. Empty tables give
+    an empty result.
 
     Texts are not shuffled: what a leaf takes of an epoch ends at one place of its order, and every row compares
     itself with the places of its leaf - a table of one row for each leaf and epoch.
@@ -84,24 +86,40 @@ def mix(spark: SparkSession, docs: DataFrame, domain: Column, weights: dict[str,
     words = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
     name = {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
     node = lambda lv: F.coalesce(name[lv].cast("string"), F.lit(""))
-    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))
-    base = st.put("sizes", docs.select(number.alias("doc_id"), *[node(lv).alias(lv) for lv in LEVELS], words.alias("tokens")))
-    leaves = st.put("leaves", base.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")))
+    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    number = F.coalesce(F.col("doc_id").cast("long"), whole)
+    rows = docs.select(number.alias("doc_id"), whole.alias("row"), *[node(lv).alias(lv) for lv in LEVELS], words.alias("tokens"))
+    base = st.put("sizes", rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies")))
+    leaves = st.put("leaves", base.groupBy(*LEVELS).agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens")))
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     tree = leaves.select("*", *[weights[lv].cast("long").alias(f"w_{lv}") for lv in LEVELS])
     plan = st.put("budgets", budgets(tree, total * percent // 100, epochs))
     leaf = F.concat_ws("\x1f", *LEVELS)
     queue = (base.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-             .select(leaf.alias("leaf"), "epoch", _place(seed, F.col("epoch"), F.col("doc_id")).alias("key"), "tokens"))
-    placed, _ = running_sums(st, st.put("queue", queue), ["epoch", "key", "tokens"], "tokens", group="leaf", name="order")
+             .select(leaf.alias("leaf"), "epoch", _place(seed, F.col("epoch"), F.col("doc_id")).alias("key"), "tokens", F.col("row").alias("same"), "copies",
+                     (F.col("tokens") * F.col("copies")).alias("load")))
+    placed, _ = running_sums(st, st.put("queue", queue), ["epoch", "key", "tokens", "same"], "load", group="leaf", name="order")
+    # of the last rows of a leaf, those before which the budget is not reached
+    fit = F.expr("if(tokens = 0, copies, least(copies, (budget - before + tokens - 1) div tokens))")
     ends = (placed.join(plan.select(leaf.alias("leaf"), "budget", *LEVELS), "leaf").where("before < budget")
-            .groupBy(*LEVELS, "epoch").agg(F.max(F.struct("key", "tokens")).alias("end")))
-    ends = st.put("ends", ends).select(*[F.col(lv).alias(f"_{lv}") for lv in LEVELS], F.col("epoch").alias("_epoch"), F.col("end").alias("_end"))
+            .groupBy(*LEVELS, "epoch").agg(F.max(F.struct("key", "tokens", "same", "copies", fit.alias("fit"))).alias("end")))
+    ends = st.put("ends", ends)
+    part = ends.where("end.fit < end.copies")
+    mine = docs.select(F.struct(*docs.columns).alias("_doc"), *[node(lv).alias(f"_{lv}") for lv in LEVELS], words.alias("_tokens"), number.alias("_number"), whole.alias("_same"))
     st.drop("sizes", "queue", "order", "order-totals")
-    mine = docs.select("*", *[node(lv).alias(f"_{lv}") for lv in LEVELS], words.alias("_tokens"), number.alias("_number"))
-    taken = mine.join(ends, [f"_{lv}" for lv in LEVELS])
-    at = F.struct(_place(seed, F.col("_epoch"), F.col("_number")).alias("key"), F.col("_tokens").alias("tokens"))
-    return taken.where(at <= F.col("_end")).select(*[docs[c] for c in docs.columns], *[f"_{lv}" for lv in LEVELS], "_epoch", "_tokens")
+
+    def at_ends(e: DataFrame) -> DataFrame:
+        e = e.select(*[F.col(lv).alias(f"_{lv}") for lv in LEVELS], F.col("epoch").alias("_epoch"),
+                     F.struct("end.key", "end.tokens", "end.same").alias("_end"), F.col("end.fit").alias("_fit"), (F.col("end.fit") == F.col("end.copies")).alias("_all"))
+        here = F.struct(_place(seed, F.col("_epoch"), F.col("_number")).alias("key"), F.col("_tokens").alias("tokens"), F.col("_same").alias("same"))
+        return mine.join(e, [f"_{lv}" for lv in LEVELS]).withColumn("_here", here)
+    out = ["_doc", *[f"_{lv}" for lv in LEVELS], "_epoch", "_tokens"]
+    taken = at_ends(ends).where((F.col("_here") < F.col("_end")) | (F.col("_all") & (F.col("_here") == F.col("_end")))).select(*out)
+    if not part.isEmpty():  # equal rows of which some are taken: one stands for them, combined before the shuffle
+        split = (at_ends(part).where(F.col("_here") == F.col("_end")).groupBy(*[f"_{lv}" for lv in LEVELS], "_epoch", "_tokens")
+                 .agg(F.first("_doc").alias("_doc"), F.first("_fit").alias("_fit")))
+        taken = taken.unionByName(split.withColumn("_", F.explode(F.expr("sequence(1, CAST(_fit AS INT))"))).select(*out))
+    return taken.select("_doc.*", *out[1:])
 
 
 def _place(seed: int, epoch: Column, doc_id: Column) -> Column:

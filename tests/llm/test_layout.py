@@ -15,7 +15,7 @@ from tabforge.llm import mixing, sharding, tokens, warc
 from tabforge.llm.stage import Stage
 
 from .test_dedup import brute_classes
-from .util import corpus, frame
+from .util import corpus, frame, prose
 
 SF = "/root/testdata/sf0.001"
 
@@ -212,8 +212,8 @@ def test_pipeline_stages(spark):
 
 def test_every_operator_is_registered():
     names = E.queries()
-    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] and "pipeline" in names
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")] and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
 
 
 def test_pipeline_stages_on_hostile_rows(spark):
@@ -234,4 +234,29 @@ def test_pipeline_stages_on_hostile_rows(spark):
             classes = brute_classes(rows)
             ids = [r.doc_id for r in at.spark.read.parquet(at.path("near_duplicates-False")).collect()]
             assert {i for i in ids if i is not None} == {i for i, c in classes.items() if i == c}
-            assert ids.count(None) == sum(i is None for i, _ in rows) and ids.count(10) == 1
+            assert ids.count(None) == 2 and ids.count(10) == 1  # the rows without an id differ in text
+
+
+def test_pipeline_judges_rows_by_their_text(spark, tmp_path):
+    """Rows that share a doc_id or have none: both texts of a clash stay, copies and contaminated rows go."""
+    rng = random.Random(31)
+    item, clean, copied = prose(rng, 30), [prose(rng, 60) for _ in range(6)], prose(rng, 80)
+    rows = [(1, clean[0]), (1, clean[1]), (None, clean[2]), (None, clean[3]), (None, copied), (7, copied), (9, copied), (9, clean[4]), (9, clean[4]),
+            (None, prose(rng, 20) + " " + item), (1, item + " " + prose(rng, 9)), (None, None), (None, None), (4, "the"), (4, ""), (5, clean[5] + " the")]
+    spark.createDataFrame([(1, item), (2, "the")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"_row": F.lit(1), "lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(0)})
+    alone = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert Counter((r.doc_id, r.text) for r in alone.collect()) == Counter(set(rows) - {(None, copied), (9, copied)})
+    left = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(r for r in rows if item not in (r[1] or ""))
+
+
+def test_mixing_keeps_the_budget_with_null_and_repeated_ids(spark):
+    rows = [(None, f"a b c {i}") for i in range(500)] + [(i, "a b c d") for i in range(300)] + [(1000, "same old words here")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")}).repartition(5)
+    weights = {"domain": F.lit(1), "lang": F.lit(1), "source": F.lit(1)}
+    for percent, seed in ((10, 1), (10, 2), (37, 3), (37, 4), (37, 5), (100, 6)):
+        out = mixing.mix(spark, docs, F.lit("d"), weights, percent, seed=seed).collect()
+        assert sum(r._tokens for r in out) == 40 * percent
+        assert not Counter((r.doc_id, r.text) for r in out) - Counter(rows)
