@@ -29,27 +29,36 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, model)
 
 
-def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a key of its own for every row, a 64-bit hash of doc_id and text, and the key's name. Rows without a
-    doc_id and rows that share one are thus told apart; only equal rows share a key."""
+#: Keys that stand for rows without a doc_id of their own begin here.
+OWN_KEYS = 1 << 62
+
+
+def _keyed(stage: Stage, docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key for every row, and the key's name: the doc_id where no other row has it, else (and where it is
+    null or as large as these keys) a 62-bit hash of doc_id and text behind all doc_ids. Only equal rows share a key."""
     name = "_row"
     while name in docs.columns:
         name += "_"
-    return docs.withColumn(name, F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull())), name
+    number = F.col("doc_id").cast("long")
+    clash = stage.put("clashes", docs.where("doc_id IS NOT NULL").groupBy(number.alias(name)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(name))
+    own = (F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull()).bitwiseAND(F.lit(OWN_KEYS - 1)) + F.lit(OWN_KEYS)).alias(name)
+    rows = docs.withColumn(name, F.when(number < OWN_KEYS, number))
+    if clash.isEmpty():
+        return rows.withColumn(name, F.coalesce(name, own)), name
+    once = only(rows.where(F.col(name).isNotNull()), clash, name, "left_anti")
+    many = only(rows.where(F.col(name).isNotNull()), clash, name).unionByName(rows.where(F.col(name).isNull()))
+    return once.unionByName(many.withColumn(name, own)), name
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, that of the smallest doc_id (rows without one come last); of rows equal in doc_id and
-    text one stays. Rows without words stay."""
+    """One document of each class, that of the smallest doc_id (rows without a doc_id of their own come last); of rows
+    equal in doc_id and text one stays. Rows without words stay."""
     stage = Stage(spark, "pipeline-copies")
-    keyed, key = _keyed(docs)
-    slim = stage.put("keys", keyed.select(F.col(key).alias("k"), F.col("doc_id").cast("long").alias("id")))
-    found = stage.put("classes", minhash.near_duplicates(spark, keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias("k"), F.col("component_id").alias("c")))
-    member = found.join(found.where("k <> c").select("c").distinct(), "c", "left_semi").join(slim.distinct(), "k")
-    first = member.groupBy("c").agg(F.min(F.struct(F.col("id").isNull(), "id", "k")).alias("f")).select("c", F.col("f.k").alias("stays"))
-    gone = stage.put("gone", member.join(first, "c").where("k <> stays").select(F.col("k").alias(key)).distinct())
-    rest = only(keyed, gone, key, "left_anti")
-    many = stage.put("repeated", slim.groupBy(F.col("k").alias(key)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key))
+    keyed, key = _keyed(stage, docs)
+    found = minhash.near_duplicates(spark, keyed.select(F.col(key).alias("doc_id"), "text"))
+    found = stage.put("classes", found.select(F.col("doc_id").alias(key), "kept"))
+    rest = only(keyed, stage.put("gone", found.where("NOT kept").select(key).distinct()), key, "left_anti")
+    many = stage.put("repeated", found.where(F.col(key) >= OWN_KEYS).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key))
     if many.isEmpty():
         return rest.select(*docs.columns)
     once = only(rest, many, key).dropDuplicates([key])
@@ -58,10 +67,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item of a window's words or more is found; shorter items stand in clean texts too."""
-    keyed, key = _keyed(docs)
+    stage = Stage(spark, "pipeline-leaks")
+    keyed, key = _keyed(stage, docs)
     found = decontam.contaminated(spark, keyed.select(F.col(key).alias("doc_id"), "text"), _table(spark, sf_dir, "benchmark"))
     found = found.where(F.col("item_words") >= decontam.WINDOW).select(F.col("doc_id").alias(key)).distinct()
-    return only(keyed, Stage(spark, "pipeline-leaks").put("found", found), key, "left_anti").select(*docs.columns)
+    return only(keyed, stage.put("found", found), key, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
