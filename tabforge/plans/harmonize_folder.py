@@ -58,26 +58,28 @@ def schema_from_columns(columns: Sequence[str] | str, types: Mapping[str, str] |
 
 
 def _normalise(df: DataFrame, raw_cols: Sequence[str], cfg: HarmonizeConfig) -> DataFrame:
+    """``raw_cols`` names the first columns of ``df``; they are taken by place, as names may differ in case only."""
     plan = H.rename_plan(raw_cols, cfg.schema_map, cfg.to_lower, cfg.spaces_to_underscores)
-    keep = [c for c in df.columns if c not in raw_cols]
-    cols = []
-    for name, sources in plan:
-        c = F.col(f"`{sources[0]}`") if len(sources) == 1 else F.coalesce(*[F.col(f"`{s}`") for s in sources])
-        cols.append(c.alias(name))
+    keep = df.columns[len(raw_cols):]
+    df = df.toDF(*[f"__c{i}" for i in range(len(raw_cols))], *keep)
+    at = {c: F.col(f"__c{i}") for i, c in enumerate(raw_cols)}
+    cols = [F.coalesce(*[at[s] for s in sources]).alias(name) if len(sources) > 1 else at[sources[0]].alias(name) for name, sources in plan]
     out = df.select(*cols, *[F.col(f"`{k}`") for k in keep])
     if cfg.split_names:
         out = H.split_name(out, fill_gaps=cfg.fill_gaps)
     return out
 
 
-def csv_frames(lines: DataFrame, options: Mapping | None) -> tuple[DataFrame, list[tuple[DataFrame, list[str]]]]:
-    """(status rows, [(frame, raw columns)]) of written CSV lines."""
+def csv_frames(lines: DataFrame, broken: DataFrame | None, options: Mapping | None) -> tuple[DataFrame, list[tuple[DataFrame, list[str]]]]:
+    """(status rows, [(frame, raw columns)]) of written CSV records; ``broken`` files have none that can be trusted."""
     headers = write_and_read(S.headers_of(lines, options), "headers")
     cells = S.csv_cells(lines, headers, options)
     cells = write_and_read(cells, "cells")
     # a file of a header alone has no cells, but it was read
     seen = cells.select("source_file", "failed", F.lit(1).cast("long").alias("rows")).unionByName(
         headers.select("source_file", F.lit(False).alias("failed"), F.lit(0).cast("long").alias("rows")))
+    if broken is not None:
+        seen = seen.unionByName(broken.select("source_file", F.lit(True).alias("failed"), F.lit(0).cast("long").alias("rows")))
     return seen, [(S.layout_frame(cells, k, cols).drop("__sheet"), cols) for k, cols in S.layouts_of(headers)]
 
 
@@ -88,7 +90,7 @@ def _group_frames(spark: SparkSession, root: str, cfg: HarmonizeConfig):
     seen, frames = [], []
     if "csv" in types and (text := S.text_scan(spark, root, "csv", cfg.recursive)) is not None:
         lines = write_and_read(S.csv_lines(text, root_uri, cfg.read_options), "lines")
-        status, found = csv_frames(lines, cfg.read_options)
+        status, found = csv_frames(*S.csv_records(text, lines, root_uri, cfg.read_options), cfg.read_options)
         seen.append(status)
         frames += [_normalise(df, raw, cfg) for df, raw in found]
     if "xlsx" in types:

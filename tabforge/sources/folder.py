@@ -15,6 +15,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordering import write_and_read
+from .quoted import line_ends, whole_records
+
 # --- fixed values ----------------------------------------------------------
 SUPPORTED_TYPES = ("csv", "xlsx", "json")
 CORRUPT = "_corrupt_record"
@@ -93,22 +96,40 @@ def csv_options(options: Mapping | None) -> dict[str, str]:
     return opts | filter_options(options, CSV_OPTION_ALIASES)
 
 
-def csv_lines(lines: DataFrame, root_uri: str, options: Mapping | None = None) -> DataFrame:
-    """A text scan (batch or stream) -> (source_file, blk, mid, line): lines that hold data, numbered where they stand.
-
-    Blank lines and lines that begin with the comment character are dropped before they are numbered, so ``mid`` has no
-    gaps inside a split.
-    """
+def raw_lines(lines: DataFrame, root_uri: str, options: Mapping | None = None) -> DataFrame:
+    """A text scan (batch or stream) -> (source_file, blk, line, skip); ``skip`` marks blank lines and comments."""
     opts = csv_options(options)
     line = F.col("value")
     if opts.get("encoding", "UTF-8").upper().replace("_", "-") not in ("UTF-8", "UTF8"):
         line = F.decode(F.col("value").cast("binary"), opts["encoding"])
     df = lines.select(relative_path(F.col("_metadata.file_path"), root_uri).alias("source_file"),
                       F.col("_metadata.file_block_start").alias("blk"), F.regexp_replace(line, "^\ufeff", "").alias("line"))
-    keep = F.trim("line") != ""
+    skip = F.trim("line") == ""
     if opts.get("comment"):
-        keep = keep & ~F.startswith("line", F.lit(opts["comment"]))
-    return df.where(keep).withColumn("mid", F.monotonically_increasing_id())
+        skip = skip | F.startswith("line", F.lit(opts["comment"]))
+    return df.withColumn("skip", skip)
+
+
+def csv_lines(lines: DataFrame, root_uri: str, options: Mapping | None = None) -> DataFrame:
+    """A text scan (batch or stream) -> (source_file, blk, mid, line, open): lines that hold data, numbered where they
+    stand; ``open`` marks lines that end inside a quoted field.
+
+    Blank lines and lines that begin with the comment character are dropped before they are numbered, so ``mid`` has no
+    gaps inside a split.
+    """
+    df = raw_lines(lines, root_uri, options).where("NOT skip").drop("skip")
+    return df.select("source_file", "blk", F.monotonically_increasing_id().alias("mid"), "line", line_ends(F.col("line"), csv_options(options))[0].alias("open"))
+
+
+def csv_records(scan: DataFrame, lines: DataFrame, root_uri: str, options: Mapping | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(records, broken files) of written ``lines``: files in which a line ends inside a quoted field are read once more from
+    ``scan`` and cut into whole records; None where there is no such file."""
+    files = write_and_read(lines.where("open").select("source_file").distinct(), "quoted-files")
+    if files.isEmpty():
+        return lines.drop("open"), None
+    again = raw_lines(scan, root_uri, options).withColumn("mid", F.monotonically_increasing_id())
+    records, broken = whole_records(again.join(files, "source_file", "left_semi"), csv_options(options))
+    return write_and_read(lines.drop("open").join(files, "source_file", "left_anti").unionByName(records), "records"), broken
 
 
 def text_scan(spark: SparkSession, root: str, ext: str, recursive: bool = True) -> DataFrame | None:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..operators import harmonize as H
 from ..operators.ordering import write_and_read
 from ..plans.harmonize_folder import HarmonizeConfig, _normalise, csv_frames
-from ..sources.folder import csv_lines, ext_glob, qualify
+from ..sources.folder import csv_lines, csv_records, ext_glob, qualify
 
 
 def ingest_stream(spark: SparkSession, root: str, sink: str, checkpoint: str, types: Mapping[str, str],
@@ -34,7 +34,7 @@ def ingest_stream(spark: SparkSession, root: str, sink: str, checkpoint: str, ty
 
     def batch(rows: DataFrame, number: int) -> None:
         lines = write_and_read(csv_lines(rows, root_uri, cfg.read_options), "ingest-lines")
-        seen, frames = csv_frames(lines, cfg.read_options)
+        seen, frames = csv_frames(*csv_records(rows, lines, root_uri, cfg.read_options), cfg.read_options)
         status = write_and_read(seen.groupBy("source_file").agg(F.max("failed").alias("bad"), F.sum("rows").alias("rows")), "ingest-status")
         bad = status.where("bad").select("source_file")
         out = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))

@@ -138,21 +138,40 @@ def run_stats(spark, sf_dir):
     return H.run_stats(harmonize_folder(spark, root, cfg).data)
 
 
-@query("csv_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+_BROKEN_NAME = "c_name || chr(10) || chr(10) || 'known as \"' || c_mktsegment || '\",' || chr(10) || 'since ' || c_nationkey"
+
+
+@query("csv_multiline", f"SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN {_BROKEN_NAME} ELSE c_name END AS label, "
+       "c_acctbal AS balance, CASE WHEN c_custkey % 2 = 0 THEN 'a \"b' END AS note FROM customer")
+def csv_multiline(spark, sf_dir):
+    """S3: quoted fields with line breaks, blank lines, quotes and separators; one file has a field that never ends."""
+    root = staging_path(spark, "multiline")
+    broken = F.concat(F.col("c_name"), F.lit('\n\nknown as "'), F.col("c_mktsegment"), F.lit('",\nsince '), F.col("c_nationkey").cast("string"))
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").alias("ID"), F.when(F.col("c_custkey") % 3 == 0, broken).otherwise(F.col("c_name")).alias("Label"),
+        F.col("c_acctbal").alias("Balance"), F.when(F.col("c_custkey") % 2 == 0, 'a "b').alias("Note"))
+    cust.write.option("header", "true").csv(f"{root}/good")
+    spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.lit('ID,Label\n1,"never\nends').alias("value")).limit(1).write.text(f"{root}/bad")
+    inputs.set_extension(spark, f"{root}/bad", ".csv")
+    df = harmonize_folder(spark, root, HarmonizeConfig(index_mode="none", split_names=False, types=["csv"])).data
+    return df.select("id", "label", "balance", "note")
+
+
+@query("csv_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
 def csv_roundtrip(spark, sf_dir):
-    """K1 then S3: write ``nation`` as CSV part files with headers, harmonise it back."""
-    path = staging_path(spark, "nation-csv")
-    write_table(spark.read.parquet(f"{sf_dir}/nation.parquet"), path, "csv")
+    """K1 then S3: write ``customer`` as CSV part files with headers, harmonise it back."""
+    path, cols = staging_path(spark, "customer-csv"), ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    write_table(spark.read.parquet(f"{sf_dir}/customer.parquet").select(*cols), path, "csv")
     cfg = HarmonizeConfig(types=["csv"], index_mode="none", split_names=False)
-    return harmonize_folder(spark, path, cfg).data.select("n_nationkey", "n_name", "n_regionkey")
+    return harmonize_folder(spark, path, cfg).data.select(*cols)
 
 
-@query("json_roundtrip", "SELECT r_regionkey, r_name FROM region")
+@query("json_roundtrip", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def json_roundtrip(spark, sf_dir):
-    """K2: write ``region`` as JSON lines and read it back."""
-    path = staging_path(spark, "region-json")
-    write_table(spark.read.parquet(f"{sf_dir}/region.parquet"), path, "json")
-    return spark.read.schema("r_regionkey BIGINT, r_name STRING").json(path)
+    """K2: write ``orders`` as JSON lines and read it back."""
+    path, kind = staging_path(spark, "orders-json"), "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE"
+    write_table(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice"), path, "json")
+    return spark.read.schema(kind).json(path)
 
 
 INGEST_TYPES = {"customer_id": "int64", "first_name": "object", "last_name": "object", "nation_key": "int64", "account_balance": "float64",
