@@ -95,9 +95,9 @@ def _group_frames(spark: SparkSession, root: str, cfg: HarmonizeConfig):
         frames += [_normalise(df, raw, cfg) for df, raw in found]
     if "xlsx" in types:
         rows = write_and_read(excel.read_excel_folder(spark, root, cfg.sheets, cfg.recursive), "workbooks")
-        cells, headers = excel.excel_cells(rows, root_uri)
-        if not cells.isEmpty():
-            seen.append(cells.select("source_file", "failed", F.lit(1).cast("long").alias("rows")))
+        cells, headers, status = excel.excel_cells(rows, root_uri)
+        if not rows.isEmpty():
+            seen.append(status)
             for k, cols in S.layouts_of(headers):
                 frames.append(_normalise(S.layout_frame(cells, k, cols).withColumnRenamed("__sheet", "sheet_name"), cols, cfg))
     if "json" in types:

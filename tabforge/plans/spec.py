@@ -34,7 +34,7 @@ BUILTIN: dict[str, dict[str, Callable]] = {
     },
     "extractor": {
         "split": lambda a, k: (lambda df: X.x_split(a[0], *a[1:])),
-        "regex": lambda a, k: (lambda df: X.x_regex(a[0] if a else k.pop("pattern"), **k)),
+        "regex": lambda a, k: (lambda df: X.x_regex(a[0] if a else k["pattern"], **{n: v for n, v in k.items() if n != "pattern"})),
         "position": lambda a, k: (lambda df: X.x_position(*a)),
         "metadata": lambda a, k: (lambda df: X.x_metadata(*a)),
     },

@@ -2,7 +2,8 @@
 
 A workbook is the unit of work: it is parsed as a stream of XML events inside ``mapInPandas`` (``zipfile`` and
 ``iterparse`` of the standard library) and its rows leave in small batches. Numbers, shared and inline strings and
-booleans are read as text (dates stay serial numbers: cell styles are not interpreted).
+booleans are read as text; numbers whose cell style has a date or time format become ISO dates and times by the
+workbook's epoch.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import re
 import zipfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator, Sequence
+from datetime import datetime, timedelta
 from itertools import islice
 
 import pandas as pd
@@ -50,31 +52,72 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     return out
 
 
-def _text(cell, shared: list[str]) -> str | None:
+# fixed values: numbers of the built-in formats for dates and times
+DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[str]:
+    """Indices of cell styles whose number format shows a date or a time."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    styles = ET.fromstring(z.read("xl/styles.xml"))
+    own = {f.get("numFmtId"): re.sub(r'"[^"]*"|\\.|_.|\*.|\[(?![hms]+\])[^\]]*\]', "", f.get("formatCode", "").lower()).split(";")[0]
+           for f in styles.iter(_tag("numFmt"))}
+    xfs = styles.find("m:cellXfs", NS)
+    ids = [x.get("numFmtId", "0") for x in (xfs.findall("m:xf", NS) if xfs is not None else [])]
+    return {str(i) for i, n in enumerate(ids) if (re.search("[ymdhs]", own[n]) and "general" not in own[n] if n in own else int(n) in DATE_FORMATS)}
+
+
+def _moment(serial: str, epoch: datetime) -> str:
+    """A serial number of days as date, date and time, or (below one day) time."""
+    days = float(serial)
+    if epoch.year == 1899 and 1 <= days < 60:  # the calendar of this epoch has a 29 February 1900
+        days += 1
+    at = epoch + timedelta(seconds=round(days * 86400))
+    return at.strftime("%H:%M:%S") if 0 <= days < 1 else at.strftime("%Y-%m-%d" if at.time() == datetime.min.time() else "%Y-%m-%d %H:%M:%S")
+
+
+class Book:
+    """What the cells of a workbook refer to."""
+
+    def __init__(self, z: zipfile.ZipFile, wb: ET.Element):
+        self.shared, self.dates = _shared_strings(z), _date_styles(z)
+        props = wb.find("m:workbookPr", NS)
+        self.epoch = datetime(1904, 1, 1) if props is not None and props.get("date1904") in ("1", "true") else datetime(1899, 12, 30)
+
+
+def _text(cell, book: Book) -> str | None:
     kind, v = cell.get("t"), cell.find("m:v", NS)
     if kind == "inlineStr":
         return "".join(x.text or "" for x in cell.iter(_tag("t")))
     if v is None or v.text is None:
         return None
-    return shared[int(v.text)] if kind == "s" else ("True" if v.text == "1" else "False") if kind == "b" else v.text
+    if kind in (None, "n") and cell.get("s") in book.dates:
+        return _moment(v.text, book.epoch)
+    return book.shared[int(v.text)] if kind == "s" else ("True" if v.text == "1" else "False") if kind == "b" else v.text
 
 
-def _rows(z: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[dict[int, str | None]]:
-    """The rows of a sheet as cells by their column number."""
+def _rows(z: zipfile.ZipFile, part: str, book: Book) -> Iterator[dict[int, str | None]]:
+    """The rows of a sheet as cells by their column number; a cell without a place stands right of the one before it."""
     with z.open(part) as f:
         for _, row in ET.iterparse(f):
             if row.tag == _tag("row"):
-                yield {_col_index(c.get("r")): _text(c, shared) for c in row.findall("m:c", NS)}
+                out, at = {}, -1
+                for c in row.findall("m:c", NS):
+                    at = _col_index(c.get("r")) if c.get("r") else at + 1
+                    out[at] = _text(c, book)
+                yield out
                 row.clear()
 
 
-def parse_workbook(data: bytes, sheets: Sequence[str | int] | None = (0,)) -> Iterator[tuple[str, int, int, list, list]]:
-    """Yield (sheet name, sheet position, data row number, header, cells) for the chosen sheets (None = all).
+def parse_workbook(data: bytes, sheets: Sequence[str | int] | None = (0,)) -> Iterator[tuple[str, int, int, list, list | None]]:
+    """Yield (sheet name, sheet position, data row number, header, cells) for the chosen sheets (None = all); a sheet
+    without data is one row -1 without cells.
 
     A sheet is as wide as its widest row: columns without a header cell are named ``Unnamed: n``."""
     z = zipfile.ZipFile(io.BytesIO(data))
-    shared = _shared_strings(z)
     wb = ET.fromstring(z.read("xl/workbook.xml"))
+    book = Book(z, wb)
     rels = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")).findall("p:Relationship", NS)}
     entries = [(s.get("name"), rels[s.get(f"{{{NS['r']}}}id")]) for s in wb.find("m:sheets", NS).findall("m:sheet", NS)]
     for at, (name, target) in enumerate(entries):
@@ -82,14 +125,16 @@ def parse_workbook(data: bytes, sheets: Sequence[str | int] | None = (0,)) -> It
             continue
         target = target.lstrip("/")
         part = target if target.startswith("xl/") else "xl/" + target
-        first = next(_rows(z, part, shared), {})
-        width = max(max(first, default=-1), max((i for cells in _rows(z, part, shared) for i, v in cells.items() if v), default=-1)) + 1
+        first = next(_rows(z, part, book), {})
+        width = max(max(first, default=-1), max((i for cells in _rows(z, part, book) for i, v in cells.items() if v), default=-1)) + 1
         header = [first.get(i) or f"Unnamed: {i}" for i in range(width)]
         n = 0
-        for cells in islice(_rows(z, part, shared), 1, None):
+        for cells in islice(_rows(z, part, book), 1, None):
             if any(v is not None for v in cells.values()):
                 yield name, at, n, header, [cells.get(i) for i in range(width)]
                 n += 1
+        if not n:
+            yield name, at, -1, header, None
 
 
 def read_excel_folder(spark: SparkSession, root: str, sheets: Sequence[str | int] | None = (0,),
@@ -109,7 +154,7 @@ def read_excel_folder(spark: SparkSession, root: str, sheets: Sequence[str | int
                         if len(out) == BATCH_ROWS:
                             yield pd.DataFrame(out, columns=names)
                             out = []
-                except (zipfile.BadZipFile, KeyError, IndexError, ValueError, ET.ParseError):
+                except Exception:  # whatever a damaged workbook raises, it fails alone
                     out.append((path, None, None, None, None, None, True))
                 if out:
                     yield pd.DataFrame(out, columns=names)
@@ -117,10 +162,9 @@ def read_excel_folder(spark: SparkSession, root: str, sheets: Sequence[str | int
     return files.mapInPandas(run, OUT_SCHEMA)
 
 
-def excel_cells(rows: DataFrame, root_uri: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of :func:`read_excel_folder` -> (cells, headers) in the form of the CSV scan; a sheet is a split."""
+def excel_cells(rows: DataFrame, root_uri: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of :func:`read_excel_folder` -> (cells, headers) in the form of the CSV scan, a sheet being a split, and status rows."""
     named = rows.withColumn("source_file", relative_path(F.col("path"), root_uri)).withColumn("layout", F.xxhash64("header"))
-    cells = named.select("source_file", "sheet_name", F.coalesce("sheet_pos", F.lit(0).cast("long")).alias("blk"),
-                         F.coalesce("row_number", F.lit(0).cast("long")).alias("mid"), "layout", "cells", "failed")
+    cells = named.where("cells IS NOT NULL").select("source_file", "sheet_name", F.col("sheet_pos").alias("blk"), F.col("row_number").alias("mid"), "layout", "cells", "failed")
     headers = named.where("header IS NOT NULL").groupBy("source_file", "sheet_name", "layout").agg(F.first("header").alias("header"))
-    return cells, headers
+    return cells, headers, named.select("source_file", "failed", F.col("cells").isNotNull().cast("long").alias("rows"))

@@ -11,6 +11,7 @@ import csv
 import io
 import os
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,6 +145,16 @@ def text_scan(spark: SparkSession, root: str, ext: str, recursive: bool = True)
         raise
 
 
+def files_of(spark: SparkSession, root: str, ext: str, recursive: bool = True) -> DataFrame | None:
+    """The paths of all files with an extension, empty ones too; None where there is no such file."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", ext_glob(ext)).load(root)
+    found = df.select(F.col("_metadata.file_path").alias("path"))
+    listed = df.inputFiles()
+    if len(listed) > found.count():  # a scan leaves out files without bytes
+        found = found.unionByName(spark.createDataFrame([(unquote(p),) for p in listed], "path STRING")).distinct()
+    return found if listed else None
+
+
 def _array_of(line, width: int, options: Mapping | None):
     """The first ``width`` fields of a line as an array, NULL where there are fewer."""
     opts = {k: v for k, v in csv_options(options).items() if k not in ("encoding", "comment", "multiLine", "lineSep")}

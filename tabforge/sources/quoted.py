@@ -34,7 +34,7 @@ def line_ends(line: Column, opts: Mapping[str, str]) -> tuple[Column, Column]:
     return F.contains(line, F.lit(quote)) & line.rlike(f"^{opened}"), line.rlike(f"^{body}{tail}") | line.rlike(f"^{body}{q}{rest}{s}{opened}")
 
 
-def _composed(df: DataFrame, keys: list[str], order: str, e0: str, e1: str) -> DataFrame:
+def composed(df: DataFrame, keys: list[str], order: str, e0: str, e1: str) -> DataFrame:
     """Adds ``p0`` and ``p1``: the state before each row if its group begins in state 0 or 1; ``e0`` and ``e1`` are ints."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     swap = (F.col(e0) > F.col(e1)).cast("int")
@@ -51,10 +51,10 @@ def whole_records(lines: DataFrame, opts: Mapping[str, str]) -> tuple[DataFrame,
     """
     out, inside = line_ends(F.col("line"), opts)
     rows = lines.withColumns({"e0": (out & ~F.col("skip")).cast("int"), "e1": inside.cast("int")})
-    rows = write_and_read(_composed(rows, ["source_file", "blk"], "mid", "e0", "e1"), "quoted-lines")
+    rows = write_and_read(composed(rows, ["source_file", "blk"], "mid", "e0", "e1"), "quoted-lines")
     after = lambda p: F.when(F.col(p) == 0, F.col("e0")).otherwise(F.col("e1"))
     splits = rows.groupBy("source_file", "blk").agg(F.max_by(after("p0"), "mid").alias("e0"), F.max_by(after("p1"), "mid").alias("e1"))
-    splits = _composed(splits, ["source_file"], "blk", "e0", "e1")
+    splits = composed(splits, ["source_file"], "blk", "e0", "e1")
     splits = write_and_read(splits.select("source_file", "blk", F.col("p0").alias("begins"), after("p0").alias("ends")), "quoted-splits")
     broken = splits.groupBy("source_file").agg(F.max_by("ends", "blk").alias("open")).where("open = 1").select("source_file")
 

@@ -239,6 +239,28 @@ def harmonize_mixed(spark, sf_dir):
     return df.select(shard_of().alias("kind"), *[F.col(c) for c in ("customer_id", "first_name", "last_name", "nation_key", "sheet_name")])
 
 
+@query("json_mixed_keys", """SELECT 'upper' AS kind, c_custkey AS id, c_name AS name, c_acctbal AS bal, CAST(NULL AS VARCHAR) AS sheet_name FROM customer WHERE c_custkey % 4 = 0
+UNION ALL SELECT 'lower', c_custkey, c_name, NULL, NULL FROM customer WHERE c_custkey % 4 = 1
+UNION ALL SELECT 'sheet', c_custkey, c_mktsegment, NULL, 'part' FROM customer WHERE c_custkey % 4 = 2""")
+def json_mixed_keys(spark, sf_dir):
+    """Keys in other case, a key that is an array in one file and a scalar in another, empty arrays and documents."""
+    root = staging_path(spark, "json-keys")
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    bucket = F.floor(F.col("c_custkey") / 1000).alias("b")
+    one = cust.groupBy(bucket)
+    upper, lower = F.struct(F.col("c_custkey").alias("ID"), F.col("c_name").alias("Name"), F.struct(F.col("c_acctbal").alias("Bal")).alias("at")), F.struct(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    pick = lambda k, e: F.collect_list(F.when(F.col("c_custkey") % 4 == k, e))
+    docs = {"upper": F.to_json(pick(0, upper)), "lower": F.to_json(pick(1, lower)),
+            "sheet": F.to_json(F.struct(pick(2, F.struct(F.col("c_custkey").alias("Id"), F.col("c_mktsegment").alias("NAME"))).alias("part"), F.lit("x").alias("other"))),
+            "scalar": F.to_json(F.struct(F.max("c_name").alias("part"), F.array().cast("array<int>").alias("other"))), "empty": F.lit("[]"), "blank": F.lit("")}
+    for kind, doc in docs.items():
+        one.agg(doc.alias("value")).write.partitionBy("b").text(f"{root}/{kind}")
+        inputs.set_extension(spark, f"{root}/{kind}", ".json")
+    df = harmonize_folder(spark, root, HarmonizeConfig(types=["json"], index_mode="none", split_names=False)).data
+    return df.select(shard_of().alias("kind"), "id", "name", F.round("bal", 2).alias("bal"), "sheet_name")
+
+
 @query("json_flatten", "SELECT p_partkey AS id, p_brand AS brand, p_type AS name, '{\"s\":' || CAST(p_size AS VARCHAR) || '}' AS deep FROM part")
 def json_flatten(spark, sf_dir):
     """S7 on a table: object fields lifted one level, a later name replaces an earlier one, deeper objects stay JSON text."""

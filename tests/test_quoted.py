@@ -4,22 +4,9 @@ import csv
 import io
 import random
 
-import pytest
-
 from tabforge.plans.harmonize_folder import HarmonizeConfig, harmonize_folder
 
 
-@pytest.fixture()
-def small_splits(spark):
-    names = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "0"}
-    old = {n: spark.conf.get(n) for n in names}
-    for n, v in names.items():
-        spark.conf.set(n, v)
-    yield
-    for n, v in old.items():
-        spark.conf.set(n, v)
-
-
 def text_of(rows):
     out = io.StringIO()
     csv.writer(out, lineterminator="\n").writerows(rows)
