@@ -1,16 +1,17 @@
 """License notices by conditional compression (operator 7).
 
-Blocks of lines that hold a word of license notices are candidates. Word windows of about a template's length slide
-over each; those that hold the template's words are confirmed by the exact differences of wording: words of the
-template that the window lacks, with years, holders and other fill-ins (written <...> in the template) left open. The
-confirmed span is compressed by itself and with the template as a zstandard raw dictionary; the part saved ranks
-templates that the wording confirms alike.
+Blocks of lines that hold a cue of license notices are candidates. Around each cue, spans of about a template's length
+that begin with one of its first words are compressed by themselves and with the template as a zstandard raw
+dictionary. Spans whose compressed size shrinks by ``MIN_SAVED`` or more are ranked by the bytes saved, over all
+templates; in that order the winners are confirmed by the exact differences of wording: words of the template that the
+span lacks, with years, holders and other fill-ins (written <...> in the template) left open. A confirmed notice takes
+its words, so what saved more decides between templates that the wording would allow.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -43,6 +44,8 @@ TEMPLATES = {
 CUE = r"(?i)licen[sc]|copyright|\(c\)|©|spdx|creative commons|all rights reserved|redistribut|warrant|hereby granted"
 #: Words of the template that may be missing or changed, as a part of them.
 MAX_CHANGED = 0.1
+#: Part of a span's compressed size that a template must save for its wording to be compared.
+MIN_SAVED = 0.1
 SEARCH_WORDS = re.compile(r"\w+|<\w+>")
 
 
@@ -75,10 +78,9 @@ class Matcher:
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
         self.words = [words_of(t) for t in templates.values()]
-        self.counts = [Counter(w for w in t if not w.startswith("<")) for t in self.words]
         self.allowed = [int(MAX_CHANGED * len(t)) for t in self.words]
         # the longest part of a block that differences() can accept, and the words that may come first in it
-        self.reach = [len(t) + n + 6 * (len(t) - sum(c.values())) for t, n, c in zip(self.words, self.allowed, self.counts)]
+        self.reach = [len(t) + n + 6 * sum(w.startswith("<") for w in t) for t, n in zip(self.words, self.allowed)]
         self.starts: dict[str, list[int]] = {}
         for k, t in enumerate(self.words):
             literal = [w for w in t if not w.startswith("<")]
@@ -87,50 +89,49 @@ class Matcher:
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
         self.given = [zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False, dict_data=zstandard.ZstdCompressionDict(
             t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for t in templates.values()]
+        self.cue = re.compile(CUE)
         self.seen: dict[str, list[tuple]] = {}
 
-    def saved(self, span: str, i: int) -> float:
-        """Part that template ``i`` saves of the span's compressed size."""
+    def saved(self, span: str, i: int) -> tuple[int, float]:
+        """Bytes, and the part of them, that template ``i`` saves of the span's compressed size."""
         raw = span.encode()
-        return 1 - len(self.given[i].compress(raw)) / len(self.plain.compress(raw))
-
-    def _holds(self, there: Counter, i: int) -> bool:
-        """Are words enough of template ``i`` there, in any order, for differences() to accept them?"""
-        need = self.counts[i]
-        return sum(max(0, n - there[x]) for x, n in need.items()) <= self.allowed[i] and all(there[x] for x in need if x[0].isdigit())
-
-    def _spans(self, block: str) -> Iterator[tuple[int, int, int, int, int]]:
-        """(-score, changed words, template, first word, end) of every window of the block that the wording confirms."""
-        words = words_of(block)
-        whole = Counter(words)
-        open_ = {i for i in range(len(self.words)) if self._holds(whole, i)}
-        for s, w in enumerate(words if open_ else ()):
-            for i in self.starts.get(w, ()):
-                if i not in open_:
-                    continue
-                window = words[s:s + self.reach[i]]
-                if not self._holds(Counter(window), i):
-                    continue
-                changed, first, end = differences(self.words[i], window)
-                if changed <= self.allowed[i] and end > first:
-                    yield 2 * changed - len(self.words[i]), changed, i, s + first, s + end
+        alone = len(self.plain.compress(raw))
+        gain = alone - len(self.given[i].compress(raw))
+        return gain, gain / alone
+
+    def ranked(self, block: str) -> list[tuple[int, int, int, int]]:
+        """(-bytes saved, template, first word, end) of the spans around the block's cues that a template shrinks enough."""
+        at = [m.span() for m in SEARCH_WORDS.finditer(block)]
+        starts = [a for a, _ in at]
+        cues = sorted({max(0, bisect_right(starts, m.start()) - 1) for m in self.cue.finditer(block)})
+        out = []
+        for s, (a, e) in enumerate(at):
+            for i in self.starts.get(block[a:e].lower(), ()):
+                end = min(len(at), s + self.reach[i])
+                k = bisect_left(cues, s)
+                if k < len(cues) and cues[k] < end:
+                    gain, part = self.saved(block[a:at[end - 1][1]], i)
+                    if part >= MIN_SAVED:
+                        out.append((-gain, i, s, end))
+        return sorted(out)
 
     def confirm(self, block: str) -> list[tuple[str, float, int, int, int]]:
-        """(template, part saved, changed words, offset, length) of the notices that the wording confirms, on disjoint
-        word ranges: where ranges meet, the template with more words held and fewer changed stands, then that which saves more."""
+        """(template, part saved, changed words, offset, length) of the block's notices, on disjoint ranges of words: spans
+        are confirmed by their wording in order of the bytes saved."""
         if block in self.seen:
             return self.seen[block]
         out, taken = [], []
-        spans = set(self._spans(block))
-        if spans:
-            at = [m.span() for m in SEARCH_WORDS.finditer(block)]
-        ranked = sorted((score, changed, -self.saved(block[at[first][0]:at[end - 1][1]], i), i, first, end)
-                        for score, changed, i, first, end in spans)
-        for _, changed, saved, i, first, end in ranked:
-            if any(a < end and first < b for a, b in taken):
+        ranked = self.ranked(block)
+        if ranked:
+            words, at = words_of(block), [m.span() for m in SEARCH_WORDS.finditer(block)]
+        for _, i, s, end in ranked:
+            changed, a, b = differences(self.words[i], words[s:end])
+            first, last = s + a, s + b
+            if changed > self.allowed[i] or last <= first or any(x < last and first < y for x, y in taken):
                 continue
-            taken.append((first, end))
-            out.append((self.names[i], -saved, changed, at[first][0], at[end - 1][1] - at[first][0]))
+            taken.append((first, last))
+            span = block[at[first][0]:at[last - 1][1]]
+            out.append((self.names[i], self.saved(span, i)[1], changed, at[first][0], len(span)))
         if len(block) <= 4000:
             if len(self.seen) > 20_000:
                 self.seen.clear()
@@ -180,9 +181,9 @@ def license_notices(spark: SparkSession, docs: DataFrame, templates: dict[str, s
     confirms), start (character offset of the first), saved (largest part that the template saves), changed (fewest
     words that differ).
 
-    Null and empty texts have no blocks. A null doc_id is reported as such; repeated rows add their places. Where
-    spans meet, the template with more words held and fewer changed is reported, then that which saves more. An empty table gives
-    an empty result; other columns are ignored. Texts and blocks are searched whole.
+    Null and empty texts have no blocks. A null doc_id is reported as such; rows that share a doc_id count as one text,
+    their distinct places together. Where spans meet, the template that saves more bytes is reported. An empty table
+    gives an empty result; other columns are ignored. Texts and blocks are searched whole.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where(F.col("text").rlike(CUE))
     found = rows.mapInArrow(_scanner(templates or TEMPLATES), FOUND_DDL)

@@ -295,3 +295,48 @@ def test_every_notice_of_a_block_is_reported(spark):
               {"CC-BY-SA-4.0", "CC-BY-4.0", "MIT", "All-rights-reserved"})]
     got = licenses.license_notices(spark, frame(spark, [(i, t) for i, (t, _) in enumerate(texts)])).collect()
     assert {(r.doc_id, r.license) for r in got} == {(i, n) for i, (_, names) in enumerate(texts) for n in names}
+
+
+def test_compression_decides_and_ranks(monkeypatch):
+    """Without the sizes nothing is found; where the wording allows two templates, that which saves more stands."""
+    texts = ["This work is licensed under the GNU Lesser General Public License, version 3.", "Licensed under CC BY 4.0. All rights reserved.",
+             "x Copyright (c) 2019 Acme Corp. All rights reserved. y"]
+    found = [licenses.Matcher(licenses.TEMPLATES).confirm(t) for t in texts]
+    assert [[n for n, *_ in f] for f in found] == [["LGPL-3.0"], ["CC-BY-4.0", "All-rights-reserved"], ["Copyright"]]
+    assert all(0 < part < 1 for f in found for _, part, *_ in f)
+    monkeypatch.setattr(licenses.Matcher, "saved", lambda self, span, i: (0, 0.0))
+    assert [licenses.Matcher(licenses.TEMPLATES).confirm(t) for t in texts] == [[], [], []]
+    monkeypatch.setattr(licenses.Matcher, "saved", lambda self, span, i: (1, 0.5))
+    assert [[n for n, *_ in licenses.Matcher(licenses.TEMPLATES).confirm(t)] for t in texts] != [[n for n, *_ in f] for f in found]
+
+
+def test_matcher_equals_brute_force():
+    """All spans of all templates, without cues and first words to guide the search."""
+    rng = random.Random(14)
+    m = licenses.Matcher(licenses.TEMPLATES)
+    names = list(licenses.TEMPLATES)
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            w = licenses.TEMPLATES[rng.choice(names)].replace("<year>", "2020").replace("<holder>", "Some Body").split()
+            for _ in range(rng.randrange(0, 3)):
+                w[rng.randrange(len(w))] = rng.choice(["other", "", "License", "the"])
+            parts += [" ".join(w), prose(rng, rng.randrange(0, 12))]
+        block = " ".join(parts)
+        at = [x.span() for x in licenses.SEARCH_WORDS.finditer(block)]
+        low = licenses.words_of(block)
+        spans = []
+        for i in range(len(names)):
+            for s in range(len(at)):
+                end = min(len(at), s + m.reach[i])
+                gain, part = m.saved(block[at[s][0]:at[end - 1][1]], i)
+                changed, a, b = licenses.differences(m.words[i], low[s:end])
+                literal = [w for w in m.words[i] if not w.startswith("<")]
+                if part >= licenses.MIN_SAVED and changed <= m.allowed[i] and b > a and low[s] in literal[:m.allowed[i] + 1]:
+                    spans.append((-gain, i, s, s + a, s + b))
+        want, taken = [], []
+        for _, i, _, a, b in sorted(spans):
+            if not any(x < b and a < y for x, y in taken):
+                taken.append((a, b))
+                want.append((names[i], at[a][0]))
+        assert [(n, off) for n, _, _, off, _ in m.confirm(block)] == want
