@@ -83,9 +83,9 @@ def csv_frames(lines: DataFrame, broken: DataFrame | None, options: Mapping | No
     return seen, [(S.layout_frame(cells, k, cols).drop("__sheet"), cols) for k, cols in S.layouts_of(headers)]
 
 
-def _group_frames(spark: SparkSession, root: str, cfg: HarmonizeConfig):
-    """(status rows, [normalised frame]) of all files; a status row is (source_file, failed, rows)."""
-    root_uri = S.qualify(spark, root)
+def _group_frames(spark: SparkSession, root: str | list[str], root_uri: str, cfg: HarmonizeConfig):
+    """(status rows, [normalised frame]) of all files below a folder, or of given files; a status row is (source_file,
+    failed, rows)."""
     types = S.normalize_types(cfg.types)
     seen, frames = [], []
     if "csv" in types and (text := S.text_scan(spark, root, "csv", cfg.recursive)) is not None:
@@ -121,7 +121,14 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 def harmonize_folder(spark: SparkSession, root: str, config: HarmonizeConfig | None = None) -> HarmonizeResult:
     cfg = config or HarmonizeConfig()
-    seen, frames = _group_frames(spark, root, cfg)
+    res = harmonize_paths(spark, root, S.qualify(spark, root), cfg)
+    res.data = with_index(res.data, cfg.index_mode, cfg.index_start, "source_file", index_col=cfg.index_col)
+    return res
+
+
+def harmonize_paths(spark: SparkSession, root: str | list[str], root_uri: str, cfg: HarmonizeConfig, known: Mapping[str, str] | None = None) -> HarmonizeResult:
+    """Rows that are not numbered yet, with their place columns. ``known`` is a schema found earlier; what is found here widens it."""
+    seen, frames = _group_frames(spark, root, root_uri, cfg)
     if not seen:
         raise FileNotFoundError(f"no processable files under {root}")
     status = (_union(seen).groupBy("source_file").agg(F.max("failed").alias("failed"), F.sum("rows").alias("rows"))
@@ -138,7 +145,8 @@ def harmonize_folder(spark: SparkSession, root: str, config: HarmonizeConfig | N
     if cfg.columns is not None:
         merged = schema_from_columns(cfg.columns, cfg.column_types)
     else:  # one profiling job for all layouts
-        merged = H.merge_schemas(H.profile_many(frames, [_data_cols(df) for df in frames])) if frames else {}
+        profiles = H.profile_many(frames, [_data_cols(df) for df in frames]) if frames else []
+        merged = H.merge_schemas([*([known] if known else []), *profiles])
     for c, t in H.schema_map_types(cfg.schema_map).items():
         if c in merged:
             merged[c] = t if t in H.TYPE_ORDER else merged[c]
@@ -150,7 +158,6 @@ def harmonize_folder(spark: SparkSession, root: str, config: HarmonizeConfig | N
         data = _union([H.align_to_schema(df, schema, keep=keep) for df in frames])
     else:
         data = H.align_to_schema(spark.createDataFrame([], "source_file STRING, __file STRING, __blk BIGINT, __mid BIGINT"), schema, keep=keep)
-    data = with_index(data, cfg.index_mode, cfg.index_start, "source_file", index_col=cfg.index_col)
     return HarmonizeResult(data=data, types=merged, file_status=status, layouts=len(frames))
 
 

@@ -11,7 +11,7 @@ from ..session import staging_path
 from ..sources.catalog import file_catalog
 from ..sources.jsonsrc import flatten_one_level
 from ..sources.sinks import write_table
-from ..streaming.ingest import ingest_stream
+from ..streaming.ingest import ingest_folder, ingest_stream, read_ingested
 from .registry import query
 
 def shard_of():
@@ -195,6 +195,28 @@ def incremental_ingest(spark, sf_dir):
     return out.select(shard_of().alias("shard"), *list(INGEST_TYPES)[:4], F.round("account_balance", 2).alias("account_balance"), "segment", "notes")
 
 
+@query("ingest_mixed", """SELECT 'csv' AS kind, c_custkey AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS code, CAST(NULL AS DOUBLE) AS balance FROM customer WHERE c_custkey % 3 = 0
+UNION ALL SELECT 'json', c_custkey, c_name, CAST(c_nationkey AS VARCHAR), c_acctbal FROM customer WHERE c_custkey % 3 = 1
+UNION ALL SELECT 'late', c_custkey, NULL, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 3 = 2
+UNION ALL SELECT 'book', n_nationkey + 7000000, n_name, CAST(n_nationkey AS VARCHAR), NULL FROM nation""")
+def ingest_mixed(spark, sf_dir):
+    """S11 with I2: CSV and a workbook in the first run, JSON in the second, which adds a column and makes another one text."""
+    root, sink, ckpt = (staging_path(spark, f"ingest-{n}") for n in ("in", "all", "all-ckpt"))
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    cfg = HarmonizeConfig(split_names=False)
+    cust.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("Name"), F.col("c_nationkey").alias("Code")).write.option("header", "true").csv(f"{root}/csv")
+    rows = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey") + 7000000, "n_name", "n_nationkey").collect()
+    inputs.write_workbook(spark, f"{root}/book/nations.xlsx", {"First": [["Id", "Name", "Code"], *map(list, rows)]})
+    ingest_folder(spark, root, sink, ckpt, cfg)
+    bucket = F.floor(F.col("c_custkey") / 1000).alias("b")
+    for kind, k, rec in (("json", 1, F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("code"), F.col("c_acctbal").alias("balance"))),
+                         ("late", 2, F.struct(F.col("c_custkey").alias("ID"), F.col("c_mktsegment").alias("CODE"), F.col("c_acctbal").alias("Balance")))):
+        cust.where(F.col("c_custkey") % 3 == k).groupBy(bucket).agg(F.to_json(F.collect_list(rec)).alias("value")).write.partitionBy("b").text(f"{root}/{kind}")
+        inputs.set_extension(spark, f"{root}/{kind}", ".json")
+    ingest_folder(spark, root, sink, ckpt, cfg)
+    return read_ingested(spark, sink).select(shard_of().alias("kind"), "id", "name", "code", F.round("balance", 2).alias("balance"))
+
+
 MIXED_MAP = {"customer_id": ["Customer ID", "id"], "name": ["Full Name"], "nation_key": ["Nation Key", "nation"]}
 
 
