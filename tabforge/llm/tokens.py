@@ -7,6 +7,7 @@ documents, or for the metadata columns only, reads little else. ``tie`` orders r
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -53,14 +54,32 @@ def _plain(word: str) -> str | None:
     return None
 
 
+# fixed values: the normalizer and the cuts that the word table below rests on
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITS = [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+          {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+
+
+def works_by_words(tokenizer) -> bool:
+    """Are the ids of a text those of its words, lower-cased and cut as :func:`encode_texts` cuts them?"""
+    t = json.loads(tokenizer.to_str())
+    return ((t["normalizer"] or {}).get("normalizers") == NORMALIZERS and (t["pre_tokenizer"] or {}).get("pretokenizers") == SPLITS and not t["model"].get("dropout")
+            and all("<|" in a["content"] and not (a["normalized"] or a["lstrip"] or a["rstrip"] or a["single_word"]) for a in t["added_tokens"]))
+
+
 def encode_texts(texts: pa.Array, tokenizer, cache: "WordIds", end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, counts) of whole texts, ``end_id`` appended to each.
 
-    The tokenizer lower-cases, drops white space and never joins what stands on both sides of it, nor a letter with
+    Any tokenizer but one of a known form encodes the texts whole. One of that form lower-cases, drops white space and never joins what stands on both sides of it, nor a letter with
     a digit or a sign other than an apostrophe. So the ids of a text are those of its words, cut at these places, one
     after another; each distinct piece is encoded once and looked up by its hash afterwards. Words with ``<|`` may
     hold a special token: they stay whole and keep their case.
     """
+    if cache.by_words is None:
+        cache.by_words = works_by_words(tokenizer)
+    if not cache.by_words:
+        every = [[*e.ids, end_id] for e in tokenizer.encode_batch([x or "" for x in texts.to_pylist()], add_special_tokens=False)]
+        return np.array([i for ids in every for i in ids], dtype=np.int32), np.array([len(ids) for ids in every], dtype=np.int64)
     w = ts.Words(texts, lower=True, split=True)
     if len(w.marked):
         w.hash[w.marked] = ts.span_hashes(w.data, w.starts[w.marked], w.ends[w.marked]) ^ ts.U64(MARKED)
@@ -78,6 +97,8 @@ def encode_texts(texts: pa.Array, tokenizer, cache: "WordIds", end_id: int) -> t
 class WordIds:
     """Ids of words seen so far: a direct-mapped table by hash, a dict for hashes whose slot is taken, one array of ids."""
 
+    by_words: bool | None = None
+
     def __init__(self, bits: int = TABLE_BITS):
         self.shift = ts.U64(64 - bits)
         self.keys = np.zeros(1 << bits, dtype=np.uint64)

@@ -163,6 +163,22 @@ def test_ids_equal_the_tokenizers(tokenizer_path):
             at += n
 
 
+def test_any_other_tokenizer_encodes_whole_texts(spark, tokenizer_path):
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
+    cased = Tokenizer(models.WordLevel({"Hello": 0, "hello": 2, "?": 1, "Hello hello": 5}, unk_token="?"))
+    cased.pre_tokenizer = pre_tokenizers.Whitespace()
+    same = Tokenizer.from_file(tokenizer_path)
+    assert tokens.works_by_words(same) and not tokens.works_by_words(cased)
+    other = Tokenizer.from_file(tokenizer_path)
+    other.normalizer = normalizers.NFC()
+    texts = ["Hello hello", None, "", "hello  HELLO"]
+    for t in (cased, other):
+        assert not tokens.works_by_words(t)
+        ids, counts = tokens.encode_texts(pa.array(texts), t, tokens.WordIds(8), 9)
+        want = [[*t.encode(x or "", add_special_tokens=False).ids, 9] for x in texts]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == [len(x) for x in want]
+
+
 @pytest.mark.parametrize("encoding", ["delta", "dictionary"])
 def test_token_files_round_trip(spark, tokenizer_path, encoding):
     from tokenizers import Tokenizer
