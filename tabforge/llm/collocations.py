@@ -61,8 +61,10 @@ def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
 
 
 def _planned(spark: SparkSession):
-    """Joins on document and position use rows as they lie by document; a write deletes the shuffle files it has read."""
-    return _settings(spark, spark_sql_requireAllClusterKeysForCoPartition="false", spark_sql_classic_shuffleDependency_fileCleanup_enabled="true")
+    """Joins on document and position use rows as they lie by document, in their order where a bucket is one file; a write
+    deletes the shuffle files it has read."""
+    return _settings(spark, spark_sql_requireAllClusterKeysForCoPartition="false", spark_sql_legacy_bucketedTableScan_outputOrdering="true",
+                     spark_sql_classic_shuffleDependency_fileCleanup_enabled="true")
 
 
 class Relations:
@@ -123,6 +125,7 @@ def _mine(spark: SparkSession, docs: DataFrame, longest: int, min_count: int) ->
     names, small = _known(st.put("names", raw.join(known, ["lang", "word"]).select("lang", "raw", "id")), BROADCAST_WORDS)
     placed = rows.select(F.monotonically_increasing_id().alias("doc"), "lang", "text").repartition(rel.buckets, "doc").sortWithinPartitions("doc")
     r = (placed.select("doc", "lang", F.posexplode(tokens_of(F.col("text"))).alias("pos", "raw"))
+         .where((F.length("raw") > 1) | (F.instr(F.lit(SEPARATORS), F.col("raw")) == 0))
          .join(names, ["lang", "raw"]).select("doc", "pos", "id"))
     r = rel.put("r1", r if small else r.repartition(rel.buckets, "doc"))
     level = known.select("id", "lang", F.array("word").alias("words"), "a", F.array().cast("array<long>").alias("heads"), F.array().cast("array<long>").alias("tails"))
