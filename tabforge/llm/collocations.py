@@ -6,8 +6,9 @@ comes from a merge join:
 
 1. Words are counted per language. Those that occur often enough get a number; the occurrences of the others can't be
    in a frequent phrase and are left out (semi-join).
-2. R2: occurrences joined with themselves on document and the next position, grouped and counted; the relation keeps
-   the occurrences of frequent pairs (semi-join) under the pair's number.
+2. R2: occurrences joined with themselves on document and the next position, grouped and counted; the same join with
+   the frequent pairs (semi-join) gives the relation, under the pair's number. Joining twice in the order of the rows
+   costs less than writing the occurrences of all pairs.
 3. R(k+1): neighbouring occurrences of R(k), which overlap in k-1 words, joined in the same way, and so on.
 
 Relations are bucketed and sorted by document in the shared folder, so the merge joins take both sides as they lie,
@@ -133,15 +134,14 @@ def _mine(spark: SparkSession, docs: DataFrame, longest: int, min_count: int) ->
     for k in range(2, longest + 1):
         nxt = r.select("doc", (F.col("pos") - 1).alias("pos"), F.col("id").alias("right"))
         pairs = r.withColumnRenamed("id", "left").hint("merge").join(nxt, ["doc", "pos"])
-        pairs = rel.put(f"pairs{k}", pairs) if k < longest else pairs
         often = pairs.groupBy("left", "right").agg(F.count(F.lit(1)).alias("a")).where(F.col("a") >= min_count)
-        often = _numbered(st, f"often{k}", often)
+        # phrases of the last length are no part of others and need no number
+        often = _numbered(st, f"often{k}", often) if k < longest else st.put(f"often{k}", often.withColumn("id", F.lit(None).cast("long")))
         if k < longest:
             keys, small = _known(often.select("left", "right", "id"), BROADCAST_PHRASES)
             kept = pairs.join(keys, ["left", "right"]).select("doc", "pos", "id")
-            rel.forget(f"r{k - 1}")
             r = rel.put(f"r{k}", kept if small else kept.repartition(rel.buckets, "doc"))
-            rel.forget(f"pairs{k}")
+            rel.forget(f"r{k - 1}")
         first, last = level.alias("x"), level.alias("y")
         grown = (often.alias("p").join(first, F.col("p.left") == F.col("x.id")).join(last, F.col("p.right") == F.col("y.id"))
                  .select("p.id", "x.lang", F.concat("x.words", F.slice("y.words", -1, 1)).alias("words"), "p.a", "p.left", "p.right",
