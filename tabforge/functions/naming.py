@@ -25,12 +25,13 @@ def _str(v: Column) -> Column:
 
 
 def t_template(fmt: str, fields: str | Column = "fields", fields_type: T.DataType | None = None,
-               stem: str | Column = STEM) -> Column:
+               stem: str | Column = STEM, present: Column | None = None) -> Column:
     """``{field}`` template. No fields -> stem.
 
     If every placeholder names a field, values are substituted. Otherwise
     (fallback) only present *non-empty* values are substituted and the other
-    placeholders stay verbatim.
+    placeholders stay verbatim. ``present`` (array of names) are the fields a
+    row has, where that differs by row; without it a row has all of the type's.
     """
     if not fmt:
         raise ValueError("a template needs a text")
@@ -39,6 +40,9 @@ def t_template(fmt: str, fields: str | Column = "fields", fields_type: T.DataTyp
     pieces = list(string.Formatter().parse(fmt))
     wanted = [f for _, f, _, _ in pieces if f is not None]
     complete = all(f in names for f in wanted)
+    whole = F.lit(complete)
+    if complete and present is not None and wanted:
+        whole = F.forall(F.array(*[F.lit(f) for f in dict.fromkeys(wanted)]), lambda n: F.array_contains(present, n))
     parts = []
     for literal, field, spec, conv in pieces:
         if literal:
@@ -50,10 +54,11 @@ def t_template(fmt: str, fields: str | Column = "fields", fields_type: T.DataTyp
         raw = F.lit("{" + field + "}")
         if field in names:
             v = s.getField(field)
+            filled = F.when(v.isNotNull() & (v.cast("string") != ""), v.cast("string")).otherwise(raw)
             if complete:
-                parts.append(_str(v))
+                parts.append(_str(v) if present is None else F.when(whole, _str(v)).otherwise(filled))
             else:
-                parts.append(F.when(v.isNotNull() & (v.cast("string") != ""), v.cast("string")).otherwise(raw))
+                parts.append(filled)
         else:
             parts.append(raw)
     out = F.concat(*parts) if parts else F.lit("")

@@ -18,16 +18,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.naming import new_name as _new_name
 from ..operators.ordering import number, write_and_read
+from .steps import check_type
 
 
 @dataclass
 class RenameSpec:
     """filters -> extractor -> converters -> template, or a one-step renamer.
 
-    ``extractor(df) -> Column`` (a STRUCT), ``converters``: ``[(fields, struct_type) -> Column]``,
+    ``extractor(df) -> Column`` (a STRUCT, or a MAP where rows differ in their fields; ``field_names`` are those to keep
+    beside what the steps ask for), ``converters``: ``[(fields, struct_type) -> Column]``,
     ``template(fields, struct_type) -> Column``, ``one_step(df) -> Column``.
     """
     filters: Sequence[Column] = ()
@@ -37,6 +40,7 @@ class RenameSpec:
     one_step: object = None
     on_internal_collision: str = "skip"
     on_existing_collision: str = "skip"
+    field_names: Sequence[str] = ()
     extra: dict = field(default_factory=dict)
 
 
@@ -47,37 +51,92 @@ def _keep(filters: Sequence[Column]) -> Column:
     return out
 
 
+def _texts(names: Sequence[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names]).cast("array<string>")
+
+
+def _with_fields(df: DataFrame, spec: RenameSpec) -> tuple[DataFrame, Column | None]:
+    """``df`` with the struct ``fields`` and, for a MAP extractor, the array ``present`` beside it (NULL: no fields at all)."""
+    ext = spec.extractor(df) if callable(spec.extractor) else spec.extractor
+    kind = check_type("extractor", getattr(spec.extractor, "__name__", ""), ext, df)
+    if not isinstance(kind, T.MapType):
+        return df.withColumn("fields", ext), None
+    df = df.withColumn("__map", ext)
+    some = F.size("__map") > 0  # NULL for no map
+    df = df.withColumn("present", F.when(some, F.map_keys("__map")))
+    first = [*spec.field_names, *[n for c in spec.converters[:1] for n in getattr(c, "needs", ())]]
+    if not first and not getattr(spec.template, "reads", ()):
+        raise ValueError("an extractor that gives a map needs the names of its fields")
+    names = first or spec.template.reads
+    return df.withColumn("fields", F.when(some, F.struct(*[F.col("__map").getItem(n).alias(n) for n in dict.fromkeys(names)]))), F.col("present")
+
+
+def _from_map(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``fields`` with those of ``names`` that neither it nor a converter has brought so far."""
+    have = df.schema["fields"].dataType.fieldNames()
+    fields = F.col("fields")
+    for n in names:
+        if n not in have:
+            fields = fields.withField(n, F.col("__map").getItem(n))
+    return df.withColumn("fields", fields)
+
+
 def rename_plan(catalog: DataFrame, spec: RenameSpec) -> DataFrame:
     """One row per catalog file with ``kept``, ``fields``, ``new_name``, ``new_path``, ``error``.
 
     Filtered-out rows stay in the plan with ``kept = false`` so that metrics
     (P9) come from the same pass.
+
+    C4 by row: with a MAP extractor a converter's field that a row lacks makes the row an error that names it; a field
+    that is empty or NULL stays as it is, and a row without any fields passes through. ``present`` holds the row's field
+    names. Steps of a wrong type are errors here (U2).
     """
     from ..functions.naming import t_join
-    df = catalog.withColumn("kept", _keep(spec.filters))
+    for p in spec.filters:
+        check_type("filter", "", p, catalog)
+    df = catalog.withColumn("kept", _keep(spec.filters)).withColumn("error", F.lit(None).cast("string"))
     if spec.one_step is not None:
         base = spec.one_step(df) if callable(spec.one_step) else spec.one_step
+        check_type("all_in_one", getattr(spec.one_step, "__name__", ""), base, df)
         df = df.withColumn("new_base", base)
     else:
         if spec.extractor is None:
             df = df.withColumn("new_base", F.col("base_name"))
         else:
-            ext = spec.extractor(df) if callable(spec.extractor) else spec.extractor
-            df = df.withColumn("fields", ext)
+            df, present = _with_fields(df, spec)
             for conv in spec.converters:
-                df = df.withColumn("fields", conv(F.col("fields"), df.schema["fields"].dataType))
+                if present is not None:
+                    needs = getattr(conv, "needs", ())
+                    df = _from_map(df, needs)
+                    for name in needs:
+                        df = df.withColumn("error", F.coalesce("error", F.when(~F.array_contains(present, name), F.concat(
+                            F.lit(f"no field '{name}' to convert; the fields are "), F.array_join(present, ", ")))))
+                before = df.schema["fields"].dataType
+                fields = conv(F.col("fields"), before)
+                check_type("converter", getattr(conv, "__name__", ""), fields, df)
+                df = df.withColumn("fields", fields)
+                if present is not None:  # a converter's new fields are there for every row that has fields
+                    new = [n for n in df.schema["fields"].dataType.fieldNames() if n not in before.fieldNames()]
+                    gone = [n for n in before.fieldNames() if n not in df.schema["fields"].dataType.fieldNames()]
+                    if new or gone:
+                        df = df.withColumn("present", F.array_union(F.array_except("present", _texts(gone)), _texts(new)))
+            if present is not None:
+                df = _from_map(df, getattr(spec.template, "reads", ()))
             ft = df.schema["fields"].dataType
-            if spec.template is not None:
-                base = spec.template(F.col("fields"), ft)
-            else:  # P2: no template -> join all fields
+            if spec.template is None:  # P2: no template -> join all fields
                 base = t_join(fields="fields", fields_type=ft)
+            elif present is not None and getattr(spec.template, "by_row", False):
+                base = spec.template(F.col("fields"), ft, present)
+            else:
+                base = spec.template(F.col("fields"), ft)
+            check_type("template", getattr(spec.template, "__name__", ""), base, df)
             df = df.withColumn("new_base", base)
-    df = df.withColumn("error", F.when(F.col("new_base").isNull() | (F.col("new_base") == ""),
-                                       F.lit("empty new name")))
+    made = [] if spec.one_step is not None or spec.extractor is None else ["fields"] if present is None else ["fields", "present"]
+    df = df.withColumn("error", F.coalesce("error", F.when(F.col("new_base").isNull() | (F.col("new_base") == ""), F.lit("empty new name"))))
     df = df.withColumn("new_name", F.when(F.col("error").isNull(), _new_name("new_base", "extension")))
     df = df.withColumn("new_path", F.when(F.col("new_name").isNotNull(), F.concat_ws("/", "parent", "new_name")))
     return df.select(F.col("path").alias("old_path"), F.col("file_name").alias("old_name"), "parent", "extension",
-                     "kept", "new_name", "new_path", "error", *(["fields"] if "fields" in df.columns else []))
+                     "kept", "new_name", "new_path", "error", *made)
 
 
 def plan_changes(plan: DataFrame) -> DataFrame:

@@ -1,96 +1,20 @@
-"""Declarative rename specs and step registration.
+"""Declarative rename specs.
 
-A spec dict (``pipeline.filters`` /
-``extractor`` / ``converters`` / ``template`` or ``all_in_one``, plus
-``collision_handling``) becomes a :class:`~tabforge.plans.rename.RenameSpec`
-of Column builders. Custom steps are registered as Column functions
-(preferred) and are looked up after the built-ins.
+A spec dict (``pipeline.filters`` / ``extractor`` / ``converters`` / ``template`` or ``all_in_one``, plus
+``collision_handling``) becomes a :class:`~tabforge.plans.rename.RenameSpec` of Column builders. A step is a dict of
+name, args and kwargs, or a call string (:func:`~tabforge.plans.steps.parse_call`).
 """
 
 from __future__ import annotations
 
-import inspect
-from collections.abc import Callable, Mapping
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from ..functions import convert as C
-from ..functions import extract as X
 from ..functions import filters as FL
-from ..functions import naming as N
-from ..functions.template import section_template
 from .rename import POLICIES, RenameSpec, rename_plan, resolve_collisions
-
-KINDS = ("filter", "extractor", "converter", "template", "all_in_one")
-
-# Built-in steps: name -> builder(args, kwargs) returning the kind's callable.
-BUILTIN: dict[str, dict[str, Callable]] = {
-    "filter": {
-        "pattern": lambda a, k: FL.f_pattern(*(a or [k.get("include"), k.get("exclude")])),
-        "file-type": lambda a, k: FL.f_file_type(*(a or [k.get("types", "")])),
-        "file-size": lambda a, k: FL.f_file_size(*(a or [k.get("min_size"), k.get("max_size")])),
-        "name-length": lambda a, k: FL.f_name_length(*(a or [k.get("min_length"), k.get("max_length")])),
-        "date-modified": lambda a, k: FL.f_date_modified(*(a or [k.get("operator", ">"), k.get("date")])),
-    },
-    "extractor": {
-        "split": lambda a, k: (lambda df: X.x_split(a[0], *a[1:])),
-        "regex": lambda a, k: (lambda df: X.x_regex(a[0] if a else k["pattern"], **{n: v for n, v in k.items() if n != "pattern"})),
-        "position": lambda a, k: (lambda df: X.x_position(*a)),
-        "metadata": lambda a, k: (lambda df: X.x_metadata(*a)),
-    },
-    "converter": {
-        "pad_numbers": lambda a, k: (lambda f, t: C.c_pad_numbers(f, a[0] if a else k["field"],
-                                                                   int(a[1]) if len(a) > 1 else int(k.get("width", 3)), t)),
-        "date_format": lambda a, k: (lambda f, t: C.c_date_format(
-            f, a[0] if a else k["field"], a[1] if len(a) > 1 else k.get("input_format", "%Y%m%d"),
-            a[2] if len(a) > 2 else k.get("output_format", "%Y-%m-%d"), t)),
-        "case": lambda a, k: (lambda f, t: C.c_case(f, a[0] if a else k["field"],
-                                                    a[1] if len(a) > 1 else k.get("case", "lower"), t)),
-    },
-    "template": {
-        "template": lambda a, k: (lambda f, t: N.t_template(a[0] if a else k["template"], f, t)),
-        "section": lambda a, k: (lambda f, t: section_template(a[0] if a else k.get("template", ""), "fields", t)),
-        "join": lambda a, k: (lambda f, t: N.t_join(*a, sep=k.get("separator", "_"), fields=f, fields_type=t)),
-    },
-    "all_in_one": {
-        "replace": lambda a, k: (lambda df: N.a_replace(*a)),
-        "lowercase": lambda a, k: (lambda df: N.a_lower()),
-        "uppercase": lambda a, k: (lambda df: N.a_upper()),
-        "clean": lambda a, k: (lambda df: N.a_clean(*(a or ["_"]))),
-    },
-}
-CUSTOM: dict[str, dict[str, Callable]] = {k: {} for k in KINDS}
-
-
-def validate_step(kind: str, fn: Callable) -> None:
-    """A step must be callable with at least one input (filters/converters/templates)."""
-    if kind not in KINDS:
-        raise ValueError(f"unknown step kind {kind!r}; kinds: {', '.join(KINDS)}")
-    if not callable(fn):
-        raise TypeError("step must be callable")
-    params = [p for p in inspect.signature(fn).parameters.values() if p.kind != p.VAR_KEYWORD]
-    if kind in ("converter", "template") and len(params) < 1:
-        raise ValueError(f"{kind} step needs at least one parameter (the fields struct)")
-
-
-def register_step(kind: str, name: str, fn: Callable) -> None:
-    """Register a custom step (a Column builder with the kind's signature).
-
-    filter: ``() -> Column`` (boolean); extractor / all_in_one: ``(df) -> Column``;
-    converter / template: ``(fields, fields_type) -> Column``.
-    """
-    validate_step(kind, fn)
-    CUSTOM[kind][name] = fn
-
-
-def resolve(kind: str, name: str, args=(), kwargs=None):
-    kwargs = dict(kwargs or {})
-    if name in BUILTIN[kind]:  # built-ins first
-        return BUILTIN[kind][name](list(args), kwargs)
-    if name in CUSTOM[kind]:
-        fn = CUSTOM[kind][name]
-        return fn() if kind == "filter" else fn
-    raise ValueError(f"unknown {kind} step {name!r}")
+from .steps import as_step, register_step, resolve, validate_step  # noqa: F401  (public here)
 
 
 def from_dict(spec: Mapping) -> RenameSpec:
@@ -101,10 +25,10 @@ def from_dict(spec: Mapping) -> RenameSpec:
         if coll.get(name, "skip") not in POLICIES:
             raise ValueError(f"{name}: unknown policy {coll[name]!r}; policies: {', '.join(POLICIES)}")
     filters = []
-    for f in pipe.get("filters", []) or []:
+    for f in map(as_step, pipe.get("filters", []) or []):
         name = f.get("name", "")
         inverted = name.startswith("!")
-        p = resolve("filter", name.lstrip("!"), f.get("args", []), f.get("kwargs"))
+        p = resolve("filter", name[inverted:], f.get("args", []), f.get("kwargs"))
         filters.append(FL.invert(p) if inverted else p)
     one = pipe.get("all_in_one")
     if one and (pipe.get("extractor") or pipe.get("converters") or pipe.get("template")):
@@ -115,15 +39,19 @@ def from_dict(spec: Mapping) -> RenameSpec:
                      on_internal_collision=coll.get("on_internal_collision", "skip"),
                      on_existing_collision=coll.get("on_existing_collision", "skip"))
     if one:
+        one = as_step(one)
         out.one_step = resolve("all_in_one", one["name"], one.get("args", []), one.get("kwargs"))
         return out
     ex = pipe.get("extractor")
     if ex:
+        ex = as_step(ex)
         out.extractor = resolve("extractor", ex["name"], ex.get("args", []), ex.get("kwargs"))
+        out.field_names = tuple(ex.get("fields", ()))
     out.converters = [resolve("converter", c["name"], c.get("args", []), c.get("kwargs"))
-                      for c in pipe.get("converters", []) or []]
+                      for c in map(as_step, pipe.get("converters", []) or [])]
     tp = pipe.get("template")
     if tp:
+        tp = as_step(tp)
         out.template = resolve("template", tp["name"], tp.get("args", []), tp.get("kwargs"))
     return out
 
@@ -141,6 +69,18 @@ class Pipeline:
     def from_dict(cls, spec: Mapping) -> Pipeline:
         return cls(from_dict(spec))
 
+    @classmethod
+    def from_calls(cls, extractor: str | None = None, converters: Sequence[str] = (), template: str | None = None, filters: Sequence[str] = (),
+                   all_in_one: str | None = None, on_internal_collision: str = "skip", on_existing_collision: str = "skip") -> Pipeline:
+        """A pipeline of call strings: ``from_calls("split,_,dept,type", ["case,dept,case=upper"], "join,type,dept")``."""
+        return cls.from_dict({"pipeline": {"extractor": extractor, "converters": list(converters), "template": template,
+                                           "filters": list(filters), "all_in_one": all_in_one},
+                              "collision_handling": {"on_internal_collision": on_internal_collision, "on_existing_collision": on_existing_collision}})
+
+    @classmethod
+    def from_json(cls, text: str) -> Pipeline:
+        return cls.from_dict(json.loads(text))
+
     def plan(self, catalog: DataFrame) -> DataFrame:
         """One row for each file."""
         return rename_plan(catalog, self.spec)

@@ -45,6 +45,43 @@ def plan_full(spark, sf_dir):
     return p.select("old_path", "old_name", "kept", "new_name", "new_path")
 
 
+_CALLS_SQL = PLAN_CTE.replace("upper(dept) END || '-' ||", "upper(dept) END || ', ' ||")
+
+
+@query("plan_from_calls", f"WITH {_CALLS_SQL} SELECT old_path, new_name, count(*) OVER (PARTITION BY parent, new_name) > 1 AS collides FROM changes")
+def plan_from_calls(spark, sf_dir):
+    """The plan of :data:`SPEC` from call strings, with quoted arguments and arguments by name."""
+    pipe = Pipeline.from_calls("split, '_', dept, type, status, date, seq", ["case,dept,upper", "case, field=type, case=title"],
+                               'template, "{dept}, {type}"', ["!pattern,'IMG_*'"])
+    p = pipe.plan(inputs.catalog(spark, sf_dir))
+    return R.flag_collisions(p, ("parent", "new_name")).select("old_path", "new_name", "collides")
+
+
+def _own_fields(df):
+    """Fields by the kind of name: invoices have type, number, company and date (a number may be empty or NULL), photos date
+    and time, other names with ``_`` dept, type and date, names without it none."""
+    part = lambda i: F.coalesce(F.get(F.split("base_name", "_", -1), i), F.lit(""))
+    number = F.when(F.col("file_id") % 3 == 0, F.lit("")).when(F.col("file_id") % 5 != 0, part(1))
+    fields = lambda **kv: F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v)])
+    return (F.when(F.col("base_name").startswith("Invoice_"), fields(type=part(0), number=number, company=part(2), date=part(3)))
+            .when(F.col("base_name").startswith("IMG_"), fields(date=part(1), time=part(2)))
+            .when(F.col("base_name").contains("_"), fields(dept=part(0), type=part(1), date=part(3))))
+
+
+@query("plan_errors", f"""WITH {CAT}, f AS (SELECT path AS old_path, base_name, extension, CASE WHEN starts_with(base_name, 'Invoice_') THEN 'i'
+    WHEN starts_with(base_name, 'IMG_') THEN 'p' WHEN contains(base_name, '_') THEN 'd' ELSE '' END AS kind,
+  CASE WHEN file_id % 3 = 0 THEN '' WHEN file_id % 5 <> 0 THEN lpad(split_part(base_name, '_', 2), greatest(10, length(split_part(base_name, '_', 2))), '0') END AS num FROM catalog),
+n AS (SELECT *, CASE kind WHEN 'i' THEN 'INVOICE-' || coalesce(num, 'None') || '-' || split_part(base_name, '_', 3) WHEN '' THEN base_name END AS base FROM f)
+SELECT old_path, CASE kind WHEN 'p' THEN 'no field ''type'' to convert; the fields are date, time'
+    WHEN 'd' THEN 'no field ''number'' to convert; the fields are dept, type, date' END AS error,
+  CASE WHEN base IS NULL OR ends_with(base, extension) THEN base ELSE base || extension END AS new_name FROM n""")
+def plan_errors(spark, sf_dir):
+    """C4 by row: an absent field is an error that names it; empty and NULL stay; rows without fields pass through."""
+    register_step("extractor", "own-fields", _own_fields)
+    pipe = Pipeline.from_calls("own-fields", ["case,type,upper", "pad_numbers,number,width=10"], "template,{type}-{number}-{company}")
+    return pipe.plan(inputs.catalog(spark, sf_dir)).select("old_path", "error", "new_name")
+
+
 @query("plan_changes", f"WITH {PLAN_CTE} SELECT old_name, new_name FROM changes")
 def plan_changes(spark, sf_dir):
     _, p = plan(spark, sf_dir)
