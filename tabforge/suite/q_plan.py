@@ -70,7 +70,7 @@ def _own_fields(df):
 
 @query("plan_errors", f"""WITH {CAT}, f AS (SELECT path AS old_path, base_name, extension, CASE WHEN starts_with(base_name, 'Invoice_') THEN 'i'
     WHEN starts_with(base_name, 'IMG_') THEN 'p' WHEN contains(base_name, '_') THEN 'd' ELSE '' END AS kind,
-  CASE WHEN file_id % 3 = 0 THEN '' WHEN file_id % 5 <> 0 THEN lpad(split_part(base_name, '_', 2), greatest(10, length(split_part(base_name, '_', 2))), '0') END AS num FROM catalog),
+  CASE WHEN file_id % 3 = 0 THEN '' WHEN file_id % 5 <> 0 THEN lpad(split_part(base_name, '_', 2), CAST(greatest(10, length(split_part(base_name, '_', 2))) AS INTEGER), '0') END AS num FROM catalog),
 n AS (SELECT *, CASE kind WHEN 'i' THEN 'INVOICE-' || coalesce(num, 'None') || '-' || split_part(base_name, '_', 3) WHEN '' THEN base_name END AS base FROM f)
 SELECT old_path, CASE kind WHEN 'p' THEN 'no field ''type'' to convert; the fields are date, time'
     WHEN 'd' THEN 'no field ''number'' to convert; the fields are dept, type, date' END AS error,
