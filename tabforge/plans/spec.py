@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from ..functions import filters as FL
 from .rename import POLICIES, RenameSpec, rename_plan, resolve_collisions
-from .steps import as_step, register_step, resolve, validate_step  # noqa: F401  (public here)
+from .steps import BUILTIN, as_step, register_step, resolve, validate_step  # noqa: F401  (public here)
 
 
 def from_dict(spec: Mapping) -> RenameSpec:

@@ -10,8 +10,8 @@ from __future__ import annotations
 import csv
 import io
 import os
+import re
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,7 +151,7 @@ def files_of(spark: SparkSession, root: str, ext: str, recursive: bool = True) -
     found = df.select(F.col("_metadata.file_path").alias("path"))
     listed = df.inputFiles()
     if len(listed) > found.count():  # a scan leaves out files without bytes
-        found = found.unionByName(spark.createDataFrame([(unquote(p),) for p in listed], "path STRING")).distinct()
+        found = found.unionByName(spark.createDataFrame([(re.sub("^file:///", "file:/", p),) for p in listed], "path STRING")).distinct()
     return found if listed else None
 
 

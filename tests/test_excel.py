@@ -44,6 +44,42 @@ def test_workbooks(spark, tmp_path):
     assert "z" in res.data.columns
 
 
+def test_sheets_of_one_workbook_are_spread_over_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tabforge.sources.excel import read_excel_folder
+    n = 8
+    with zipfile.ZipFile(tmp_path / "many.xlsx", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{MAIN}" xmlns:r="{REL}"><sheets>' + "".join(f'<sheet name="S{i}" sheetId="{i + 1}" r:id="r{i}"/>' for i in range(n)) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="r{i}" Target="/xl/worksheets/s{i}.xml"/>' for i in range(n)) + "</Relationships>")
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{MAIN}">' + "".join(f"<si><t>text {i}</t></si>" for i in range(20_000)) + "</sst>")
+        for i in range(n):
+            rows = "".join(f'<row><c t="s"><v>{(k * 7 + i) % 20_000}</v></c><c><v>{k}</v></c></row>' for k in range(12_000))
+            z.writestr(f"xl/worksheets/s{i}.xml", f'<worksheet xmlns="{MAIN}"><sheetData><row>{head("A", "B")}</row>{rows}</sheetData></worksheet>', zipfile.ZIP_STORED if i % 2 else zipfile.ZIP_DEFLATED)
+    rows = read_excel_folder(spark, str(tmp_path), None)
+    got = rows.withColumn("task", F.spark_partition_id()).groupBy("sheet_pos", "sheet_name").agg(F.count("cells").alias("n"), F.count_distinct("task").alias("tasks"),
+                                                      F.min(F.expr("cells[0] = concat('text ', (row_number * 7 + sheet_pos) % 20000) AND cells[1] = row_number")).alias("right")).collect()
+    assert {(r.sheet_pos, r.sheet_name, r.n, r.tasks, r.right) for r in got} == {(i, f"S{i}", 12_000, 1, True) for i in range(n)}
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
+    assert [r.sheet_name for r in read_excel_folder(spark, str(tmp_path), ["S3"]).select("sheet_name").distinct().collect()] == ["S3"]
+
+
+def test_a_bad_sheet_fails_its_workbook_alone(spark, tmp_path):
+    from tabforge.sources.excel import read_excel_folder
+    cells = [head("A"), *["<c><v>1</v></c>"] * 4000]
+    for name in ("good", "good one", "sum", "short", "no"):
+        book(tmp_path / f"{name}.xlsx", cells)
+    for name, change in (("sum", lambda raw, at: raw.__setitem__(slice(at, at + 4), b"abcd")), ("no", lambda raw, at: raw.__delitem__(slice(100, len(raw))))):
+        raw = bytearray((tmp_path / f"{name}.xlsx").read_bytes())
+        change(raw, raw.rfind(b"PK\x01\x02") + 16)  # the checksum in the last entry of the directory: the sheet's
+        (tmp_path / f"{name}.xlsx").write_bytes(raw)
+    with zipfile.ZipFile(tmp_path / "short.xlsx", "a") as z:
+        z.writestr("xl/worksheets/s.xml", f'<worksheet xmlns="{MAIN}"><sheetData><row>')
+    (tmp_path / "empty + one.xlsx").write_bytes(b"")
+    got = {(r.path.rsplit("/", 1)[1], r.failed) for r in read_excel_folder(spark, str(tmp_path)).select("path", "failed").distinct().collect()}
+    assert {p for p, f in got if f} == {"sum.xlsx", "short.xlsx", "no.xlsx", "empty + one.xlsx"}
+    assert {p for p, f in got if not f} >= {"good.xlsx", "good one.xlsx"}
+
+
 def test_a_pipeline_with_a_pattern_runs_twice():
     from tabforge.plans import spec
     k = {"pattern": r"(?P<a>\d+)"}
