@@ -17,11 +17,19 @@ PART, POS = "__part", "__pos"
 PARTITION_BYTES = 128 << 20
 
 
+def _bytes_of(df: DataFrame) -> int:
+    """Bytes that ``df`` holds at most as far as known: the optimizer's size, or that of the tables it reads where this is
+    less. The optimizer takes a join for the product of both sides, which grows with the square of the input."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    tables = plan.collectLeaves()
+    read = sum(int(str(tables.apply(i).stats().sizeInBytes())) for i in range(tables.size()))
+    return min(int(str(plan.stats().sizeInBytes())), read)
+
+
 def partitions_for(df: DataFrame) -> int:
-    """The session's shuffle partitions, or more where the optimizer's size of ``df`` asks for more."""
-    spark = df.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The session's shuffle partitions, or more where the size of ``df`` asks for more."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = _bytes_of(df)
     return least if size >= 1 << 60 else max(least, -(-size // PARTITION_BYTES))  # the optimizer's "unknown" is huge
 
 

@@ -78,3 +78,19 @@ def test_whole_sparkline_in_parts(spark):
     df = spark.createDataFrame([("a", i, float(i % 8)) for i in range(25)] + [(None, 1, 1.0)], "k string, t int, v double")
     got = {(r.k, r.part): r.sparkline for r in S.sparkline_full(df, "k", ["t"], "v", part_rows=10).collect()}
     assert got[("a", 0)] + got[("a", 1)] + got[("a", 2)] == ("".join(S.SPARK_LEVELS) * 4)[:25] and got[(None, 0)] == "▄"
+
+
+def test_partitions_follow_the_input_of_a_join(spark):
+    """The optimizer takes a join for the product of both sides; partitions must not grow with that."""
+    from tabforge.operators import ordering as O
+    rows = O.write_and_read(spark.range(60_000).select("id", F.col("id").cast("string").alias("k")), "join-rows")
+    joined = O.join_on(rows, rows.select("k", F.col("id").alias("other")), ["k"])
+    assert O.partitions_for(joined) == O.partitions_for(rows) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert O.partitions_for(O.join_on(joined, rows.select("k", F.col("id").alias("third")), ["k"])) == O.partitions_for(rows)
+    old, O.PARTITION_BYTES = O.PARTITION_BYTES, 10_000
+    try:  # but with the rows
+        assert O.partitions_for(rows) > 20 and O.partitions_for(rows) <= O.partitions_for(joined) <= 3 * O.partitions_for(rows)
+    finally:
+        O.PARTITION_BYTES = old
+    got = O.number(joined, [F.col("k"), F.col("id")], out="n")
+    assert got.count() == 60_000 and got.agg(F.max("n")).first()[0] == 59_999
