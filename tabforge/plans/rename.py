@@ -155,7 +155,7 @@ def collision_count(plan: DataFrame, per_directory: bool = False) -> DataFrame:
 
 def flag_collisions(plan: DataFrame, keys: Sequence[str] = ("new_name",)) -> DataFrame:
     """``collides`` = another changed row has the same new name."""
-    ch = plan_changes(plan)
+    ch = plan_changes(write_and_read(plan, "plan"))
     counts = write_and_read(ch.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"), "collisions")
     return ch.join(counts, list(keys), "left").withColumn("__n", F.coalesce("__n", F.lit(1))).withColumn("collides", F.col("__n") > 1).drop("__n")
 
@@ -202,9 +202,10 @@ def _blocked_chains(ch: DataFrame, stays: DataFrame) -> DataFrame:
     rounds = int(state.where("next IS NOT NULL").count()).bit_length()
     for _ in range(rounds):  # a chain of n files is followed in log2(n) rounds; rings never end and are free
         ahead = state.select(F.col("old_path").alias("next"), F.col("next").alias("__next2"), F.col("stuck").alias("__stuck2"))
-        step = state.join(ahead, "next", "left")
-        state = write_and_read(step.select("old_path", F.when(~F.col("__stuck2"), F.col("__next2")).alias("next"),
-                                           (F.col("stuck") | F.coalesce("__stuck2", F.lit(False))).alias("stuck")), "chains")
+        step = state.where("next IS NOT NULL").join(ahead, "next", "left")  # rows at their end wait for nothing and stay out of it
+        step = step.select("old_path", F.when(~F.col("__stuck2"), F.col("__next2")).alias("next"),
+                           (F.col("stuck") | F.coalesce("__stuck2", F.lit(False))).alias("stuck"))
+        state = write_and_read(step.unionByName(state.where("next IS NULL")), "chains")
         if state.where("next IS NOT NULL").isEmpty():
             break
     return state.where("stuck").select("old_path")
@@ -225,7 +226,8 @@ def resolve_collisions(plan: DataFrame, internal: str = "skip", existing: str =
     for p in (internal, existing):
         if p not in POLICIES:
             raise ValueError(f"unknown collision policy {p!r}")
-    ch = plan_changes(plan).withColumn("__grp", F.concat_ws("/", "parent", "new_name"))
+    # written before it is filtered: a filter on the new name is moved below it and makes the name again for each place that reads it
+    ch = plan_changes(write_and_read(plan, "plan")).withColumn("__grp", F.concat_ws("/", "parent", "new_name"))
     many = write_and_read(ch.groupBy("__grp").agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct("old_name", "old_path")).alias("__first"))
                           .where("__n > 1"), "collisions")
     ch = ch.join(many, "__grp", "left")

@@ -103,3 +103,38 @@ def test_pipeline_takes_policies_from_the_spec(spark):
     assert got == {"b.txt": ("B_1.txt", "rename")}
     with pytest.raises(ValueError):
         Pipeline.from_dict({**spec, "collision_handling": {"on_internal_collision": "shrug"}})
+
+
+def test_names_are_made_once_before_rows_are_chosen_by_them(spark, monkeypatch):
+    """A filter on the new name, moved below it, would make the name again for each place that reads it, in each job."""
+    written = {}
+
+    def write(df, name, real=R.write_and_read):
+        written.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(R, "write_and_read", write)
+    cat = catalog(spark, ["a.txt", "b.txt", "B.txt", "c.TXT"])
+    plan = R.rename_plan(cat, from_dict({"pipeline": {"all_in_one": {"name": "uppercase"}}}))
+    got = {r.old_name: r.new_name for r in R.resolve_collisions(plan, internal="append_number", existing="append_number", catalog=cat).collect()}
+    assert got == {"a.txt": "A.txt", "b.txt": "B_1.txt", "c.TXT": "C.TXT"}
+    assert "upper(" in written["plan"] and "upper(" not in written["collisions"] and "upper(" not in written["policies"]
+    written.clear()
+    assert R.flag_collisions(plan).where("collides").count() == 0 and "upper(" not in written["collisions"]
+
+
+def test_rows_at_the_end_of_a_chain_are_not_joined(spark, monkeypatch):
+    """They wait for nothing: joined by a null they would all meet in one task."""
+    plans = []
+
+    def write(df, name, real=R.write_and_read):
+        if name == "chains":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(R, "write_and_read", write)
+    ch = spark.createDataFrame([(f"/d/{i}", f"/d/{i + 1}", "rename") for i in range(9)] + [("/r/a", "/r/b", "rename"), ("/r/b", "/r/a", "rename")],
+                               "old_path string, new_path string, action string")
+    stays = spark.createDataFrame([("/d/9",)], "__p string")
+    assert {r.old_path for r in R._blocked_chains(ch, stays).collect()} == {f"/d/{i}" for i in range(9)}
+    assert len(plans) > 1 and all("LeftOuter" in p and "Union" in p and "isnotnull(next" in p for p in plans[1:])
