@@ -81,16 +81,32 @@ def set_extension(spark: SparkSession, folder: str, ext: str) -> None:
     Fixture helper: a metadata-only rename of the few part files through the
     Hadoop FileSystem API (works on any cluster file system).
     """
-    jvm = spark.sparkContext._jvm
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # looked up once: each part of the name is a call
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(folder)
+    root = path(folder)
     fs = root.getFileSystem(conf)
-    it = fs.listFiles(root, True)
-    while it.hasNext():
-        p = it.next().getPath()
-        name = p.getName()
-        if name.startswith("part-") and name.endswith(".txt"):
-            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), name[:-4] + ext))
+    todo = [root]
+    while todo:
+        for entry in fs.listStatus(todo.pop()):  # listFiles would ask for each local file's owner by a command of its own
+            p = entry.getPath()
+            name = p.getName()
+            if entry.isDirectory():
+                todo.append(p)
+            elif name.startswith("part-") and name.endswith(".txt"):
+                fs.rename(p, path(p.getParent(), name[:-4] + ext))
+
+
+def by_bucket(df: DataFrame, key: str, rows: int = 1000) -> DataFrame:
+    """``df`` with ``b``, a bucket of ``rows`` keys, dealt by it to as many tasks as the session has shuffle partitions."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn("b", F.floor(F.col(key) / rows)).repartition(n, "b")
+
+
+def write_documents(docs: DataFrame, folder: str, ext: str = ".json") -> None:
+    """Write the column ``value`` as one file for each row, all in ``folder`` itself: a folder for each file would have to
+    be listed by a task of its own whenever the files are read."""
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    set_extension(docs.sparkSession, folder, ext)
 
 
 def write_workbook(spark: SparkSession, path: str, sheets: dict[str, list[list]]) -> None:

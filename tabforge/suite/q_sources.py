@@ -208,11 +208,10 @@ def ingest_mixed(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey") + 7000000, "n_name", "n_nationkey").collect()
     inputs.write_workbook(spark, f"{root}/book/nations.xlsx", {"First": [["Id", "Name", "Code"], *map(list, rows)]})
     ingest_folder(spark, root, sink, ckpt, cfg)
-    bucket = F.floor(F.col("c_custkey") / 1000).alias("b")
     for kind, k, rec in (("json", 1, F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("code"), F.col("c_acctbal").alias("balance"))),
                          ("late", 2, F.struct(F.col("c_custkey").alias("ID"), F.col("c_mktsegment").alias("CODE"), F.col("c_acctbal").alias("Balance")))):
-        cust.where(F.col("c_custkey") % 3 == k).groupBy(bucket).agg(F.to_json(F.collect_list(rec)).alias("value")).write.partitionBy("b").text(f"{root}/{kind}")
-        inputs.set_extension(spark, f"{root}/{kind}", ".json")
+        docs = inputs.by_bucket(cust.where(F.col("c_custkey") % 3 == k), "c_custkey").groupBy("b").agg(F.to_json(F.collect_list(rec)).alias("value"))
+        inputs.write_documents(docs, f"{root}/{kind}")
     ingest_folder(spark, root, sink, ckpt, cfg)
     return read_ingested(spark, sink).select(shard_of().alias("kind"), "id", "name", "code", F.round("balance", 2).alias("balance"))
 
@@ -228,20 +227,18 @@ def _mixed(spark, sf_dir):
     csv_part = cust.where("c_nationkey < 8").select(F.col("c_custkey").alias("Customer ID"), name.alias("Full Name"), F.col("c_nationkey").alias("Nation Key"))
     csv_part.write.option("header", "true").csv(f"{root}/csv")
     rec = F.struct(F.col("c_custkey").alias("id"), F.concat_ws(" ", "c_mktsegment", "c_name").alias("name"), F.struct(F.col("c_nationkey").alias("nation")).alias("at"))
-    bucket = F.floor(F.col("c_custkey") / 1000).alias("b")
-    arrays = cust.where("c_nationkey BETWEEN 8 AND 11").groupBy(bucket).agg(F.to_json(F.collect_list(rec)).alias("value"))
-    arrays.write.partitionBy("b").text(f"{root}/array")
+    of_bucket = lambda cond: inputs.by_bucket(cust.where(cond), "c_custkey").groupBy("b")
+    inputs.write_documents(of_bucket("c_nationkey BETWEEN 8 AND 11").agg(F.to_json(F.collect_list(rec)).alias("value")), f"{root}/array")
     south = F.col("c_nationkey") % 2 == 0
-    objects = cust.where("c_nationkey BETWEEN 12 AND 15").groupBy(bucket).agg(F.to_json(F.struct(
+    objects = of_bucket("c_nationkey BETWEEN 12 AND 15").agg(F.to_json(F.struct(
         F.collect_list(F.when(south, rec)).alias("south"), F.collect_list(F.when(~south, rec)).alias("north"), F.lit("m").alias("meta"))).alias("value"))
-    objects.write.partitionBy("b").text(f"{root}/object")
-    cut = cust.where("c_nationkey = 16").groupBy(bucket).agg(F.to_json(F.collect_list(rec)).alias("value"))
-    cut.select("b", F.expr("substring(value, 1, length(value) - 9)").alias("value")).write.partitionBy("b").text(f"{root}/cut")
+    inputs.write_documents(objects, f"{root}/object")
+    cut = of_bucket("c_nationkey = 16").agg(F.to_json(F.collect_list(rec)).alias("value"))
+    inputs.write_documents(cut.select(F.expr("substring(value, 1, length(value) - 9)").alias("value")), f"{root}/cut")
     long = cust.where("c_nationkey = 17").select(F.concat_ws(",", "c_custkey", "c_name", F.lit("17"), F.lit("x")).alias("value"), F.col("c_custkey").alias("k"))
     head = spark.createDataFrame([("Customer ID,Full Name,Nation Key", -1)], "value STRING, k BIGINT")
     head.unionByName(long).repartition(1).sortWithinPartitions("k").select("value").write.text(f"{root}/long")  # one malformed file
-    for folder, ext in (("array", ".json"), ("object", ".json"), ("cut", ".json"), ("long", ".csv")):
-        inputs.set_extension(spark, f"{root}/{folder}", ext)
+    inputs.set_extension(spark, f"{root}/long", ".csv")
     rows = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey") + 7000000, F.concat(F.lit("Nation "), "n_name"), "n_nationkey").collect()
     inputs.write_workbook(spark, f"{root}/book/nations.xlsx", {"First": [["Customer ID", "Full Name", "Nation Key"], *map(list, rows)], "Other": [["x"], [1]]})
     return root
@@ -268,8 +265,7 @@ def json_mixed_keys(spark, sf_dir):
     """Keys in other case, a key that is an array in one file and a scalar in another, empty arrays and documents."""
     root = staging_path(spark, "json-keys")
     cust = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    bucket = F.floor(F.col("c_custkey") / 1000).alias("b")
-    one = cust.groupBy(bucket)
+    one = inputs.by_bucket(cust, "c_custkey").groupBy("b")
     upper, lower = F.struct(F.col("c_custkey").alias("ID"), F.col("c_name").alias("Name"), F.struct(F.col("c_acctbal").alias("Bal")).alias("at")), F.struct(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     pick = lambda k, e: F.collect_list(F.when(F.col("c_custkey") % 4 == k, e))
@@ -277,8 +273,7 @@ def json_mixed_keys(spark, sf_dir):
             "sheet": F.to_json(F.struct(pick(2, F.struct(F.col("c_custkey").alias("Id"), F.col("c_mktsegment").alias("NAME"))).alias("part"), F.lit("x").alias("other"))),
             "scalar": F.to_json(F.struct(F.max("c_name").alias("part"), F.array().cast("array<int>").alias("other"))), "empty": F.lit("[]"), "blank": F.lit("")}
     for kind, doc in docs.items():
-        one.agg(doc.alias("value")).write.partitionBy("b").text(f"{root}/{kind}")
-        inputs.set_extension(spark, f"{root}/{kind}", ".json")
+        inputs.write_documents(one.agg(doc.alias("value")), f"{root}/{kind}")
     df = harmonize_folder(spark, root, HarmonizeConfig(types=["json"], index_mode="none", split_names=False)).data
     return df.select(shard_of().alias("kind"), "id", "name", F.round("bal", 2).alias("bal"), "sheet_name")
 

@@ -105,3 +105,26 @@ def test_photo_content_hash(spark, tmpdir_path):
     import hashlib
     h = hashlib.md5(b"same bytes").hexdigest()[:8]
     assert names == [f"2024-03_20240315_202403_Photo_{h}", f"2024-03_20240316_202403_Photo_{h}"]
+
+
+def test_documents_lie_flat_one_file_a_bucket(spark, tmpdir_path):
+    """A folder for each file would be listed by a task of its own at every reading; renaming goes through subfolders too."""
+    from tabforge import inputs
+    from tabforge.suite import q_sources
+    spark.range(40).select(F.col("id").cast("int").alias("n_nationkey"), F.format_string("N%d", "id").alias("n_name")).where("n_nationkey < 25").write.parquet(f"{tmpdir_path}/nation.parquet")
+    cust = spark.range(20_000).select(F.col("id").alias("c_custkey"), F.format_string("C%d", "id").alias("c_name"), (F.col("id") % 25).cast("int").alias("c_nationkey"),
+                                      F.lit(1.5).alias("c_acctbal"), F.lit("AUTO").alias("c_mktsegment"))
+    cust.write.parquet(f"{tmpdir_path}/customer.parquet")
+    root = q_sources._mixed(spark, tmpdir_path).removeprefix("file:")
+    for kind in ("array", "object", "cut"):
+        folders = [d for d, _, _ in os.walk(f"{root}/{kind}")]
+        files = [f for f in os.listdir(f"{root}/{kind}") if f.endswith(".json") and os.path.getsize(f"{root}/{kind}/{f}")]
+        assert folders == [f"{root}/{kind}"] and len(files) == 20, kind
+    got = q_sources.harmonize_mixed(spark, tmpdir_path)
+    assert {r["kind"]: r["count"] for r in got.groupBy("kind").count().collect()} == {"csv": 6400, "array": 3200, "object": 3200, "book": 25}
+    assert got.where("kind = 'array'").agg(F.sum("customer_id")).first()[0] == sum(i for i in range(20_000) if 8 <= i % 25 <= 11)
+    os.makedirs(f"{tmpdir_path}/deep/b=1")
+    for f in ("part-0.txt", "b=1/part-1.txt", "b=1/other.txt"):
+        open(f"{tmpdir_path}/deep/{f}", "w").close()
+    inputs.set_extension(spark, f"{tmpdir_path}/deep", ".json")
+    assert sorted(f for _, _, fs in os.walk(f"{tmpdir_path}/deep") for f in fs) == ["other.txt", "part-0.json", "part-1.json"]
