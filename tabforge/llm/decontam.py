@@ -36,8 +36,9 @@ SHORTEST = 4
 BROADCAST_WINDOWS = 1_000_000
 
 #: A name is a capitalised word, or several, that don't begin a sentence: they follow a lower-case letter, a digit or a
-#: comma, colon or semicolon and a blank. The blank stays with the token and marks it.
-TOKEN = (r"(?<=[\p{Ll}0-9,;:]) \p{Lu}\p{Ll}\p{L}*(?: \p{Lu}\p{Ll}\p{L}*)*|[0-9]+(?:[.,][0-9]+)*|\p{L}+"
+#: comma, colon or semicolon and a blank. The blank stays with the token and marks it. Groups repeat possessively: the
+#: others take a stack frame for each repetition, and names and numbers may have thousands.
+TOKEN = (r"(?<=[\p{Ll}0-9,;:]) \p{Lu}\p{Ll}\p{L}*+(?: \p{Lu}\p{Ll}\p{L}*+)*+|[0-9]++(?:[.,][0-9]++)*+|\p{L}+"
          r"|(?<=[0-9])[%€£$°]|[$€£](?=[0-9])")
 #: White space that is not one blank.
 WIDE = r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]"

@@ -340,3 +340,14 @@ def test_matcher_equals_brute_force():
                 taken.append((a, b))
                 want.append((names[i], at[a][0]))
         assert [(n, off) for n, _, _, off, _ in m.confirm(block)] == want
+
+
+def test_decontamination_of_endless_names_and_numbers(spark):
+    """A regular expression that takes a stack frame for each word of a name ends in a StackOverflowError."""
+    names, numbers = "see" + " Retionly" * 20_000, "1" + ".5" * 20_000
+    df = spark.createDataFrame([(1, names), (2, numbers), (3, "Then, Ann Bell Cole paid 1,200.50 to Dan")], "id long, text string")
+    got = {r.id: r.w for r in df.select("id", decontam.words_of(F.col("text")).alias("w")).collect()}
+    assert got == {1: ["see", names[3:]], 2: [numbers], 3: ["Then", " Ann Bell Cole", "paid", "1,200.50", "to", " Dan"]}
+    docs = [(1, f"{names} {ITEM}"), (2, f"{numbers} {ITEM}"), (3, names), (4, numbers)]
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert {r.doc_id for r in decontam.contaminated(spark, frame(spark, docs), bench).collect()} == {1, 2}
